@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from quarry.functions import text as tx
 from quarry.functions import trust as tr
 from quarry.functions import vectors as vx
+from quarry.functions import catalog as cf
+from quarry.operators import catalog as cat_ops
 from quarry.operators import collection as col
+from quarry.plans import sqltext as S
 from quarry.operators.answers import answer_queries, similar_by_id, store_search
 from quarry.operators.embed import hash_embed_sql
 from quarry.operators.knn import knn
@@ -341,6 +344,89 @@ def t2_mask_claims(spark, sf):
     return a.select("o_orderkey", "masked", g.alias("grounding"))
 
 
+# ---------------------------------------------------------------- catalog
+
+def _catalog_rows_sql() -> str:
+    default_agency = f"'{cf.DEFAULT_AGENCY}'"
+    agency = f"coalesce({S.first_nonblank('f.agency_id', default_agency)}, '')"
+    return f"""(SELECT path, pos,
+        coalesce({S.nonblank('f.native_id')}, sha1(concat_ws('|', path, CAST(pos AS VARCHAR), {agency}))) AS id,
+        coalesce({S.first_nonblank('f.name', 'f.names_en')}, '') AS title,
+        coalesce({S.first_nonblank('f.description', 'f.descriptions_en')}, '') AS description,
+        {agency} AS agency, '' AS collected, {S.infer_freq('f.annotations')} AS freq,
+        CASE WHEN {S.nonblank('f.native_id')} IS NOT NULL
+             THEN '{cf.API_PREFIX}' || {S.nonblank('f.native_id')} ELSE '' END AS api_url,
+        '' AS download_url, array_to_string({S.collect_tags('f.annotations')}, ';') AS tags
+      FROM {V.PART_FLOWS_SQL} f)"""
+
+
+_CATALOG_SQL = f"""(SELECT id, title, description, agency, collected, freq, api_url, download_url, tags
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY path, pos) AS rn FROM {_catalog_rows_sql()})
+  WHERE rn = 1)"""
+
+
+def catalog_df(spark, sf):
+    rows = cat_ops.normalise(V.part_flows(spark, sf))
+    return cat_ops.keep_first(rows, "id", ["path", "pos"]).select(*cat_ops.CATALOG_COLUMNS)
+
+
+@query("c5_normalise_catalog", f"SELECT * FROM {_CATALOG_SQL}")
+def c5_normalise_catalog(spark, sf):
+    return catalog_df(spark, sf)
+
+
+@query("c2_infer_freq", f"""
+SELECT pos AS p_partkey, {S.infer_freq('f.annotations')} AS freq FROM {V.PART_FLOWS_SQL} f""")
+def c2_infer_freq(spark, sf):
+    return V.part_flows(spark, sf).select(F.col("pos").alias("p_partkey"),
+                                          cf.infer_freq("annotations").alias("freq"))
+
+
+@query("c3_collect_tags", f"""
+SELECT pos AS p_partkey, array_to_string({S.collect_tags('f.annotations')}, ';') AS tags,
+       CAST(len({S.collect_tags('f.annotations')}) AS BIGINT) AS n_tags FROM {V.PART_FLOWS_SQL} f""")
+def c3_collect_tags(spark, sf):
+    t = V.part_flows(spark, sf).select(F.col("pos").alias("p_partkey"), cf.collect_tags("annotations").alias("_t"))
+    return t.select("p_partkey", F.array_join("_t", ";").alias("tags"), F.size("_t").cast("bigint").alias("n_tags"))
+
+
+@query("c1_first_nonblank", f"""
+SELECT c_custkey, coalesce({S.first_nonblank("CASE WHEN c_custkey % 3 = 0 THEN chr(160) || ' ' ELSE c_mktsegment END",
+                                             "c_name")}, '') AS label
+FROM customer""")
+def c1_first_nonblank(spark, sf):
+    c = read_table(spark, sf, "customer")
+    seg = F.when(F.pmod("c_custkey", F.lit(3)) == 0, F.lit("  ")).otherwise(F.col("c_mktsegment"))
+    return c.select("c_custkey", F.coalesce(tx.first_nonblank(seg, "c_name"), F.lit("")).alias("label"))
+
+
+def _embed_text_sql(cols):
+    parts = []
+    for label, c in zip(tx.EMBED_TEXT_LABELS, cols):
+        p = f"('{label}: ' || coalesce({c}, ''))"
+        parts.append(f"CASE WHEN NOT ends_with({p}, ': ') THEN {S.strip(p)} END")
+    return "concat_ws(' | ', " + ", ".join(parts) + ")"
+
+
+@query("c7_embedding_text", f"""
+SELECT id, t AS text FROM (SELECT id, {_embed_text_sql(['title', 'description', 'agency', 'collected', 'tags'])} AS t
+                           FROM {_CATALOG_SQL}) WHERE length(t) > 0""")
+def c7_embedding_text(spark, sf):
+    c = catalog_df(spark, sf)
+    t = c.select("id", tx.embedding_text("title", "description", "agency", "collected", "tags").alias("text"))
+    return t.where(F.length("text") > 0)
+
+
+@query("w1_keep_first_text", """
+SELECT arg_min(doc_id, doc_id) AS doc_id, count(*) AS copies, CAST(max(n_chars) AS BIGINT) AS n_chars
+FROM documents GROUP BY text""")
+def w1_keep_first_text(spark, sf):
+    d = read_table(spark, sf, "documents").select("text", "doc_id", "n_chars")
+    first = cat_ops.keep_first(d, "text", ["doc_id"])
+    counts = d.groupBy("text").agg(F.count("*").alias("copies"))
+    return first.join(counts, "text").select("doc_id", "copies", F.col("n_chars").cast("bigint").alias("n_chars"))
+
+
 # ------------------------------------------------------------- public API
 
 def queries() -> dict[str, QueryFn]:

@@ -81,3 +81,60 @@ ANSWER_UNITS = (" million", " percent", "%x", "% of", "")
 ANSWERS_SQL = """(SELECT o_orderkey, 'Order total ' || CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR)
     || ([' million', ' percent', '%x', '% of', ''])[(o_orderkey % 5) + 1]
     || ' for ' || o_orderpriority || ' status ' || o_orderstatus AS answer FROM orders)"""
+
+
+# ------------------------------------------------------------------ flows
+
+def part_flows(spark: SparkSession, sf: str) -> DataFrame:
+    """``part`` as typed dataflows: blank ids / names / agencies by p_partkey % 7,
+    annotation shapes by p_partkey % 6 (see ``PART_FLOWS_SQL``)."""
+    p = read_table(spark, sf, "part")
+    k = F.col("p_partkey")
+    m7, m6 = F.pmod(k, F.lit(7)), F.pmod(k, F.lit(6))
+    null = F.lit(None).cast("string")
+
+    def ann(t, ti, tx):
+        return F.struct(t.alias("type"), ti.alias("title"), tx.alias("text"))
+
+    L = F.lit
+    anns = (F.when(m6 == 0, F.array(ann(L("DEFAULT"), F.concat(L("FREQUENCY=A,SIZE="), F.col("p_size").cast("string")),
+                                         L("annual data"))))
+            .when(m6 == 1, F.array(ann(L("NOTE"), null, L("Frequency = m")),
+                                   ann(L(" "), L("UNIT_MULT=3"), L("UNIT_MULT=3"))))
+            .when(m6 == 2, F.array(ann(L("DEFAULT"), L("no frequency here"), L("FREQUENCY=D"))))
+            .when(m6 == 3, F.array(ann(L(""), L("  "), null),
+                                   ann(L("X"), F.concat(L("freq=w, BASE="), F.col("p_brand")), F.col("p_type"))))
+            .when(m6 == 4, F.array().cast("array<struct<type:string,title:string,text:string>>"))
+            .otherwise(F.array(ann(L("LONG"), F.concat(F.repeat(L("k"), 65), L("=v")), F.repeat(L("t"), 101)),
+                               ann(L("B"), L("FREQUENCY = Q"), L("FREQUENCY = Q")))))
+    return p.select(
+        L("part").alias("path"), k.alias("pos"),
+        F.when(m7 == 0, L("")).when(m7 == 1, L("  "))
+        .otherwise(F.concat(L("DF_"), F.floor(k / 2).cast("bigint").cast("string"))).alias("native_id"),
+        F.when(m7 == 2, null).when(m7 == 3, L("   ")).otherwise(F.col("p_name")).alias("name"),
+        F.concat(F.col("p_name"), L(" (en)")).alias("names_en"),
+        F.when(m7 == 4, null).otherwise(F.col("p_type")).alias("description"),
+        F.concat(L("type "), F.col("p_type")).alias("descriptions_en"),
+        F.when(m7 == 5, null).when(m7 == 6, L(" ")).otherwise(F.col("p_brand")).alias("agency_id"),
+        anns.alias("annotations"))
+
+
+PART_FLOWS_SQL = """(SELECT 'part' AS path, p_partkey AS pos,
+    CASE p_partkey % 7 WHEN 0 THEN '' WHEN 1 THEN '  '
+         ELSE 'DF_' || CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS VARCHAR) END AS native_id,
+    CASE p_partkey % 7 WHEN 2 THEN NULL WHEN 3 THEN '   ' ELSE p_name END AS name,
+    p_name || ' (en)' AS names_en,
+    CASE p_partkey % 7 WHEN 4 THEN NULL ELSE p_type END AS description,
+    'type ' || p_type AS descriptions_en,
+    CASE p_partkey % 7 WHEN 5 THEN NULL WHEN 6 THEN ' ' ELSE p_brand END AS agency_id,
+    CASE p_partkey % 6
+      WHEN 0 THEN [{'type': 'DEFAULT', 'title': 'FREQUENCY=A,SIZE=' || CAST(p_size AS VARCHAR), 'text': 'annual data'}]
+      WHEN 1 THEN [{'type': 'NOTE', 'title': NULL::VARCHAR, 'text': 'Frequency = m'},
+                   {'type': ' ', 'title': 'UNIT_MULT=3', 'text': 'UNIT_MULT=3'}]
+      WHEN 2 THEN [{'type': 'DEFAULT', 'title': 'no frequency here', 'text': 'FREQUENCY=D'}]
+      WHEN 3 THEN [{'type': '', 'title': '  ', 'text': NULL::VARCHAR},
+                   {'type': 'X', 'title': 'freq=w, BASE=' || p_brand, 'text': p_type}]
+      WHEN 4 THEN []::STRUCT(type VARCHAR, title VARCHAR, text VARCHAR)[]
+      ELSE [{'type': 'LONG', 'title': repeat('k', 65) || '=v', 'text': repeat('t', 101)},
+            {'type': 'B', 'title': 'FREQUENCY = Q', 'text': 'FREQUENCY = Q'}] END AS annotations
+  FROM part)"""
