@@ -396,7 +396,7 @@ SELECT c_custkey, coalesce({S.first_nonblank("CASE WHEN c_custkey % 3 = 0 THEN c
 FROM customer""")
 def c1_first_nonblank(spark, sf):
     c = read_table(spark, sf, "customer")
-    seg = F.when(F.pmod("c_custkey", F.lit(3)) == 0, F.lit("  ")).otherwise(F.col("c_mktsegment"))
+    seg = F.when(F.pmod("c_custkey", F.lit(3)) == 0, F.lit("\u00a0 ")).otherwise(F.col("c_mktsegment"))
     return c.select("c_custkey", F.coalesce(tx.first_nonblank(seg, "c_name"), F.lit("")).alias("label"))
 
 
