@@ -16,6 +16,9 @@ from quarry.functions import text as tx
 from quarry.functions import trust as tr
 from quarry.functions import vectors as vx
 from quarry.functions import catalog as cf
+from quarry.functions import chunk as ch
+from quarry.functions import dates as dx
+from quarry.functions import urls as ux
 from quarry.operators import catalog as cat_ops
 from quarry.operators import collection as col
 from quarry.plans import sqltext as S
@@ -427,6 +430,209 @@ def w1_keep_first_text(spark, sf):
     return first.join(counts, "text").select("doc_id", "copies", F.col("n_chars").cast("bigint").alias("n_chars"))
 
 
+# ---------------------------------------------------------------- chunking
+
+def _chunk_sql(table: str, key: str, text: str, max_chars: int = ch.DEFAULT_MAX_CHARS,
+               overlap: int = ch.DEFAULT_OVERLAP) -> str:
+    """L1 as a DuckDB recursive CTE: rows (key, step, chunk) in window order."""
+    e0 = f"least(i + {max_chars}, n)"
+    ws = f"greatest(i, {e0} - {ch.BACKTRACK})"
+    cut = f"length(regexp_replace(substring(t, {ws} + 1, {e0} - {ws}), '[^\\n\\t ]*\\z', ''))"
+    end = f"CASE WHEN {e0} < n AND {cut} > 0 THEN {ws} + {cut} ELSE {e0} END"
+    return f"""(WITH RECURSIVE st(k, t, n, i, step) AS (
+        SELECT {key}, {text}, length({text}), 0, 0 FROM {table} WHERE length({text}) > 0
+        UNION ALL
+        SELECT k, t, n, greatest(0, e - {overlap}), step + 1 FROM (SELECT *, {end} AS e FROM st) WHERE e < n),
+      raw AS (SELECT k, step, {S.strip('substring(t, i + 1, e - i)')} AS chunk FROM (SELECT *, {end} AS e FROM st))
+      SELECT k, step, chunk FROM raw WHERE chunk <> '')"""
+
+
+_L1_SQL = f"""
+WITH c AS {_chunk_sql('documents', 'doc_id', 'text')}
+SELECT k AS doc_id, CAST(row_number() OVER (PARTITION BY k ORDER BY step) - 1 AS BIGINT) AS chunk_index,
+       CAST(count(*) OVER (PARTITION BY k) AS BIGINT) AS chunk_total, chunk AS chunk_text,
+       CAST(length(chunk) AS BIGINT) AS chunk_chars
+FROM c"""
+
+
+@query("l1_chunk_documents", _L1_SQL)
+def l1_chunk_documents(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", ch.chunks("text").alias("_c"))
+    return d.select("doc_id", F.size("_c").cast("bigint").alias("chunk_total"),
+                    F.posexplode("_c").alias("chunk_index", "chunk_text")) \
+        .select("doc_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), "chunk_total",
+                "chunk_text", F.length("chunk_text").cast("bigint").alias("chunk_chars"))
+
+
+@query("u4_chunk_udtf", _L1_SQL)
+def u4_chunk_udtf(spark, sf):
+    ch.register_chunk_udtf(spark)
+    read_table(spark, sf, "documents").createOrReplaceTempView("_u4_documents")
+    return spark.sql("""
+        SELECT d.doc_id, CAST(c.chunk_index AS BIGINT) AS chunk_index, CAST(c.chunk_total AS BIGINT) AS chunk_total,
+               c.chunk_text, CAST(length(c.chunk_text) AS BIGINT) AS chunk_chars
+        FROM _u4_documents d, LATERAL chunk(d.text, 1400, 200) c""")
+
+
+# ---------------------------------------------------------------- urls
+
+_ORIGIN_SQL = "regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+
+
+@query("d1_resolve_links", f"""
+WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href,
+                  unnest(generate_series(0, len(regexp_extract_all(html, 'href="([^"]*)"', 1)) - 1)) AS pos
+           FROM pages)
+SELECT page_id, CAST(pos AS BIGINT) AS pos,
+       regexp_replace(CASE WHEN href LIKE '/%' AND href NOT LIKE '//%' THEN {_ORIGIN_SQL.format(u='url')} || href
+                           ELSE href END, '#.*$', '') AS link
+FROM h""")
+def d1_resolve_links(spark, sf):
+    p = read_table(spark, sf, "pages")
+    h = p.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), F.lit(1)))
+                 .alias("pos", "href"))
+    return h.select("page_id", F.col("pos").cast("bigint").alias("pos"), ux.resolve("href", "url").alias("link"))
+
+
+def _canonical_sql(u: str) -> str:
+    q = f"regexp_extract({u}, '^[^?#]*\\?([^#]*)', 1)"
+    keep = ("list_filter(string_split(" + q + ", '&'), lambda p: p <> '' AND NOT ("
+            + " OR ".join(f"starts_with(lower(split_part(p, '=', 1)), '{x}')" for x in ux.TRACKING_PREFIXES) + "))")
+    qq = f"array_to_string(list_transform({keep}, lambda p: CASE WHEN instr(p, '=') > 0 THEN p ELSE p || '=' END), '&')"
+    base = f"lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) || '://' || regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) || regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+    return f"CASE WHEN {qq} <> '' THEN {base} || '?' || {qq} ELSE {base} END"
+
+
+@query("d2_canonical_url", f"SELECT page_id, {_canonical_sql('url')} AS canonical FROM pages")
+def d2_canonical_url(spark, sf):
+    return read_table(spark, sf, "pages").select("page_id", ux.canonical("url").alias("canonical"))
+
+
+@query("d3_url_parts", """
+SELECT page_id, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS scheme,
+       regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS host,
+       regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path,
+       regexp_extract(url, '^[^?#]*\\?([^#]*)', 1) AS query,
+       regexp_extract(url, '#(.*)$', 1) AS fragment,
+       (lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) LIKE '%.example.org'
+        OR lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) = 'example.org') AS in_scope
+FROM pages""")
+def d3_url_parts(spark, sf):
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id", ux.scheme("url").alias("scheme"), ux.netloc("url").alias("host"),
+                    ux.path("url").alias("path"), ux.query("url").alias("query"),
+                    ux.fragment("url").alias("fragment"), ux.in_domain("url", "example.org").alias("in_scope"))
+
+
+def _ext_sql(u: str) -> str:
+    path = f"regexp_replace(lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#;]*)', 1)), '/+$', '')"
+    e = f"regexp_extract({path}, '[./](xlsx|csv|pdf|xls|zip)$', 1)"
+    return f"CASE WHEN {e} <> '' THEN '.' || {e} END"
+
+
+@query("d5_file_links", f"""
+SELECT page_id, link, {_ext_sql('link')} AS ext,
+       coalesce({_ext_sql('link')} IN ('.csv', '.xls', '.xlsx', '.pdf'), false) AS is_data,
+       coalesce({_ext_sql('link')} IN ('.csv', '.xls', '.xlsx', '.pdf', '.zip'), false) AS is_data_zip,
+       regexp_matches(lower(regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#;]*)', 1)),
+                      '\\.(pdf|csv|xls|xlsx)$') AS is_binary,
+       regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)
+         = regexp_extract(page_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS same_host
+FROM {V.FILE_LINKS_SQL} fl""")
+def d5_file_links(spark, sf):
+    fl = V.file_links(spark, sf)
+    return fl.select("page_id", "link", ux.guess_ext("link").alias("ext"),
+                     ux.looks_like_data_file("link").alias("is_data"),
+                     ux.looks_like_data_file("link", allow_zip=True).alias("is_data_zip"),
+                     ux.is_binary_link("link").alias("is_binary"),
+                     ux.same_host("link", "page_url").alias("same_host"))
+
+
+_MIME_SQL = "lower(" + S.strip("split_part(coalesce(content_type, ''), ';', 1)") + ")"
+
+
+@query("d9_fetch_meta", f"""
+SELECT fl.page_id, fl.link, {_MIME_SQL} AS ctype,
+       ({_MIME_SQL} IN ('text/html', 'application/xhtml+xml') OR {_MIME_SQL} = '') AS is_html,
+       CASE {_MIME_SQL} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in ux.DATA_MIME_HINTS.items())} END AS mime_ext,
+       TRY_CAST(content_length AS BIGINT) AS content_length,
+       coalesce({_ext_sql('fl.link')}, CASE {_MIME_SQL} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in ux.DATA_MIME_HINTS.items())} END) AS file_ext
+FROM {V.FILE_LINKS_SQL} fl LEFT JOIN {V.FETCHES_SQL} f ON fl.link = f.link""")
+def d9_fetch_meta(spark, sf):
+    fl = V.file_links(spark, sf)
+    j = fl.join(V.fetches(spark, sf), "link", "left")
+    return j.select("page_id", "link", ux.mime_base("content_type").alias("ctype"),
+                    ux.content_type_is_html("content_type").alias("is_html"),
+                    ux.mime_ext("content_type").alias("mime_ext"),
+                    ux.parse_length("content_length").alias("content_length"),
+                    F.coalesce(ux.guess_ext("link"), ux.mime_ext("content_type")).alias("file_ext"))
+
+
+@query("d11_response_class", f"""
+SELECT link, status, content_type,
+       CASE WHEN regexp_matches(lower(regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#;]*)', 1)),
+                                '\\.(pdf|csv|xls|xlsx)$') THEN 'binary'
+            WHEN status <> 0 AND (instr(content_type, 'text/html') > 0 OR instr(content_type, 'application/xhtml+xml') > 0)
+              THEN 'html'
+            WHEN content_type <> '' AND NOT (instr(content_type, 'text/html') > 0
+                                             OR instr(content_type, 'application/xhtml+xml') > 0) THEN 'non-html'
+       END AS source_type
+FROM {V.FETCHES_SQL} f""")
+def d11_response_class(spark, sf):
+    f = V.fetches(spark, sf)
+    return f.select("link", "status", "content_type",
+                    ux.response_class("link", "status", "content_type").alias("source_type"))
+
+
+# ---------------------------------------------------------------- dates
+
+F3_CURRENT_YEAR = 2026
+
+
+def _dates_sql(t: str) -> str:
+    mon = "|".join(dx.MONTHS)
+    months = " ".join(f"WHEN '{m.lower()}' THEN {i}" for i, m in enumerate(dx.MONTHS, 1))
+
+    def ymd(y, m, d):
+        ok = (f"(length({y}) = 4 AND regexp_matches({m}, '^(1[0-2]|0[1-9]|[1-9])$') "
+              f"AND regexp_matches({d}, '^(3[01]|[12][0-9]|0[1-9]|[1-9])$'))")
+        return f"CASE WHEN {ok} THEN strftime(try_strptime({y} || '-' || {m} || '-' || {d}, '%Y-%m-%d'), '%Y-%m-%d') END"
+
+    p1 = r"^(\d{4})([-/])(\d{1,2})([-/])(\d{1,2})$"
+    p2 = r"^(\d{1,2})([-/])(\d{1,2})([-/])(\d{4})$"
+    g = lambda p, i: f"regexp_extract(s, '{p}', {i})"
+    a1 = (f"list_transform(regexp_extract_all({t}, '{dx.P_YMD}', 1), lambda s: CASE WHEN {g(p1, 2)} = {g(p1, 4)} "
+          f"THEN {ymd(g(p1, 1), g(p1, 3), g(p1, 5))} END)")
+    a2 = (f"list_transform(regexp_extract_all({t}, '{dx.P_DMY}', 1), lambda s: CASE WHEN {g(p2, 2)} = {g(p2, 4)} "
+          f"THEN {ymd(g(p2, 5), g(p2, 3), g(p2, 1))} END)")
+    a3 = (f"list_transform(regexp_extract_all({t}, '{dx.P_YEAR}', 1), lambda s: CASE WHEN CAST(s AS INTEGER) "
+          f"BETWEEN {dx.YEAR_MIN} AND {dx.YEAR_MAX} THEN s END)")
+    p4 = rf"(?i)^({mon})\s+(\d{{4}})$"
+    a4 = (f"list_transform(regexp_extract_all({t}, '{dx.P_MON_YEAR}', 0), lambda s: {g(p4, 2)} || '-' || "
+          f"lpad(CAST(CASE lower({g(p4, 1)}) {months} END AS VARCHAR), 2, '0'))")
+    p5 = rf"(?i)^(\d{{1,2}})\s+({mon})\s+(\d{{4}})$"
+    a5 = (f"list_transform(regexp_extract_all({t}, '{dx.P_DAY_MON_YEAR}', 0), lambda s: "
+          f"{ymd(g(p5, 3), f'CAST(CASE lower({g(p5, 2)}) {months} END AS VARCHAR)', g(p5, 1))})")
+    return f"list_filter(list_concat({a1}, {a2}, {a3}, {a4}, {a5}), lambda x: x IS NOT NULL)"
+
+
+@query("f2_extract_dates", f"""
+SELECT o_orderkey, array_to_string({_dates_sql('text')}, '|') AS dates FROM {V.DATE_TEXTS_SQL} d""")
+def f2_extract_dates(spark, sf):
+    d = V.date_texts(spark, sf)
+    return d.select("o_orderkey", F.array_join(dx.extract_dates("text"), "|").alias("dates"))
+
+
+@query("f3_pick_date", f"""
+SELECT o_orderkey, list_max(list_filter({_dates_sql('text')}, lambda x:
+         (length(x) = 4 OR regexp_matches(x, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$'))
+         AND CAST(substring(x, 1, 4) AS INTEGER) BETWEEN {dx.YEAR_MIN} AND {F3_CURRENT_YEAR + 1})) AS data_collected_date
+FROM {V.DATE_TEXTS_SQL} d""")
+def f3_pick_date(spark, sf):
+    d = V.date_texts(spark, sf)
+    return d.select("o_orderkey", dx.pick_date(dx.extract_dates("text"), F3_CURRENT_YEAR).alias("data_collected_date"))
+
+
 # ------------------------------------------------------------- public API
 
 def queries() -> dict[str, QueryFn]:

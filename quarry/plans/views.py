@@ -138,3 +138,59 @@ PART_FLOWS_SQL = """(SELECT 'part' AS path, p_partkey AS pos,
       ELSE [{'type': 'LONG', 'title': repeat('k', 65) || '=v', 'text': repeat('t', 101)},
             {'type': 'B', 'title': 'FREQUENCY = Q', 'text': 'FREQUENCY = Q'}] END AS annotations
   FROM part)"""
+
+
+# ------------------------------------------------------------ links / dates
+
+# Link suffixes by page_id % 6; content types by page_id % 4.
+FILE_SUFFIXES = (".csv", ".xlsx", "/pdf", ".zip", ".html", ".csv/")
+FETCH_TYPES = ("text/csv", "text/csv; charset=utf-8", "application/pdf", "")
+
+
+def file_links(spark: SparkSession, sf: str) -> DataFrame:
+    """One data-file-like link per page: url without query/fragment + a suffix."""
+    p = read_table(spark, sf, "pages")
+    sfx = F.element_at(F.array(*[F.lit(x) for x in FILE_SUFFIXES]),
+                       (F.pmod("page_id", F.lit(6)) + 1).cast("int"))
+    return p.select("page_id", F.col("url").alias("page_url"),
+                    F.concat(F.regexp_replace("url", r"[?#].*\z", ""), sfx).alias("link"))
+
+
+FILE_LINKS_SQL = """(SELECT page_id, url AS page_url,
+    regexp_replace(url, '[?#].*$', '') || (['.csv', '.xlsx', '/pdf', '.zip', '.html', '.csv/'])[(page_id % 6) + 1] AS link
+  FROM pages)"""
+
+
+def fetches(spark: SparkSession, sf: str) -> DataFrame:
+    """Response metadata per file link (HEAD/GET replaced by a snapshot table)."""
+    fl = file_links(spark, sf)
+    ct = F.element_at(F.array(*[F.lit(x) for x in FETCH_TYPES]), (F.pmod("page_id", F.lit(4)) + 1).cast("int"))
+    ln = F.when(F.pmod("page_id", F.lit(3)) == 0, (F.col("page_id") * 100).cast("string")) \
+        .when(F.pmod("page_id", F.lit(3)) == 1, F.lit("")).otherwise(F.lit("x"))
+    st = F.when(F.pmod("page_id", F.lit(10)) == 9, F.lit(0)).otherwise(F.lit(200))
+    return fl.select("link", st.alias("status"), ct.alias("content_type"), ln.alias("content_length"))
+
+
+FETCHES_SQL = f"""(SELECT link, CASE WHEN page_id % 10 = 9 THEN 0 ELSE 200 END AS status,
+    (['text/csv', 'text/csv; charset=utf-8', 'application/pdf', ''])[(page_id % 4) + 1] AS content_type,
+    CASE page_id % 3 WHEN 0 THEN CAST(page_id * 100 AS VARCHAR) WHEN 1 THEN '' ELSE 'x' END AS content_length
+  FROM {FILE_LINKS_SQL} fl)"""
+
+
+def date_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """``orders.o_orderdate`` rendered in six forms inside a sentence."""
+    o = read_table(spark, sf, "orders")
+    d = F.col("o_orderdate")
+    forms = F.array(F.date_format(d, "yyyy-MM-dd"), F.date_format(d, "yyyy/MM/dd"),
+                    F.date_format(d, "dd-MM-yyyy"), F.date_format(d, "dd/MM/yyyy"),
+                    F.date_format(d, "MMMM yyyy"), F.date_format(d, "d MMMM yyyy"))
+    r = F.element_at(forms, (F.pmod("o_orderkey", F.lit(6)) + 1).cast("int"))
+    return o.select("o_orderkey", F.concat(
+        F.lit("Published "), r, F.lit(" covering "),
+        (F.year(d) + F.pmod("o_orderkey", F.lit(3))).cast("string")).alias("text"))
+
+
+DATE_TEXTS_SQL = """(SELECT o_orderkey, 'Published ' || ([strftime(o_orderdate, '%Y-%m-%d'), strftime(o_orderdate, '%Y/%m/%d'),
+    strftime(o_orderdate, '%d-%m-%Y'), strftime(o_orderdate, '%d/%m/%Y'), strftime(o_orderdate, '%B %Y'),
+    strftime(o_orderdate, '%-d %B %Y')])[(o_orderkey % 6) + 1]
+    || ' covering ' || CAST(year(o_orderdate) + o_orderkey % 3 AS VARCHAR) AS text FROM orders)"""
