@@ -1,0 +1,187 @@
+"""A small HTML tree on the standard-library parser (used inside Arrow UDFs).
+
+Tree rules (those of the html.parser tree builder the reference relies on):
+void tags close at once; no end tag is implied (``<p>a<p>b`` nests); an end
+tag closes the nearest open element of that name and is ignored when none is
+open; the end of input closes everything; script/style are raw text.  Text
+inside script, style, template, rt and rp, comments, doctypes and processing
+instructions is not "text" for ``get_text``.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+VOID = frozenset("area base br col embed hr img input keygen link menuitem meta param source "
+                 "track wbr basefont bgsound command frame image isindex nextid spacer".split())
+# Tags whose strings are a separate string kind (excluded from get_text).
+STRING_CONTAINERS = {"script": "script", "style": "style", "template": "template",
+                     "rt": "rt", "rp": "rp"}
+_ASCII_WS = " \t\n\r\f\v"
+
+
+class Text:
+    __slots__ = ("value", "kind", "parent")
+
+    def __init__(self, value: str, kind: str, parent: Element):
+        self.value, self.kind, self.parent = value, kind, parent
+
+
+class Element:
+    __slots__ = ("name", "attrs", "children", "parent", "removed")
+
+    def __init__(self, name: str, attrs: dict[str, str], parent: Element | None):
+        self.name, self.attrs, self.children, self.parent = name, attrs, [], parent
+        self.removed = False
+
+    # -- traversal
+    def descendants(self):
+        stack = list(reversed(self.children))
+        while stack:
+            n = stack.pop()
+            yield n
+            if isinstance(n, Element):
+                stack.extend(reversed(n.children))
+
+    def find_all(self, tag=None, attrs: dict | None = None):
+        """Elements by tag name (str, or a collection of names) and attribute tests
+        (value ``True`` = present, else exact value)."""
+        names = {tag} if isinstance(tag, str) else (set(tag) if tag is not None else None)
+        for n in self.descendants():
+            if isinstance(n, Element) and (names is None or n.name in names):
+                ok = True
+                for k, v in (attrs or {}).items():
+                    if v is True:
+                        ok = k in n.attrs
+                    else:
+                        ok = n.attrs.get(k) == v
+                    if not ok:
+                        break
+                if ok:
+                    yield n
+
+    def find(self, tag=None, attrs: dict | None = None):
+        return next(self.find_all(tag, attrs), None)
+
+    def strings(self, kinds=("text",)):
+        for n in self.descendants():
+            if isinstance(n, Text) and n.kind in kinds:
+                yield n.value
+
+    def get_text(self, sep: str = "", strip: bool = False) -> str:
+        parts = []
+        for s in self.strings():
+            if strip:
+                s = s.strip()
+                if not s:
+                    continue
+            parts.append(s)
+        return sep.join(parts)
+
+    @property
+    def string(self) -> str | None:
+        """Single-child string, as ``Tag.string`` (None with several children)."""
+        if len(self.children) != 1:
+            return None
+        c = self.children[0]
+        if isinstance(c, Text):
+            return c.value
+        return c.string
+
+    def decompose(self) -> None:
+        if self.parent is not None:
+            self.parent.children = [c for c in self.parent.children if c is not self]
+        self.removed = True
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Element("[document]", {}, None)
+        self.stack = [self.root]
+        self.buf: list[str] = []
+        self.closed_void: list[str] = []
+
+    def _kind(self) -> str:
+        for e in reversed(self.stack):
+            k = STRING_CONTAINERS.get(e.name)
+            if k:
+                return k
+        return "text"
+
+    def _flush(self, kind: str | None = None) -> None:
+        if not self.buf:
+            return
+        data = "".join(self.buf)
+        self.buf = []
+        if data.strip(_ASCII_WS) == "" and not any(e.name in ("pre", "textarea") for e in self.stack):
+            data = "\n" if "\n" in data else " "
+        parent = self.stack[-1]
+        parent.children.append(Text(data, kind or self._kind(), parent))
+
+    def handle_starttag(self, tag, attrs):
+        self._flush()
+        d: dict[str, str] = {}
+        for k, v in attrs:
+            d[k] = "" if v is None else v
+        el = Element(tag, d, self.stack[-1])
+        self.stack[-1].children.append(el)
+        self.stack.append(el)
+        if tag in VOID:
+            self._pop_to(tag)
+            self.closed_void.append(tag)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag):
+        if tag in VOID and tag in self.closed_void:
+            self.closed_void.remove(tag)
+            return
+        self._flush()
+        self._pop_to(tag)
+
+    def _pop_to(self, tag):
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].name == tag:
+                del self.stack[i:]
+                return
+
+    def handle_data(self, data):
+        self.buf.append(data)
+
+    def _special(self, data, kind):
+        self._flush()
+        self.stack[-1].children.append(Text(data, kind, self.stack[-1]))
+
+    def handle_comment(self, data):
+        self._special(data, "comment")
+
+    def handle_decl(self, decl):
+        self._special(decl, "doctype")
+
+    def handle_pi(self, data):
+        self._special(data, "pi")
+
+    def unknown_decl(self, data):
+        self._special(data, "cdata")
+
+    def close(self):
+        super().close()
+        self._flush()
+
+
+def parse(html: str | None) -> Element:
+    b = _Builder()
+    try:
+        b.feed(html or "")
+        b.close()
+    except Exception:  # malformed markup: keep what was built
+        b._flush()
+    return b.root
+
+
+DATE_HINT = re.compile(r"(published|updated|created|collected|as at|data from|year ending)", re.I)

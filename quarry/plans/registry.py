@@ -21,6 +21,7 @@ from quarry.functions import dates as dx
 from quarry.functions import urls as ux
 from quarry.operators import catalog as cat_ops
 from quarry.operators import collection as col
+from quarry.operators import pages as pg
 from quarry.plans import sqltext as S
 from quarry.operators.answers import answer_queries, similar_by_id, store_search
 from quarry.operators.embed import hash_embed_sql
@@ -633,6 +634,86 @@ def f3_pick_date(spark, sf):
     return d.select("o_orderkey", dx.pick_date(dx.extract_dates("text"), F3_CURRENT_YEAR).alias("data_collected_date"))
 
 
+# ---------------------------------------------------------------- pages
+
+def _unescape_sql(x: str) -> str:
+    out = x
+    for ent, ch_ in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        out = f"replace({out}, '{ent}', '{ch_}')"
+    return out
+
+
+def _page_fields(spark, sf):
+    return pg.extract_pages(read_table(spark, sf, "pages"))
+
+
+@query("e2_page_title", f"""
+SELECT page_id, {_unescape_sql(S.strip("regexp_extract(html, '<title>([^<]*)</title>', 1)"))} AS title
+FROM pages""")
+def e2_page_title(spark, sf):
+    return _page_fields(spark, sf).select("page_id", "title")
+
+
+_A_RE = '<a href="([^"]*)">([^<]*)</a>'
+
+
+@query("e5_link_edges", f"""
+WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{_A_RE}', 1)) AS href,
+                  unnest(regexp_extract_all(html, '{_A_RE}', 2)) AS anchor,
+                  unnest(generate_series(0, len(regexp_extract_all(html, '{_A_RE}', 1)) - 1)) AS pos
+           FROM pages)
+SELECT page_id, url AS page_url, CAST(pos AS BIGINT) AS pos,
+       regexp_replace(CASE WHEN href LIKE '/%' AND href NOT LIKE '//%' THEN {_ORIGIN_SQL.format(u='url')} || href
+                           ELSE href END, '#.*$', '') AS link,
+       {_unescape_sql(S.strip('anchor'))} AS anchor_text
+FROM a""")
+def e5_link_edges(spark, sf):
+    return pg.link_edges(_page_fields(spark, sf))
+
+
+@query("e6_page_links", f"""
+WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages),
+r AS (SELECT page_id, regexp_replace(CASE WHEN href LIKE '/%' AND href NOT LIKE '//%'
+                                          THEN {_ORIGIN_SQL.format(u='url')} || href ELSE href END, '#.*$', '') AS link
+      FROM a WHERE trim(href) <> '')
+SELECT p.page_id, CAST(count(DISTINCT r.link) AS BIGINT) AS n_links, CAST(0 AS BIGINT) AS n_body_links
+FROM pages p LEFT JOIN r ON p.page_id = r.page_id GROUP BY p.page_id""")
+def e6_page_links(spark, sf):
+    f = pg.page_links(_page_fields(spark, sf), strip_chrome=True).withColumnRenamed("page_links", "_body")
+    f = pg.page_links(f, strip_chrome=False)
+    return f.select("page_id", F.size("page_links").cast("bigint").alias("n_links"),
+                    F.size("_body").cast("bigint").alias("n_body_links"))
+
+
+@query("e3_page_description")
+def e3_page_description(spark, sf):
+    """Rows only: the first <p> of uneven HTML cannot be found by SQL."""
+    return _page_fields(spark, sf).select("page_id", "description", "description_chunk", "title_text")
+
+
+@query("e4_page_tags")
+def e4_page_tags(spark, sf):
+    return _page_fields(spark, sf).select("page_id", F.array_join("tags", "; ").alias("page_tags"),
+                                          F.size("tags").cast("bigint").alias("n_tags"))
+
+
+@query("e7_visible_text")
+def e7_visible_text(spark, sf):
+    return _page_fields(spark, sf).select("page_id", "visible_text",
+                                          F.length("visible_text").cast("bigint").alias("n_chars"))
+
+
+@query("f1_page_dates")
+def f1_page_dates(spark, sf):
+    f = pg.page_date(_page_fields(spark, sf), F3_CURRENT_YEAR)
+    return f.select("page_id", F.size("date_texts").cast("bigint").alias("n_date_texts"), "data_collected_date")
+
+
+@query("l2_page_chunks")
+def l2_page_chunks(spark, sf):
+    return pg.page_chunks(_page_fields(spark, sf))
+
+
 # ------------------------------------------------------------- public API
 
 def queries() -> dict[str, QueryFn]:
