@@ -79,11 +79,15 @@ def defrag(u) -> Column:
     return F.regexp_replace(_c(u), r"#.*\z", "")
 
 
-def in_domain(u, suffix: str) -> Column:
-    """Lower netloc ends with ``.suffix`` or equals it (a port makes it fail)."""
+def in_domain(u, suffix: str | tuple[str, ...]) -> Column:
+    """Lower netloc ends with ``.suffix`` or equals it (a port makes it fail).
+    Several suffixes may be given."""
     host = F.lower(netloc(u))
-    s = suffix.lower().lstrip(".")
-    return (host.endswith("." + s)) | (host == s)
+    cond = F.lit(False)
+    for sfx in ((suffix,) if isinstance(suffix, str) else suffix):
+        s = sfx.lower().lstrip(".")
+        cond = cond | host.endswith("." + s) | (host == s)
+    return cond
 
 
 def same_host(a, b) -> Column:
@@ -164,10 +168,10 @@ def canonical(u) -> Column:
     with scheme and host, others unchanged.  No dot-segment, case or slash changes."""
     u = _c(u)
     pairs = F.filter(F.split(query(u), "&"), lambda p: p != "")
-    kv = F.transform(pairs, lambda p: F.struct(
-        _qs_decode(F.substring_index(p, "=", 1)).alias("k"),
-        F.when(F.instr(p, "=") > 0, _qs_decode(F.substring(p, F.instr(p, "=") + 1, 1 << 30)))
-        .otherwise(F.lit("")).alias("v")))
+    kv = F.transform(pairs, lambda p: F.named_struct(
+        F.lit("k"), _qs_decode(F.substring_index(p, "=", 1)),
+        F.lit("v"), F.when(F.instr(p, "=") > 0, _qs_decode(F.substring(p, F.instr(p, "=") + 1, 1 << 30)))
+        .otherwise(F.lit(""))))
 
     def keep(x):
         lk = F.lower(x["k"])

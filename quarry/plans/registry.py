@@ -21,6 +21,7 @@ from quarry.functions import dates as dx
 from quarry.functions import urls as ux
 from quarry.operators import catalog as cat_ops
 from quarry.operators import collection as col
+from quarry.operators import crawl as cr
 from quarry.operators import pages as pg
 from quarry.plans import sqltext as S
 from quarry.operators.answers import answer_queries, similar_by_id, store_search
@@ -714,6 +715,126 @@ def l2_page_chunks(spark, sf):
     return pg.page_chunks(_page_fields(spark, sf))
 
 
+# ---------------------------------------------------------------- crawl
+
+CRAWL_SCOPE = ("example.org", "example.com", "example.net")
+
+
+def crawl_inputs(spark, sf):
+    """Snapshot, edges, probes and robots for the crawls, all derived from ``pages``.
+
+    Pages are parsed once and the fields materialised before the crawl reads them."""
+    fields = cr.materialize(_page_fields(spark, sf))
+    docs = fields.select(ux.defrag("url").alias("url"), F.lit("text/html").alias("content_type"),
+                         "title", "description", "tags", "date_texts")
+    e5 = pg.link_edges(fields).select(ux.defrag("page_url").alias("src"), "pos", F.col("link").alias("dst"),
+                                      F.col("anchor_text").alias("anchor"))
+    pe = V.page_edges(spark, sf).select(ux.defrag("src_url").alias("src"), (F.col("k") + 1000).cast("bigint").alias("pos"),
+                                        ux.defrag("dst_url").alias("dst"), F.lit("related").alias("anchor"))
+    fl = V.file_links(spark, sf).select(ux.defrag("page_url").alias("src"), F.lit(2000).cast("bigint").alias("pos"),
+                                        F.col("link").alias("dst"), F.lit("data").alias("anchor"))
+    edges = e5.unionByName(pe).unionByName(fl)
+    fetches = V.fetches(spark, sf).where(F.col("status") != 0)
+    return fields, docs, edges, fetches, V.robots_rules(spark, sf)
+
+
+def _crawl_seed(spark, sf):
+    p = read_table(spark, sf, "pages").where(ux.in_domain("url", CRAWL_SCOPE))
+    first = p.orderBy("page_id").select("url").first()
+    return cr.seeds_frame(spark, [first["url"]] if first else [])
+
+
+_HOST_SQL = "regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
+_PATH_SQL = "regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#;]*)', 1)"
+
+
+def _robots_sql(u):
+    """The derived robots rule: hosts of even length disallow /es/."""
+    return f"NOT (length({_HOST_SQL.format(u=u)}) % 2 = 0 AND starts_with({_PATH_SQL.format(u=u)}, '/es/'))"
+
+
+def _data_file_sql(u):
+    return f"coalesce({_ext_sql(u)} IN ('.csv', '.xls', '.xlsx', '.pdf'), false)"
+
+
+def _crawl_sql() -> str:
+    def scope(u):
+        h = _HOST_SQL.format(u=u)
+        return "(" + " OR ".join(f"lower({h}) LIKE '%.{x}' OR lower({h}) = '{x}'" for x in CRAWL_SCOPE) + ")"
+
+    robots, data_file = _robots_sql, _data_file_sql
+    defrag = "regexp_replace({u}, '#.*$', '')"
+    return f"""
+    docs AS (SELECT {defrag.format(u='url')} AS url, page_id, html FROM pages),
+    a AS (SELECT url AS src, unnest(regexp_extract_all(html, '{_A_RE}', 1)) AS href,
+                 unnest(regexp_extract_all(html, '{_A_RE}', 2)) AS anchor,
+                 unnest(generate_series(0, len(regexp_extract_all(html, '{_A_RE}', 1)) - 1)) AS pos FROM docs),
+    edges AS (SELECT src, CAST(pos AS BIGINT) AS pos,
+                     regexp_replace(CASE WHEN href LIKE '/%' AND href NOT LIKE '//%'
+                                         THEN {_ORIGIN_SQL.format(u='src')} || href ELSE href END, '#.*$', '') AS dst,
+                     {_unescape_sql(S.strip('anchor'))} AS anchor FROM a
+              UNION ALL
+              SELECT {defrag.format(u='src_url')}, 1000 + k, {defrag.format(u='dst_url')}, 'related' FROM {V.page_edges_sql()} pe
+              UNION ALL
+              SELECT {defrag.format(u='page_url')}, 2000, link, 'data' FROM {V.FILE_LINKS_SQL} fl),
+    seed AS (SELECT {defrag.format(u='url')} AS url FROM pages WHERE {scope('url')} ORDER BY page_id LIMIT 1),
+    ok AS (SELECT url FROM docs WHERE {scope('url')} AND {robots('url')}),
+    bfs(url, depth) AS (
+        SELECT url, 0 FROM seed
+        UNION
+        SELECT e.dst, b.depth + 1 FROM bfs b JOIN ok ON ok.url = b.url JOIN edges e ON e.src = b.url
+        WHERE b.depth < (SELECT count(*) FROM pages) AND NOT {data_file('e.dst')} AND {scope('e.dst')}),
+    crawled AS (SELECT b.url, min(b.depth) AS depth FROM bfs b JOIN ok ON ok.url = b.url GROUP BY b.url)"""
+
+
+@query("m1_crawl_pages", f"""
+WITH RECURSIVE {_crawl_sql()}
+SELECT c.url, CAST(c.depth AS INTEGER) AS depth,
+       {_unescape_sql(S.strip("regexp_extract(d.html, '<title>([^<]*)</title>', 1)"))} AS title
+FROM crawled c JOIN docs d ON d.url = c.url""")
+def m1_crawl_pages(spark, sf):
+    _, docs, edges, fetches, robots = crawl_inputs(spark, sf)
+    pages, _ = cr.crawl_files(_crawl_seed(spark, sf), docs, edges, fetches, robots, scope_suffix=CRAWL_SCOPE,
+                              current_year=F3_CURRENT_YEAR)
+    return pages.select("url", "depth", "title")
+
+
+@query("m2_file_hits", f"""
+WITH RECURSIVE {_crawl_sql()},
+hits AS (SELECT e.dst AS file_url, e.src AS page_url, e.pos, e.anchor FROM crawled c JOIN edges e ON e.src = c.url
+         WHERE {_data_file_sql('e.dst')} AND {_robots_sql('e.dst')})
+SELECT h.file_url, coalesce({_ext_sql('h.file_url')},
+         CASE {_MIME_SQL} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in ux.DATA_MIME_HINTS.items())} END) AS file_ext,
+       h.page_url, h.anchor AS anchor_text, {_MIME_SQL} AS content_type,
+       TRY_CAST(f.content_length AS BIGINT) AS content_length,
+       {_unescape_sql(S.strip("regexp_extract(d.html, '<title>([^<]*)</title>', 1)"))} AS page_title
+FROM hits h JOIN {V.FETCHES_SQL} f ON f.link = h.file_url AND f.status <> 0
+JOIN docs d ON d.url = h.page_url""")
+def m2_file_hits(spark, sf):
+    _, docs, edges, fetches, robots = crawl_inputs(spark, sf)
+    _, hits = cr.crawl_files(_crawl_seed(spark, sf), docs, edges, fetches, robots, scope_suffix=CRAWL_SCOPE,
+                             current_year=F3_CURRENT_YEAR)
+    return hits.select("file_url", "file_ext", "page_url", "anchor_text", "content_type", "content_length",
+                       "page_title")
+
+
+@query("m3_crawl_chunks")
+def m3_crawl_chunks(spark, sf):
+    fields, _, _, _, robots = crawl_inputs(spark, sf)
+    docs = fields.select(ux.canonical("url").alias("url"), F.lit(200).alias("status"),
+                         F.lit("text/html").alias("content_type"), ux.canonical("url").alias("final_url"),
+                         "title_text", "description_chunk", "visible_text")
+    body = pg.page_links(fields, strip_chrome=True).select(ux.canonical("url").alias("src"),
+                                                           F.explode("page_links").alias("dst"))
+    pe = V.page_edges(spark, sf).select(ux.canonical("src_url").alias("src"), ux.canonical("dst_url").alias("dst"))
+    pages = read_table(spark, sf, "pages")
+    allowed = pages.where(ux.in_domain("url", CRAWL_SCOPE)).select(F.lower(ux.netloc("url")).alias("host"))
+    seed = _crawl_seed(spark, sf).select(ux.canonical("url").alias("url"), "seq")
+    host_robots = robots.select(ux.netloc("origin").alias("origin"), "status", "body").distinct()
+    _, rows = cr.crawl_chunks(seed, docs, body.unionByName(pe), host_robots, allowed_domains=allowed)
+    return rows
+
+
 # ------------------------------------------------------------- public API
 
 def queries() -> dict[str, QueryFn]:

@@ -194,3 +194,35 @@ DATE_TEXTS_SQL = """(SELECT o_orderkey, 'Published ' || ([strftime(o_orderdate,
     strftime(o_orderdate, '%d-%m-%Y'), strftime(o_orderdate, '%d/%m/%Y'), strftime(o_orderdate, '%B %Y'),
     strftime(o_orderdate, '%-d %B %Y')])[(o_orderkey % 6) + 1]
     || ' covering ' || CAST(year(o_orderdate) + o_orderkey % 3 AS VARCHAR) AS text FROM orders)"""
+
+
+# ------------------------------------------------------------------ crawl
+
+def page_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Derived page-to-page links: page p -> pages (7p+1) mod n and (3p+2) mod n."""
+    p = read_table(spark, sf, "pages").select("page_id", "url")
+    n = p.agg(F.count("*")).first()[0]
+    src = p.select(F.col("page_id").alias("src_id"), F.col("url").alias("src_url"))
+    a = src.select("src_id", "src_url", F.lit(0).alias("k"),
+                   F.pmod(F.col("src_id") * 7 + 1, F.lit(n)).alias("dst_id")) \
+        .unionByName(src.select("src_id", "src_url", F.lit(1).alias("k"),
+                                F.pmod(F.col("src_id") * 3 + 2, F.lit(n)).alias("dst_id")))
+    d = p.select(F.col("page_id").alias("dst_id"), F.col("url").alias("dst_url"))
+    return a.join(d, "dst_id")
+
+
+def page_edges_sql(n_expr: str = "(SELECT count(*) FROM pages)") -> str:
+    return f"""(SELECT s.page_id AS src_id, s.url AS src_url, e.k, d.page_id AS dst_id, d.url AS dst_url
+  FROM pages s, (VALUES (0), (1)) e(k),
+       pages d
+  WHERE d.page_id = CASE e.k WHEN 0 THEN (s.page_id * 7 + 1) % {n_expr} ELSE (s.page_id * 3 + 2) % {n_expr} END)"""
+
+
+def robots_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """One robots file per origin of ``pages``: hosts of even length disallow /es/."""
+    p = read_table(spark, sf, "pages")
+    host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
+    origin = F.regexp_extract("url", r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
+    body = F.when(F.pmod(F.length(host), F.lit(2)) == 0, F.lit("User-agent: *\nDisallow: /es/")) \
+        .otherwise(F.lit("User-agent: *\nAllow: /"))
+    return p.select(origin.alias("origin"), F.lit(200).alias("status"), body.alias("body")).distinct()
