@@ -131,3 +131,9 @@ def audit_id(key: Column | None = None) -> Column:
     if key is None:
         return F.substring(F.expr("uuid()"), 1, 8)
     return F.substring(F.sha1(key.cast("string")), 1, 8)
+
+
+def geometric_mean_agg(value, weight) -> Column:
+    """I9 over rows: prod(value ** weight) as exp(sum(weight * ln value)); 0 if any value is 0."""
+    v, w = _c(value), _c(weight)
+    return F.when(F.min(v) <= 0, F.lit(0.0)).otherwise(F.exp(F.sum(w * F.log(v))))

@@ -181,9 +181,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_catalog_csv(spark: SparkSession, preferred: str, fallback: str,
                      extra_columns: tuple[str, ...] = ("url",)) -> DataFrame:
-    """A3: the combined catalog if it exists, else the plain one; explicit schema."""
+    """A3: the combined catalog if it exists, else the plain one.
+
+    Every column is read as text (no inference: empty cells stay blank, never
+    NaN); columns the file lacks (e.g. ``url`` in the plain catalog) are NULL.
+    """
     path = preferred if path_exists(spark, preferred) else fallback
-    schema = T.StructType(CATALOG_SCHEMA.fields + [T.StructField(c, T.StringType()) for c in extra_columns])
-    df = spark.read.schema(schema).option("header", "true").option("multiLine", "true") \
-        .option("escape", '"').option("enforceSchema", "false").csv(path)
-    return df
+    df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
+        .option("inferSchema", "false").csv(path)
+    have = set(df.columns)
+    return df.select(*[(F.col(c) if c in have else F.lit(None).cast("string")).alias(c)
+                       for c in CATALOG_COLUMNS + tuple(extra_columns)])

@@ -24,11 +24,14 @@ from quarry.operators import collection as col
 from quarry.operators import crawl as cr
 from quarry.operators import pages as pg
 from quarry.plans import sqltext as S
-from quarry.operators.answers import answer_queries, similar_by_id, store_search
+from quarry.operators import ann
+from quarry.operators.answers import (answer_queries, audit_lookup, audit_records, similar_by_id,
+                                        store_search)
 from quarry.operators.embed import hash_embed_sql
 from quarry.operators.knn import knn
 from quarry.plans import views as V
 from quarry.session import read_table
+from quarry.streaming import streams as zs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -127,7 +130,7 @@ def r5_similar_in_store(spark, sf):
                        F.round("similarity_score", 6).alias("similarity_score"))
 
 
-_T8_SQL = f"""
+_T8_CTE = f"""
 WITH q AS {V.USER_QUERIES_SQL},
 qv AS {hash_embed_sql('query', 'qid', V.USER_QUERIES_SQL + ' _u')},
 c AS {V.COLLECTION_SQL},
@@ -138,7 +141,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, id) AS rn FROM p
 h AS (SELECT qid, count(*) AS cnt, string_agg(id, ',' ORDER BY rn) AS hit_ids,
              max({_STORE_SCORE_SQL}) AS m, arg_min(title, rn) AS first_title
       FROM r WHERE rn <= 4 GROUP BY qid),
-a AS (SELECT q.qid, coalesce(h.cnt, 0) AS cnt, h.hit_ids, h.m, h.first_title,
+a AS (SELECT q.qid, q.query, coalesce(h.cnt, 0) AS cnt, h.hit_ids, h.m, h.first_title,
              regexp_replace('I found ' || CAST(coalesce(h.cnt, 0) AS VARCHAR) || ' datasets related to '''
                  || q.query || '''. Here are the most relevant results:',
                  '{tr.MASK_PATTERN}', '{tr.MASK_TEXT}', 'g') AS answer
@@ -146,7 +149,9 @@ a AS (SELECT q.qid, coalesce(h.cnt, 0) AS cnt, h.hit_ids, h.m, h.first_title,
 f AS (SELECT *, CASE WHEN len(regexp_extract_all(answer, '{tr.CLAIM_PATTERN}', 0)) > 0 THEN 0.0 ELSE 1.0 END AS g,
              CASE WHEN coalesce(first_title, '') <> '' THEN 1.0 ELSE 0.0 END AS p,
              CASE WHEN cnt = 0 THEN 0.0 WHEN m >= 0.9 THEN least(1.0, m / 0.9) ELSE m END AS r
-      FROM a)
+      FROM a)"""
+
+_T8_SQL = _T8_CTE + """
 SELECT qid, CASE WHEN cnt = 0 THEN 'no_hits' ELSE 'ok' END AS status, CAST(cnt AS BIGINT) AS count,
        hit_ids, round(m, 6) AS top_similarity, answer,
        round(pow(g, 0.3) * pow(p, 0.2) * pow(r, 0.2), 3) AS trust_score,
@@ -835,6 +840,115 @@ def m3_crawl_chunks(spark, sf):
     return rows
 
 
+# ------------------------------------------------- audit, prompts, summaries
+
+def _t8_answers(spark, sf):
+    return answer_queries(V.user_queries(spark, sf), collection_df(spark, sf), k=4, deterministic_audit=True)
+
+
+@query("i9_weighted_geomean", _T8_CTE + """
+SELECT qid, round(CASE WHEN least(round(g, 3), round(p, 3), round(r, 3)) <= 0 THEN 0.0
+                       ELSE exp(0.3 * ln(round(g, 3)) + 0.2 * ln(round(p, 3)) + 0.2 * ln(round(r, 3))) END, 3)
+       AS geo_mean FROM f""")
+def i9_weighted_geomean(spark, sf):
+    t = _t8_answers(spark, sf).select("qid", F.posexplode("trust.factors").alias("i", "f"))
+    w = F.element_at(F.array(*[F.lit(x) for _, x in tr.WEIGHTS]), F.col("i") + 1)
+    return t.groupBy("qid").agg(F.round(tr.geometric_mean_agg(F.col("f.value"), w), 3).alias("geo_mean"))
+
+
+@query("k6_audit_lookup", _T8_CTE + """,
+ids AS (SELECT substr(sha1(CAST(conv_id * 1000 + turn AS VARCHAR)), 1, 8) AS audit_id FROM conversations)
+SELECT ids.audit_id, f.qid IS NOT NULL AS found, f.query, f.answer, CAST(f.cnt AS BIGINT) AS n_hits
+FROM ids LEFT JOIN f ON ids.audit_id = substr(sha1(CAST(f.qid AS VARCHAR)), 1, 8)""")
+def k6_audit_lookup(spark, sf):
+    records = audit_records(_t8_answers(spark, sf))
+    c = read_table(spark, sf, "conversations")
+    ids = c.select(F.substring(F.sha1((F.col("conv_id") * 1000 + F.col("turn")).cast("string")), 1, 8).alias("audit_id"))
+    hit = audit_lookup(records, ids)
+    return hit.select("audit_id", "found", F.col("record.query").alias("query"), F.col("record.answer").alias("answer"),
+                      F.size("record.raw_hits").cast("bigint").alias("n_hits"))
+
+
+def _sql_lit(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_PRE, _REST = tr.PROMPT_QUERY.split("{query}")
+_MID, _POST = _REST.split("{context}")
+
+
+@query("c13_prompts", _T8_CTE.replace(
+    "max({_STORE_SCORE_SQL}) AS m, arg_min(title, rn) AS first_title".format(_STORE_SCORE_SQL=_STORE_SCORE_SQL),
+    "max({_STORE_SCORE_SQL}) AS m, arg_min(title, rn) AS first_title, string_agg(CAST(rn AS VARCHAR) || '. ' || "
+    "title || ' - ' || agency, chr(10) ORDER BY rn) AS context".format(_STORE_SCORE_SQL=_STORE_SCORE_SQL)).replace(
+    "p AS (SELECT qv.k AS qid, c.id, c.title,", "p AS (SELECT qv.k AS qid, c.id, c.title, c.agency,").replace(
+    "a AS (SELECT q.qid, q.query, coalesce(h.cnt, 0) AS cnt,", "a AS (SELECT q.qid, q.query, h.context, coalesce(h.cnt, 0) AS cnt,")
+    + f"""
+SELECT qid, {_sql_lit(_PRE)} || query || {_sql_lit(_MID)} || context || {_sql_lit(_POST)} AS prompt
+FROM f WHERE cnt > 0""")
+def c13_prompts(spark, sf):
+    t = _t8_answers(spark, sf).where(F.col("status") == "ok")
+    return t.select("qid", tr.prompt("query", "hits").alias("prompt"))
+
+
+@query("r7_matrix_batches", "SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS BIGINT) AS dims FROM embeddings")
+def r7_matrix_batches(spark, sf):
+    m = col.matrix_batches(_emb(spark, sf), id_col="vec_id")
+    return m.agg(F.sum("rows").cast("bigint").alias("n_rows"), F.max("dims").cast("bigint").alias("dims"))
+
+
+@query("i11_crawl_summary", f"""
+WITH RECURSIVE {_crawl_sql()}
+SELECT CAST(depth AS INTEGER) AS depth, count(*) AS pages FROM crawled GROUP BY depth""")
+def i11_crawl_summary(spark, sf):
+    _, docs, edges, fetches, robots = crawl_inputs(spark, sf)
+    pages, _ = cr.crawl_files(_crawl_seed(spark, sf), docs, edges, fetches, robots, scope_suffix=CRAWL_SCOPE,
+                              current_year=F3_CURRENT_YEAR)
+    return pages.groupBy("depth").agg(F.count("*").alias("pages"))
+
+
+# ---------------------------------------------------------------- streams
+
+@query("z1_chunk_stream")
+def z1_chunk_stream(spark, sf):
+    """Rows only: pages read as a file stream and chunked; equals ``l2_page_chunks``."""
+    path = zs.run_available_now(zs.chunk_stream(zs.table_stream(spark, sf, "pages")))
+    return spark.read.parquet(path)
+
+
+@query("z2_dedupe_stream", "SELECT DISTINCT user_id, event_type FROM events")
+def z2_dedupe_stream(spark, sf):
+    """Repeats of (user, event type) dropped within a watermark longer than the data."""
+    ev = zs.table_stream(spark, sf, "events")
+    path = zs.run_available_now(zs.dedupe_stream(ev, ["user_id", "event_type"], "ts", delay="3650 days"))
+    return spark.read.parquet(path).select("user_id", "event_type")
+
+
+@query("z3_answer_stream", _T8_CTE + """
+SELECT substr(sha1(CAST(qid AS VARCHAR)), 1, 8) AS audit_id, query, answer, CAST(cnt AS BIGINT) AS n_hits FROM f""")
+def z3_answer_stream(spark, sf):
+    conv = zs.table_stream(spark, sf, "conversations").where(F.col("role") == "user") \
+        .select((F.col("conv_id") * 1000 + F.col("turn")).alias("qid"), F.col("text").alias("query"))
+    q, _, audit = zs.answer_stream(conv, collection_df(spark, sf), deterministic_audit=True)
+    q.awaitTermination()
+    a = spark.read.parquet(audit)
+    return a.select("audit_id", "query", "answer", F.size("raw_hits").cast("bigint").alias("n_hits"))
+
+
+# ------------------------------------------------------------- approximate
+
+@query("r6_ann_recall")
+def r6_ann_recall(spark, sf):
+    """Rows only (approximate): recall@5 of the inverted-file search against the exact one."""
+    e = _emb(spark, sf)
+    n = e.count()
+    cents, assigned = ann.build_index(e, ann.default_lists(n), id_col="vec_id")
+    q = e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+    approx = ann.search(q, cents, assigned, 5, nprobe=4, exclude_self=True)
+    exact = knn(q, e, 5, id_col="vec_id", exclude_self=True)
+    return ann.recall(approx, exact)
+
+
 # ------------------------------------------------------------- public API
 
 def queries() -> dict[str, QueryFn]:
