@@ -27,7 +27,7 @@ from quarry.plans import sqltext as S
 from quarry.operators import ann
 from quarry.operators.answers import (answer_queries, audit_lookup, audit_records, similar_by_id,
                                         store_search)
-from quarry.operators.embed import hash_embed_sql
+from quarry.operators.embed import embed, hash_embed_sql
 from quarry.operators.knn import knn
 from quarry.plans import views as V
 from quarry.session import read_table
@@ -949,6 +949,91 @@ def r6_ann_recall(spark, sf):
     return ann.recall(approx, exact)
 
 
+# ------------------------------------------------------------ json sources
+
+@query("a1_events_props", """
+SELECT event_id, json_valid(props) AS valid, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def a1_events_props(spark, sf):
+    """A1 on in-table JSON text: parse to VARIANT, read a field."""
+    e = read_table(spark, sf, "events").withColumn("_v", F.try_parse_json("props"))
+    return e.select("event_id", F.col("_v").isNotNull().alias("valid"),
+                    F.try_variant_get("_v", "$.k", "bigint").alias("k"))
+
+
+def part_json(spark, sf):
+    """One JSON document per part, in one of four wrapper shapes (by p_partkey % 4)."""
+    p = read_table(spark, sf, "part")
+    freq = F.element_at(F.array(*[F.lit(c) for c in "AQMWD"]), (F.pmod("p_partkey", F.lit(5)) + 1).cast("int"))
+    flow = F.struct(F.concat(F.lit("DF_"), F.col("p_partkey").cast("string")).alias("id"),
+                    F.col("p_name").alias("name"), F.col("p_brand").alias("agencyID"),
+                    F.array(F.struct(F.lit("T").alias("type"), F.concat(F.lit("FREQUENCY="), freq).alias("title"),
+                                     F.col("p_type").alias("text"))).alias("annotations"))
+    m = F.pmod("p_partkey", F.lit(4))
+    doc = F.when(m == 0, F.to_json(F.struct(F.struct(F.array(flow).alias("dataflows")).alias("data")))) \
+        .when(m == 1, F.to_json(F.struct(F.array(flow).alias("datasets")))) \
+        .when(m == 2, F.to_json(F.array(flow))).otherwise(F.to_json(flow))
+    return p.select(F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("path"),
+                    F.try_parse_json(doc).alias("json"))
+
+
+@query("a2_json_flows", f"""
+SELECT 'DF_' || CAST(p_partkey AS VARCHAR) AS id, p_name AS title, p_brand AS agency,
+       CASE p_partkey % 5 WHEN 0 THEN 'annual' WHEN 1 THEN 'quarterly' WHEN 2 THEN 'monthly'
+                          WHEN 3 THEN 'weekly' ELSE 'daily' END AS freq,
+       array_to_string(list_sort(list_distinct(['T', 'FREQUENCY',
+           'FREQUENCY=' || (['A', 'Q', 'M', 'W', 'D'])[(p_partkey % 5) + 1], p_type])), ';') AS tags
+FROM part""")
+def a2_json_flows(spark, sf):
+    """A2 + C6 + C5 over JSON documents of four wrapper shapes."""
+    typed = cat_ops.typed_flows(cat_ops.unwrap_flows(part_json(spark, sf)))
+    rows = cat_ops.normalise(typed.where("_valid"))
+    return cat_ops.keep_first(rows, "id", ["path", "pos"]).select("id", "title", "agency", "freq", "tags")
+
+
+@query("c10_sources", _T8_CTE.split("\nh AS (")[0].replace(
+    "p AS (SELECT qv.k AS qid, c.id, c.title,", "p AS (SELECT qv.k AS qid, c.id, c.title, c.agency, c.api_url,")
+    .rstrip().rstrip(",") + f"""
+SELECT qid, CAST(rn - 1 AS BIGINT) AS pos, title, agency, api_url, '' AS url,
+       round({_STORE_SCORE_SQL}, 3) AS similarity
+FROM r WHERE rn <= 4""")
+def c10_sources(spark, sf):
+    t = _t8_answers(spark, sf).select("qid", F.posexplode("sources").alias("pos", "s"))
+    return t.select("qid", F.col("pos").cast("bigint").alias("pos"), "s.title", "s.agency", "s.api_url", "s.url",
+                    "s.similarity")
+
+
+@query("i8_distinct_hosts", """
+SELECT DISTINCT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS host FROM pages""")
+def i8_distinct_hosts(spark, sf):
+    return read_table(spark, sf, "pages").select(ux.netloc("url").alias("host")).distinct()
+
+
+@query("r8_batch_search", f"""
+WITH qv AS {hash_embed_sql('query', 'qid', V.USER_QUERIES_SQL + ' _u')},
+p AS (SELECT qv.k AS qid, e.vec_id AS id, list_cosine_similarity(qv.vec, e.embedding::DOUBLE[]) AS s
+      FROM qv, embeddings e),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC, id) AS rn FROM p)
+SELECT qid, CAST(rn AS BIGINT) AS rank, id, round(s, 6) AS score FROM r WHERE rn <= 10""")
+def r8_batch_search(spark, sf):
+    """A batch of query texts embedded (U1) and searched at once (top 10, cosine)."""
+    q = embed(V.user_queries(spark, sf), "query", "qvec")
+    top = knn(q, _emb(spark, sf), 10, id_col="vec_id")
+    return top.select("qid", F.col("rank").cast("bigint").alias("rank"), "id", F.round("score", 6).alias("score"))
+
+
+@query("u1_embed_documents", f"""
+WITH v AS {hash_embed_sql('text', 'doc_id', 'documents')}
+SELECT k AS doc_id, CAST(len(vec) AS BIGINT) AS dim, round(list_sum(vec), 6) AS total,
+       round(list_sum(list_transform(vec, lambda x: x * x)), 6) AS sq_norm, round(vec[1], 6) AS v0
+FROM v""")
+def u1_embed_documents(spark, sf):
+    v = embed(read_table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return v.select("doc_id", F.size("embedding").cast("bigint").alias("dim"),
+                    F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("total"),
+                    F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"),
+                    F.round(F.col("embedding")[0], 6).alias("v0"))
+
+
 # ------------------------------------------------------------- public API
 
 def queries() -> dict[str, QueryFn]:
