@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from quarry.functions import catalog as cf
 from quarry.functions.text import first_nonblank, nonblank
+from quarry.session import spread
 
 CATALOG_COLUMNS = ("id", "title", "description", "agency", "collected", "freq",
                    "api_url", "download_url", "tags")
@@ -126,7 +127,7 @@ def typed_flows(flows: DataFrame, flow_col: str = "flow") -> DataFrame:
 def normalise(flows: DataFrame) -> DataFrame:
     """Typed flows -> 9 catalog columns (+ ``path, pos`` for ordering)."""
     agency = F.coalesce(first_nonblank("agency_id", F.lit(cf.DEFAULT_AGENCY)), F.lit(""))
-    return flows.select(
+    return spread(flows).select(
         "path", "pos",
         cf.stable_id("native_id", "path", "pos", agency).alias("id"),
         F.coalesce(first_nonblank("name", "names_en"), F.lit("")).alias("title"),

@@ -50,9 +50,11 @@ def subset(vectors: DataFrame, ids: DataFrame, id_col: str = "id", ids_col: str
 
 def lookup(ids: DataFrame, table: DataFrame, id_col: str = "id") -> DataFrame:
     """G9 / G11 / J2 batch form: left join, with a ``found`` flag; first row per id."""
-    w = Window.partitionBy(id_col).orderBy(F.monotonically_increasing_id())
-    first = table.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn") \
-        .withColumn("_found", F.lit(True))
+    # First row per id as an aggregate (combined map-side: a hot id is never one task's group).
+    others = [c for c in table.columns if c != id_col]
+    first = table.withColumn("_o", F.monotonically_increasing_id()).groupBy(id_col) \
+        .agg(F.min_by(F.struct(*[F.col(c) for c in others]), F.col("_o")).alias("_r")) \
+        .select(id_col, *[F.col(f"_r.{c}").alias(c) for c in others]).withColumn("_found", F.lit(True))
     out = ids.join(first, id_col, "left")
     return out.withColumn("found", F.coalesce(F.col("_found"), F.lit(False))).drop("_found")
 

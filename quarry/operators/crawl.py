@@ -17,7 +17,7 @@ from collections.abc import Iterable
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,8 @@ FILE_HIT_COLUMNS = ("file_url", "file_ext", "page_url", "page_title", "page_desc
 # ------------------------------------------------------------------ seeds
 
 KEY_WIDTH = 10
+# Below every character a url holds, so "parent + SEP + url" keys sort as (parent, url).
+KEY_SEP = "\x01"
 
 
 def order_key(parent_key, pos) -> F.Column:
@@ -189,8 +191,8 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
     seen = frontier.select("url")
     pages_done = 0
     levels: list[DataFrame] = []
+    n_ok = frontier.where("ok").count()
     while pages_done < max_pages:
-        n_ok = frontier.where("ok").count()
         pages = frontier.where("ok")
         cap = _cap_seq(pages, n_ok, max_pages - pages_done)
         if cap is not None:
@@ -207,8 +209,10 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
             .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
                     order_key(F.col("_o.page_seq"), F.col("_o.pos")).alias("seq"))
         frontier = materialize(flagged(first))
-        if frontier.take(1) == []:
+        sizes = frontier.agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok")).first()
+        if sizes["n"] == 0:
             break
+        n_ok = sizes["n_ok"]
         seen = seen.unionByName(frontier.select("url"))
 
     order = _union(spark, levels, "url string, depth int, seq string")
@@ -290,8 +294,7 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
 
     kind = ux.response_class("url", "status", "content_type")
     classified = materialize(docs.withColumn("source_type", kind).where(F.col("source_type").isNotNull()))
-    follow = materialize(admissible(links.select("src", "dst"), "dst")
-                         .withColumn("pos", F.row_number().over(Window.partitionBy("src").orderBy("dst"))))
+    follow = materialize(admissible(links.select("src", "dst"), "dst"))
     kinds = classified.select("url", F.col("source_type").alias("kind"))
 
     def flagged(df: DataFrame) -> DataFrame:
@@ -302,9 +305,9 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
     seen = seeds.select("url")
     done = 0
     levels: list[DataFrame] = []
+    n_html = frontier.where(F.col("kind") == "html").count()
     while done < max_pages:
         html = frontier.where(F.col("kind") == "html")
-        n_html = html.count()
         cap = _cap_seq(html, n_html, max_pages - done)
         level = frontier if cap is None else frontier.where(F.col("seq") <= cap)
         levels.append(level)
@@ -314,12 +317,15 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
         pages = level.where((F.col("kind") == "html") & (F.col("depth") < max_depth))
         nxt = follow.join(pages.select(F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth"), "src") \
             .join(seen.select(F.col("url").alias("dst")), "dst", "left_anti")
-        first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "pos", "depth")).alias("_o")) \
+        # A page's links are followed in sorted order: the key is parent key + SEP + url.
+        first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "depth")).alias("_o")) \
             .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
-                    order_key(F.col("_o.page_seq"), F.col("_o.pos")).alias("seq"))
+                    F.concat(F.col("_o.page_seq"), F.lit(KEY_SEP), F.col("dst")).alias("seq"))
         frontier = materialize(flagged(first))
-        if frontier.take(1) == []:
+        sizes = frontier.agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "html").alias("n_html")).first()
+        if sizes["n"] == 0:
             break
+        n_html = sizes["n_html"]
         seen = seen.unionByName(frontier.select("url"))
 
     visited = _union(spark, levels, "url string, depth int, seq string, kind string")

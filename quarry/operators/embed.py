@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from quarry.session import spread
+
 DEFAULT_DIM = 64
 _TOKEN = re.compile(r"[a-z0-9]+")
 
@@ -59,7 +61,7 @@ def embed(df: DataFrame, text_col: str, out_col: str = "embedding",
             pdf[out_col] = pd.Series(vecs, index=pdf.index, dtype=object)
             yield pdf
 
-    return df.mapInPandas(run, schema)
+    return spread(df).mapInPandas(run, schema)
 
 
 def hash_embed_sql(text_expr: str, key_expr: str, from_clause: str, dim: int = DEFAULT_DIM) -> str:

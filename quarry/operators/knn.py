@@ -25,10 +25,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import spread
+
 # Bytes of query vectors we allow to broadcast to every task.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # Query columns handled per matmul chunk inside a task (bounds memory).
@@ -174,7 +177,10 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
         T.StructField("qid", qid_t), T.StructField("id", id_t),
         T.StructField("rv", T.DoubleType())])
 
-    # Size check of the query side (one small aggregate job).
+    # Size check of the query side (one aggregate).  The query side is persisted
+    # first so an expensive producer (e.g. an embedder) runs once for the check,
+    # the broadcast and the block path.
+    q = q.persist(StorageLevel.MEMORY_AND_DISK)
     stats = q.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("d")).first()
     n_q, dim = int(stats["n"] or 0), int(stats["d"] or 0)
     q_bytes = n_q * max(dim, 1) * 8
@@ -185,6 +191,7 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
         cand = empty
     elif q_bytes <= broadcast_bytes:
         cand = _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t)
+        q.unpersist()
     else:
         cand = _block_path(q, c, k, metric, exclude_self, out_schema, n_q, dim,
                            broadcast_bytes, corpus_block_rows)
@@ -218,7 +225,7 @@ def _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t):
             [pa.array(qs, type=qid_pa), pa.array(ids, type=id_pa), pa.array(vals, type=pa.float64())],
             names=["qid", "id", "rv"])
 
-    return c.mapInArrow(run, out_schema)
+    return spread(c).mapInArrow(run, out_schema)
 
 
 def _block_path(q, c, k, metric, exclude_self, out_schema, n_q, dim,

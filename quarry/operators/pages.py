@@ -13,6 +13,7 @@ from quarry.functions import chunk as ch
 from quarry.functions import dates as dx
 from quarry.functions import html as hx
 from quarry.functions import urls as ux
+from quarry.session import spread
 
 CHUNK_COLUMNS = ("url", "final_url", "status", "content_type", "source_type", "title",
                  "description", "chunk_index", "chunk_total", "chunk_text", "depth")
@@ -22,6 +23,7 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
                   keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Every page field as top-level columns (see ``quarry.functions.html.PAGE_FIELDS``)."""
     cols = [c for c in keep if c in pages.columns]
+    pages = spread(pages)
     x = pages.select(*cols, F.col(url_col).alias("url"), hx.extract(html_col, url_col).alias("_f"))
     return x.select(*cols, "url", "_f.*")
 

@@ -30,7 +30,7 @@ from quarry.operators.answers import (answer_queries, audit_lookup, audit_record
 from quarry.operators.embed import embed, hash_embed_sql
 from quarry.operators.knn import knn
 from quarry.plans import views as V
-from quarry.session import read_table
+from quarry.session import read_table, spread
 from quarry.streaming import streams as zs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -464,7 +464,7 @@ FROM c"""
 
 @query("l1_chunk_documents", _L1_SQL)
 def l1_chunk_documents(spark, sf):
-    d = read_table(spark, sf, "documents").select("doc_id", ch.chunks("text").alias("_c"))
+    d = spread(read_table(spark, sf, "documents")).select("doc_id", ch.chunks("text").alias("_c"))
     return d.select("doc_id", F.size("_c").cast("bigint").alias("chunk_total"),
                     F.posexplode("_c").alias("chunk_index", "chunk_text")) \
         .select("doc_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), "chunk_total",
@@ -474,7 +474,7 @@ def l1_chunk_documents(spark, sf):
 @query("u4_chunk_udtf", _L1_SQL)
 def u4_chunk_udtf(spark, sf):
     ch.register_chunk_udtf(spark)
-    read_table(spark, sf, "documents").createOrReplaceTempView("_u4_documents")
+    spread(read_table(spark, sf, "documents")).createOrReplaceTempView("_u4_documents")
     return spark.sql("""
         SELECT d.doc_id, CAST(c.chunk_index AS BIGINT) AS chunk_index, CAST(c.chunk_total AS BIGINT) AS chunk_total,
                c.chunk_text, CAST(length(c.chunk_text) AS BIGINT) AS chunk_chars
@@ -626,7 +626,7 @@ def _dates_sql(t: str) -> str:
 @query("f2_extract_dates", f"""
 SELECT o_orderkey, array_to_string({_dates_sql('text')}, '|') AS dates FROM {V.DATE_TEXTS_SQL} d""")
 def f2_extract_dates(spark, sf):
-    d = V.date_texts(spark, sf)
+    d = spread(V.date_texts(spark, sf))
     return d.select("o_orderkey", F.array_join(dx.extract_dates("text"), "|").alias("dates"))
 
 
@@ -636,7 +636,7 @@ SELECT o_orderkey, list_max(list_filter({_dates_sql('text')}, lambda x:
          AND CAST(substring(x, 1, 4) AS INTEGER) BETWEEN {dx.YEAR_MIN} AND {F3_CURRENT_YEAR + 1})) AS data_collected_date
 FROM {V.DATE_TEXTS_SQL} d""")
 def f3_pick_date(spark, sf):
-    d = V.date_texts(spark, sf)
+    d = spread(V.date_texts(spark, sf))
     return d.select("o_orderkey", dx.pick_date(dx.extract_dates("text"), F3_CURRENT_YEAR).alias("data_collected_date"))
 
 

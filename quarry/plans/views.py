@@ -201,12 +201,12 @@ DATE_TEXTS_SQL = """(SELECT o_orderkey, 'Published ' || ([strftime(o_orderdate,
 def page_edges(spark: SparkSession, sf: str) -> DataFrame:
     """Derived page-to-page links: page p -> pages (7p+1) mod n and (3p+2) mod n."""
     p = read_table(spark, sf, "pages").select("page_id", "url")
-    n = p.agg(F.count("*")).first()[0]
+    n = p.select(F.count("*")).scalar()  # scalar subquery, evaluated once inside the plan
     src = p.select(F.col("page_id").alias("src_id"), F.col("url").alias("src_url"))
     a = src.select("src_id", "src_url", F.lit(0).alias("k"),
-                   F.pmod(F.col("src_id") * 7 + 1, F.lit(n)).alias("dst_id")) \
+                   F.pmod(F.col("src_id") * 7 + 1, n).alias("dst_id")) \
         .unionByName(src.select("src_id", "src_url", F.lit(1).alias("k"),
-                                F.pmod(F.col("src_id") * 3 + 2, F.lit(n)).alias("dst_id")))
+                                F.pmod(F.col("src_id") * 3 + 2, n).alias("dst_id")))
     d = p.select(F.col("page_id").alias("dst_id"), F.col("url").alias("dst_url"))
     return a.join(d, "dst_id")
 

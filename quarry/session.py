@@ -62,3 +62,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
     for t in TABLES:
         read_table(spark, sf_dir, t).createOrReplaceTempView(t)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core before a CPU-heavy per-row stage.
+
+    Large inputs already arrive in many partitions (a no-op then); a small file
+    read as one split would otherwise run the whole stage on one core.
+    """
+    if df.isStreaming:  # micro-batches are partitioned by their source
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
