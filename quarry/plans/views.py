@@ -13,19 +13,20 @@ from quarry.session import read_table
 
 
 def vec_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    """``documents`` as a dataset catalog keyed like ``embeddings.vec_id``."""
+    """``documents`` as a dataset catalog keyed like ``embeddings.vec_id``: a short
+    title made from the language and id, the whole text as the description."""
     d = read_table(spark, sf, "documents")
     return d.select(
         F.col("doc_id").cast("string").alias("id"),
-        F.substring("text", 1, 40).alias("title"),
-        F.col("lang").alias("description"),
+        F.concat(F.upper("lang"), F.lit(" document "), F.col("doc_id").cast("string")).alias("title"),
+        F.col("text").alias("description"),
         F.col("source").alias("agency"),
         F.concat(F.lit("http://data.example.org/data/"), F.col("doc_id").cast("string")).alias("api_url"),
         F.concat_ws(";", "lang", "source").alias("tags"))
 
 
-VEC_CATALOG_SQL = """(SELECT CAST(doc_id AS VARCHAR) AS id, substring(text, 1, 40) AS title,
-    lang AS description, source AS agency,
+VEC_CATALOG_SQL = """(SELECT CAST(doc_id AS VARCHAR) AS id, upper(lang) || ' document ' || CAST(doc_id AS VARCHAR) AS title,
+    text AS description, source AS agency,
     'http://data.example.org/data/' || CAST(doc_id AS VARCHAR) AS api_url,
     concat_ws(';', lang, source) AS tags FROM documents)"""
 
