@@ -69,7 +69,7 @@ def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: in
     a = assigned.join(F.broadcast(blocks), "list_id") \
         .withColumn("sub", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).drop("nb")
     q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")) \
-        .withColumn("list_id", F.explode(nearest_lists("qvec"))) \
+        .withColumn("list_id", F.explode_outer(nearest_lists("qvec"))).where(F.col("list_id").isNotNull()) \
         .join(F.broadcast(blocks), "list_id") \
         .withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).drop("nb")
     qid_t = q.schema["qid"].dataType

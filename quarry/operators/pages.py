@@ -37,7 +37,8 @@ def page_links(fields: DataFrame, strip_chrome: bool = True) -> DataFrame:
 
 def link_edges(fields: DataFrame, id_col: str = "page_id") -> DataFrame:
     """E5 as an edge table: (page, pos, url, anchor) in document order, duplicates kept."""
-    return fields.select(id_col, "url", F.posexplode("links").alias("pos", "_l")) \
+    return fields.select(id_col, "url", F.posexplode_outer("links").alias("pos", "_l")) \
+        .where(F.col("_l").isNotNull()) \
         .select(id_col, F.col("url").alias("page_url"), F.col("pos").cast("bigint").alias("pos"),
                 F.col("_l.url").alias("link"), F.col("_l.anchor").alias("anchor_text"))
 

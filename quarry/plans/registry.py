@@ -432,9 +432,10 @@ SELECT arg_min(doc_id, doc_id) AS doc_id, count(*) AS copies, CAST(max(n_chars)
 FROM documents GROUP BY text""")
 def w1_keep_first_text(spark, sf):
     d = read_table(spark, sf, "documents").select("text", "doc_id", "n_chars")
-    first = cat_ops.keep_first(d, "text", ["doc_id"])
-    counts = d.groupBy("text").agg(F.count("*").alias("copies"))
-    return first.join(counts, "text").select("doc_id", "copies", F.col("n_chars").cast("bigint").alias("n_chars"))
+    first = d.groupBy("text").agg(F.min_by(F.struct("doc_id", "n_chars"), F.col("doc_id")).alias("_r"),
+                                  F.count("*").alias("copies"))
+    return first.select(F.col("_r.doc_id").alias("doc_id"), "copies",
+                        F.col("_r.n_chars").cast("bigint").alias("n_chars"))
 
 
 # ---------------------------------------------------------------- chunking
@@ -465,8 +466,11 @@ FROM c"""
 @query("l1_chunk_documents", _L1_SQL)
 def l1_chunk_documents(spark, sf):
     d = spread(read_table(spark, sf, "documents")).select("doc_id", ch.chunks("text").alias("_c"))
+    # posexplode_outer + filter: a plain posexplode makes the optimizer add a
+    # size(_c) > 0 filter below the repartition, which runs the UDF twice.
     return d.select("doc_id", F.size("_c").cast("bigint").alias("chunk_total"),
-                    F.posexplode("_c").alias("chunk_index", "chunk_text")) \
+                    F.posexplode_outer("_c").alias("chunk_index", "chunk_text")) \
+        .where(F.col("chunk_text").isNotNull()) \
         .select("doc_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), "chunk_total",
                 "chunk_text", F.length("chunk_text").cast("bigint").alias("chunk_chars"))
 
