@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import catalog as cf
-from quarry.functions.text import first_nonblank, nonblank
+from quarry.functions.text import first_nonblank
 from quarry.session import spread
 
 CATALOG_COLUMNS = ("id", "title", "description", "agency", "collected", "freq",

@@ -145,11 +145,6 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
     raise TypeError(f"unsupported id type {dt}")
 
 
-def _finish(vals, metric):
-    v = np.asarray(vals, dtype=np.float64)
-    return -v if metric == "l2sq" else v
-
-
 def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
         query_id: str = "qid", query_vec: str = "qvec",
         id_col: str = "id", vec_col: str = "embedding",

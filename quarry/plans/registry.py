@@ -12,23 +12,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions import text as tx
-from quarry.functions import trust as tr
-from quarry.functions import vectors as vx
 from quarry.functions import catalog as cf
 from quarry.functions import chunk as ch
 from quarry.functions import dates as dx
+from quarry.functions import text as tx
+from quarry.functions import trust as tr
 from quarry.functions import urls as ux
+from quarry.functions import vectors as vx
+from quarry.operators import ann
 from quarry.operators import catalog as cat_ops
 from quarry.operators import collection as col
 from quarry.operators import crawl as cr
 from quarry.operators import pages as pg
-from quarry.plans import sqltext as S
-from quarry.operators import ann
 from quarry.operators.answers import (answer_queries, audit_lookup, audit_records, similar_by_id,
-                                        store_search)
+                                      store_search)
 from quarry.operators.embed import embed, hash_embed_sql
 from quarry.operators.knn import knn
+from quarry.plans import sqltext as S
 from quarry.plans import views as V
 from quarry.session import read_table, spread
 from quarry.streaming import streams as zs
