@@ -84,7 +84,7 @@ def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: in
         c_mat, c_sq = _prep(np.vstack([np.asarray(v, dtype=np.float64) for v in cpdf["vec"]]), "cosine")
         top = _TopK(qpdf["qid"].to_numpy(), q_mat, q_sq, k, "cosine", exclude_self)
         top.add(cpdf["id"].to_numpy(), c_mat, c_sq)
-        qs, ids, vals = top.rows()
+        qs, ids, vals, _ = top.rows()
         return pd.DataFrame({"qid": qs, "id": ids, "rv": vals})
 
     cand = a.groupBy("list_id", "sub").cogroup(q.groupBy("list_id", "sub")).applyInPandas(run, out_schema)

@@ -27,14 +27,13 @@ def store_search(queries: DataFrame, collection: DataFrame, k: int, *,
     """Nearest ``k`` by squared L2 with metadata and store score.
 
     Returns ``(qid, rank, id, distance, similarity_score, title, ...)``.
-    The join back to metadata is keyed by id; the hit side is ``k`` rows per
-    query, so AQE turns it into a broadcast when that is small.
+    The metadata rides along with the winners inside the top-k, so the
+    collection is scanned once and never joined again.
     """
     top = knn(queries, collection, k, query_id=qid, query_vec=qvec, id_col="id",
-              vec_col="embedding", metric="l2sq", exclude_self=exclude_self)
-    meta = collection.select(*HIT_FIELDS)
-    return top.join(meta, "id", "left") \
-        .withColumn("similarity_score", vx.store_score("distance"))
+              vec_col="embedding", metric="l2sq", exclude_self=exclude_self,
+              payload=[f for f in HIT_FIELDS if f != "id"])
+    return top.withColumn("similarity_score", vx.store_score("distance"))
 
 
 def _hits_by_query(hits: DataFrame) -> DataFrame:

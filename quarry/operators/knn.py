@@ -95,7 +95,11 @@ def _select_topk(vals: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
 
 
 class _TopK:
-    """Running exact top-k per query over streamed corpus batches."""
+    """Running exact top-k per query over streamed corpus batches.
+
+    ``payload`` (optional, per corpus row) travels with the winners, so callers
+    get row attributes without joining the corpus again.
+    """
 
     def __init__(self, q_ids, q_mat, q_sq, k, metric, exclude_self):
         self.q_ids, self.q_mat, self.q_sq = q_ids, q_mat, q_sq
@@ -103,8 +107,10 @@ class _TopK:
         nq = len(q_ids)
         self.best_vals = [np.empty(0) for _ in range(nq)]
         self.best_ids = [np.empty(0, dtype=object) for _ in range(nq)]
+        self.best_pay = [np.empty(0, dtype=object) for _ in range(nq)]
 
-    def add(self, c_ids, c_mat, c_sq):
+    def add(self, c_ids, c_mat, c_sq, payload=None):
+        """``payload``: callable taking row indices and returning one object per row."""
         if len(c_ids) == 0:
             return
         for lo in range(0, len(self.q_ids), _Q_CHUNK):
@@ -114,25 +120,35 @@ class _TopK:
                 same = c_ids[:, None] == self.q_ids[None, lo:hi]
                 vals = np.where(same, -np.inf, vals)
             picks = _select_topk(vals, c_ids, self.k)
+            if self.exclude_self:
+                picks = [rows[c_ids[rows] != self.q_ids[lo + j]] for j, rows in enumerate(picks)]
+            pay = None
+            if payload is not None:
+                sel = np.unique(np.concatenate(picks)) if picks else np.empty(0, dtype=np.int64)
+                objs = payload(sel)
+                pay = {int(r): o for r, o in zip(sel, objs)}
             for j, rows in enumerate(picks):
                 qj = lo + j
-                if self.exclude_self:
-                    rows = rows[c_ids[rows] != self.q_ids[qj]]
                 v = np.concatenate([self.best_vals[qj], vals[rows, j]])
                 i = np.concatenate([self.best_ids[qj], c_ids[rows].astype(object)])
+                extra = np.empty(len(rows), dtype=object)
+                if pay is not None:
+                    extra[:] = [pay[int(r)] for r in rows]
+                pl = np.concatenate([self.best_pay[qj], extra])
                 if len(v) > self.k:
                     keep = _select_topk(v[:, None], i, self.k)[0]
-                    v, i = v[keep], i[keep]
-                self.best_vals[qj], self.best_ids[qj] = v, i
+                    v, i, pl = v[keep], i[keep], pl[keep]
+                self.best_vals[qj], self.best_ids[qj], self.best_pay[qj] = v, i, pl
 
     def rows(self):
-        qs, ids, vals = [], [], []
+        qs, ids, vals, pays = [], [], [], []
         for qj in range(len(self.q_ids)):
             n = len(self.best_vals[qj])
             qs.extend([self.q_ids[qj]] * n)
             ids.extend(self.best_ids[qj].tolist())
             vals.extend(self.best_vals[qj].tolist())
-        return qs, ids, vals
+            pays.extend(self.best_pay[qj].tolist())
+        return qs, ids, vals, pays
 
 
 def _arrow_type(dt: T.DataType) -> pa.DataType:
@@ -142,6 +158,8 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
         return pa.int32()
     if isinstance(dt, T.StringType):
         return pa.string()
+    if isinstance(dt, T.DoubleType):
+        return pa.float64()
     raise TypeError(f"unsupported id type {dt}")
 
 
@@ -150,27 +168,30 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
         id_col: str = "id", vec_col: str = "embedding",
         metric: str = "cosine", exclude_self: bool = False,
         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-        corpus_block_rows: int = 200_000) -> DataFrame:
+        corpus_block_rows: int = 200_000, payload: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Top-k corpus rows per query row.
 
     Returns ``(qid, rank, id, score)`` for cosine/dot or
     ``(qid, rank, id, distance)`` for l2sq; rank is 1-based, ordered by the
     ranking value then by id.  ``exclude_self`` drops corpus rows whose id
     equals the query id (W5) before ranking, which for an exact search is the
-    same as over-fetching one and removing self.
+    same as over-fetching one and removing self.  ``payload`` columns of the
+    corpus are carried with the winners (no join back to the corpus).
     """
     if metric not in ("cosine", "dot", "l2sq"):
         raise ValueError(metric)
     q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")) \
         .where(F.col("qvec").isNotNull())
-    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")) \
+    payload = list(payload)
+    pay_cols = [F.struct(*[F.col(x) for x in payload]).alias("pay")] if payload else []
+    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), *pay_cols) \
         .where(F.col("vec").isNotNull())
     qid_t = q.schema["qid"].dataType
     id_t = c.schema["id"].dataType
     val_name = "distance" if metric == "l2sq" else "score"
     out_schema = T.StructType([
         T.StructField("qid", qid_t), T.StructField("id", id_t),
-        T.StructField("rv", T.DoubleType())])
+        T.StructField("rv", T.DoubleType())] + ([c.schema["pay"]] if payload else []))
 
     # Size check of the query side (one aggregate).  The query side is persisted
     # first so an expensive producer (e.g. an embedder) runs once for the check,
@@ -195,7 +216,8 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
     ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select(
         F.col("qid"), F.col("rank"), F.col("id"),
-        (-F.col("rv") if metric == "l2sq" else F.col("rv")).alias(val_name))
+        (-F.col("rv") if metric == "l2sq" else F.col("rv")).alias(val_name),
+        *[F.col(f"pay.{x}").alias(x) for x in payload])
 
 
 def _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t):
@@ -207,6 +229,10 @@ def _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t):
     bc = spark.sparkContext.broadcast((q_ids, q_mat, q_sq))
     qid_pa, id_pa = _arrow_type(qid_t), _arrow_type(id_t)
 
+    has_pay = "pay" in out_schema.fieldNames()
+    pay_pa = pa.struct([pa.field(f.name, _arrow_type(f.dataType)) for f in out_schema["pay"].dataType.fields]) \
+        if has_pay else None
+
     def run(batches):
         q_ids_, q_mat_, q_sq_ = bc.value
         top = _TopK(q_ids_, q_mat_, q_sq_, k, metric, exclude_self)
@@ -214,11 +240,18 @@ def _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t):
             mat, ok = _matrix(b.column("vec"))
             ids = np.asarray(b.column("id").to_numpy(zero_copy_only=False))
             mat, sq = _prep(mat[ok], metric)
-            top.add(ids[ok], mat, sq)
-        qs, ids, vals = top.rows()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(qs, type=qid_pa), pa.array(ids, type=id_pa), pa.array(vals, type=pa.float64())],
-            names=["qid", "id", "rv"])
+            pay = None
+            if has_pay:
+                kept = b.column("pay").filter(pa.array(ok))
+                pay = (lambda idx, arr=kept: arr.take(pa.array(idx, type=pa.int64())).to_pylist())
+            top.add(ids[ok], mat, sq, pay)
+        qs, ids, vals, pays = top.rows()
+        arrays = [pa.array(qs, type=qid_pa), pa.array(ids, type=id_pa), pa.array(vals, type=pa.float64())]
+        names = ["qid", "id", "rv"]
+        if has_pay:
+            arrays.append(pa.array(pays, type=pay_pa))
+            names.append("pay")
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return spread(c).mapInArrow(run, out_schema)
 
@@ -235,17 +268,34 @@ def _block_path(q, c, k, metric, exclude_self, out_schema, n_q, dim,
     cb = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(c_blocks)).cast("int")) \
         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
 
+    has_pay = "pay" in out_schema.fieldNames()
+    if has_pay:  # flat payload columns travel through pandas
+        pay_names = out_schema["pay"].dataType.fieldNames()
+        cb = cb.select("*", *[F.col(f"pay.{x}").alias(f"_p_{x}") for x in pay_names]).drop("pay")
+    flat_schema = T.StructType(out_schema.fields[:3] + (
+        [T.StructField(f"_p_{f.name}", f.dataType) for f in out_schema["pay"].dataType.fields] if has_pay else []))
+
     def run(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
+        cols = [f.name for f in flat_schema.fields]
         if len(cpdf) == 0 or len(qpdf) == 0:
-            return pd.DataFrame({"qid": [], "id": [], "rv": []})
+            return pd.DataFrame({c_: [] for c_ in cols})
         q_mat = np.vstack([np.asarray(v, dtype=np.float64) for v in qpdf["qvec"]])
         c_mat = np.vstack([np.asarray(v, dtype=np.float64) for v in cpdf["vec"]])
         q_mat, q_sq = _prep(q_mat, metric)
         c_mat, c_sq = _prep(c_mat, metric)
         top = _TopK(qpdf["qid"].to_numpy(), q_mat, q_sq, k, metric, exclude_self)
-        top.add(cpdf["id"].to_numpy(), c_mat, c_sq)
-        qs, ids, vals = top.rows()
-        return pd.DataFrame({"qid": qs, "id": ids, "rv": vals})
-
-    return cb.groupBy("qb", "cb").cogroup(qb.groupBy("qb", "cb")) \
-        .applyInPandas(run, out_schema)
+        pay = None
+        if has_pay:
+            pcols = [c_ for c_ in cols[3:]]
+            pay = (lambda idx: [tuple(cpdf[c_].iloc[i] for c_ in pcols) for i in idx])
+        top.add(cpdf["id"].to_numpy(), c_mat, c_sq, pay)
+        qs, ids, vals, pays = top.rows()
+        out = {"qid": qs, "id": ids, "rv": vals}
+        for n_, c_ in enumerate(cols[3:]):
+            out[c_] = [p_[n_] for p_ in pays]
+        return pd.DataFrame(out, columns=cols)
+
+    flat = cb.groupBy("qb", "cb").cogroup(qb.groupBy("qb", "cb")).applyInPandas(run, flat_schema)
+    if not has_pay:
+        return flat
+    return flat.select("qid", "id", "rv", F.struct(*[F.col(f"_p_{x}").alias(x) for x in pay_names]).alias("pay"))

@@ -71,3 +71,15 @@ def test_plan_prunes_before_shuffle(spark):
     plan = knn(q, c, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "Window" in plan
     assert "MapInArrow" in plan or "PythonMapInArrow" in plan
+
+
+def test_payload_rides_with_winners(spark):
+    rng = np.random.default_rng(3)
+    c = [(i, rng.normal(size=6).tolist(), f"title {i}", float(i) / 2) for i in range(120)]
+    cdf = spark.createDataFrame(c, "id long, embedding array<double>, title string, w double")
+    q = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(9)], "qid long, qvec array<double>")
+    a = knn(q, cdf, 4, payload=["title", "w"]).collect()
+    b = knn(q, cdf, 4, payload=["title", "w"], broadcast_bytes=64, corpus_block_rows=25).collect()
+    norm = lambda rows: sorted((r["qid"], r["rank"], r["id"], r["title"], r["w"]) for r in rows)
+    assert norm(a) == norm(b)
+    assert all(r["title"] == f"title {r['id']}" and r["w"] == r["id"] / 2 for r in a)
