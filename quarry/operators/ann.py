@@ -78,8 +78,8 @@ def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: in
                                T.StructField("rv", T.DoubleType())])
 
     def run(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(cpdf) == 0 or len(qpdf) == 0:
-            return pd.DataFrame({"qid": [], "id": [], "rv": []})
+        if len(cpdf) == 0 or len(qpdf) == 0:  # object dtype: empty string ids convert cleanly
+            return pd.DataFrame({c_: pd.Series([], dtype=object) for c_ in ("qid", "id", "rv")})
         q_mat, q_sq = _prep(np.vstack([np.asarray(v, dtype=np.float64) for v in qpdf["qvec"]]), "cosine")
         c_mat, c_sq = _prep(np.vstack([np.asarray(v, dtype=np.float64) for v in cpdf["vec"]]), "cosine")
         top = _TopK(qpdf["qid"].to_numpy(), q_mat, q_sq, k, "cosine", exclude_self)

@@ -133,7 +133,8 @@ class _TopK:
                 i = np.concatenate([self.best_ids[qj], c_ids[rows].astype(object)])
                 extra = np.empty(len(rows), dtype=object)
                 if pay is not None:
-                    extra[:] = [pay[int(r)] for r in rows]
+                    for n_, r in enumerate(rows):  # element-wise: payloads may be sequences
+                        extra[n_] = pay[int(r)]
                 pl = np.concatenate([self.best_pay[qj], extra])
                 if len(v) > self.k:
                     keep = _select_topk(v[:, None], i, self.k)[0]
@@ -277,8 +278,8 @@ def _block_path(q, c, k, metric, exclude_self, out_schema, n_q, dim,
 
     def run(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
         cols = [f.name for f in flat_schema.fields]
-        if len(cpdf) == 0 or len(qpdf) == 0:
-            return pd.DataFrame({c_: [] for c_ in cols})
+        if len(cpdf) == 0 or len(qpdf) == 0:  # object dtype: empty string columns convert cleanly
+            return pd.DataFrame({c_: pd.Series([], dtype=object) for c_ in cols})
         q_mat = np.vstack([np.asarray(v, dtype=np.float64) for v in qpdf["qvec"]])
         c_mat = np.vstack([np.asarray(v, dtype=np.float64) for v in cpdf["vec"]])
         q_mat, q_sq = _prep(q_mat, metric)
@@ -287,12 +288,12 @@ def _block_path(q, c, k, metric, exclude_self, out_schema, n_q, dim,
         pay = None
         if has_pay:
             pcols = [c_ for c_ in cols[3:]]
-            pay = (lambda idx: [tuple(cpdf[c_].iloc[i] for c_ in pcols) for i in idx])
+            pay = (lambda idx: [{c_: cpdf[c_].iloc[i] for c_ in pcols} for i in idx])
         top.add(cpdf["id"].to_numpy(), c_mat, c_sq, pay)
         qs, ids, vals, pays = top.rows()
         out = {"qid": qs, "id": ids, "rv": vals}
-        for n_, c_ in enumerate(cols[3:]):
-            out[c_] = [p_[n_] for p_ in pays]
+        for c_ in cols[3:]:
+            out[c_] = [p_[c_] for p_ in pays]
         return pd.DataFrame(out, columns=cols)
 
     flat = cb.groupBy("qb", "cb").cogroup(qb.groupBy("qb", "cb")).applyInPandas(run, flat_schema)

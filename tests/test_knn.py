@@ -83,3 +83,14 @@ def test_payload_rides_with_winners(spark):
     norm = lambda rows: sorted((r["qid"], r["rank"], r["id"], r["title"], r["w"]) for r in rows)
     assert norm(a) == norm(b)
     assert all(r["title"] == f"title {r['id']}" and r["w"] == r["id"] / 2 for r in a)
+
+
+def test_string_ids_block_path(spark):
+    rng = np.random.default_rng(5)
+    c = [(f"d{i}", rng.normal(size=4).tolist()) for i in range(60)]
+    q = [(f"d{i}", v) for i, v in c[:13]]
+    qdf = spark.createDataFrame(q, "qid string, qvec array<double>")
+    cdf = spark.createDataFrame(c, "id string, embedding array<double>")
+    a = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True).collect()))
+    b = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True, broadcast_bytes=32, corpus_block_rows=7).collect()))
+    assert [x[:3] for x in a] == [x[:3] for x in b]
