@@ -111,21 +111,49 @@ def robots_allowed(urls: DataFrame, robots: DataFrame | None, url_col: str, agen
 
 # ----------------------------------------------------------------- helpers
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, bucket_of: str | None = None, buckets: int = 0) -> DataFrame:
     """Cut lineage: write to the shared checkpoint folder and read back.
 
     One job per write (a reliable ``checkpoint()`` computes the plan twice);
     the read-back is file-based, so a lost executor re-reads files instead of
-    replaying the crawl.
+    replaying the crawl.  With ``bucket_of`` the table is laid out in
+    ``_b = hash(col) mod buckets`` folders, so a join on ``(_b, col)`` with a
+    small frontier reads only the folders of the frontier's urls (dynamic
+    partition pruning).
     """
     import uuid
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if bucket_of is not None:
+        df.withColumn("_b", bucket(bucket_of, buckets)).repartition("_b").write.partitionBy("_b").parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+def bucket(col: str, buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def _buckets(df: DataFrame) -> int:
+    """About one bucket per input split (one folder per ~128 MB of edges)."""
+    return max(8, df.rdd.getNumPartitions())
+
+
+def _present_buckets(keyed: DataFrame, n_rows: int, buckets: int) -> list[int] | None:
+    """Bucket ids a small frontier touches (at most ``buckets`` ints), or None
+    when the frontier is large enough to touch most buckets anyway."""
+    if n_rows * 2 >= buckets:
+        return None
+    return [r[0] for r in keyed.select("_b").distinct().collect()]
+
+
+def _prune(table: DataFrame, present: list[int] | None) -> DataFrame:
+    """Static partition filter on a bucketed table (reads only those folders)."""
+    return table if present is None else table.where(F.col("_b").isin(present))
+
+
 def _cap_seq(df: DataFrame, n_rows: int, remaining: int) -> str | None:
     """Key of the ``remaining``-th row in key order (distributed top-N), or None
     when the level has no more rows than that."""
@@ -168,7 +196,8 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
         .where(F.col("robots_ok") & ux.content_type_is_html("content_type")) \
         .select("url", "title", "description", "tags",
                 dx.pick_date(dx.extract_dates_all("date_texts"), current_year).alias("data_collected_date"))
-    ok_docs = materialize(ok_docs)
+    nb = _buckets(edges)
+    ok_docs = materialize(ok_docs, "url", nb)
     # Data-file hits a page can yield (D6, G5, J9), and the links it can enqueue.
     data = edges.where(ux.looks_like_data_file("dst", allow_zip))
     data = robots_allowed(data, robots, "dst", user_agent, on_missing=on_missing_robots).where("robots_ok")
@@ -177,48 +206,55 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
         .withColumn("file_ext", F.coalesce(ux.guess_ext("dst"), ux.mime_ext("f_ct"))) \
         .where(F.col("file_ext").isNotNull()) \
         .select("src", "pos", "dst", "anchor", "file_ext", "f_ct", "content_length")
-    data = materialize(data)
+    data = materialize(data, "src", nb)
     follow = materialize(scope(edges.where(~ux.looks_like_data_file("dst", allow_zip)), "dst")
-                         .select("src", "pos", "dst"))
-
-    ok_keys = ok_docs.select("url", F.lit(True).alias("ok"))
-
-    def flagged(df: DataFrame) -> DataFrame:
-        return df.join(ok_keys, "url", "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
-
-    # One write per level: the next frontier, flagged with whether each url becomes a page.
-    frontier = materialize(flagged(seeds.select("url", F.lit(0).alias("depth"), "seq")))
+                         .select("src", "pos", "dst"), "src", nb)
+    ok_keys = ok_docs.select("_b", "url")
+
+    # One write per level (the next frontier) and one count of it.  The page
+    # cap can only bind once pages-so-far + frontier size reach it, so exact
+    # page counts are taken only from then on.  A small frontier's bucket ids
+    # prune the bucketed snapshot and edge tables.
+    frontier = materialize(seeds.select("url", F.lit(0).alias("depth"), "seq"))
+    n_front = frontier.count()
     seen = frontier.select("url")
-    pages_done = 0
     levels: list[DataFrame] = []
-    n_ok = frontier.where("ok").count()
-    while pages_done < max_pages:
-        pages = frontier.where("ok")
-        cap = _cap_seq(pages, n_ok, max_pages - pages_done)
-        if cap is not None:
-            pages = pages.where(F.col("seq") <= cap)
-            n_ok = max_pages - pages_done
+    pages_done = 0          # exact once ``exact`` is set, else an upper bound
+    exact = False
+    while n_front > 0:
+        keyed = frontier.withColumn("_b", bucket("url", nb))
+        present = _present_buckets(keyed, n_front, nb)
+        pages = keyed.join(_prune(ok_keys, present), ["_b", "url"])
+        if not exact and pages_done + n_front >= max_pages:
+            pages_done = _union(spark, levels, "url string, depth int, seq string").count() if levels else 0
+            exact = True
+        if exact:
+            n_ok = pages.count()
+            cap = _cap_seq(pages, n_ok, max_pages - pages_done)
+            if cap is not None:
+                pages = pages.where(F.col("seq") <= cap)
+                n_ok = max_pages - pages_done
+        else:
+            n_ok = n_front  # upper bound; the cap cannot bind in this level
         levels.append(pages.select("url", "depth", "seq"))
         pages_done += n_ok
-        if pages_done >= max_pages:
+        if exact and pages_done >= max_pages:
             break
         # Followable links never enqueued before, first by (page seq, pos).
-        nxt = follow.join(pages.select(F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth"), "src") \
+        src = pages.select("_b", F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth")
+        nxt = _prune(follow, present).join(src, ["_b", "src"]) \
             .join(seen.select(F.col("url").alias("dst")), "dst", "left_anti")
         first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "pos", "depth")).alias("_o")) \
             .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
                     order_key(F.col("_o.page_seq"), F.col("_o.pos")).alias("seq"))
-        frontier = materialize(flagged(first))
-        sizes = frontier.agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok")).first()
-        if sizes["n"] == 0:
-            break
-        n_ok = sizes["n_ok"]
+        frontier = materialize(first)
+        n_front = frontier.count()
         seen = seen.unionByName(frontier.select("url"))
 
     order = _union(spark, levels, "url string, depth int, seq string")
     # File hits of all crawled pages in FIFO order; the file cap (checked before each
     # page and after each hit) keeps the first ``max_files`` and drops later pages.
-    hits_all = data.join(order.select(F.col("url").alias("src"), F.col("depth").alias("page_depth"),
+    hits_all = data.drop("_b").join(order.select(F.col("url").alias("src"), F.col("depth").alias("page_depth"),
                                       F.col("seq").alias("page_seq")), "src")
     n_hits = hits_all.count()
     if n_hits >= max_files:
@@ -226,8 +262,9 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
         last = hits_all.orderBy(F.col("page_depth").desc(), F.col("page_seq").desc()).first()
         order = order.where((F.col("depth") < last["page_depth"]) |
                             ((F.col("depth") == last["page_depth"]) & (F.col("seq") <= last["page_seq"])))
-    pages_all = order.join(ok_docs, "url")
-    hits_all = hits_all.join(ok_docs.select(F.col("url").alias("src"), F.col("url").alias("page_url"), "title",
+    docs_out = ok_docs.drop("_b")
+    pages_all = order.join(docs_out, "url")
+    hits_all = hits_all.join(docs_out.select(F.col("url").alias("src"), F.col("url").alias("page_url"), "title",
                                             "description", "tags", "data_collected_date"), "src")
     now = discovered_at if discovered_at is not None else dx.iso_now()
     file_hits = hits_all.select(
@@ -293,42 +330,53 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
                               on_missing=on_missing_robots).where("robots_ok").drop("robots_ok")
 
     kind = ux.response_class("url", "status", "content_type")
-    classified = materialize(docs.withColumn("source_type", kind).where(F.col("source_type").isNotNull()))
-    follow = materialize(admissible(links.select("src", "dst"), "dst"))
-    kinds = classified.select("url", F.col("source_type").alias("kind"))
-
-    def flagged(df: DataFrame) -> DataFrame:
-        j = df.join(kinds, "url", "left")
-        return j.withColumn("kind", F.when(ux.is_binary_link("url"), F.lit("binary")).otherwise(F.col("kind")))
+    nb = _buckets(links)
+    classified = materialize(docs.withColumn("source_type", kind).where(F.col("source_type").isNotNull()), "url", nb)
+    follow = materialize(admissible(links.select("src", "dst"), "dst"), "src", nb)
+    kinds = classified.select("_b", "url", F.col("source_type").alias("kind"))
 
-    frontier = materialize(flagged(admissible(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url")))
+    frontier = materialize(admissible(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url"))
+    n_front = frontier.count()
     seen = seeds.select("url")
-    done = 0
     levels: list[DataFrame] = []
-    n_html = frontier.where(F.col("kind") == "html").count()
-    while done < max_pages:
-        html = frontier.where(F.col("kind") == "html")
-        cap = _cap_seq(html, n_html, max_pages - done)
-        level = frontier if cap is None else frontier.where(F.col("seq") <= cap)
-        levels.append(level)
-        done += n_html if cap is None else max_pages - done
-        if done >= max_pages:
+    done = 0                # exact once ``exact`` is set, else an upper bound
+    exact = False
+    while n_front > 0:
+        keyed = frontier.withColumn("_b", bucket("url", nb))
+        present = _present_buckets(keyed, n_front, nb)
+        flagged = keyed.join(_prune(kinds, present), ["_b", "url"], "left") \
+            .withColumn("kind", F.when(ux.is_binary_link("url"), F.lit("binary")).otherwise(F.col("kind")))
+        html = flagged.where(F.col("kind") == "html")
+        if not exact and done + n_front >= max_pages:
+            done = _union(spark, levels, "url string, depth int, seq string, kind string") \
+                .where(F.col("kind") == "html").count() if levels else 0
+            exact = True
+        level = flagged
+        if exact:
+            n_html = html.count()
+            cap = _cap_seq(html, n_html, max_pages - done)
+            if cap is not None:
+                level = flagged.where(F.col("seq") <= cap)
+                n_html = max_pages - done
+        else:
+            n_html = n_front
+        levels.append(level.drop("_b"))
+        done += n_html
+        if exact and done >= max_pages:
             break
         pages = level.where((F.col("kind") == "html") & (F.col("depth") < max_depth))
-        nxt = follow.join(pages.select(F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth"), "src") \
+        src = pages.select("_b", F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth")
+        nxt = _prune(follow, present).join(src, ["_b", "src"]) \
             .join(seen.select(F.col("url").alias("dst")), "dst", "left_anti")
         # A page's links are followed in sorted order: the key is parent key + SEP + url.
         first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "depth")).alias("_o")) \
             .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
                     F.concat(F.col("_o.page_seq"), F.lit(KEY_SEP), F.col("dst")).alias("seq"))
-        frontier = materialize(flagged(first))
-        sizes = frontier.agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "html").alias("n_html")).first()
-        if sizes["n"] == 0:
-            break
-        n_html = sizes["n_html"]
+        frontier = materialize(first)
+        n_front = frontier.count()
         seen = seen.unionByName(frontier.select("url"))
-
     visited = _union(spark, levels, "url string, depth int, seq string, kind string")
+    classified = classified.drop("_b")
     html_pages = visited.where(F.col("kind") == "html").select("url", "depth", "seq").join(classified, "url")
     chunks = page_chunks(html_pages, depth=F.col("depth"), max_chars=chunk_size, overlap=chunk_overlap,
                          status=F.col("status"), content_type=F.col("content_type"), final_url=F.col("final_url"))
