@@ -203,9 +203,8 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
     q_bytes = n_q * max(dim, 1) * 8
 
     if n_q == 0:
-        spark = queries.sparkSession
-        empty = spark.createDataFrame([], out_schema)
-        cand = empty
+        q.unpersist()
+        cand = queries.sparkSession.createDataFrame([], out_schema)
     elif q_bytes <= broadcast_bytes:
         cand = _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t)
         q.unpersist()

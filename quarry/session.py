@@ -64,13 +64,35 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
         read_table(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
+SPREAD_MAX_BYTES_PER_CORE = 64 * 1024 * 1024
+
+
+def _input_bytes(spark: SparkSession, files: list[str]) -> int:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
 def spread(df: DataFrame) -> DataFrame:
     """At least one partition per core before a CPU-heavy per-row stage.
 
-    Large inputs already arrive in many partitions (a no-op then); a small file
-    read as one split would otherwise run the whole stage on one core.
+    Decided from the input files only (nothing is executed): when the frame
+    reads fewer files than there are cores and little data in total, a small
+    file would otherwise run the whole stage as one task, and a round-robin
+    repartition of little data is cheap.  Large inputs already arrive in many
+    splits and are left alone.
     """
     if df.isStreaming:  # micro-batches are partitioned by their source
         return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= target:
+        return df
+    if _input_bytes(spark, files) > target * SPREAD_MAX_BYTES_PER_CORE:
+        return df
+    return df.repartition(target)
