@@ -18,6 +18,7 @@ from quarry.functions import trust as tr
 from quarry.functions import vectors as vx
 from quarry.operators.embed import embed
 from quarry.operators.knn import knn
+from quarry.sources.audit import append_audit, read_audit  # noqa: F401
 
 HIT_FIELDS = ("id", "title", "description", "agency", "api_url", "url")
 
@@ -160,15 +161,6 @@ def audit_records(answers: DataFrame, extra: dict[str, str] | None = None) -> Da
         F.to_date(F.from_unixtime(ts)).cast("string").alias("dt"))
 
 
-def append_audit(records: DataFrame, path: str) -> None:
-    """K6 sink: append-only JSON, partitioned by day."""
-    records.write.mode("append").partitionBy("dt").json(path)
-
-
-def read_audit(spark, path: str) -> DataFrame:
-    return spark.read.json(path)
-
-
 def audit_lookup(audit: DataFrame, ids: DataFrame, id_col: str = "audit_id") -> DataFrame:
     """Batch lookup of audit ids; ``found`` false for unknown ids."""
     hit = audit.select(F.col("audit_id"), F.struct(*[F.col(c) for c in audit.columns]).alias("record"))

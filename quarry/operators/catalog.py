@@ -10,57 +10,23 @@ as an aggregate so a hot id is combined map-side) -> ``write_catalog_csv``.
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import catalog as cf
 from quarry.functions.text import first_nonblank
+from quarry.sources.catalog_csv import (CATALOG_COLUMNS, path_exists, read_catalog_csv,  # noqa: F401
+                                        write_catalog_csv)
+from quarry.sources.json_files import read_json_files
 from quarry.session import spread
 
-CATALOG_COLUMNS = ("id", "title", "description", "agency", "collected", "freq",
-                   "api_url", "download_url", "tags")
 CATALOG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CATALOG_COLUMNS])
 ANNOTATIONS_TYPE = "array<struct<type:string,title:string,text:string>>"
 # List keys tried, in order, when ``data.dataflows`` is absent.
 FALLBACK_LIST_KEYS = ("dataflows", "datasets", "results", "items", "records")
 
 
-@F.pandas_udf(T.StringType())
-def _decode_ignore(b: pd.Series) -> pd.Series:
-    return b.map(lambda x: None if x is None else bytes(x).decode("utf-8", errors="ignore"))
-
-
-@F.pandas_udf(T.StringType())
-def _json_last_key_wins(s: pd.Series) -> pd.Series:
-    """Re-serialise JSON that Spark rejects only for duplicate keys (Python keeps the last)."""
-    def one(x):
-        if x is None:
-            return None
-        try:
-            return json.dumps(json.loads(x))
-        except Exception:
-            return None
-    return s.map(one)
-
-
-def read_json_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """A1: a file or a folder (recursive); one row per file: ``path, json`` (VARIANT).
-
-    Bytes that are not UTF-8 are dropped; text that is not JSON gives a NULL
-    ``json`` (the caller routes those rows to a quarantine output).
-    """
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", glob).load(path).select("path", _decode_ignore("content").alias("text"))
-    parsed = raw.withColumn("json", F.try_parse_json("text"))
-    # Spark rejects duplicate keys; Python keeps the last one -- re-parse those rows.
-    retry = F.when(F.col("json").isNull(), F.try_parse_json(_json_last_key_wins("text")))
-    return parsed.withColumn("json", F.coalesce("json", retry)).select("path", "json")
-
-
 def _kind(v: F.Column) -> F.Column:
     return F.schema_of_variant(v)
 
@@ -165,31 +131,3 @@ def build_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return cat.select(*CATALOG_COLUMNS), bad_files.unionByName(bad_flows)
 
 
-def write_catalog_csv(catalog: DataFrame, path: str) -> None:
-    """K1: fixed column order, header, UTF-8; no rows is an error."""
-    out = catalog.select(*CATALOG_COLUMNS)
-    if out.isEmpty():
-        raise ValueError("No dataflows found. Check your input structure.")
-    out.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
-
-
-def read_catalog_csv(spark: SparkSession, preferred: str, fallback: str,
-                     extra_columns: tuple[str, ...] = ("url",)) -> DataFrame:
-    """A3: the combined catalog if it exists, else the plain one.
-
-    Every column is read as text (no inference: empty cells stay blank, never
-    NaN); columns the file lacks (e.g. ``url`` in the plain catalog) are NULL.
-    """
-    path = preferred if path_exists(spark, preferred) else fallback
-    df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
-        .option("inferSchema", "false").csv(path)
-    have = set(df.columns)
-    return df.select(*[(F.col(c) if c in have else F.lit(None).cast("string")).alias(c)
-                       for c in CATALOG_COLUMNS + tuple(extra_columns)])

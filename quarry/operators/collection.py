@@ -9,12 +9,13 @@ sort-merge from the real sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import text as tx
 from quarry.functions import vectors as vx
+from quarry.sources.vectors import read_vectors, write_vectors  # noqa: F401
 
 META_FIELDS = ("title", "description", "agency", "api_url", "url", "tags")
 
@@ -150,16 +151,6 @@ def first_dimension(vectors: DataFrame, vec_col: str = "embedding") -> int:
     return int(row["d"]) if row else 0
 
 
-def write_vectors(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4 / K5: full refresh of a vector table (Parquet)."""
-    df.write.mode(mode).parquet(path)
-
-
-def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """A4: vector-map scan."""
-    return spark.read.parquet(path)
-
-
 def matrix_batches(vectors: DataFrame, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
     """Per Arrow batch, the (ids, matrix) view -- summarised as rows x dims per batch.
 

@@ -24,13 +24,12 @@ from pyspark.sql import types as T
 from quarry.functions import dates as dx
 from quarry.functions import urls as ux
 from quarry.session import ensure_checkpoint_dir
+from quarry.sources.sinks import FILE_HIT_COLUMNS, write_file_hits  # noqa: F401
 
 # User agents matched against robots groups (agent-specific groups apply by name).
 FILES_USER_AGENT = "quarry-files/1.0"
 CHUNKS_USER_AGENT = "quarry-chunks/1.0"
 
-FILE_HIT_COLUMNS = ("file_url", "file_ext", "page_url", "page_title", "page_description", "page_tags",
-                    "anchor_text", "content_type", "content_length", "discovered_at", "data_collected_date")
 
 
 # ------------------------------------------------------------------ seeds
@@ -285,17 +284,6 @@ def _union(spark, frames: list[DataFrame], schema: str | None):
     return out
 
 
-def write_file_hits(hits: DataFrame, prefix: str) -> None:
-    """K2: the same hits as CSV (tags joined by '; ', NULL -> blank) and JSON lines."""
-    hits = hits.select(*FILE_HIT_COLUMNS).cache()
-    hits.select(*[F.array_join(c, "; ").alias(c) if c == "page_tags" else F.col(c)
-                  for c in FILE_HIT_COLUMNS]) \
-        .write.mode("overwrite").option("header", "true").option("escape", '"') \
-        .option("nullValue", "").csv(prefix + "_csv")
-    hits.write.mode("overwrite").option("ignoreNullFields", "false").json(prefix + "_jsonl")
-    hits.unpersist()
-
-
 # ------------------------------------------------------ M3: chunk crawl
 
 def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: DataFrame | None = None, *,

@@ -14,9 +14,8 @@ from quarry.functions import dates as dx
 from quarry.functions import html as hx
 from quarry.functions import urls as ux
 from quarry.session import spread
+from quarry.sources.sinks import CHUNK_COLUMNS, write_chunks_csv  # noqa: F401
 
-CHUNK_COLUMNS = ("url", "final_url", "status", "content_type", "source_type", "title",
-                 "description", "chunk_index", "chunk_total", "chunk_text", "depth")
 
 
 def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html",
@@ -70,7 +69,3 @@ def page_chunks(fields: DataFrame, depth: F.Column | None = None, *,
                      F.coalesce("_t", F.lit("")).alias("chunk_text"), "depth")
 
 
-def write_chunks_csv(chunks: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K3: chunk CSV with the fixed column order; NULLs render blank."""
-    chunks.select(*CHUNK_COLUMNS).write.mode(mode).option("header", "true") \
-        .option("escape", '"').option("nullValue", "").csv(path)
