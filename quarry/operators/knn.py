@@ -76,80 +76,81 @@ def _rank_values(c_mat, c_sq, q_mat, q_sq, metric):
     return s
 
 
-def _select_topk(vals: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
-    """Per column, row indices of the top-k by (value desc, id asc)."""
-    n = vals.shape[0]
+def _topk_rows(vals: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Row indices (k x columns) of the top-k per column by (value desc, id asc).
+
+    Vectorised with ``argpartition``; only columns whose k-th value is tied
+    with rows left outside are re-selected one by one (rare with real scores;
+    ``-inf`` fillers need no tie-break).  ``ids`` is per row or per cell.
+    """
+    n, m = vals.shape
     if n <= k:
-        return [np.arange(n) for _ in range(vals.shape[1])]
-    part = -np.partition(-vals, k - 1, axis=0)[k - 1]  # k-th best per column
-    out = []
-    for j in range(vals.shape[1]):
+        return np.broadcast_to(np.arange(n)[:, None], (n, m)).copy()
+    part = np.argpartition(-vals, k - 1, axis=0)[:k]
+    kth = np.take_along_axis(vals, part, 0).min(axis=0)
+    above = (vals > kth).sum(axis=0)
+    equal = (vals == kth).sum(axis=0)
+    tied = np.nonzero((above + equal > k) & np.isfinite(kth))[0]
+    for j in tied:
         col = vals[:, j]
-        above = np.nonzero(col > part[j])[0]
-        ties = np.nonzero(col == part[j])[0]
-        need = k - len(above)
-        if len(ties) > need:
-            ties = ties[np.argsort(ids[ties], kind="stable")[:need]]
-        out.append(np.concatenate([above, ties]))
-    return out
+        idj = ids[:, j] if ids.ndim == 2 else ids
+        top = np.nonzero(col > kth[j])[0]
+        ties = np.nonzero(col == kth[j])[0]
+        ties = ties[np.argsort(idj[ties], kind="stable")[:k - len(top)]]
+        part[:, j] = np.concatenate([top, ties])
+    return part
 
 
 class _TopK:
     """Running exact top-k per query over streamed corpus batches.
 
-    ``payload`` (optional, per corpus row) travels with the winners, so callers
-    get row attributes without joining the corpus again.
+    Kept as (k x queries) matrices of values, ids and payloads; ``-inf`` marks an
+    empty slot.  ``payload`` (optional) travels with the winners, so callers get
+    row attributes without joining the corpus again.
     """
 
     def __init__(self, q_ids, q_mat, q_sq, k, metric, exclude_self):
         self.q_ids, self.q_mat, self.q_sq = q_ids, q_mat, q_sq
         self.k, self.metric, self.exclude_self = k, metric, exclude_self
         nq = len(q_ids)
-        self.best_vals = [np.empty(0) for _ in range(nq)]
-        self.best_ids = [np.empty(0, dtype=object) for _ in range(nq)]
-        self.best_pay = [np.empty(0, dtype=object) for _ in range(nq)]
+        self.vals = np.full((k, nq), -np.inf)
+        self.ids = np.empty((k, nq), dtype=object)
+        self.pay = np.empty((k, nq), dtype=object)
 
     def add(self, c_ids, c_mat, c_sq, payload=None):
         """``payload``: callable taking row indices and returning one object per row."""
         if len(c_ids) == 0:
             return
+        c_obj = np.asarray(c_ids, dtype=object)
         for lo in range(0, len(self.q_ids), _Q_CHUNK):
             hi = min(lo + _Q_CHUNK, len(self.q_ids))
             vals = _rank_values(c_mat, c_sq, self.q_mat[lo:hi], self.q_sq[lo:hi], self.metric)
             if self.exclude_self:
-                same = c_ids[:, None] == self.q_ids[None, lo:hi]
-                vals = np.where(same, -np.inf, vals)
-            picks = _select_topk(vals, c_ids, self.k)
-            if self.exclude_self:
-                picks = [rows[c_ids[rows] != self.q_ids[lo + j]] for j, rows in enumerate(picks)]
-            pay = None
+                vals = np.where(c_ids[:, None] == self.q_ids[None, lo:hi], -np.inf, vals)
+            rows = _topk_rows(vals, c_ids, self.k)
+            cand_v = np.take_along_axis(vals, rows, 0)
+            cand_i = c_obj[rows]
+            cand_p = np.empty(rows.shape, dtype=object)
             if payload is not None:
-                sel = np.unique(np.concatenate(picks)) if picks else np.empty(0, dtype=np.int64)
+                sel = np.unique(rows)
                 objs = payload(sel)
-                pay = {int(r): o for r, o in zip(sel, objs)}
-            for j, rows in enumerate(picks):
-                qj = lo + j
-                v = np.concatenate([self.best_vals[qj], vals[rows, j]])
-                i = np.concatenate([self.best_ids[qj], c_ids[rows].astype(object)])
-                extra = np.empty(len(rows), dtype=object)
-                if pay is not None:
-                    for n_, r in enumerate(rows):  # element-wise: payloads may be sequences
-                        extra[n_] = pay[int(r)]
-                pl = np.concatenate([self.best_pay[qj], extra])
-                if len(v) > self.k:
-                    keep = _select_topk(v[:, None], i, self.k)[0]
-                    v, i, pl = v[keep], i[keep], pl[keep]
-                self.best_vals[qj], self.best_ids[qj], self.best_pay[qj] = v, i, pl
+                lookup = np.empty(len(c_ids), dtype=object)
+                for r, o in zip(sel, objs):
+                    lookup[r] = o
+                cand_p = lookup[rows]
+            all_v = np.vstack([self.vals[:, lo:hi], cand_v])
+            all_i = np.vstack([self.ids[:, lo:hi], cand_i])
+            all_p = np.vstack([self.pay[:, lo:hi], cand_p])
+            keep = _topk_rows(all_v, all_i, self.k)
+            self.vals[:, lo:hi] = np.take_along_axis(all_v, keep, 0)
+            self.ids[:, lo:hi] = np.take_along_axis(all_i, keep, 0)
+            self.pay[:, lo:hi] = np.take_along_axis(all_p, keep, 0)
 
     def rows(self):
-        qs, ids, vals, pays = [], [], [], []
-        for qj in range(len(self.q_ids)):
-            n = len(self.best_vals[qj])
-            qs.extend([self.q_ids[qj]] * n)
-            ids.extend(self.best_ids[qj].tolist())
-            vals.extend(self.best_vals[qj].tolist())
-            pays.extend(self.best_pay[qj].tolist())
-        return qs, ids, vals, pays
+        ok = np.isfinite(self.vals)
+        r, c = np.nonzero(ok)
+        return ([self.q_ids[j] for j in c], self.ids[r, c].tolist(), self.vals[r, c].tolist(),
+                self.pay[r, c].tolist())
 
 
 def _arrow_type(dt: T.DataType) -> pa.DataType:
