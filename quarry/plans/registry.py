@@ -31,6 +31,9 @@ from quarry.operators.knn import knn
 from quarry.plans import sqltext as S
 from quarry.plans import views as V
 from quarry.session import read_table, spread
+from quarry.sources import catalog_csv as ccsv
+from quarry.sources import sinks
+from quarry.sources import vectors as vecs
 from quarry.streaming import streams as zs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -1038,6 +1041,65 @@ def u1_embed_documents(spark, sf):
                     F.round(F.col("embedding")[0], 6).alias("v0"))
 
 
+# ------------------------------------------------------------ sink round trips
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from quarry.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
+
+
+@query("k1_catalog_csv", f"SELECT * FROM {_CATALOG_SQL}")
+def k1_catalog_csv(spark, sf):
+    """K1 then A3: the normalised catalog written as CSV and read back (all text)."""
+    path = _scratch(spark, "catalog")
+    ccsv.write_catalog_csv(catalog_df(spark, sf), path)
+    back = ccsv.read_catalog_csv(spark, path + "-combined-missing", path, extra_columns=())
+    return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in cat_ops.CATALOG_COLUMNS])
+
+
+@query("k2_file_hits_csv", f"""
+WITH RECURSIVE {_crawl_sql()},
+hits AS (SELECT e.dst AS file_url, e.src AS page_url, e.anchor FROM crawled c JOIN edges e ON e.src = c.url
+         WHERE {_data_file_sql('e.dst')} AND {_robots_sql('e.dst')})
+SELECT h.file_url, h.page_url, h.anchor AS anchor_text, '' AS page_tags,
+       coalesce(CAST(TRY_CAST(f.content_length AS BIGINT) AS VARCHAR), '') AS content_length
+FROM hits h JOIN {V.FETCHES_SQL} f ON f.link = h.file_url AND f.status <> 0""")
+def k2_file_hits_csv(spark, sf):
+    """K2: crawl file hits written as CSV (tags joined, NULL blank) and read back."""
+    _, docs, edges, fetches, robots = crawl_inputs(spark, sf)
+    _, hits = cr.crawl_files(_crawl_seed(spark, sf), docs, edges, fetches, robots, scope_suffix=CRAWL_SCOPE,
+                             current_year=F3_CURRENT_YEAR)
+    prefix = _scratch(spark, "hits")
+    sinks.write_file_hits(hits, prefix)
+    back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(prefix + "_csv")
+    return back.select("file_url", "page_url", *[F.coalesce(F.col(c), F.lit("")).alias(c)
+                                                 for c in ("anchor_text", "page_tags", "content_length")])
+
+
+@query("k3_chunks_csv")
+def k3_chunks_csv(spark, sf):
+    """Rows only: page chunk rows written as CSV and read back (equals ``l2_page_chunks``)."""
+    path = _scratch(spark, "chunks")
+    sinks.write_chunks_csv(pg.page_chunks(_page_fields(spark, sf)), path)
+    return spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
+
+
+@query("k5_vector_subset", """
+SELECT e.vec_id AS id, CAST(len(e.embedding) AS BIGINT) AS dim,
+       round(list_sum(list_transform(e.embedding, lambda x: x::DOUBLE)), 6) AS total
+FROM embeddings e WHERE e.vec_id IN (SELECT doc_id FROM labels WHERE quality = 1)""")
+def k5_vector_subset(spark, sf):
+    """J6 + K5 + A4: the vectors of quality-labelled documents written and read back."""
+    ids = read_table(spark, sf, "labels").where(F.col("quality") == 1).select(F.col("doc_id").alias("id"))
+    vec = _emb(spark, sf).select(F.col("vec_id").alias("id"), "embedding")
+    path = _scratch(spark, "vectors")
+    vecs.write_vectors(col.subset(vec, ids), path)
+    back = vecs.read_vectors(spark, path)
+    return back.select("id", F.size("embedding").cast("bigint").alias("dim"),
+                       F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("total"))
+
+
 # ------------------------------------------------------------- public API
 
 def queries() -> dict[str, QueryFn]:
