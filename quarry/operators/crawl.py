@@ -110,7 +110,8 @@ def robots_allowed(urls: DataFrame, robots: DataFrame | None, url_col: str, agen
 
 # ----------------------------------------------------------------- helpers
 
-def materialize(df: DataFrame, bucket_of: str | None = None, buckets: int = 0) -> DataFrame:
+def materialize(df: DataFrame, bucket_of: str | None = None, buckets: int = 0,
+                counter: list | None = None) -> DataFrame:
     """Cut lineage: write to the shared checkpoint folder and read back.
 
     One job per write (a reliable ``checkpoint()`` computes the plan twice);
@@ -118,16 +119,25 @@ def materialize(df: DataFrame, bucket_of: str | None = None, buckets: int = 0) -
     replaying the crawl.  With ``bucket_of`` the table is laid out in
     ``_b = hash(col) mod buckets`` folders, so a join on ``(_b, col)`` with a
     small frontier reads only the folders of the frontier's urls (dynamic
-    partition pruning).
+    partition pruning).  With ``counter`` the written row count is appended to
+    it, observed during the write itself (no second job).
     """
     import uuid
 
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}"
+    obs = None
+    if counter is not None:
+        obs = Observation()
+        df = df.observe(obs, F.count(F.lit(1)).alias("n"))
     if bucket_of is not None:
         df.withColumn("_b", bucket(bucket_of, buckets)).repartition("_b").write.partitionBy("_b").parquet(path)
     else:
         df.write.parquet(path)
+    if obs is not None:
+        counter.append(int(obs.get["n"]))
     return spark.read.parquet(path)
 
 
@@ -214,8 +224,9 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
     # cap can only bind once pages-so-far + frontier size reach it, so exact
     # page counts are taken only from then on.  A small frontier's bucket ids
     # prune the bucketed snapshot and edge tables.
-    frontier = materialize(seeds.select("url", F.lit(0).alias("depth"), "seq"))
-    n_front = frontier.count()
+    sizes: list[int] = []
+    frontier = materialize(seeds.select("url", F.lit(0).alias("depth"), "seq"), counter=sizes)
+    n_front = sizes[-1]
     seen = frontier.select("url")
     levels: list[DataFrame] = []
     pages_done = 0          # exact once ``exact`` is set, else an upper bound
@@ -246,8 +257,8 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
         first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "pos", "depth")).alias("_o")) \
             .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
                     order_key(F.col("_o.page_seq"), F.col("_o.pos")).alias("seq"))
-        frontier = materialize(first)
-        n_front = frontier.count()
+        frontier = materialize(first, counter=sizes)
+        n_front = sizes[-1]
         seen = seen.unionByName(frontier.select("url"))
 
     order = _union(spark, levels, "url string, depth int, seq string")
@@ -323,8 +334,9 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
     follow = materialize(admissible(links.select("src", "dst"), "dst"), "src", nb)
     kinds = classified.select("_b", "url", F.col("source_type").alias("kind"))
 
-    frontier = materialize(admissible(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url"))
-    n_front = frontier.count()
+    sizes: list[int] = []
+    frontier = materialize(admissible(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url"), counter=sizes)
+    n_front = sizes[-1]
     seen = seeds.select("url")
     levels: list[DataFrame] = []
     done = 0                # exact once ``exact`` is set, else an upper bound
@@ -360,8 +372,8 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
         first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "depth")).alias("_o")) \
             .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
                     F.concat(F.col("_o.page_seq"), F.lit(KEY_SEP), F.col("dst")).alias("seq"))
-        frontier = materialize(first)
-        n_front = frontier.count()
+        frontier = materialize(first, counter=sizes)
+        n_front = sizes[-1]
         seen = seen.unionByName(frontier.select("url"))
     visited = _union(spark, levels, "url string, depth int, seq string, kind string")
     classified = classified.drop("_b")
