@@ -33,6 +33,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -96,3 +97,32 @@ def spread(df: DataFrame) -> DataFrame:
     if _input_bytes(spark, files) > target * SPREAD_MAX_BYTES_PER_CORE:
         return df
     return df.repartition(target)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable on the executors (UDFs refer to its functions).
+
+    Zips the package sources once per application and hands the zip to
+    ``SparkContext.addPyFile``, which copies it to every executor's path.
+    """
+    import zipfile
+
+    import quarry
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(quarry.__file__))
+    base = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="quarry-pkg-"), "quarry.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
