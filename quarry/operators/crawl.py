@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from quarry.functions import dates as dx
 from quarry.functions import urls as ux
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import bucket, materialize
 from quarry.sources.sinks import FILE_HIT_COLUMNS, write_file_hits  # noqa: F401
 
 # User agents matched against robots groups (agent-specific groups apply by name).
@@ -110,41 +110,6 @@ def robots_allowed(urls: DataFrame, robots: DataFrame | None, url_col: str, agen
 
 # ----------------------------------------------------------------- helpers
 
-def materialize(df: DataFrame, bucket_of: str | None = None, buckets: int = 0,
-                counter: list | None = None) -> DataFrame:
-    """Cut lineage: write to the shared checkpoint folder and read back.
-
-    One job per write (a reliable ``checkpoint()`` computes the plan twice);
-    the read-back is file-based, so a lost executor re-reads files instead of
-    replaying the crawl.  With ``bucket_of`` the table is laid out in
-    ``_b = hash(col) mod buckets`` folders, so a join on ``(_b, col)`` with a
-    small frontier reads only the folders of the frontier's urls (dynamic
-    partition pruning).  With ``counter`` the written row count is appended to
-    it, observed during the write itself (no second job).
-    """
-    import uuid
-
-    from pyspark.sql import Observation
-
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}"
-    obs = None
-    if counter is not None:
-        obs = Observation()
-        df = df.observe(obs, F.count(F.lit(1)).alias("n"))
-    if bucket_of is not None:
-        df.withColumn("_b", bucket(bucket_of, buckets)).repartition("_b").write.partitionBy("_b").parquet(path)
-    else:
-        df.write.parquet(path)
-    if obs is not None:
-        counter.append(int(obs.get["n"]))
-    return spark.read.parquet(path)
-
-
-def bucket(col: str, buckets: int) -> F.Column:
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
-
-
 def _buckets(df: DataFrame) -> int:
     """About one bucket per input split (one folder per ~128 MB of edges)."""
     return max(8, df.rdd.getNumPartitions())

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import spread
+from quarry.session import materialize, spread
 
 # Bytes of query vectors we allow to broadcast to every task.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -210,7 +210,11 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
         cand = _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t)
         q.unpersist()
     else:
-        cand = _block_path(q, c, k, metric, exclude_self, out_schema, n_q, dim,
+        # Large query side: written once to the checkpoint folder (lineage cut,
+        # cache released) and read by the block cogroup.
+        q_file = materialize(q)
+        q.unpersist()
+        cand = _block_path(q_file, c, k, metric, exclude_self, out_schema, n_q, dim,
                            broadcast_bytes, corpus_block_rows)
 
     w = Window.partitionBy("qid").orderBy(F.col("rv").desc(), F.col("id").asc())

@@ -55,15 +55,18 @@ def run_available_now(df: DataFrame, root: str | None = None, fmt: str = "parque
 
 def answer_stream(queries: DataFrame, collection: DataFrame, root: str | None = None, *,
                   qid: str = "qid", text_col: str = "query", k: int = 4,
-                  deterministic_audit: bool = False, extra: dict[str, str] | None = None):
+                  deterministic_audit: bool = False, extra: dict[str, str] | None = None,
+                  cache_collection: bool = False):
     """Z3: answer each micro-batch of queries and append its audit records.
 
     Returns ``(query_handle, answers_path, audit_path)``.  Output paths carry the
-    batch id, so a batch re-run after a failure replaces its own files.
+    batch id, so a batch re-run after a failure replaces its own files.  Each
+    batch scans the collection; ``cache_collection`` keeps a small one in memory.
     """
     spark = queries.sparkSession
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-answers-{uuid.uuid4().hex}"
-    collection = collection.cache()
+    if cache_collection:
+        collection = collection.cache()
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         out = answer_queries(batch, collection, k=k, qid=qid, text_col=text_col,
