@@ -94,3 +94,19 @@ def test_string_ids_block_path(spark):
     a = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True).collect()))
     b = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True, broadcast_bytes=32, corpus_block_rows=7).collect()))
     assert [x[:3] for x in a] == [x[:3] for x in b]
+
+
+def test_ann_probing_all_lists_is_exact(spark):
+    from quarry.operators import ann
+
+    rng = np.random.default_rng(11)
+    c = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(400)], "id long, embedding array<double>")
+    q = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(25)], "qid long, qvec array<double>")
+    cents, assigned = ann.build_index(c, 6)
+    approx = ann.search(q, cents, assigned, 5, nprobe=6, block_rows=30)
+    exact = knn(q, c, 5)
+    norm = lambda df: sorted((r["qid"], r["rank"], r["id"], round(r["score"], 9)) for r in df.collect())
+    assert norm(approx) == norm(exact)
+    low = ann.search(q, cents, assigned, 5, nprobe=1)
+    rec = ann.recall(low, exact).agg({"recall": "avg"}).first()[0]
+    assert 0.0 < rec <= 1.0
