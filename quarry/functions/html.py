@@ -37,7 +37,8 @@ PAGE_FIELDS = T.StructType([
     T.StructField("title_text", T.StringType()),
     T.StructField("description", T.StringType()),
     T.StructField("description_chunk", T.StringType()),
-    T.StructField("tags", T.ArrayType(T.StringType())),
+    T.StructField("tag_candidates", T.ArrayType(T.StructType([
+        T.StructField("grp", T.IntegerType()), T.StructField("value", T.StringType())]))),
     T.StructField("links", T.ArrayType(T.StructType([
         T.StructField("url", T.StringType()), T.StructField("anchor", T.StringType())]))),
     T.StructField("all_hrefs", T.ArrayType(T.StringType())),
@@ -80,54 +81,67 @@ def _description_chunk(root: Element) -> str:
     return desc
 
 
-class _Tags:
-    """Ordered, case-insensitively distinct, length-filtered, capped."""
+def _split_keywords(s: str) -> list[str]:
+    return [t.strip() for t in s.split(",") if t.strip()]
 
-    def __init__(self):
-        self.items: list[str] = []
-        self.seen: set[str] = set()
 
-    def add(self, values, cap: int) -> None:
-        for v in values:
-            v = clean(v)
-            if v and TAG_MIN_LEN <= len(v) <= TAG_MAX_LEN and v.lower() not in self.seen \
-                    and len(self.items) < cap:
-                self.items.append(v)
-                self.seen.add(v.lower())
+# Tag sources in priority order: (group, cap, only while fewer than TAG_ROOM tags).
+TAG_GROUPS = ((1, KEYWORD_CAP, False), (2, TAG_CAP, False), (3, TAG_CAP, True), (4, TAG_CAP, True))
 
 
-def _split_keywords(s: str) -> list[str]:
-    return [t.strip() for t in s.split(",") if t.strip()]
+def _tag_candidates(root: Element) -> list[dict]:
+    """E4 candidates in order, cleaned: (group, value).  Selection (lengths,
+    case-insensitive dedupe, caps, room checks) is done by ``select_tags``."""
+    out: list[dict] = []
 
+    def put(group, values):
+        out.extend({"grp": group, "value": clean(v)} for v in values)
 
-def _tags(root: Element) -> list[str]:
-    tags = _Tags()
     kw = _first_meta(root, "name", "keywords")
     if kw is not None and kw.attrs.get("content"):
-        tags.add(_split_keywords(kw.attrs["content"]), KEYWORD_CAP)
+        put(1, _split_keywords(kw.attrs["content"]))
     for n in SUBJECT_METAS:
-        for m in root.find_all("meta", {"name": n}):
-            if m.attrs.get("content") and len(tags.items) < TAG_CAP:
-                tags.add([m.attrs["content"]], TAG_CAP)
-    if len(tags.items) < TAG_ROOM:
-        for m in root.find_all("meta", {"property": "article:tag"}):
-            if m.attrs.get("content") and len(tags.items) < TAG_CAP:
-                tags.add([m.attrs["content"]], TAG_CAP)
-    if len(tags.items) < TAG_ROOM:
-        for s in root.find_all("script", {"type": "application/ld+json"}):
-            try:
-                data = json.loads(s.string or "")
-            except Exception:
+        put(2, [m.attrs["content"] for m in root.find_all("meta", {"name": n}) if m.attrs.get("content")])
+    put(3, [m.attrs["content"] for m in root.find_all("meta", {"property": "article:tag"}) if m.attrs.get("content")])
+    for sc in root.find_all("script", {"type": "application/ld+json"}):
+        try:
+            data = json.loads(sc.string or "")
+        except Exception:
+            continue
+        for it in (data if isinstance(data, list) else [data]):
+            if not isinstance(it, dict) or "keywords" not in it:
                 continue
-            for it in (data if isinstance(data, list) else [data]):
-                if not isinstance(it, dict) or len(tags.items) >= TAG_CAP or "keywords" not in it:
-                    continue
-                kw_val = it["keywords"]
-                if isinstance(kw_val, str):
-                    tags.add(_split_keywords(kw_val), TAG_CAP)
-                elif isinstance(kw_val, list):
-                    tags.add([str(k).strip() for k in kw_val if str(k).strip()], TAG_CAP)
-    return tags.items
+            kw_val = it["keywords"]
+            if isinstance(kw_val, str):
+                put(4, _split_keywords(kw_val))
+            elif isinstance(kw_val, list):
+                put(4, [str(k).strip() for k in kw_val if str(k).strip()])
+    return out
+
+
+def select_tags(candidates) -> Column:
+    """E4 selection as Spark expressions: per group an ``aggregate`` over the
+    candidates keeps a value when 2-50 chars long, not yet present (any case)
+    and the running list is under the group's cap; groups 3 and 4 run only
+    while fewer than ``TAG_ROOM`` tags are kept."""
+    cands = F.col(candidates) if isinstance(candidates, str) else candidates
+
+    def adder(cap):  # Spark reads a lambda's arity: bind the cap in a closure
+        def add(a, c):
+            v = c["value"]
+            fresh = ~F.exists(a, lambda x: F.lower(x) == F.lower(v))
+            ok = (F.length(v) >= TAG_MIN_LEN) & (F.length(v) <= TAG_MAX_LEN) & fresh & (F.size(a) < cap)
+            return F.when(ok, F.array_append(a, v)).otherwise(a)
+        return add
+
+    def in_group(grp):
+        return lambda c: c["grp"] == grp
+
+    acc = F.array().cast("array<string>")
+    for grp, cap, gated in TAG_GROUPS:
+        step = F.aggregate(F.filter(cands, in_group(grp)), acc, adder(cap))
+        acc = F.when(F.size(acc) < TAG_ROOM, step).otherwise(acc) if gated else step
+    return acc
 
 
 def _links(root: Element, base: str) -> list[tuple[str, str]]:
@@ -197,7 +211,7 @@ def page_fields(html: str | None, base: str | None) -> dict:
     desc = _description(root)
     out = {
         "title": title, "title_text": title_text, "description": desc,
-        "description_chunk": _description_chunk(root), "tags": _tags(root),
+        "description_chunk": _description_chunk(root), "tag_candidates": _tag_candidates(root),
         "links": [{"url": u, "anchor": a} for u, a in _links(root, base)],
         "all_hrefs": _hrefs(root, base),
         "date_texts": _date_texts(root, title, desc),
@@ -214,7 +228,7 @@ def _extract(html: pd.Series, url: pd.Series) -> pd.DataFrame:
 
 
 def extract(html, url) -> Column:
-    """Struct of every page field (see ``PAGE_FIELDS``)."""
+    """Struct of every page field read by the parse (see ``PAGE_FIELDS``)."""
     h = F.col(html) if isinstance(html, str) else html
     u = F.col(url) if isinstance(url, str) else url
     return _extract(h, u)

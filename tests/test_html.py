@@ -25,17 +25,26 @@ def test_description_priority_and_fallback():
     assert page_fields(html2, BASE)["description"] == "OG & x"  # unescaped twice, as the reference
 
 
-def test_tags_priority_caps_and_case():
+def _tags(spark, html):
+    from quarry.operators.pages import extract_pages
+
+    df = spark.createDataFrame([(1, BASE, html)], "page_id long, url string, html string")
+    return extract_pages(df).first()["tags"]
+
+
+def test_tags_priority_caps_and_case(spark):
     kws = ",".join(f"kw{i}" for i in range(12))
     html = (f'<meta name="keywords" content="{kws}">'
             '<meta name="dc.subject" content="KW1"><meta name="dcterms.subject" content="Sub">'
             '<meta property="article:tag" content="art">'
             '<script type="application/ld+json">{"keywords": "ld1, ld2"}</script>')
-    tags = page_fields(html, BASE)["tags"]
-    assert tags == ["kw0", "kw1", "kw2", "kw3", "kw4", "Sub"]   # 5 keywords, KW1 repeats, then 6 -> no more
+    assert _tags(spark, html) == ["kw0", "kw1", "kw2", "kw3", "kw4", "Sub"]  # 5 keywords, KW1 repeats, 6 -> stop
     html = ('<script type="application/ld+json">[{"keywords": ["a1", "b2", "B2"]}, 3]</script>'
             '<script type="application/ld+json">{bad json</script><meta name="keywords" content="x">')
-    assert page_fields(html, BASE)["tags"] == ["a1", "b2"]      # 'x' too short; case-insensitive distinct
+    assert _tags(spark, html) == ["a1", "b2"]      # 'x' too short; case-insensitive distinct
+    many = "".join(f'<meta property="article:tag" content="t{i}">' for i in range(12))
+    assert _tags(spark, '<meta name="keywords" content="a1,b2">' + many) == \
+        ["a1", "b2", "t0", "t1", "t2", "t3", "t4", "t5"]          # article tags fill up to 8
 
 
 def test_links_and_visible_text():
