@@ -85,3 +85,19 @@ def test_generator_and_fallback(spark):
 
     out = {r["qid"]: r for r in an.answer_queries(q, coll, generator=broken).collect()}
     assert out[1]["answer"].startswith("I found 4 datasets related to 'alpha'")
+
+
+def test_similar_by_id_reembed_and_unknown(spark):
+    cat = spark.createDataFrame([(str(i), f"water report {i}" if i % 2 else f"road survey {i}", "d", "A", "u", "t")
+                                 for i in range(8)],
+                                "id string, title string, description string, agency string, api_url string, tags string")
+    from quarry.operators.embed import embed
+    vec = embed(cat.select("id", "title"), "title").select("id", "embedding")
+    coll = col.build_collection(cat, vec)
+    ids = spark.createDataFrame([("1",), ("2",), ("missing",)], "id string")
+    out = {r["qid"]: r for r in an.similar_by_id(ids, coll, k=3, reembed=True, deterministic_audit=True).collect()}
+    assert out["missing"]["status"] == "not_found" and out["missing"]["count"] == 0
+    assert out["1"]["status"] == "ok" and out["1"]["count"] == 3
+    assert all(h["id"] != "1" for h in out["1"]["hits"])           # self removed
+    assert out["1"]["answer"].startswith("I found 3 datasets similar to '1'.")
+    assert len(out["1"]["audit_id"]) == 8
