@@ -170,14 +170,16 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
         id_col: str = "id", vec_col: str = "embedding",
         metric: str = "cosine", exclude_self: bool = False,
         broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-        corpus_block_rows: int = 200_000, payload: list[str] | tuple[str, ...] = ()) -> DataFrame:
+        corpus_blocks: int | None = None, payload: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Top-k corpus rows per query row.
 
     Returns ``(qid, rank, id, score)`` for cosine/dot or
     ``(qid, rank, id, distance)`` for l2sq; rank is 1-based, ordered by the
     ranking value then by id.  ``exclude_self`` drops corpus rows whose id
     equals the query id (W5) before ranking, which for an exact search is the
-    same as over-fetching one and removing self.  ``payload`` columns of the
+    same as over-fetching one and removing self.  ``corpus_blocks`` (block path
+    only) defaults to ``spark.sql.shuffle.partitions``, which the cluster sizes
+    to its data, so no job is spent counting the corpus.  ``payload`` columns of the
     corpus are carried with the winners (no join back to the corpus).
     """
     if metric not in ("cosine", "dot", "l2sq"):
@@ -214,8 +216,9 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
         # cache released) and read by the block cogroup.
         q_file = materialize(q)
         q.unpersist()
+        blocks = corpus_blocks or int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         cand = _block_path(q_file, c, k, metric, exclude_self, out_schema, n_q, dim,
-                           broadcast_bytes, corpus_block_rows)
+                           broadcast_bytes, blocks)
 
     w = Window.partitionBy("qid").orderBy(F.col("rv").desc(), F.col("id").asc())
     ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -262,12 +265,11 @@ def _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t):
 
 
 def _block_path(q, c, k, metric, exclude_self, out_schema, n_q, dim,
-                broadcast_bytes, corpus_block_rows):
+                broadcast_bytes, c_blocks):
     import pandas as pd
 
     q_blocks = max(1, math.ceil(n_q * max(dim, 1) * 8 / broadcast_bytes))
-    n_c = c.count()
-    c_blocks = max(1, math.ceil(n_c / corpus_block_rows))
+    c_blocks = max(1, c_blocks)
     qb = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(q_blocks)).cast("int")) \
         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
     cb = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(c_blocks)).cast("int")) \

@@ -48,7 +48,7 @@ def test_block_path_equals_broadcast(spark):
     c = [(i, rng.normal(size=8).tolist()) for i in range(300)]
     q = [(i, rng.normal(size=8).tolist()) for i in range(0, 300, 7)]
     a = _run(spark, q, c, 5, exclude_self=True)
-    b = _run(spark, q, c, 5, exclude_self=True, broadcast_bytes=256, corpus_block_rows=40)
+    b = _run(spark, q, c, 5, exclude_self=True, broadcast_bytes=256, corpus_blocks=7)
     assert a == b == _brute(q, c, 5, exclude_self=True)
 
 
@@ -79,7 +79,7 @@ def test_payload_rides_with_winners(spark):
     cdf = spark.createDataFrame(c, "id long, embedding array<double>, title string, w double")
     q = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(9)], "qid long, qvec array<double>")
     a = knn(q, cdf, 4, payload=["title", "w"]).collect()
-    b = knn(q, cdf, 4, payload=["title", "w"], broadcast_bytes=64, corpus_block_rows=25).collect()
+    b = knn(q, cdf, 4, payload=["title", "w"], broadcast_bytes=64, corpus_blocks=5).collect()
     norm = lambda rows: sorted((r["qid"], r["rank"], r["id"], r["title"], r["w"]) for r in rows)
     assert norm(a) == norm(b)
     assert all(r["title"] == f"title {r['id']}" and r["w"] == r["id"] / 2 for r in a)
@@ -92,7 +92,7 @@ def test_string_ids_block_path(spark):
     qdf = spark.createDataFrame(q, "qid string, qvec array<double>")
     cdf = spark.createDataFrame(c, "id string, embedding array<double>")
     a = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True).collect()))
-    b = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True, broadcast_bytes=32, corpus_block_rows=7).collect()))
+    b = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True, broadcast_bytes=32, corpus_blocks=9).collect()))
     assert [x[:3] for x in a] == [x[:3] for x in b]
 
 
