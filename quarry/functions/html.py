@@ -35,8 +35,9 @@ SKIP_HREF = ("javascript:", "mailto:", "tel:")
 PAGE_FIELDS = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("title_text", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("description_chunk", T.StringType()),
+    T.StructField("desc_parts", T.StructType([
+        T.StructField("desc_meta", T.StringType()), T.StructField("desc_meta_chunk", T.StringType()),
+        T.StructField("first_p", T.StringType()), T.StructField("first_p_clean", T.StringType())])),
     T.StructField("tag_candidates", T.ArrayType(T.StructType([
         T.StructField("grp", T.IntegerType()), T.StructField("value", T.StringType())]))),
     T.StructField("links", T.ArrayType(T.StructType([
@@ -57,28 +58,39 @@ def _first_meta(root: Element, attr: str, value: str):
     return root.find("meta", {attr: value})
 
 
-def _description(root: Element) -> str:
+def _description_parts(root: Element) -> dict:
+    """E3 raw parts: the first description meta found (in priority order, even
+    with blank content), the chunk crawler's own meta, the first paragraph.
+    The choice between them is ``description`` / ``description_chunk``."""
     meta = None
     for attr, value in DESCRIPTION_METAS:
         meta = _first_meta(root, attr, value)
         if meta is not None:
             break
-    desc = clean(meta.attrs.get("content")) if meta is not None and meta.attrs.get("content") else ""
-    if not desc:
-        p = root.find("p")
-        if p is not None:
-            desc = clean(p.get_text(" ", strip=True))[:DESCRIPTION_MAX]
-    return desc
+    own = _first_meta(root, "name", "description")
+    p = root.find("p")
+    p_text = p.get_text(" ", strip=True) if p is not None else None
+    return {
+        "desc_meta": clean(meta.attrs.get("content")) if meta is not None and meta.attrs.get("content") else None,
+        "desc_meta_chunk": own.attrs["content"].strip() if own is not None and own.attrs.get("content") else None,
+        "first_p": p_text,
+        "first_p_clean": clean(p_text) if p_text is not None else None,
+    }
+
+
+def description(parts) -> Column:
+    """The meta content when non-blank, else the first paragraph cut to 500 chars."""
+    x = F.col(parts) if isinstance(parts, str) else parts
+    meta = F.coalesce(x["desc_meta"], F.lit(""))
+    return F.when(meta != "", meta).otherwise(
+        F.substring(F.coalesce(x["first_p_clean"], F.lit("")), 1, DESCRIPTION_MAX))
 
 
-def _description_chunk(root: Element) -> str:
-    m = _first_meta(root, "name", "description")
-    desc = m.attrs["content"].strip() if m is not None and m.attrs.get("content") else ""
-    if not desc:
-        p = root.find("p")
-        if p is not None:
-            desc = p.get_text(" ", strip=True)
-    return desc
+def description_chunk(parts) -> Column:
+    """E3, chunk-crawler variant: own meta (stripped) when non-blank, else the whole first paragraph."""
+    x = F.col(parts) if isinstance(parts, str) else parts
+    meta = F.coalesce(x["desc_meta_chunk"], F.lit(""))
+    return F.when(meta != "", meta).otherwise(F.coalesce(x["first_p"], F.lit("")))
 
 
 def _split_keywords(s: str) -> list[str]:
@@ -208,10 +220,11 @@ def page_fields(html: str | None, base: str | None) -> dict:
     t = root.find("title")
     title = clean(t.string) if t is not None and t.string else ""
     title_text = t.get_text(strip=True) if t is not None else ""
-    desc = _description(root)
+    parts = _description_parts(root)
+    meta_desc = parts["desc_meta"] or ""
+    desc = meta_desc if meta_desc else (parts["first_p_clean"] or "")[:DESCRIPTION_MAX]  # date texts use it
     out = {
-        "title": title, "title_text": title_text, "description": desc,
-        "description_chunk": _description_chunk(root), "tag_candidates": _tag_candidates(root),
+        "title": title, "title_text": title_text, "desc_parts": parts, "tag_candidates": _tag_candidates(root),
         "links": [{"url": u, "anchor": a} for u, a in _links(root, base)],
         "all_hrefs": _hrefs(root, base),
         "date_texts": _date_texts(root, title, desc),

@@ -24,8 +24,11 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     cols = [c for c in keep if c in pages.columns]
     pages = spread(pages)
     x = pages.select(*cols, F.col(url_col).alias("url"), hx.extract(html_col, url_col).alias("_f"))
-    return x.select(*cols, "url", "_f.*").withColumn("tags", hx.select_tags("tag_candidates")) \
-        .drop("tag_candidates")
+    return x.select(*cols, "url", "_f.*") \
+        .withColumn("description", hx.description("desc_parts")) \
+        .withColumn("description_chunk", hx.description_chunk("desc_parts")) \
+        .withColumn("tags", hx.select_tags("tag_candidates")) \
+        .drop("tag_candidates", "desc_parts")
 
 
 def page_links(fields: DataFrame, strip_chrome: bool = True) -> DataFrame:

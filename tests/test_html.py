@@ -14,15 +14,27 @@ def test_tree_rules():
     assert root.get_text(" ", strip=True) == "keep"         # script text is not text
 
 
-def test_description_priority_and_fallback():
+def _fields(spark, html):
+    from quarry.operators.pages import extract_pages
+
+    df = spark.createDataFrame([(1, BASE, html)], "page_id long, url string, html string")
+    return extract_pages(df).first()
+
+
+def test_description_priority_and_fallback(spark):
     html = ('<html><head><meta name="description" content="  ">'
             '<meta property="og:description" content="OG"></head>'
             '<body><p>First &amp; <b>para</b></p><p>second</p></body></html>')
-    f = page_fields(html, BASE)
+    f = _fields(spark, html)
     assert f["description"] == "First & para"               # blank meta found first: og ignored
     assert f["description_chunk"] == "First & para"
     html2 = '<meta property="og:description" content="OG &amp;amp; x"><p>p</p>'
-    assert page_fields(html2, BASE)["description"] == "OG & x"  # unescaped twice, as the reference
+    f2 = _fields(spark, html2)
+    assert f2["description"] == "OG & x"                    # unescaped twice, as the reference
+    assert f2["description_chunk"] == "p"                   # the chunk variant reads only name=description
+    long_p = "<p>" + "w " * 400 + "</p>"
+    assert len(_fields(spark, long_p)["description"]) == 500
+    assert _fields(spark, "<div>no paragraph</div>")["description"] == ""
 
 
 def _tags(spark, html):
