@@ -1,14 +1,17 @@
-"""Breadth-first crawls over a page snapshot.
-
-The driver runs one Spark job per BFS level and reads back only level
-counts.  Each level: frontier -> dequeue filters (scope, robots) -> join with
-the snapshot (J8, the "fetch") -> html filter -> page cap in FIFO order ->
-data-file hits (J9, file cap) -> next links: scope filter, anti join with
-everything already enqueued (J3), first occurrence by (parent seq, pos), and a
-consecutive ``seq`` from ``zipWithIndex``.  FIFO order of the reference's
-queue equals order by (depth, parent seq, pos), so the caps are exact.
-Lineage is cut each level with ``checkpoint()`` into the cluster's shared
-checkpoint folder.
+"""Breadth-first crawls over a page snapshot.
+
+The driver runs one Spark job per BFS level and reads back only counts.
+Before the loop, everything that depends on a single url is computed once:
+scope and robots (G3-G5), the "fetch" against the snapshot and its html test
+(J8, G6), the data-file test and probe join (D6, J9); the snapshot and edge
+tables are written in hash-bucket folders of the url.  A level then joins the
+frontier with those tables (reading only the frontier's buckets when it is
+small), drops everything already enqueued (J3), keeps the first occurrence of
+each link by (parent key, position) and writes the next frontier.  FIFO order
+of the reference's queue equals order by (depth, parent key, position), kept
+as fixed-width string keys, so the page and file caps (W7) are exact.  Each
+level is written to the cluster's shared checkpoint folder and read back, which
+cuts the lineage.
 """
 
 from __future__ import annotations
