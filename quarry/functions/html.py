@@ -1,8 +1,11 @@
 """HTML extraction (E1-E7, F1): one parse per page, every field at once.
 
 ``page_fields`` runs inside an Arrow UDF over the ``pages`` table, so the work
-is spread over Spark partitions; what follows (link canonicalisation, dedupe,
-date parsing, chunking) is done with built-in expressions on the result.
+is spread over Spark partitions.  It only reads the page (title, metas,
+paragraphs, anchors, visible text, date-bearing texts); the rules applied to
+what it read -- description choice and cut (``description``), tag selection
+(``select_tags``), link canonicalisation and dedupe, date parsing, chunking --
+are built-in Spark expressions on its result.
 """
 
 from __future__ import annotations
