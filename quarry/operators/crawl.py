@@ -118,6 +118,14 @@ def _buckets(df: DataFrame) -> int:
     return max(8, df.rdd.getNumPartitions())
 
 
+def materialize_all(specs: list[tuple]) -> list[DataFrame]:
+    """``materialize`` several independent frames as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(specs)) as pool:
+        return list(pool.map(lambda sp: materialize(*sp), specs))
+
+
 def _present_buckets(keyed: DataFrame, n_rows: int, buckets: int) -> list[int] | None:
     """Bucket ids a small frontier touches (at most ``buckets`` ints), or None
     when the frontier is large enough to touch most buckets anyway."""
@@ -174,7 +182,6 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
         .select("url", "title", "description", "tags",
                 dx.pick_date(dx.extract_dates_all("date_texts"), current_year).alias("data_collected_date"))
     nb = _buckets(edges)
-    ok_docs = materialize(ok_docs, "url", nb)
     # Data-file hits a page can yield (D6, G5, J9), and the links it can enqueue.
     data = edges.where(ux.looks_like_data_file("dst", allow_zip))
     data = robots_allowed(data, robots, "dst", user_agent, on_missing=on_missing_robots).where("robots_ok")
@@ -183,9 +190,9 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
         .withColumn("file_ext", F.coalesce(ux.guess_ext("dst"), ux.mime_ext("f_ct"))) \
         .where(F.col("file_ext").isNotNull()) \
         .select("src", "pos", "dst", "anchor", "file_ext", "f_ct", "content_length")
-    data = materialize(data, "src", nb)
-    follow = materialize(scope(edges.where(~ux.looks_like_data_file("dst", allow_zip)), "dst")
-                         .select("src", "pos", "dst"), "src", nb)
+    follow = scope(edges.where(~ux.looks_like_data_file("dst", allow_zip)), "dst").select("src", "pos", "dst")
+    # The three tables are independent: written as concurrent jobs.
+    ok_docs, data, follow = materialize_all([(ok_docs, "url", nb), (data, "src", nb), (follow, "src", nb)])
     ok_keys = ok_docs.select("_b", "url")
 
     # One write per level (the next frontier) and one count of it.  The page
