@@ -31,3 +31,21 @@ def test_dedupe_stream_without_expiry_equals_distinct(spark, tmp_dir):
     n = spark.sql("SELECT count(*) FROM z2_all").first()[0]
     exp = spark.read.parquet(src).select("user_id", "event_type").distinct().count()
     assert got == exp == n
+
+
+def test_dedupe_stream_on_canonical_urls(spark, tmp_dir):
+    import datetime as dt
+
+    rows = [("http://h.gov.au/a?utm_source=x", dt.datetime(2024, 1, 1, 0, 0)),
+            ("http://h.gov.au/a#top", dt.datetime(2024, 1, 1, 0, 5)),
+            ("http://h.gov.au/a", dt.datetime(2024, 1, 1, 0, 6)),
+            ("http://h.gov.au/b", dt.datetime(2024, 1, 1, 0, 7))]
+    src = os.path.join(tmp_dir, "links")
+    spark.createDataFrame(rows, "url string, ts timestamp").write.parquet(src)
+    stream = spark.readStream.schema("url string, ts timestamp").parquet(src)
+    d = zs.dedupe_stream(stream, ["url"], "ts", delay="1 hour", canonical_url="url")
+    q = d.writeStream.format("memory").queryName("z2_urls").outputMode("append").trigger(availableNow=True) \
+        .option("checkpointLocation", os.path.join(tmp_dir, "z2u")).start()
+    q.awaitTermination()
+    got = sorted(r["url"] for r in spark.sql("SELECT url FROM z2_urls").collect())
+    assert got == ["http://h.gov.au/a", "http://h.gov.au/b"]
