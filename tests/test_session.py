@@ -23,3 +23,19 @@ def test_spread_runs_no_job(spark):
 def test_checkpoint_dir_is_kept(spark):
     before = spark.sparkContext.getCheckpointDir()
     assert ensure_checkpoint_dir(spark) == before
+
+
+def test_bucketed_table_prunes_partitions(spark):
+    from quarry.operators.crawl import _present_buckets, _prune
+    from quarry.session import bucket, materialize
+
+    edges = spark.createDataFrame([(f"u{i % 50}", i, f"v{i}") for i in range(500)], "src string, pos long, dst string")
+    table = materialize(edges, "src", 16)
+    frontier = spark.createDataFrame([("u3",), ("u7",)], "url string").withColumn("_b", bucket("url", 16))
+    present = _present_buckets(frontier, 2, 16)
+    assert present and len(present) <= 2
+    pruned = _prune(table, present)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_b" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    got = pruned.join(frontier.withColumnRenamed("url", "src"), ["_b", "src"]).count()
+    assert got == 20                                         # every edge of u3 and u7, nothing else read
