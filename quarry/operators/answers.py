@@ -24,16 +24,19 @@ HIT_FIELDS = ("id", "title", "description", "agency", "api_url", "url")
 
 
 def store_search(queries: DataFrame, collection: DataFrame, k: int, *,
-                 qid: str = "qid", qvec: str = "qvec", exclude_self: bool = False) -> DataFrame:
+                 qid: str = "qid", qvec: str = "qvec", exclude_self: bool = False,
+                 fields: tuple[str, ...] | None = None) -> DataFrame:
     """Nearest ``k`` by squared L2 with metadata and store score.
 
     Returns ``(qid, rank, id, distance, similarity_score, title, ...)``.
     The metadata rides along with the winners inside the top-k, so the
-    collection is scanned once and never joined again.
+    collection is scanned once and never joined again.  ``fields`` narrows the
+    metadata carried (default: every hit field); the Python stage is opaque to
+    column pruning, so asking for less keeps wide columns out of the scan.
     """
+    carry = [f for f in (fields if fields is not None else HIT_FIELDS) if f != "id"]
     top = knn(queries, collection, k, query_id=qid, query_vec=qvec, id_col="id",
-              vec_col="embedding", metric="l2sq", exclude_self=exclude_self,
-              payload=[f for f in HIT_FIELDS if f != "id"])
+              vec_col="embedding", metric="l2sq", exclude_self=exclude_self, payload=carry)
     return top.withColumn("similarity_score", vx.store_score("distance"))
 
 

@@ -111,7 +111,7 @@ SELECT qid, CAST(rn AS BIGINT) AS rank, id, title, agency, round(d, 6) AS distan
        round({_STORE_SCORE_SQL}, 6) AS similarity_score
 FROM r WHERE rn <= 4""")
 def r4_store_search(spark, sf):
-    hits = store_search(V.label_centroids(spark, sf), collection_df(spark, sf), 4)
+    hits = store_search(V.label_centroids(spark, sf), collection_df(spark, sf), 4, fields=("title", "agency"))
     return hits.select("qid", F.col("rank").cast("bigint").alias("rank"), "id", "title", "agency",
                        F.round("distance", 6).alias("distance"),
                        F.round("similarity_score", 6).alias("similarity_score"))
@@ -128,7 +128,7 @@ FROM r WHERE rn <= 3""")
 def r5_similar_in_store(spark, sf):
     c = collection_df(spark, sf)
     hits = store_search(c.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec")), c, 3,
-                        exclude_self=True)
+                        exclude_self=True, fields=("title",))
     return hits.select("qid", F.col("rank").cast("bigint").alias("rank"), "id", "title",
                        F.round("similarity_score", 6).alias("similarity_score"))
 
