@@ -8,8 +8,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, tables, token_count, token_store
+from quarry.llm import (byte_bpe, decontaminate, license_scan, line_dedup, minhash_dedup, secret_scan, tables,
+                        token_count, token_store, toxicity, voronoi_knn)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -29,6 +31,50 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.table(spark, sf_dir, "documents")
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity, grade and decision for every document."""
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, tables.table(spark, sf_dir, "labels")))
+
+
+@query("op2_license_scan", license_scan.oracle())
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence texts and notices of every document."""
+    return license_scan.scan(documents(spark, sf_dir))
+
+
+LINE_SQL = """
+WITH lines AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+split AS (SELECT doc_id, pos, parts[pos] AS line, trim(parts[pos], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t
+          FROM lines, unnest(range(1, len(parts) + 1)) u(pos)),
+long AS (SELECT doc_id, pos, t, length(t)::BIGINT AS n FROM split WHERE length(t) >= 24),
+firsts AS (SELECT t, n, min((doc_id, pos)) AS place FROM long GROUP BY t, n),
+halves AS (SELECT place, t, n, m, left(t, (m // 2)::BIGINT) AS head, right(t, (m - m // 2)::BIGINT) AS tail
+           FROM firsts, unnest([n, n - 1]) u(m)),
+pairs AS (SELECT x.place AS xa, y.place AS ya, x.t AS xt, y.t AS yt, x.n AS xn, y.n AS yn
+          FROM halves x JOIN halves y ON x.m = y.m AND x.head = y.head AND x.n = x.m AND x.t <> y.t
+          UNION SELECT x.place, y.place, x.t, y.t, x.n, y.n
+          FROM halves x JOIN halves y ON x.m = y.m AND x.tail = y.tail AND x.n = x.m AND x.t <> y.t),
+differ AS (SELECT *, coalesce(list_min(list_filter(range(1, xn + 1), lambda i: xt[i] <> yt[i])), xn + 1) AS p FROM pairs),
+close AS (SELECT xa, ya FROM differ WHERE substr(xt, p + (CASE WHEN xn = yn THEN 1 ELSE 0 END)) = substr(yt, p + 1)),
+near AS (SELECT greatest(xa, ya) AS place FROM close),
+gone AS (SELECT doc_id, pos FROM long l JOIN firsts f USING (t)
+         WHERE (l.doc_id, l.pos) <> f.place OR f.place IN (SELECT place FROM near)),
+kept AS (SELECT s.doc_id, s.pos, s.line, g.pos IS NOT NULL AS dropped
+         FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.pos = g.pos)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS text_sha256
+FROM kept GROUP BY doc_id"""
+
+
+@query("op3_line_dedup", LINE_SQL)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many repeat earlier ones, and a digest of the text without them."""
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
 @query("op4_token_store")
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written as ORC in doc_id order and read back."""
@@ -37,6 +83,39 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.with_crc(token_store.read_ids(spark, path))
 
 
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: pattern spans and random-looking runs."""
+    return secret_scan.digest(secret_scan.scan(documents(spark, sf_dir)))
+
+
+@query("op6_decontaminate")
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return decontaminate.find_passages(documents(spark, sf_dir), tables.table(spark, sf_dir, "benchmark"))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s FROM w, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) u(i)
+       WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+sym AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT r.d, s.y FROM reach r JOIN sym s ON s.x = r.r)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT d AS doc_id, min(r) AS component_id FROM reach GROUP BY d) c USING (doc_id)"""
+
+
+@query("op7_minhash_dedup", NEAR_SQL)
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of documents by shingles of four words."""
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir), width=4)
+
+
 @query("op8_byte_bpe")
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the byte-level ranks and decoded again."""
@@ -50,6 +129,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+KNN_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding,
+                 lambda x: coalesce(isfinite(x), false)))),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
+
+
+@query("op10_voronoi_knn", KNN_SQL)
+def op10_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest integer inner products of every twentieth vector with all others."""
+    vectors = voronoi_knn.quantised(tables.table(spark, sf_dir, "embeddings"))
+    return voronoi_knn.knn_join(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -106,6 +106,16 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return (sums[end] - sums[start]) * _POWERS.get(len(sums))[1][start]
 
 
+def shift_left(sums: np.ndarray) -> np.ndarray:
+    """Sums of codes that move one place to the left."""
+    return sums * _POWERS.get(2)[1][1]
+
+
+def to_origin(sums: np.ndarray, start: int) -> np.ndarray:
+    """Position-free form of sums whose first code stands at ``start``."""
+    return sums * _POWERS.get(start + 1)[1][start]
+
+
 def words(data: np.ndarray, offsets: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, hash, first) of the words of the texts data[offsets[i]:offsets[i+1]].
 
@@ -141,3 +151,12 @@ def shingles(h: np.ndarray, width: int) -> np.ndarray:
 def text_shingles(h: np.ndarray, width: int) -> np.ndarray:
     """Shingles of one text; with fewer words than ``width`` the whole sequence is one."""
     return shingles(h, min(width, len(h))) if len(h) else np.zeros(0, dtype=np.uint64)
+
+
+def shingle_sets(column: pa.Array, tables, width: int) -> Iterator[np.ndarray]:
+    """Per text of a string column: its distinct shingles in ascending order."""
+    data, offsets = text_buffer(column)
+    for a, b in slices(offsets):
+        _, _, h, first = words(data, offsets[a:b + 1], tables)
+        for i in range(b - a):
+            yield np.unique(text_shingles(h[first[i]:first[i + 1]], width))
