@@ -12,7 +12,7 @@ from quarry.functions.text import first_nonblank, nonblank, pystrip
 
 # Frequency codes and their names; tag length limits; api prefix.
 FREQ_MAP = {"A": "annual", "Q": "quarterly", "M": "monthly", "W": "weekly", "D": "daily"}
-FREQ_PATTERN = r"(?i)FREQUENCY\s*=\s*([AQMWD])"
+FREQ_PATTERN = r"(?iuU)FREQUENCY\s*=\s*([AQMWD])"
 TAG_PART_MAX = 64
 TAG_TEXT_MAX = 100
 API_PREFIX = "http://data.api.abs.gov.au/data/"

@@ -21,11 +21,11 @@ MONTHS = ("January", "February", "March", "April", "May", "June", "July", "Augus
           "September", "October", "November", "December")
 YEAR_MIN, YEAR_MAX = 1990, 2030
 _MON = "|".join(MONTHS)
-P_YMD = r"(?i)\b(\d{4}[-/]\d{1,2}[-/]\d{1,2})\b"
-P_DMY = r"(?i)\b(\d{1,2}[-/]\d{1,2}[-/]\d{4})\b"
-P_YEAR = r"(?i)\b(\d{4})\b"
-P_MON_YEAR = rf"(?i)\b({_MON})\s+(\d{{4}})\b"
-P_DAY_MON_YEAR = rf"(?i)\b(\d{{1,2}})\s+({_MON})\s+(\d{{4}})\b"
+P_YMD = r"(?iuU)\b(\d{4}[-/]\d{1,2}[-/]\d{1,2})\b"
+P_DMY = r"(?iuU)\b(\d{1,2}[-/]\d{1,2}[-/]\d{4})\b"
+P_YEAR = r"(?iuU)\b(\d{4})\b"
+P_MON_YEAR = rf"(?iuU)\b({_MON})\s+(\d{{4}})\b"
+P_DAY_MON_YEAR = rf"(?iuU)\b(\d{{1,2}})\s+({_MON})\s+(\d{{4}})\b"
 
 
 def _c(x) -> Column:
@@ -60,16 +60,16 @@ def extract_dates(text) -> Column:
                       _ymd(F.regexp_extract(s, p, 5), F.regexp_extract(s, p, 3), F.regexp_extract(s, p, 1)))
 
     def year(s):
-        y = s.cast("int")
+        y = s.try_cast("int")
         return F.when((y >= YEAR_MIN) & (y <= YEAR_MAX), s)
 
     def mon_year(s):
-        p = rf"(?i)^({_MON})\s+(\d{{4}})$"
+        p = rf"(?iuU)^({_MON})\s+(\d{{4}})$"
         return F.concat(F.regexp_extract(s, p, 2), F.lit("-"),
                         F.lpad(_month_num(F.regexp_extract(s, p, 1)), 2, "0"))
 
     def day_mon_year(s):
-        p = rf"(?i)^(\d{{1,2}})\s+({_MON})\s+(\d{{4}})$"
+        p = rf"(?iuU)^(\d{{1,2}})\s+({_MON})\s+(\d{{4}})$"
         return _ymd(F.regexp_extract(s, p, 3), _month_num(F.regexp_extract(s, p, 2)),
                     F.regexp_extract(s, p, 1))
 
@@ -94,7 +94,7 @@ def pick_date(dates, current_year: int | None = None) -> Column:
     hi = cy + 1
 
     def ok(x):
-        y = F.substring(x, 1, 4).cast("int")
+        y = F.substring(x, 1, 4).try_cast("int")
         return ((F.length(x) == 4) | x.rlike(r"^\d{4}-\d{2}-\d{2}$")) & (y >= YEAR_MIN) & (y <= hi)
 
     return F.array_max(F.filter(_c(dates), ok))

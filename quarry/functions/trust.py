@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Claim patterns and trust weights, as the reference defines them.
-CLAIM_PATTERN = (r"(?i)\b\d+(?:\.\d+)?(?:\s*[%$]|\s*(?:million|billion|thousand|index|rate|percent))\b")
-MASK_PATTERN = r"(?i)\b\d+(?:\.\d+)?(?:\s*[%$]|\s*(?:million|billion|thousand))\b"
+# Claim patterns and trust weights, as the reference defines them
+# (Unicode digits, blanks and word borders).
+CLAIM_PATTERN = (r"(?iuU)\b\d+(?:\.\d+)?(?:\s*[%$]|\s*(?:million|billion|thousand|index|rate|percent))\b")
+MASK_PATTERN = r"(?iuU)\b\d+(?:\.\d+)?(?:\s*[%$]|\s*(?:million|billion|thousand))\b"
 MASK_TEXT = "[data available]"
 WEIGHTS = (("grounding", 0.30), ("provenance", 0.20), ("retrieval", 0.20),
            ("verification", 0.20), ("recency", 0.10))

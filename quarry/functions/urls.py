@@ -152,9 +152,13 @@ def parse_length(x) -> Column:
     return _c(x).try_cast("bigint")
 
 
+def unquote(x: Column) -> Column:
+    """Percent escapes decoded ('+' is a blank); a '%' that starts no escape stays."""
+    return F.coalesce(F.try_url_decode(F.regexp_replace(x, "%(?![0-9A-Fa-f]{2})", "%25")), x)
+
+
 def _qs_decode(x: Column) -> Column:
-    dec = F.try_url_decode(x)
-    return F.coalesce(dec, F.regexp_replace(x, r"\+", " "))
+    return unquote(x)
 
 
 def _qs_encode(x: Column) -> Column:

@@ -8,8 +8,8 @@ opt-in approximate form for corpora where ``n_queries x n_vectors`` is too much.
 * ``search``: each query probes its ``nprobe`` nearest lists.  Lists are cut
   into sub-blocks of at most ``block_rows`` vectors (a list holding a third of
   the corpus becomes many blocks), queries are replicated to the sub-blocks of
-  the lists they probe, and each (list, sub-block) cogroup runs the same
-  matmul + running top-k as the exact search, emitting ``k`` rows per query.
+  the lists they probe, and each (list, sub-block) cogroup runs the same block
+  solver as the exact search, emitting ``k`` rows per query.
 """
 
 from __future__ import annotations
@@ -18,14 +18,15 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import vectors as vx
-from quarry.operators.knn import _prep, _TopK
+from quarry.operators.knn import arrow_type, block_solver, prepared, ranked
 
 
 def _unit(col):
@@ -58,8 +59,7 @@ def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: in
     def nearest_lists(v: pd.Series) -> pd.Series:
         c = bc.value
         m = np.vstack([np.asarray(x, dtype=np.float64) for x in v]) if len(v) else np.zeros((0, c.shape[1]))
-        m, _ = _prep(m, "cosine")
-        s = m @ c.T
+        s = prepared(m, "cosine") @ c.T
         idx = np.argsort(-s, axis=1, kind="stable")[:, :probe]
         return pd.Series([row.tolist() for row in idx])
 
@@ -77,21 +77,11 @@ def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: in
     out_schema = T.StructType([T.StructField("qid", qid_t), T.StructField("id", id_t),
                                T.StructField("rv", T.DoubleType())])
 
-    def run(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(cpdf) == 0 or len(qpdf) == 0:  # object dtype: empty string ids convert cleanly
-            return pd.DataFrame({c_: pd.Series([], dtype=object) for c_ in ("qid", "id", "rv")})
-        q_mat, q_sq = _prep(np.vstack([np.asarray(v, dtype=np.float64) for v in qpdf["qvec"]]), "cosine")
-        c_mat, c_sq = _prep(np.vstack([np.asarray(v, dtype=np.float64) for v in cpdf["vec"]]), "cosine")
-        top = _TopK(qpdf["qid"].to_numpy(), q_mat, q_sq, k, "cosine", exclude_self)
-        top.add(cpdf["id"].to_numpy(), c_mat, c_sq)
-        qs, ids, vals, _ = top.rows()
-        return pd.DataFrame({"qid": qs, "id": ids, "rv": vals})
-
-    cand = a.groupBy("list_id", "sub").cogroup(q.groupBy("list_id", "sub")).applyInPandas(run, out_schema)
+    arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in out_schema.fields])
+    cand = a.groupBy("list_id", "sub").cogroup(q.groupBy("list_id", "sub")).applyInArrow(
+        block_solver(k, "cosine", exclude_self, arrow), out_schema)
     # A vector sits in one list, so a (query, id) pair is scored once.
-    w = Window.partitionBy("qid").orderBy(F.col("rv").desc(), F.col("id").asc())
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
-        .select("qid", "rank", "id", F.col("rv").alias("score"))
+    return ranked(cand, k).withColumnRenamed("rv", "score")
 
 
 def recall(approx: DataFrame, exact: DataFrame) -> DataFrame:

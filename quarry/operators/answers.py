@@ -29,15 +29,14 @@ def store_search(queries: DataFrame, collection: DataFrame, k: int, *,
     """Nearest ``k`` by squared L2 with metadata and store score.
 
     Returns ``(qid, rank, id, distance, similarity_score, title, ...)``.
-    The metadata rides along with the winners inside the top-k, so the
-    collection is scanned once and never joined again.  ``fields`` narrows the
-    metadata carried (default: every hit field); the Python stage is opaque to
-    column pruning, so asking for less keeps wide columns out of the scan.
+    The search itself sees ids and vectors only; the winners' metadata is joined
+    to them afterwards (``fields`` narrows it; default: every hit field).
     """
     carry = [f for f in (fields if fields is not None else HIT_FIELDS) if f != "id"]
     top = knn(queries, collection, k, query_id=qid, query_vec=qvec, id_col="id",
-              vec_col="embedding", metric="l2sq", exclude_self=exclude_self, payload=carry)
-    return top.withColumn("similarity_score", vx.store_score("distance"))
+              vec_col="embedding", metric="l2sq", exclude_self=exclude_self)
+    named = top.join(collection.select("id", *carry), "id") if carry else top
+    return named.withColumn("similarity_score", vx.store_score("distance"))
 
 
 def _hits_by_query(hits: DataFrame) -> DataFrame:

@@ -36,8 +36,8 @@ def unwrap_flows(files: DataFrame, json_col: str = "json") -> DataFrame:
 
     ``data.dataflows`` if it is a list; else the first list among the fallback
     keys; else a root list; else the root object itself.  An empty chosen list
-    yields no row (the reference turns that wrapper into one blank flow; see
-    README).
+    counts as none found: the root object is the one flow (an empty root list
+    yields no row).
     """
     v = F.col(json_col)
 
@@ -45,11 +45,12 @@ def unwrap_flows(files: DataFrame, json_col: str = "json") -> DataFrame:
         return F.try_variant_get(v, path, "array<variant>")
 
     data_ok = _kind(F.try_variant_get(v, "$.data", "variant")).startswith("OBJECT")
-    chosen = F.when(data_ok & as_list("$.data.dataflows").isNotNull(), as_list("$.data.dataflows"))
+    found = F.when(data_ok & as_list("$.data.dataflows").isNotNull(), as_list("$.data.dataflows"))
     for k in FALLBACK_LIST_KEYS:
-        chosen = chosen.when(_kind(v).startswith("OBJECT") & as_list(f"$.{k}").isNotNull(), as_list(f"$.{k}"))
-    chosen = chosen.when(_kind(v).startswith("ARRAY"), as_list("$")) \
-        .when(_kind(v).startswith("OBJECT"), F.array(v))
+        found = found.when(_kind(v).startswith("OBJECT") & as_list(f"$.{k}").isNotNull(), as_list(f"$.{k}"))
+    root = _kind(v).startswith("OBJECT")
+    chosen = F.when(_kind(v).startswith("ARRAY"), as_list("$")) \
+        .when(root & (F.size(F.coalesce(found, F.array())) == 0), F.array(v)).when(root, found)
     return files.where(v.isNotNull()).select("path", F.posexplode(chosen).alias("pos", "flow"))
 
 

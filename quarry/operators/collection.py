@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from quarry.functions import text as tx
 from quarry.functions import vectors as vx
+from quarry.session import materialize
 from quarry.sources.vectors import read_vectors, write_vectors  # noqa: F401
 
 META_FIELDS = ("title", "description", "agency", "api_url", "url", "tags")
@@ -49,12 +50,13 @@ def subset(vectors: DataFrame, ids: DataFrame, id_col: str = "id", ids_col: str
     return vectors.join(ids.select(F.col(ids_col).alias(id_col)), id_col, "left_semi")
 
 
-def lookup(ids: DataFrame, table: DataFrame, id_col: str = "id") -> DataFrame:
-    """G9 / G11 / J2 batch form: left join, with a ``found`` flag; first row per id."""
+def lookup(ids: DataFrame, table: DataFrame, id_col: str = "id", order_cols: tuple[str, ...] = ()) -> DataFrame:
+    """G9 / G11 / J2 batch form: left join, with a ``found`` flag; first row per id by
+    ``order_cols`` (default: the values of all other columns that can be ordered)."""
     # First row per id as an aggregate (combined map-side: a hot id is never one task's group).
     others = [c for c in table.columns if c != id_col]
-    first = table.withColumn("_o", F.monotonically_increasing_id()).groupBy(id_col) \
-        .agg(F.min_by(F.struct(*[F.col(c) for c in others]), F.col("_o")).alias("_r")) \
+    order = F.struct(*[F.col(c) for c in (order_cols or others)])
+    first = table.groupBy(id_col).agg(F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("_r")) \
         .select(id_col, *[F.col(f"_r.{c}").alias(c) for c in others]).withColumn("_found", F.lit(True))
     out = ids.join(first, id_col, "left")
     return out.withColumn("found", F.coalesce(F.col("_found"), F.lit(False))).drop("_found")
@@ -123,14 +125,16 @@ def head_tail(vectors: DataFrame, id_col: str = "id", vec_col: str = "embedding"
 def with_row_index(df: DataFrame, order_cols: list[str], name: str = "row_index") -> DataFrame:
     """Consecutive 0-based index in ``order_cols`` order without a one-task window.
 
-    Range-partitioned sort, then ``zipWithIndex`` (one small job counts rows per
-    partition; indices are assigned in place).
+    The rows are range-partitioned and sorted, written once, numbered inside their
+    range, and shifted by the sizes of the ranges before (one row per range).
     """
-    spark = df.sparkSession
-    ordered = df.orderBy(*order_cols)
-    schema = T.StructType(ordered.schema.fields + [T.StructField(name, T.LongType(), False)])
-    rdd = ordered.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
-    return spark.createDataFrame(rdd, schema)
+    ranges = materialize(df.repartitionByRange(*order_cols).withColumn("_range", F.spark_partition_id()))
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols)) - 1
+    return ranges.withColumn("_i", inside).join(F.broadcast(starts), "_range") \
+        .select(*df.columns, (F.col("_start") + F.col("_i")).cast("bigint").alias(name))
 
 
 def batches(df: DataFrame, order_cols: list[str], batch_size: int) -> DataFrame:
@@ -151,21 +155,17 @@ def first_dimension(vectors: DataFrame, vec_col: str = "embedding") -> int:
     return int(row["d"]) if row else 0
 
 
-def matrix_batches(vectors: DataFrame, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """Per Arrow batch, the (ids, matrix) view -- summarised as rows x dims per batch.
+def wide_blocks(vectors: DataFrame, id_col: str = "id", vec_col: str = "embedding", rows: int = 1024) -> DataFrame:
+    """The vectors as row-major matrix blocks of at most about ``rows`` rows each.
 
-    The matrix is never collected whole; each task stacks its own batches.
+    One row per (dimension, block): ids in order and their components, concatenated.
+    Null and empty vectors take no part; blocks are made by hash, so no task holds more
+    than its blocks.
     """
-    import numpy as np
-    import pandas as pd
-
-    def run(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            m = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-            yield pd.DataFrame({"first_id": [pdf[id_col].min()], "rows": [m.shape[0]],
-                                "dims": [m.shape[1]]})
-
-    t = vectors.schema[id_col].dataType.simpleString()
-    return vectors.select(id_col, vec_col).mapInPandas(run, f"first_id {t}, rows long, dims long")
+    v = vectors.where(F.size(vec_col) > 0).select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    n = v.count()
+    block = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // rows)))).cast("int")
+    packed = v.groupBy(F.size("v").alias("dims"), block.alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("id", "v"))).alias("_r"))
+    return packed.select("dims", "block", F.size("_r").alias("rows"), F.col("_r.id").alias("ids"),
+                         F.flatten("_r.v").alias("values"))

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from quarry.functions import dates as dx
 from quarry.functions import urls as ux
-from quarry.session import bucket, materialize
+from quarry.session import bucket, materialize, scratch_path
 from quarry.sources.sinks import FILE_HIT_COLUMNS, write_file_hits  # noqa: F401
 
 # User agents matched against robots groups (agent-specific groups apply by name).
@@ -60,20 +60,26 @@ def seeds_frame(spark: SparkSession, seeds: str | Iterable[str], normalise: str
 
 # ----------------------------------------------------------------- robots
 
-def _can_fetch(status, body, url, agent, on_missing: str) -> bool:
-    rp = RobotFileParser()
+RULES = "array<struct<pattern:string,allow:boolean>>"
+
+
+def _rules(status, body, agent: str, on_missing: str) -> list[tuple[str, bool]]:
+    """Ordered (path prefix, allowed) rules of one robots file for ``agent``; the
+    first that a path starts with decides, none: allowed."""
+    everything = [("", False)]
     if status is None or pd.isna(status):
-        return on_missing == "allow"
+        return [] if on_missing == "allow" else everything
     status = int(status)
     if status in (401, 403):
-        rp.disallow_all = True
-    elif 400 <= status < 500:
-        rp.allow_all = True
-    elif 200 <= status < 300:
-        rp.parse((body or "").splitlines())
-    else:
-        return on_missing == "allow"
-    return rp.can_fetch(agent, url)
+        return everything
+    if 400 <= status < 500:
+        return []
+    if not 200 <= status < 300:
+        return [] if on_missing == "allow" else everything
+    parser = RobotFileParser()
+    parser.parse((body or "").splitlines())
+    entry = next((e for e in parser.entries if e.applies_to(agent)), parser.default_entry)
+    return [] if entry is None else [("" if r.path == "*" else r.path, r.allowance) for r in entry.rulelines]
 
 
 def robots_allowed(urls: DataFrame, robots: DataFrame | None, url_col: str, agent: str, *,
@@ -83,32 +89,37 @@ def robots_allowed(urls: DataFrame, robots: DataFrame | None, url_col: str, agen
     ``robots`` has ``origin, status, body`` (one row per origin; no row = the
     file could not be read).  Origin is ``scheme://host`` or just ``host``.
     ``on_missing='block'`` is what an unread parser does; ``'allow'`` is the
-    documented intent.
+    documented intent.  A file is parsed once per origin into rules; urls only
+    meet their origin's few rules, matched as Spark expressions.
     """
     if robots is None:
         return urls.withColumn("robots_ok", F.lit(True))
     key = F.concat(ux.scheme(url_col), F.lit("://"), ux.netloc(url_col)) if origin == "scheme_host" \
         else ux.netloc(url_col)
-    r = robots.select(F.col("origin").alias("_origin"), F.col("status").alias("_rstatus"),
-                      F.col("body").alias("_rbody"))
-    j = urls.withColumn("_origin", key).join(r, "_origin", "left")
-
-    @F.pandas_udf(T.BooleanType())
-    def ok(status: pd.Series, body: pd.Series, url: pd.Series) -> pd.Series:
-        cache: dict = {}
-        out = []
-        for s, b, u in zip(status, body, url):
-            k = (None if s is None or pd.isna(s) else int(s), b)
-            if k not in cache:
-                cache[k] = {}
-            memo = cache[k]
-            if u not in memo:
-                memo[u] = _can_fetch(k[0], b, u, agent, on_missing)
-            out.append(memo[u])
-        return pd.Series(out, dtype=bool)
-
-    return j.withColumn("robots_ok", ok("_rstatus", "_rbody", F.col(url_col))) \
-        .drop("_origin", "_rstatus", "_rbody")
+
+    @F.pandas_udf(RULES)
+    def rules(status: pd.Series, body: pd.Series) -> pd.Series:
+        return pd.Series([[{"pattern": p, "allow": a} for p, a in _rules(s, b, agent, on_missing)]
+                          for s, b in zip(status, body)], dtype=object)
+
+    parsed = robots.select(F.col("origin").alias("_origin"), rules("status", "body").alias("_rules"))
+    missing = F.array() if on_missing == "allow" else F.array(F.struct(F.lit("").alias("pattern"), F.lit(False).alias("allow")))
+    path = robots_path(url_col)
+    decided = F.filter("_rules", lambda r: path.startswith(r["pattern"]))
+    return urls.withColumn("_origin", key).join(parsed, "_origin", "left") \
+        .withColumn("_rules", F.coalesce("_rules", missing.cast(RULES))) \
+        .withColumn("robots_ok", F.coalesce(F.try_element_at(decided, F.lit(1))["allow"], F.lit(True))) \
+        .drop("_origin", "_rules")
+
+
+def robots_path(url) -> F.Column:
+    """What follows a url's host as robots rules see it: unquoted, then quoted again
+    but for '/' ('/' if there is nothing)."""
+    rest = F.regexp_extract(F.col(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?(.*)", 1)
+    plain = ux.unquote(F.regexp_replace(rest, r"\+", "%2B"))
+    quoted = F.regexp_replace(F.regexp_replace(F.url_encode(plain), r"\+", "%20"), r"\*", "%2A")
+    quoted = F.replace(F.replace(quoted, F.lit("%2F"), F.lit("/")), F.lit("%7E"), F.lit("~"))
+    return F.when(quoted == "", F.lit("/")).otherwise(quoted)
 
 
 # ----------------------------------------------------------------- helpers
@@ -139,6 +150,64 @@ def _prune(table: DataFrame, present: list[int] | None) -> DataFrame:
     return table if present is None else table.where(F.col("_b").isin(present))
 
 
+class Frontier:
+    """The levels of a breadth-first walk, each a written table (url, depth, seq).
+
+    ``seen`` reads all levels' files as one scan, so the plan of a level does not
+    grow with the depth.
+    """
+
+    def __init__(self, first: DataFrame, schema: str) -> None:
+        self.spark, self.schema = first.sparkSession, schema
+        self.paths: list[str] = []
+        self.levels: list[DataFrame] = []
+        self.advance(first)
+
+    def advance(self, level: DataFrame) -> None:
+        sizes: list[int] = []
+        self.paths.append(scratch_path(self.spark))
+        self.frame = materialize(level, counter=sizes, path=self.paths[-1])
+        self.size = sizes[-1]
+
+    def seen(self) -> DataFrame:
+        return self.spark.read.schema("url string").parquet(*self.paths)
+
+    def found(self) -> DataFrame:
+        """Every visited page (the kept part of each level)."""
+        out = self.spark.createDataFrame([], self.schema)
+        for level in self.levels:
+            out = out.unionByName(level)
+        return out
+
+
+class Quota:
+    """An optional page cap in queue order.
+
+    Frontier sizes bound the pages from above, so pages are only counted once the
+    cap can bind.
+    """
+
+    def __init__(self, limit: int | None) -> None:
+        self.limit, self.used, self.exact = limit, 0, False
+
+    def take(self, pages: DataFrame, at_most: int, count_before) -> str | None:
+        """Order key of the last page allowed in this level, or None if all are."""
+        if self.limit is None:
+            return None
+        if not self.exact and self.used + at_most >= self.limit:
+            self.used, self.exact = count_before(), True
+        if not self.exact:
+            self.used += at_most
+            return None
+        n = pages.count()
+        last = _cap_seq(pages, n, self.limit - self.used)
+        self.used += n if last is None else self.limit - self.used
+        return last
+
+    def spent(self) -> bool:
+        return self.limit is not None and self.exact and self.used >= self.limit
+
+
 def _cap_seq(df: DataFrame, n_rows: int, remaining: int) -> str | None:
     """Key of the ``remaining``-th row in key order (distributed top-N), or None
     when the level has no more rows than that."""
@@ -152,7 +221,7 @@ def _cap_seq(df: DataFrame, n_rows: int, remaining: int) -> str | None:
 def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: DataFrame,
                 robots: DataFrame | None = None, *, scope_suffix: str | tuple[str, ...] = "gov.au",
                 same_domain_only: bool = False, allow_zip: bool = False,
-                max_pages: int = 500, max_files: int = 500, user_agent: str = FILES_USER_AGENT,
+                max_pages: int | None = None, max_files: int | None = None, user_agent: str = FILES_USER_AGENT,
                 on_missing_robots: str = "block", current_year: int | None = None,
                 discovered_at: F.Column | None = None) -> tuple[DataFrame, DataFrame]:
     """M1/M2: breadth-first crawl collecting data-file hits.
@@ -163,9 +232,10 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
     ``link, content_type, content_length`` (J9; a missing row = failed probe).
     Returns (pages processed with depth and seq, file hits).
 
-    Everything that depends on one url only (scope, robots, html type, data-file
-    test, the probe join) is computed once over the snapshot before the loop;
-    a level is then three joins on small frames.
+    ``max_pages`` and ``max_files`` are optional caps in queue order; None (the
+    default) walks everything reachable.  Everything that depends on one url only
+    (scope, robots, html type, data-file test, the probe join) is computed once
+    over the snapshot before the loop; a level is then three joins on small frames.
     """
     spark = seeds.sparkSession
     seed_hosts = seeds.select(ux.netloc("url").alias("h")).distinct()
@@ -195,54 +265,34 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
     ok_docs, data, follow = materialize_all([(ok_docs, "url", nb), (data, "src", nb), (follow, "src", nb)])
     ok_keys = ok_docs.select("_b", "url")
 
-    # One write per level (the next frontier) and one count of it.  The page
-    # cap can only bind once pages-so-far + frontier size reach it, so exact
-    # page counts are taken only from then on.  A small frontier's bucket ids
-    # prune the bucketed snapshot and edge tables.
-    sizes: list[int] = []
-    frontier = materialize(seeds.select("url", F.lit(0).alias("depth"), "seq"), counter=sizes)
-    n_front = sizes[-1]
-    seen = frontier.select("url")
-    levels: list[DataFrame] = []
-    pages_done = 0          # exact once ``exact`` is set, else an upper bound
-    exact = False
-    while n_front > 0:
-        keyed = frontier.withColumn("_b", bucket("url", nb))
-        present = _present_buckets(keyed, n_front, nb)
+    # One write per level (the next frontier), counted by the write.  A small
+    # frontier's bucket ids prune the bucketed snapshot and edge tables.
+    walk = Frontier(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url string, depth int, seq string")
+    quota = Quota(max_pages)
+    while walk.size > 0:
+        keyed = walk.frame.withColumn("_b", bucket("url", nb))
+        present = _present_buckets(keyed, walk.size, nb)
         pages = keyed.join(_prune(ok_keys, present), ["_b", "url"])
-        if not exact and pages_done + n_front >= max_pages:
-            pages_done = _union(spark, levels, "url string, depth int, seq string").count() if levels else 0
-            exact = True
-        if exact:
-            n_ok = pages.count()
-            cap = _cap_seq(pages, n_ok, max_pages - pages_done)
-            if cap is not None:
-                pages = pages.where(F.col("seq") <= cap)
-                n_ok = max_pages - pages_done
-        else:
-            n_ok = n_front  # upper bound; the cap cannot bind in this level
-        levels.append(pages.select("url", "depth", "seq"))
-        pages_done += n_ok
-        if exact and pages_done >= max_pages:
+        last = quota.take(pages, walk.size, lambda: walk.found().count())
+        if last is not None:
+            pages = pages.where(F.col("seq") <= last)
+        walk.levels.append(pages.select("url", "depth", "seq"))
+        if quota.spent():
             break
         # Followable links never enqueued before, first by (page seq, pos).
         src = pages.select("_b", F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth")
         nxt = _prune(follow, present).join(src, ["_b", "src"]) \
-            .join(seen.select(F.col("url").alias("dst")), "dst", "left_anti")
-        first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "pos", "depth")).alias("_o")) \
-            .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
-                    order_key(F.col("_o.page_seq"), F.col("_o.pos")).alias("seq"))
-        frontier = materialize(first, counter=sizes)
-        n_front = sizes[-1]
-        seen = seen.unionByName(frontier.select("url"))
-
-    order = _union(spark, levels, "url string, depth int, seq string")
+            .join(walk.seen().select(F.col("url").alias("dst")), "dst", "left_anti")
+        walk.advance(nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "pos", "depth")).alias("_o"))
+                     .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
+                             order_key(F.col("_o.page_seq"), F.col("_o.pos")).alias("seq")))
+
+    order = walk.found()
     # File hits of all crawled pages in FIFO order; the file cap (checked before each
     # page and after each hit) keeps the first ``max_files`` and drops later pages.
     hits_all = data.drop("_b").join(order.select(F.col("url").alias("src"), F.col("depth").alias("page_depth"),
                                       F.col("seq").alias("page_seq")), "src")
-    n_hits = hits_all.count()
-    if n_hits >= max_files:
+    if max_files is not None and hits_all.count() >= max_files:
         hits_all = materialize(hits_all.orderBy("page_depth", "page_seq", "pos").limit(max_files))
         last = hits_all.orderBy(F.col("page_depth").desc(), F.col("page_seq").desc()).first()
         order = order.where((F.col("depth") < last["page_depth"]) |
@@ -261,19 +311,10 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
     return pages_all.select("url", "depth", "seq", "title", "description", "tags", "data_collected_date"), file_hits
 
 
-def _union(spark, frames: list[DataFrame], schema: str | None):
-    if not frames:
-        return spark.createDataFrame([], schema) if schema else None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 # ------------------------------------------------------ M3: chunk crawl
 
 def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: DataFrame | None = None, *,
-                 allowed_domains=None, max_pages: int = 300, max_depth: int = 4,
+                 allowed_domains=None, max_pages: int | None = None, max_depth: int | None = None,
                  user_agent: str = CHUNKS_USER_AGENT, on_missing_robots: str = "block",
                  chunk_size: int = 1400, chunk_overlap: int = 200) -> tuple[DataFrame, DataFrame]:
     """M3: depth-limited BFS with a host allow-list; returns (visited urls, K3 rows).
@@ -281,7 +322,8 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
     ``seeds``: canonical ``url, seq``.  ``docs``: snapshot keyed by ``url`` with
     ``status, content_type, final_url`` and the extracted fields.  ``links``:
     ``src, dst`` canonical body links (E6); a page's links are followed in
-    sorted order (the reference iterates an unordered set).  Binary links are
+    sorted order (the reference iterates an unordered set).  ``max_pages`` and
+    ``max_depth`` are optional limits (None: everything reachable).  Binary links are
     recorded without a fetch; non-html responses get a row; html pages are
     counted against ``max_pages`` in FIFO order and chunked (L2).
     ``allowed_domains``: None (the seeds' hosts), a list, or a DataFrame ``host``.
@@ -309,48 +351,31 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
     follow = materialize(admissible(links.select("src", "dst"), "dst"), "src", nb)
     kinds = classified.select("_b", "url", F.col("source_type").alias("kind"))
 
-    sizes: list[int] = []
-    frontier = materialize(admissible(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url"), counter=sizes)
-    n_front = sizes[-1]
-    seen = seeds.select("url")
-    levels: list[DataFrame] = []
-    done = 0                # exact once ``exact`` is set, else an upper bound
-    exact = False
-    while n_front > 0:
-        keyed = frontier.withColumn("_b", bucket("url", nb))
-        present = _present_buckets(keyed, n_front, nb)
+    walk = Frontier(admissible(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url"),
+                    "url string, depth int, seq string, kind string")
+    quota = Quota(max_pages)
+    while walk.size > 0:
+        keyed = walk.frame.withColumn("_b", bucket("url", nb))
+        present = _present_buckets(keyed, walk.size, nb)
         flagged = keyed.join(_prune(kinds, present), ["_b", "url"], "left") \
             .withColumn("kind", F.when(ux.is_binary_link("url"), F.lit("binary")).otherwise(F.col("kind")))
         html = flagged.where(F.col("kind") == "html")
-        if not exact and done + n_front >= max_pages:
-            done = _union(spark, levels, "url string, depth int, seq string, kind string") \
-                .where(F.col("kind") == "html").count() if levels else 0
-            exact = True
-        level = flagged
-        if exact:
-            n_html = html.count()
-            cap = _cap_seq(html, n_html, max_pages - done)
-            if cap is not None:
-                level = flagged.where(F.col("seq") <= cap)
-                n_html = max_pages - done
-        else:
-            n_html = n_front
-        levels.append(level.drop("_b"))
-        done += n_html
-        if exact and done >= max_pages:
+        last = quota.take(html, walk.size, lambda: walk.found().where(F.col("kind") == "html").count())
+        level = flagged if last is None else flagged.where(F.col("seq") <= last)
+        walk.levels.append(level.drop("_b"))
+        if quota.spent():
             break
-        pages = level.where((F.col("kind") == "html") & (F.col("depth") < max_depth))
+        pages = level.where(F.col("kind") == "html")
+        if max_depth is not None:
+            pages = pages.where(F.col("depth") < max_depth)
         src = pages.select("_b", F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth")
         nxt = _prune(follow, present).join(src, ["_b", "src"]) \
-            .join(seen.select(F.col("url").alias("dst")), "dst", "left_anti")
+            .join(walk.seen().select(F.col("url").alias("dst")), "dst", "left_anti")
         # A page's links are followed in sorted order: the key is parent key + SEP + url.
-        first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "depth")).alias("_o")) \
-            .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
-                    F.concat(F.col("_o.page_seq"), F.lit(KEY_SEP), F.col("dst")).alias("seq"))
-        frontier = materialize(first, counter=sizes)
-        n_front = sizes[-1]
-        seen = seen.unionByName(frontier.select("url"))
-    visited = _union(spark, levels, "url string, depth int, seq string, kind string")
+        walk.advance(nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "depth")).alias("_o"))
+                     .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
+                             F.concat(F.col("_o.page_seq"), F.lit(KEY_SEP), F.col("dst")).alias("seq")))
+    visited = walk.found()
     classified = classified.drop("_b")
     html_pages = visited.where(F.col("kind") == "html").select("url", "depth", "seq").join(classified, "url")
     chunks = page_chunks(html_pages, depth=F.col("depth"), max_chars=chunk_size, overlap=chunk_overlap,

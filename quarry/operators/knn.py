@@ -1,308 +1,154 @@
 """Exact k-nearest-neighbour search.
 
-Plan shape
-----------
-* **Small query side (size checked)**: the query matrix is broadcast once;
-  every corpus partition runs an Arrow batch matmul and keeps a running exact
-  top-k per query (strict order: score desc, id asc), so a partition emits at
-  most ``k * n_queries`` rows no matter how large it is.  A final
-  ``row_number`` window (planned as ``WindowGroupLimit`` partial + final)
-  merges partitions.
-* **Large query side**: beyond the broadcast bound, queries and corpus are
-  cut into hash blocks; the corpus is replicated once per query block and the
-  pairs of blocks are cogrouped.  Each cogroup holds one corpus block and one
-  query block, runs the same matmul + top-k, and emits ``k`` rows per query.
-  Exact, and nothing unbounded is ever held by one task or by the driver.
-
-Ranking value per metric: ``cosine`` and ``dot`` rank by the score, ``l2sq``
-ranks by the negated squared distance; the output always carries ``score``
-(cosine/dot) or ``distance`` (l2sq).
+Queries and corpus are cut into hash blocks of bounded bytes, both sides; every
+(query block, corpus block) pair meets in one cogroup, which multiplies the
+blocks in row chunks and keeps each query's k best, so a task's memory does not
+depend on the sizes of either side.  A ``row_number`` window (planned as
+``WindowGroupLimit`` before and after the shuffle) merges the blocks.  Only ids
+and vectors take part; attributes of the winners are joined to them afterwards
+(``answers.store_search``).
+
+The product only preselects: whatever could be among the k best in spite of
+rounding is scored again, row by row, so a pair has one score wherever it is
+computed, and ties go to the smaller id.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import materialize, spread
+from quarry.session import materialize
 
-# Bytes of query vectors we allow to broadcast to every task.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-# Query columns handled per matmul chunk inside a task (bounds memory).
-_Q_CHUNK = 1024
+#: Bytes of vectors (as doubles) in one block of either side.
+DEFAULT_BLOCK_BYTES = 32 * 1024 * 1024
+#: Rows of the corpus and queries multiplied at once inside a block.
+_ROWS, _QUERIES = 8192, 1024
+#: Corpus rows that are worth a block of their own, so that small inputs use all cores.
+_LEAST_ROWS = 256
 
 
-def _matrix(list_array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """list<float> Arrow column -> (rows x d float64 matrix, valid mask)."""
-    valid = ~np.asarray(list_array.is_null().to_numpy(zero_copy_only=False), dtype=bool)
-    if isinstance(list_array, pa.ChunkedArray):
-        list_array = list_array.combine_chunks()
-    lengths = np.asarray(list_array.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    d = int(lengths[valid].max()) if valid.any() else 0
-    out = np.zeros((len(list_array), d), dtype=np.float64)
-    if d == 0:
-        return out, valid & (lengths > 0)
-    ok = valid & (lengths == d)
-    if ok.all():
-        flat = list_array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        out[:] = flat.reshape(-1, d)
-    else:
-        for i, v in enumerate(list_array.to_pylist()):
-            if v is not None and len(v) == d:
-                out[i] = v
-    return out, ok
+def matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows x dim matrix of the vectors of that dimension, their row numbers)."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = column.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    fit = np.flatnonzero(sizes == dim)
+    flat = column.take(pa.array(fit)).flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64).reshape(len(fit), dim), fit
 
 
-def _prep(mat: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
-    sq = np.einsum("ij,ij->i", mat, mat)
-    if metric == "cosine":
-        nrm = np.sqrt(sq)
-        safe = np.where(nrm == 0, 1.0, nrm)
-        return mat / safe[:, None], sq
-    return mat, sq
+def prepared(vectors: np.ndarray, metric: str) -> np.ndarray:
+    """Unit vectors for cosine (a zero vector stays), others as they are."""
+    if metric != "cosine":
+        return vectors
+    norm = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+    return vectors / np.where(norm == 0, 1.0, norm)
 
 
-def _rank_values(c_mat, c_sq, q_mat, q_sq, metric):
-    s = c_mat @ q_mat.T  # rows x queries
+def _exact(c: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
+    """Ranking value of each row with one query; a row's value does not depend on the others."""
     if metric == "l2sq":
-        d = c_sq[:, None] + q_sq[None, :] - 2.0 * s
-        return -np.maximum(d, 0.0)
-    return s
-
-
-def _topk_rows(vals: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Row indices (k x columns) of the top-k per column by (value desc, id asc).
-
-    Vectorised with ``argpartition``; only columns whose k-th value is tied
-    with rows left outside are re-selected one by one (rare with real scores;
-    ``-inf`` fillers need no tie-break).  ``ids`` is per row or per cell.
-    """
-    n, m = vals.shape
-    if n <= k:
-        return np.broadcast_to(np.arange(n)[:, None], (n, m)).copy()
-    part = np.argpartition(-vals, k - 1, axis=0)[:k]
-    kth = np.take_along_axis(vals, part, 0).min(axis=0)
-    above = (vals > kth).sum(axis=0)
-    equal = (vals == kth).sum(axis=0)
-    tied = np.nonzero((above + equal > k) & np.isfinite(kth))[0]
-    for j in tied:
-        col = vals[:, j]
-        idj = ids[:, j] if ids.ndim == 2 else ids
-        top = np.nonzero(col > kth[j])[0]
-        ties = np.nonzero(col == kth[j])[0]
-        ties = ties[np.argsort(idj[ties], kind="stable")[:k - len(top)]]
-        part[:, j] = np.concatenate([top, ties])
-    return part
-
-
-class _TopK:
-    """Running exact top-k per query over streamed corpus batches.
-
-    Kept as (k x queries) matrices of values, ids and payloads; ``-inf`` marks an
-    empty slot.  ``payload`` (optional) travels with the winners, so callers get
-    row attributes without joining the corpus again.
-    """
-
-    def __init__(self, q_ids, q_mat, q_sq, k, metric, exclude_self):
-        self.q_ids, self.q_mat, self.q_sq = q_ids, q_mat, q_sq
-        self.k, self.metric, self.exclude_self = k, metric, exclude_self
-        nq = len(q_ids)
-        self.vals = np.full((k, nq), -np.inf)
-        self.ids = np.empty((k, nq), dtype=object)
-        self.pay = np.empty((k, nq), dtype=object)
-
-    def add(self, c_ids, c_mat, c_sq, payload=None):
-        """``payload``: callable taking row indices and returning one object per row."""
-        if len(c_ids) == 0:
-            return
-        c_obj = np.asarray(c_ids, dtype=object)
-        for lo in range(0, len(self.q_ids), _Q_CHUNK):
-            hi = min(lo + _Q_CHUNK, len(self.q_ids))
-            vals = _rank_values(c_mat, c_sq, self.q_mat[lo:hi], self.q_sq[lo:hi], self.metric)
-            if self.exclude_self:
-                vals = np.where(c_ids[:, None] == self.q_ids[None, lo:hi], -np.inf, vals)
-            rows = _topk_rows(vals, c_ids, self.k)
-            cand_v = np.take_along_axis(vals, rows, 0)
-            cand_i = c_obj[rows]
-            cand_p = np.empty(rows.shape, dtype=object)
-            if payload is not None:
-                sel = np.unique(rows)
-                objs = payload(sel)
-                lookup = np.empty(len(c_ids), dtype=object)
-                for r, o in zip(sel, objs):
-                    lookup[r] = o
-                cand_p = lookup[rows]
-            all_v = np.vstack([self.vals[:, lo:hi], cand_v])
-            all_i = np.vstack([self.ids[:, lo:hi], cand_i])
-            all_p = np.vstack([self.pay[:, lo:hi], cand_p])
-            keep = _topk_rows(all_v, all_i, self.k)
-            self.vals[:, lo:hi] = np.take_along_axis(all_v, keep, 0)
-            self.ids[:, lo:hi] = np.take_along_axis(all_i, keep, 0)
-            self.pay[:, lo:hi] = np.take_along_axis(all_p, keep, 0)
-
-    def rows(self):
-        ok = np.isfinite(self.vals)
-        r, c = np.nonzero(ok)
-        return ([self.q_ids[j] for j in c], self.ids[r, c].tolist(), self.vals[r, c].tolist(),
-                self.pay[r, c].tolist())
-
-
-def _arrow_type(dt: T.DataType) -> pa.DataType:
-    if isinstance(dt, T.LongType):
-        return pa.int64()
-    if isinstance(dt, T.IntegerType):
-        return pa.int32()
-    if isinstance(dt, T.StringType):
-        return pa.string()
-    if isinstance(dt, T.DoubleType):
-        return pa.float64()
-    raise TypeError(f"unsupported id type {dt}")
+        return -((c - q) ** 2).sum(axis=1)
+    return (c * q).sum(axis=1)
+
+
+def best_rows(q_ids, q: np.ndarray, c_ids, c: np.ndarray, k: int, metric: str,
+              exclude_self: bool) -> Iterator[tuple[object, object, float]]:
+    """(query id, corpus id, ranking value) of each query's k best rows."""
+    q, c = prepared(q, metric), prepared(c, metric)
+    best: list[list[tuple[float, object]]] = [[] for _ in q_ids]
+    for lo in range(0, len(c_ids), _ROWS):
+        part, ids = c[lo:lo + _ROWS], c_ids[lo:lo + _ROWS]
+        length = (part * part).sum(axis=1)
+        for at in range(0, len(q_ids), _QUERIES):
+            some = q[at:at + _QUERIES]
+            values = some @ part.T
+            scale = length.max(initial=0) + (some * some).sum(axis=1) + 1
+            if metric == "l2sq":
+                values = 2 * values - length[None, :]
+            spare = min(k + exclude_self, len(ids))
+            floor = np.partition(values, len(ids) - spare, axis=1)[:, len(ids) - spare] - 1e-9 * scale
+            for j, row in enumerate(values):
+                hit = np.flatnonzero(row >= floor[j])
+                found = [(-v, ids[i]) for v, i in zip(_exact(part[hit], some[j], metric).tolist(), hit.tolist(), strict=True)
+                         if not exclude_self or ids[i] != q_ids[at + j]]
+                best[at + j] = sorted(best[at + j] + found)[:k]
+    return ((qid, cid, -v) for qid, rows in zip(q_ids, best, strict=True) for v, cid in rows)
+
+
+def ranked(candidates: DataFrame, k: int) -> DataFrame:
+    """(qid, rank, id, rv): the k best of each query, by value, then id."""
+    w = Window.partitionBy("qid").orderBy(F.col("rv").desc(), F.col("id").asc())
+    return candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+        .select("qid", "rank", "id", "rv")
+
+
+def block_solver(k: int, metric: str, exclude_self: bool, schema: pa.Schema):
+    """Arrow cogroup function (corpus rows ``id, vec``; query rows ``qid, qvec``)."""
+    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+        dims = right.column("qvec").combine_chunks().value_lengths() if right.num_rows else pa.array([], pa.int32())
+        out: list[tuple[object, object, float]] = []
+        for dim in sorted({d for d in dims.to_pylist() if d}):
+            q, q_rows = matrix(right.column("qvec"), dim)
+            c, c_rows = matrix(left.column("vec"), dim)
+            q_ids = right.column("qid").take(pa.array(q_rows)).to_pylist()
+            c_ids = left.column("id").take(pa.array(c_rows)).to_pylist()
+            if c_ids:
+                out += best_rows(q_ids, q, c_ids, c, k, metric, exclude_self)
+        return pa.table([pa.array(col, f.type) for col, f in zip(zip(*out, strict=True) if out else ([],) * 3, schema, strict=True)],
+                        schema=schema)
+    return solve
+
+
+def arrow_type(dt: T.DataType) -> pa.DataType:
+    known = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string(), T.DoubleType: pa.float64()}
+    if type(dt) not in known:
+        raise TypeError(f"unsupported id type {dt}")
+    return known[type(dt)]
 
 
 def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
         query_id: str = "qid", query_vec: str = "qvec",
         id_col: str = "id", vec_col: str = "embedding",
         metric: str = "cosine", exclude_self: bool = False,
-        broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-        corpus_blocks: int | None = None, payload: list[str] | tuple[str, ...] = ()) -> DataFrame:
+        block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
     """Top-k corpus rows per query row.
 
-    Returns ``(qid, rank, id, score)`` for cosine/dot or
-    ``(qid, rank, id, distance)`` for l2sq; rank is 1-based, ordered by the
-    ranking value then by id.  ``exclude_self`` drops corpus rows whose id
-    equals the query id (W5) before ranking, which for an exact search is the
-    same as over-fetching one and removing self.  ``corpus_blocks`` (block path
-    only) defaults to ``spark.sql.shuffle.partitions``, which the cluster sizes
-    to its data, so no job is spent counting the corpus.  ``payload`` columns of the
-    corpus are carried with the winners (no join back to the corpus).
+    Returns ``(qid, rank, id, score)`` for cosine/dot or ``(qid, rank, id, distance)``
+    for l2sq; rank is 1-based, ordered by the ranking value then by id.
+    ``exclude_self`` drops corpus rows whose id equals the query id (W5) before
+    ranking.  A query meets the corpus rows of its own dimension; null and empty
+    vectors take no part.
     """
     if metric not in ("cosine", "dot", "l2sq"):
         raise ValueError(metric)
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")) \
-        .where(F.col("qvec").isNotNull())
-    payload = list(payload)
-    pay_cols = [F.struct(*[F.col(x) for x in payload]).alias("pay")] if payload else []
-    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), *pay_cols) \
-        .where(F.col("vec").isNotNull())
-    qid_t = q.schema["qid"].dataType
-    id_t = c.schema["id"].dataType
-    val_name = "distance" if metric == "l2sq" else "score"
-    out_schema = T.StructType([
-        T.StructField("qid", qid_t), T.StructField("id", id_t),
-        T.StructField("rv", T.DoubleType())] + ([c.schema["pay"]] if payload else []))
-
-    # Size check of the query side (one aggregate).  The query side is persisted
-    # first so an expensive producer (e.g. an embedder) runs once for the check,
-    # the broadcast and the block path.
-    q = q.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = q.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("d")).first()
-    n_q, dim = int(stats["n"] or 0), int(stats["d"] or 0)
-    q_bytes = n_q * max(dim, 1) * 8
-
-    if n_q == 0:
-        q.unpersist()
-        cand = queries.sparkSession.createDataFrame([], out_schema)
-    elif q_bytes <= broadcast_bytes:
-        cand = _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t)
-        q.unpersist()
-    else:
-        # Large query side: written once to the checkpoint folder (lineage cut,
-        # cache released) and read by the block cogroup.
-        q_file = materialize(q)
-        q.unpersist()
-        blocks = corpus_blocks or int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cand = _block_path(q_file, c, k, metric, exclude_self, out_schema, n_q, dim,
-                           broadcast_bytes, blocks)
-
-    w = Window.partitionBy("qid").orderBy(F.col("rv").desc(), F.col("id").asc())
-    ranked = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select(
-        F.col("qid"), F.col("rank"), F.col("id"),
-        (-F.col("rv") if metric == "l2sq" else F.col("rv")).alias(val_name),
-        *[F.col(f"pay.{x}").alias(x) for x in payload])
-
-
-def _broadcast_path(q, c, k, metric, exclude_self, out_schema, qid_t, id_t):
-    spark = q.sparkSession
-    tbl = q.toArrow()  # bounded by the size check above
-    q_ids = np.asarray(tbl.column("qid").to_numpy(zero_copy_only=False))
-    q_mat, _ = _matrix(tbl.column("qvec"))
-    q_mat, q_sq = _prep(q_mat, metric)
-    bc = spark.sparkContext.broadcast((q_ids, q_mat, q_sq))
-    qid_pa, id_pa = _arrow_type(qid_t), _arrow_type(id_t)
-
-    has_pay = "pay" in out_schema.fieldNames()
-    pay_pa = pa.struct([pa.field(f.name, _arrow_type(f.dataType)) for f in out_schema["pay"].dataType.fields]) \
-        if has_pay else None
-
-    def run(batches):
-        q_ids_, q_mat_, q_sq_ = bc.value
-        top = _TopK(q_ids_, q_mat_, q_sq_, k, metric, exclude_self)
-        for b in batches:
-            mat, ok = _matrix(b.column("vec"))
-            ids = np.asarray(b.column("id").to_numpy(zero_copy_only=False))
-            mat, sq = _prep(mat[ok], metric)
-            pay = None
-            if has_pay:
-                kept = b.column("pay").filter(pa.array(ok))
-                pay = (lambda idx, arr=kept: arr.take(pa.array(idx, type=pa.int64())).to_pylist())
-            top.add(ids[ok], mat, sq, pay)
-        qs, ids, vals, pays = top.rows()
-        arrays = [pa.array(qs, type=qid_pa), pa.array(ids, type=id_pa), pa.array(vals, type=pa.float64())]
-        names = ["qid", "id", "rv"]
-        if has_pay:
-            arrays.append(pa.array(pays, type=pay_pa))
-            names.append("pay")
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    return spread(c).mapInArrow(run, out_schema)
-
-
-def _block_path(q, c, k, metric, exclude_self, out_schema, n_q, dim,
-                broadcast_bytes, c_blocks):
-    import pandas as pd
-
-    q_blocks = max(1, math.ceil(n_q * max(dim, 1) * 8 / broadcast_bytes))
-    c_blocks = max(1, c_blocks)
-    qb = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(q_blocks)).cast("int")) \
-        .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
-    cb = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(c_blocks)).cast("int")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-
-    has_pay = "pay" in out_schema.fieldNames()
-    if has_pay:  # flat payload columns travel through pandas
-        pay_names = out_schema["pay"].dataType.fieldNames()
-        cb = cb.select("*", *[F.col(f"pay.{x}").alias(f"_p_{x}") for x in pay_names]).drop("pay")
-    flat_schema = T.StructType(out_schema.fields[:3] + (
-        [T.StructField(f"_p_{f.name}", f.dataType) for f in out_schema["pay"].dataType.fields] if has_pay else []))
-
-    def run(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
-        cols = [f.name for f in flat_schema.fields]
-        if len(cpdf) == 0 or len(qpdf) == 0:  # object dtype: empty string columns convert cleanly
-            return pd.DataFrame({c_: pd.Series([], dtype=object) for c_ in cols})
-        q_mat = np.vstack([np.asarray(v, dtype=np.float64) for v in qpdf["qvec"]])
-        c_mat = np.vstack([np.asarray(v, dtype=np.float64) for v in cpdf["vec"]])
-        q_mat, q_sq = _prep(q_mat, metric)
-        c_mat, c_sq = _prep(c_mat, metric)
-        top = _TopK(qpdf["qid"].to_numpy(), q_mat, q_sq, k, metric, exclude_self)
-        pay = None
-        if has_pay:
-            pcols = [c_ for c_ in cols[3:]]
-            pay = (lambda idx: [{c_: cpdf[c_].iloc[i] for c_ in pcols} for i in idx])
-        top.add(cpdf["id"].to_numpy(), c_mat, c_sq, pay)
-        qs, ids, vals, pays = top.rows()
-        out = {"qid": qs, "id": ids, "rv": vals}
-        for c_ in cols[3:]:
-            out[c_] = [p_[c_] for p_ in pays]
-        return pd.DataFrame(out, columns=cols)
-
-    flat = cb.groupBy("qb", "cb").cogroup(qb.groupBy("qb", "cb")).applyInPandas(run, flat_schema)
-    if not has_pay:
-        return flat
-    return flat.select("qid", "id", "rv", F.struct(*[F.col(f"_p_{x}").alias(x) for x in pay_names]).alias("pay"))
+    spark = queries.sparkSession
+    counted: list[int] = []
+    # written once: an expensive producer (an embedder) runs a single time
+    q = materialize(queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"))
+                    .where(F.size("qvec") > 0), counter=counted)
+    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where(F.size("vec") > 0)
+    dim = int(q.agg(F.max(F.size("qvec"))).first()[0] or 0)
+    n_c = c.count() if counted[0] else 0
+    row_bytes = 8 * max(dim, 1)
+    q_blocks = max(1, math.ceil(counted[0] * row_bytes / block_bytes))
+    c_blocks = max(1, math.ceil(n_c * row_bytes / block_bytes),
+                   min(spark.sparkContext.defaultParallelism, math.ceil(n_c / _LEAST_ROWS)))
+    schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("id", c.schema["id"].dataType),
+                           T.StructField("rv", T.DoubleType())])
+    arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in schema.fields])
+    block = lambda col, n: F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = c.withColumn("cb", block("id", c_blocks)).withColumn("qb", every(q_blocks))
+    right = q.withColumn("qb", block("qid", q_blocks)).withColumn("cb", every(c_blocks))
+    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(
+        block_solver(k, metric, exclude_self, arrow), schema)
+    value = -F.col("rv") if metric == "l2sq" else F.col("rv")
+    return ranked(found, k).select("qid", "rank", "id", value.alias("distance" if metric == "l2sq" else "score"))

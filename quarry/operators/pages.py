@@ -1,7 +1,7 @@
 """Pages -> tables: extracted fields, link edges, chunk rows.
 
-Extraction runs once per page (one Arrow UDF call per batch); everything after
-that is built-in: link canonicalisation and dedupe, dates, chunk explode.
+The parse emits one node array per page (one Arrow UDF); every field, and
+everything after it, is built-in: link canonicalisation and dedupe, dates, chunks.
 """
 
 from __future__ import annotations
@@ -20,15 +20,30 @@ from quarry.sources.sinks import CHUNK_COLUMNS, write_chunks_csv  # noqa: F401
 
 def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                   keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """Every page field as top-level columns (see ``quarry.functions.html.PAGE_FIELDS``)."""
-    cols = [c for c in keep if c in pages.columns]
-    pages = spread(pages)
-    x = pages.select(*cols, F.col(url_col).alias("url"), hx.extract(html_col, url_col).alias("_f"))
-    return x.select(*cols, "url", "_f.*") \
-        .withColumn("description", hx.description("desc_parts")) \
-        .withColumn("description_chunk", hx.description_chunk("desc_parts")) \
-        .withColumn("tags", hx.select_tags("tag_candidates")) \
-        .drop("tag_candidates", "desc_parts")
+    """Every page field as a column; a field that is not used later costs nothing.
+
+    Columns: the kept ones, url, title, title_text, description, description_chunk,
+    tags, links, all_hrefs, body_hrefs, date_texts, visible_text.
+    """
+    kept = [c for c in keep if c in pages.columns]
+    n = spread(pages).select(*kept, F.col(url_col).alias("url"), hx.nodes(html_col, url_col).alias("_n"))
+    raw = n.select(*kept, "url", "_n", hx.title_raw("_n").alias("_title"), hx.description_raw("_n").alias("_parts"),
+                   hx.tag_candidates("_n").alias("_tags"), hx.visible_raw("_n").alias("_visible"))
+    plain = raw.select(
+        *kept, "url", "_n", hx.unescape_text("_title").alias("_title"), hx.unescape("_parts").alias("_parts"),
+        F.transform("_tags", lambda g: F.size(g)).alias("_sizes"), hx.unescape(F.flatten("_tags")).alias("_tags"),
+        hx.unescape_text("_visible").alias("_visible"))
+
+    def group(k: int) -> F.Column:
+        before = sum((F.col("_sizes")[i] for i in range(k)), F.lit(0))
+        return F.slice("_tags", before + 1, F.col("_sizes")[k])
+
+    title, desc = F.col("_title"), hx.description("_parts")
+    return plain.select(
+        *kept, "url", title.alias("title"), hx.title_text("_n").alias("title_text"), desc.alias("description"),
+        hx.description_chunk("_n").alias("description_chunk"), hx.select_tags([group(k) for k in range(4)]).alias("tags"),
+        hx.links("_n").alias("links"), hx.hrefs("_n").alias("all_hrefs"), hx.hrefs("_n", body_only=True).alias("body_hrefs"),
+        hx.date_texts("_n", title, desc).alias("date_texts"), hx.tidy("_visible").alias("visible_text"))
 
 
 def page_links(fields: DataFrame, strip_chrome: bool = True) -> DataFrame:

@@ -147,9 +147,9 @@ h AS (SELECT qid, count(*) AS cnt, string_agg(id, ',' ORDER BY rn) AS hit_ids,
 a AS (SELECT q.qid, q.query, coalesce(h.cnt, 0) AS cnt, h.hit_ids, h.m, h.first_title,
              regexp_replace('I found ' || CAST(coalesce(h.cnt, 0) AS VARCHAR) || ' datasets related to '''
                  || q.query || '''. Here are the most relevant results:',
-                 '{tr.MASK_PATTERN}', '{tr.MASK_TEXT}', 'g') AS answer
+                 '{S.MASK}', '{S.MASKED}', 'g') AS answer
       FROM q LEFT JOIN h ON q.qid = h.qid),
-f AS (SELECT *, CASE WHEN len(regexp_extract_all(answer, '{tr.CLAIM_PATTERN}', 0)) > 0 THEN 0.0 ELSE 1.0 END AS g,
+f AS (SELECT *, CASE WHEN len(regexp_extract_all(answer, '{S.CLAIM}', 0)) > 0 THEN 0.0 ELSE 1.0 END AS g,
              CASE WHEN coalesce(first_title, '') <> '' THEN 1.0 ELSE 0.0 END AS p,
              CASE WHEN cnt = 0 THEN 0.0 WHEN m >= 0.9 THEN least(1.0, m / 0.9) ELSE m END AS r
       FROM a)"""
@@ -193,8 +193,8 @@ b AS (SELECT *, regexp_replace(CASE status WHEN 'not_found' THEN 'Dataset ' || q
                      WHEN 'no_hits' THEN 'No similar datasets found for ' || qid || '.'
                      ELSE 'I found ' || CAST(cnt AS VARCHAR) || ' datasets similar to ''' || qid
                           || '''. These datasets share related themes and might be useful for your analysis:' END,
-                     '{tr.MASK_PATTERN}', '{tr.MASK_TEXT}', 'g') AS answer FROM a),
-f AS (SELECT *, CASE WHEN len(regexp_extract_all(answer, '{tr.CLAIM_PATTERN}', 0)) > 0 THEN 0.0 ELSE 1.0 END AS g,
+                     '{S.MASK}', '{S.MASKED}', 'g') AS answer FROM a),
+f AS (SELECT *, CASE WHEN len(regexp_extract_all(answer, '{S.CLAIM}', 0)) > 0 THEN 0.0 ELSE 1.0 END AS g,
              CASE WHEN coalesce(first_title, '') <> '' THEN 1.0 ELSE 0.0 END AS p,
              CASE WHEN cnt = 0 THEN 0.0 WHEN m >= 0.9 THEN least(1.0, m / 0.9) ELSE m END AS r
       FROM b)
@@ -311,9 +311,8 @@ SELECT d.doc_id, d.doc_id IN (SELECT vec_id FROM embeddings) AS has_vector FROM
 def x4_has_vector(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id")
     e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"))
-    yes = d.join(e, "doc_id", "left_semi").withColumn("has_vector", F.lit(True))
-    no = d.join(e, "doc_id", "left_anti").withColumn("has_vector", F.lit(False))
-    return yes.unionByName(no)
+    known = e.distinct().withColumn("has_vector", F.lit(True))
+    return d.join(known, "doc_id", "left").select("doc_id", F.coalesce("has_vector", F.lit(False)).alias("has_vector"))
 
 
 @query("g8_id_search", """
@@ -337,8 +336,8 @@ def i10_last_write_wins(spark, sf):
 # ---------------------------------------------------------------- trust
 
 @query("t1_numeric_claims", f"""
-SELECT o_orderkey, CAST(len(regexp_extract_all(answer, '{tr.CLAIM_PATTERN}', 0)) AS BIGINT) AS n_claims,
-       array_to_string(regexp_extract_all(answer, '{tr.CLAIM_PATTERN}', 0), '|') AS claims
+SELECT o_orderkey, CAST(len(regexp_extract_all(answer, '{S.CLAIM}', 0)) AS BIGINT) AS n_claims,
+       array_to_string(regexp_extract_all(answer, '{S.CLAIM}', 0), '|') AS claims
 FROM {V.ANSWERS_SQL} a""")
 def t1_numeric_claims(spark, sf):
     a = V.answers_text(spark, sf).withColumn("_c", tr.numeric_claims("answer"))
@@ -347,9 +346,9 @@ def t1_numeric_claims(spark, sf):
 
 
 @query("t2_mask_claims", f"""
-SELECT o_orderkey, regexp_replace(answer, '{tr.MASK_PATTERN}', '{tr.MASK_TEXT}', 'g') AS masked,
-       CASE WHEN len(regexp_extract_all(regexp_replace(answer, '{tr.MASK_PATTERN}', '{tr.MASK_TEXT}', 'g'),
-                                         '{tr.CLAIM_PATTERN}', 0)) > 0 THEN 0.0 ELSE 1.0 END AS grounding
+SELECT o_orderkey, regexp_replace(answer, '{S.MASK}', '{S.MASKED}', 'g') AS masked,
+       CASE WHEN len(regexp_extract_all(regexp_replace(answer, '{S.MASK}', '{S.MASKED}', 'g'),
+                                         '{S.CLAIM}', 0)) > 0 THEN 0.0 ELSE 1.0 END AS grounding
 FROM {V.ANSWERS_SQL} a""")
 def t2_mask_claims(spark, sf):
     a = V.answers_text(spark, sf).withColumn("masked", tr.mask_claims("answer"))
@@ -434,11 +433,13 @@ def c7_embedding_text(spark, sf):
 SELECT arg_min(doc_id, doc_id) AS doc_id, count(*) AS copies, CAST(max(n_chars) AS BIGINT) AS n_chars
 FROM documents GROUP BY text""")
 def w1_keep_first_text(spark, sf):
-    d = read_table(spark, sf, "documents").select("text", "doc_id", "n_chars")
-    first = d.groupBy("text").agg(F.min_by(F.struct("doc_id", "n_chars"), F.col("doc_id")).alias("_r"),
-                                  F.count("*").alias("copies"))
-    return first.select(F.col("_r.doc_id").alias("doc_id"), "copies",
-                        F.col("_r.n_chars").cast("bigint").alias("n_chars"))
+    """The key is a digest of the text and the kept row's smallest id, so the shuffle
+    and the aggregate hold fixed-width values only."""
+    d = read_table(spark, sf, "documents").select(
+        F.sha2("text", 256).alias("digest"), "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"))
+    first = d.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
+                                    F.max("n_chars").alias("n_chars"))  # equal texts, equal lengths
+    return first.select("doc_id", "copies", "n_chars")
 
 
 # ---------------------------------------------------------------- chunking
@@ -604,8 +605,8 @@ F3_CURRENT_YEAR = 2026
 
 
 def _dates_sql(t: str) -> str:
-    mon = "|".join(dx.MONTHS)
-    months = " ".join(f"WHEN '{m.lower()}' THEN {i}" for i, m in enumerate(dx.MONTHS, 1))
+    mon = S.MONTH
+    months = " ".join(f"WHEN '{m.lower()}' THEN {i}" for i, m in enumerate(S.MONTH.split("|"), 1))
 
     def ymd(y, m, d):
         ok = (f"(length({y}) = 4 AND regexp_matches({m}, '^(1[0-2]|0[1-9]|[1-9])$') "
@@ -615,17 +616,17 @@ def _dates_sql(t: str) -> str:
     p1 = r"^(\d{4})([-/])(\d{1,2})([-/])(\d{1,2})$"
     p2 = r"^(\d{1,2})([-/])(\d{1,2})([-/])(\d{4})$"
     g = lambda p, i: f"regexp_extract(s, '{p}', {i})"
-    a1 = (f"list_transform(regexp_extract_all({t}, '{dx.P_YMD}', 1), lambda s: CASE WHEN {g(p1, 2)} = {g(p1, 4)} "
+    a1 = (f"list_transform(regexp_extract_all({t}, '{S.YMD}', 1), lambda s: CASE WHEN {g(p1, 2)} = {g(p1, 4)} "
           f"THEN {ymd(g(p1, 1), g(p1, 3), g(p1, 5))} END)")
-    a2 = (f"list_transform(regexp_extract_all({t}, '{dx.P_DMY}', 1), lambda s: CASE WHEN {g(p2, 2)} = {g(p2, 4)} "
+    a2 = (f"list_transform(regexp_extract_all({t}, '{S.DMY}', 1), lambda s: CASE WHEN {g(p2, 2)} = {g(p2, 4)} "
           f"THEN {ymd(g(p2, 5), g(p2, 3), g(p2, 1))} END)")
-    a3 = (f"list_transform(regexp_extract_all({t}, '{dx.P_YEAR}', 1), lambda s: CASE WHEN CAST(s AS INTEGER) "
-          f"BETWEEN {dx.YEAR_MIN} AND {dx.YEAR_MAX} THEN s END)")
-    p4 = rf"(?i)^({mon})\s+(\d{{4}})$"
-    a4 = (f"list_transform(regexp_extract_all({t}, '{dx.P_MON_YEAR}', 0), lambda s: {g(p4, 2)} || '-' || "
+    a3 = (f"list_transform(regexp_extract_all({t}, '{S.YEAR}', 1), lambda s: CASE WHEN CAST(s AS INTEGER) "
+          f"BETWEEN 1990 AND 2030 THEN s END)")
+    p4 = rf"(?i)^({mon}){S.BLANK}+(\d{{4}})$"
+    a4 = (f"list_transform(regexp_extract_all({t}, '{S.MONTH_YEAR}', 0), lambda s: {g(p4, 2)} || '-' || "
           f"lpad(CAST(CASE lower({g(p4, 1)}) {months} END AS VARCHAR), 2, '0'))")
-    p5 = rf"(?i)^(\d{{1,2}})\s+({mon})\s+(\d{{4}})$"
-    a5 = (f"list_transform(regexp_extract_all({t}, '{dx.P_DAY_MON_YEAR}', 0), lambda s: "
+    p5 = rf"(?i)^(\d{{1,2}}){S.BLANK}+({mon}){S.BLANK}+(\d{{4}})$"
+    a5 = (f"list_transform(regexp_extract_all({t}, '{S.DAY_MONTH_YEAR}', 0), lambda s: "
           f"{ymd(g(p5, 3), f'CAST(CASE lower({g(p5, 2)}) {months} END AS VARCHAR)', g(p5, 1))})")
     return f"list_filter(list_concat({a1}, {a2}, {a3}, {a4}, {a5}), lambda x: x IS NOT NULL)"
 
@@ -640,7 +641,7 @@ def f2_extract_dates(spark, sf):
 @query("f3_pick_date", f"""
 SELECT o_orderkey, list_max(list_filter({_dates_sql('text')}, lambda x:
          (length(x) = 4 OR regexp_matches(x, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$'))
-         AND CAST(substring(x, 1, 4) AS INTEGER) BETWEEN {dx.YEAR_MIN} AND {F3_CURRENT_YEAR + 1})) AS data_collected_date
+         AND CAST(substring(x, 1, 4) AS INTEGER) BETWEEN 1990 AND {F3_CURRENT_YEAR + 1})) AS data_collected_date
 FROM {V.DATE_TEXTS_SQL} d""")
 def f3_pick_date(spark, sf):
     d = spread(V.date_texts(spark, sf))
@@ -732,28 +733,47 @@ def l2_page_chunks(spark, sf):
 CRAWL_SCOPE = ("example.org", "example.com", "example.net")
 
 
-def crawl_inputs(spark, sf):
+def crawl_inputs(spark, sf, *columns):
     """Snapshot, edges, probes and robots for the crawls, all derived from ``pages``.
 
-    Pages are parsed once and the fields materialised before the crawl reads them."""
-    fields = cr.materialize(_page_fields(spark, sf))
-    docs = fields.select(ux.defrag("url").alias("url"), F.lit("text/html").alias("content_type"),
-                         "title", "description", "tags", "date_texts")
+    Of pages whose urls differ in the fragment only, the lowest page stands for the
+    url.  Pages are parsed once; only the fields in ``columns`` (and the links) are
+    written before the crawl reads them."""
+    pages = read_table(spark, sf, "pages")
+    kept = pages.groupBy(ux.defrag("url").alias("u")).agg(F.min("page_id").alias("page_id")).select("page_id")
+    fields = cr.materialize(_page_fields(spark, sf).join(kept, "page_id", "left_semi").select("page_id", "url", *columns))
+    docs = fields.select(ux.defrag("url").alias("url"), V.content_type("page_id").alias("content_type"),
+                         *[c for c in columns if not c.endswith("links") and not c.endswith("hrefs")])
+    fetches = V.fetches(spark, sf).where(F.col("status") != 0)
+    return fields, docs, fetches, V.robots_rules(spark, sf)
+
+
+def crawl_edges(spark, sf, fields):
+    """Links in the pages (E5), derived page-to-page links and links to data files."""
     e5 = pg.link_edges(fields).select(ux.defrag("page_url").alias("src"), "pos", F.col("link").alias("dst"),
                                       F.col("anchor_text").alias("anchor"))
     pe = V.page_edges(spark, sf).select(ux.defrag("src_url").alias("src"), (F.col("k") + 1000).cast("bigint").alias("pos"),
                                         ux.defrag("dst_url").alias("dst"), F.lit("related").alias("anchor"))
     fl = V.file_links(spark, sf).select(ux.defrag("page_url").alias("src"), F.lit(2000).cast("bigint").alias("pos"),
                                         F.col("link").alias("dst"), F.lit("data").alias("anchor"))
-    edges = e5.unionByName(pe).unionByName(fl)
-    fetches = V.fetches(spark, sf).where(F.col("status") != 0)
-    return fields, docs, edges, fetches, V.robots_rules(spark, sf)
+    return e5.unionByName(pe).unionByName(fl)
+
+
+CRAWL_FIELDS = ("title", "description", "tags", "date_texts", "links")
+
+
+def _crawl_files(spark, sf):
+    """The uncapped file crawl: (pages, file hits)."""
+    fields, docs, fetches, robots = crawl_inputs(spark, sf, *CRAWL_FIELDS)
+    return cr.crawl_files(_crawl_seeds(spark, sf), docs, crawl_edges(spark, sf, fields), fetches, robots,
+                          scope_suffix=CRAWL_SCOPE, current_year=F3_CURRENT_YEAR)
 
 
-def _crawl_seed(spark, sf):
+def _crawl_seeds(spark, sf):
+    """The lowest page of every in-scope host, in page order (as ``seeds_frame`` gives them)."""
     p = read_table(spark, sf, "pages").where(ux.in_domain("url", CRAWL_SCOPE))
-    first = p.orderBy("page_id").select("url").first()
-    return cr.seeds_frame(spark, [first["url"]] if first else [])
+    first = p.groupBy(ux.netloc("url").alias("host")).agg(F.min(F.struct("page_id", "url")).alias("f"))
+    return first.select(ux.defrag(F.col("f.url")).alias("url"), cr.order_key(F.lit(""), F.col("f.page_id")).alias("seq"))
 
 
 _HOST_SQL = "regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
@@ -777,7 +797,8 @@ def _crawl_sql() -> str:
     robots, data_file = _robots_sql, _data_file_sql
     defrag = "regexp_replace({u}, '#.*$', '')"
     return f"""
-    docs AS (SELECT {defrag.format(u='url')} AS url, page_id, html FROM pages),
+    docs AS (SELECT {defrag.format(u='url')} AS url, min(page_id) AS page_id, arg_min(html, page_id) AS html,
+                    ({V.CONTENT_TYPES_SQL})[(min(page_id) % 7) + 1] AS page_type FROM pages GROUP BY 1),
     a AS (SELECT url AS src, unnest(regexp_extract_all(html, '{_A_RE}', 1)) AS href,
                  unnest(regexp_extract_all(html, '{_A_RE}', 2)) AS anchor,
                  unnest(generate_series(0, len(regexp_extract_all(html, '{_A_RE}', 1)) - 1)) AS pos FROM docs),
@@ -789,13 +810,17 @@ def _crawl_sql() -> str:
               SELECT {defrag.format(u='src_url')}, 1000 + k, {defrag.format(u='dst_url')}, 'related' FROM {V.page_edges_sql()} pe
               UNION ALL
               SELECT {defrag.format(u='page_url')}, 2000, link, 'data' FROM {V.FILE_LINKS_SQL} fl),
-    seed AS (SELECT {defrag.format(u='url')} AS url FROM pages WHERE {scope('url')} ORDER BY page_id LIMIT 1),
-    ok AS (SELECT url FROM docs WHERE {scope('url')} AND {robots('url')}),
-    bfs(url, depth) AS (
+    seed AS (SELECT arg_min({defrag.format(u='url')}, page_id) AS url FROM pages WHERE {scope('url')}
+             GROUP BY {_HOST_SQL.format(u='url')}),
+    ok AS (SELECT url FROM docs WHERE {scope('url')} AND {robots('url')}
+           AND split_part(page_type, ';', 1) IN ('text/html', 'application/xhtml+xml', '')),
+    steps AS (SELECT DISTINCT e.src, e.dst FROM edges e JOIN ok ON ok.url = e.src
+              WHERE NOT {data_file('e.dst')} AND {scope('e.dst')}),
+    bfs(url, depth) USING KEY (url) AS (
         SELECT url, 0 FROM seed
         UNION
-        SELECT e.dst, b.depth + 1 FROM bfs b JOIN ok ON ok.url = b.url JOIN edges e ON e.src = b.url
-        WHERE b.depth < (SELECT count(*) FROM pages) AND NOT {data_file('e.dst')} AND {scope('e.dst')}),
+        SELECT e.dst, min(b.depth) + 1 FROM bfs b JOIN steps e ON e.src = b.url
+        WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.url = e.dst) GROUP BY e.dst),
     crawled AS (SELECT b.url, min(b.depth) AS depth FROM bfs b JOIN ok ON ok.url = b.url GROUP BY b.url)"""
 
 
@@ -805,9 +830,7 @@ SELECT c.url, CAST(c.depth AS INTEGER) AS depth,
        {_unescape_sql(S.strip("regexp_extract(d.html, '<title>([^<]*)</title>', 1)"))} AS title
 FROM crawled c JOIN docs d ON d.url = c.url""")
 def m1_crawl_pages(spark, sf):
-    _, docs, edges, fetches, robots = crawl_inputs(spark, sf)
-    pages, _ = cr.crawl_files(_crawl_seed(spark, sf), docs, edges, fetches, robots, scope_suffix=CRAWL_SCOPE,
-                              current_year=F3_CURRENT_YEAR)
+    pages, _ = _crawl_files(spark, sf)
     return pages.select("url", "depth", "title")
 
 
@@ -823,28 +846,62 @@ SELECT h.file_url, coalesce({_ext_sql('h.file_url')},
 FROM hits h JOIN {V.FETCHES_SQL} f ON f.link = h.file_url AND f.status <> 0
 JOIN docs d ON d.url = h.page_url""")
 def m2_file_hits(spark, sf):
-    _, docs, edges, fetches, robots = crawl_inputs(spark, sf)
-    _, hits = cr.crawl_files(_crawl_seed(spark, sf), docs, edges, fetches, robots, scope_suffix=CRAWL_SCOPE,
-                             current_year=F3_CURRENT_YEAR)
+    _, hits = _crawl_files(spark, sf)
     return hits.select("file_url", "file_ext", "page_url", "anchor_text", "content_type", "content_length",
                        "page_title")
 
 
-@query("m3_crawl_chunks")
+_BINARY_SQL = r"regexp_matches(lower({p}), '\.(pdf|csv|xls|xlsx)$')"
+
+
+def _chunk_crawl_sql() -> str:
+    """Depth-first facts of the chunk crawl: a url is visited at its smallest depth; its
+    host must be in scope and robots allow it; html pages pass their links on."""
+    def scope(u):
+        h = _HOST_SQL.format(u=u)
+        return "(" + " OR ".join(f"lower({h}) LIKE '%.{x}' OR lower({h}) = '{x}'" for x in CRAWL_SCOPE) + ")"
+
+    return f"""
+    docs AS (SELECT {_canonical_sql('url')} AS url, ({V.CONTENT_TYPES_SQL})[(page_id % 7) + 1] AS content_type
+             FROM (SELECT regexp_replace(url, '#.*$', '') AS url, min(page_id) AS page_id FROM pages GROUP BY 1)),
+    hosts AS (SELECT DISTINCT lower({_HOST_SQL.format(u='url')}) AS host FROM pages WHERE {scope('url')}),
+    links AS (SELECT DISTINCT {_canonical_sql('src_url')} AS src, {_canonical_sql('dst_url')} AS dst FROM {V.page_edges_sql()} pe
+              UNION SELECT {_canonical_sql('page_url')}, link FROM {V.FILE_LINKS_SQL} fl),
+    steps AS (SELECT DISTINCT l.src, l.dst FROM links l JOIN docs d ON d.url = l.src
+              JOIN hosts h ON h.host = lower({_HOST_SQL.format(u='l.dst')})
+              WHERE (d.content_type LIKE '%text/html%' OR d.content_type LIKE '%application/xhtml+xml%') AND {_robots_sql('l.dst')}),
+    seed AS (SELECT {_canonical_sql('url')} AS url FROM (SELECT arg_min(url, page_id) AS url FROM pages WHERE {scope('url')}
+             GROUP BY {_HOST_SQL.format(u='url')})),
+    bfs(url, depth) USING KEY (url) AS (
+        SELECT url, 0 FROM seed WHERE {_robots_sql('url')}
+        UNION
+        SELECT e.dst, min(b.depth) + 1 FROM bfs b JOIN steps e ON e.src = b.url
+        WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.url = e.dst) GROUP BY e.dst)"""
+
+
+@query("m3_crawl_chunks", f"""
+WITH RECURSIVE {_chunk_crawl_sql()},
+seen AS (SELECT DISTINCT b.url, b.depth, d.content_type, {_BINARY_SQL.format(p=_PATH_SQL.format(u='b.url'))} AS is_file
+         FROM bfs b LEFT JOIN docs d ON d.url = b.url)
+SELECT url, CAST(depth AS INTEGER) AS depth,
+       CASE WHEN is_file THEN 'binary' WHEN content_type LIKE '%text/html%' OR content_type LIKE '%application/xhtml+xml%' THEN 'html'
+            ELSE 'non-html' END AS source_type,
+       CASE WHEN is_file THEN 'binary' ELSE content_type END AS content_type
+FROM seen WHERE is_file OR content_type <> ''""")
 def m3_crawl_chunks(spark, sf):
-    fields, _, _, _, robots = crawl_inputs(spark, sf)
-    docs = fields.select(ux.canonical("url").alias("url"), F.lit(200).alias("status"),
-                         F.lit("text/html").alias("content_type"), ux.canonical("url").alias("final_url"),
-                         "title_text", "description_chunk", "visible_text")
-    body = pg.page_links(fields, strip_chrome=True).select(ux.canonical("url").alias("src"),
-                                                           F.explode("page_links").alias("dst"))
-    pe = V.page_edges(spark, sf).select(ux.canonical("src_url").alias("src"), ux.canonical("dst_url").alias("dst"))
+    """The uncapped chunk crawl over page and file links: every visited url with its depth
+    and kind (``l2_page_chunks`` checks the chunks of a page)."""
+    fields, docs, _, robots = crawl_inputs(spark, sf, "title_text", "description_chunk", "visible_text")
+    docs = docs.select(ux.canonical("url").alias("url"), F.lit(200).alias("status"), "content_type",
+                       ux.canonical("url").alias("final_url"), "title_text", "description_chunk", "visible_text")
+    pe = V.page_edges(spark, sf).select(ux.canonical(ux.defrag("src_url")).alias("src"), ux.canonical(ux.defrag("dst_url")).alias("dst"))
+    fl = V.file_links(spark, sf).select(ux.canonical(ux.defrag("page_url")).alias("src"), F.col("link").alias("dst"))
     pages = read_table(spark, sf, "pages")
     allowed = pages.where(ux.in_domain("url", CRAWL_SCOPE)).select(F.lower(ux.netloc("url")).alias("host"))
-    seed = _crawl_seed(spark, sf).select(ux.canonical("url").alias("url"), "seq")
+    seed = _crawl_seeds(spark, sf).select(ux.canonical("url").alias("url"), "seq")
     host_robots = robots.select(ux.netloc("origin").alias("origin"), "status", "body").distinct()
-    _, rows = cr.crawl_chunks(seed, docs, body.unionByName(pe), host_robots, allowed_domains=allowed)
-    return rows
+    _, rows = cr.crawl_chunks(seed, docs, pe.unionByName(fl).distinct(), host_robots, allowed_domains=allowed)
+    return rows.select("url", "depth", "source_type", "content_type").distinct()
 
 
 # ------------------------------------------------- audit, prompts, summaries
@@ -898,19 +955,28 @@ def c13_prompts(spark, sf):
     return t.select("qid", tr.prompt("query", "hits").alias("prompt"))
 
 
-@query("r7_matrix_batches", "SELECT count(*) AS n_rows, CAST(max(len(embedding)) AS BIGINT) AS dims FROM embeddings")
-def r7_matrix_batches(spark, sf):
-    m = col.matrix_batches(_emb(spark, sf), id_col="vec_id")
-    return m.agg(F.sum("rows").cast("bigint").alias("n_rows"), F.max("dims").cast("bigint").alias("dims"))
+@query("r7_matrix_blocks", """
+SELECT CAST(len(embedding) AS BIGINT) AS dims, count(*) AS n_rows, sum(vec_id)::BIGINT AS id_sum,
+       round(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE))), 4) AS total,
+       round(sum(embedding[1]::DOUBLE), 4) AS first_column
+FROM embeddings GROUP BY len(embedding)""")
+def r7_matrix_blocks(spark, sf):
+    """Matrix blocks; row count, ids, all values and the first column are checked."""
+    m = col.wide_blocks(_emb(spark, sf), id_col="vec_id")
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    first = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.try_element_at("values", (i * F.col("dims") + 1).cast("int")))
+    sums = m.select("dims", "rows", F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("i"),
+                    total(F.col("values")).alias("t"), total(first).alias("f"))
+    return sums.groupBy(F.col("dims").cast("bigint").alias("dims")).agg(
+        F.sum("rows").cast("bigint").alias("n_rows"), F.sum("i").cast("bigint").alias("id_sum"),
+        F.round(F.sum("t"), 4).alias("total"), F.round(F.sum("f"), 4).alias("first_column"))
 
 
 @query("i11_crawl_summary", f"""
 WITH RECURSIVE {_crawl_sql()}
 SELECT CAST(depth AS INTEGER) AS depth, count(*) AS pages FROM crawled GROUP BY depth""")
 def i11_crawl_summary(spark, sf):
-    _, docs, edges, fetches, robots = crawl_inputs(spark, sf)
-    pages, _ = cr.crawl_files(_crawl_seed(spark, sf), docs, edges, fetches, robots, scope_suffix=CRAWL_SCOPE,
-                              current_year=F3_CURRENT_YEAR)
+    pages, _ = _crawl_files(spark, sf)
     return pages.groupBy("depth").agg(F.count("*").alias("pages"))
 
 
@@ -1067,9 +1133,7 @@ SELECT h.file_url, h.page_url, h.anchor AS anchor_text, '' AS page_tags,
 FROM hits h JOIN {V.FETCHES_SQL} f ON f.link = h.file_url AND f.status <> 0""")
 def k2_file_hits_csv(spark, sf):
     """K2: crawl file hits written as CSV (tags joined, NULL blank) and read back."""
-    _, docs, edges, fetches, robots = crawl_inputs(spark, sf)
-    _, hits = cr.crawl_files(_crawl_seed(spark, sf), docs, edges, fetches, robots, scope_suffix=CRAWL_SCOPE,
-                             current_year=F3_CURRENT_YEAR)
+    _, hits = _crawl_files(spark, sf)
     prefix = _scratch(spark, "hits")
     sinks.write_file_hits(hits, prefix)
     back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(prefix + "_csv")

@@ -199,6 +199,15 @@ DATE_TEXTS_SQL = """(SELECT o_orderkey, 'Published ' || ([strftime(o_orderdate,
 
 # ------------------------------------------------------------------ crawl
 
+CONTENT_TYPES = ("text/html", "text/html; charset=utf-8", "application/xhtml+xml", "", "text/html", "application/json", "text/html")
+CONTENT_TYPES_SQL = "[" + ", ".join(f"'{t}'" for t in CONTENT_TYPES) + "]"
+
+
+def content_type(page_id: str) -> F.Column:
+    """Derived content type of a page: every seventh is no html."""
+    return F.element_at(F.array(*map(F.lit, CONTENT_TYPES)), (F.pmod(page_id, F.lit(len(CONTENT_TYPES))) + 1).cast("int"))
+
+
 def page_edges(spark: SparkSession, sf: str) -> DataFrame:
     """Derived page-to-page links: page p -> pages (7p+1) mod n and (3p+2) mod n."""
     p = read_table(spark, sf, "pages").select("page_id", "url")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -41,8 +42,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset (local
-    tests) a scratch folder is made and registered.
+    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset and the
+    master is local (tests) a scratch folder is made and registered.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -52,8 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-ckpt-"))
+    else:  # a folder of the driver's machine is not seen by the executors
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 
@@ -129,8 +132,33 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def scratch_path(spark: SparkSession, name: str = "quarry") -> str:
+    """A new path in the checkpoint folder; what is written there is deleted when Python exits."""
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_drop_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def _drop_scratch() -> None:
+    """Delete the scratch tables of sessions that are still running."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the session has ended; its cluster cleans the folder
+            return
+
+
 def materialize(df: DataFrame, bucket_of: str | None = None, buckets: int = 0,
-                counter: list | None = None) -> DataFrame:
+                counter: list | None = None, path: str | None = None) -> DataFrame:
     """Cut lineage: write to the shared checkpoint folder and read back.
 
     One job per write (a reliable ``checkpoint()`` computes the plan twice);
@@ -141,12 +169,10 @@ def materialize(df: DataFrame, bucket_of: str | None = None, buckets: int = 0,
     partition pruning).  With ``counter`` the written row count is appended to
     it, observed during the write itself (no second job).
     """
-    import uuid
-
     from pyspark.sql import Observation
 
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{uuid.uuid4().hex}"
+    path = path or scratch_path(spark)
     obs = None
     if counter is not None:
         obs = Observation()

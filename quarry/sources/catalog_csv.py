@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import materialize
+from quarry.sources.sinks import CSV_OPTIONS
+
 CATALOG_COLUMNS = ("id", "title", "description", "agency", "collected", "freq",
                    "api_url", "download_url", "tags")
 
 
 def write_catalog_csv(catalog: DataFrame, path: str) -> None:
     """K1: fixed column order, header, UTF-8; no rows is an error."""
-    out = catalog.select(*CATALOG_COLUMNS)
+    out = materialize(catalog.select(*CATALOG_COLUMNS))  # the build runs once, for the check and the file
     if out.isEmpty():
         raise ValueError("No dataflows found. Check your input structure.")
-    out.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -32,8 +35,7 @@ def read_catalog_csv(spark: SparkSession, preferred: str, fallback: str,
     NaN); columns the file lacks (e.g. ``url`` in the plain catalog) are NULL.
     """
     path = preferred if path_exists(spark, preferred) else fallback
-    df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
-        .option("inferSchema", "false").csv(path)
+    df = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").option("inferSchema", "false").csv(path)
     have = set(df.columns)
     return df.select(*[(F.col(c) if c in have else F.lit(None).cast("string")).alias(c)
                        for c in CATALOG_COLUMNS + tuple(extra_columns)])

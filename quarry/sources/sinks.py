@@ -11,18 +11,20 @@ CHUNK_COLUMNS = ("url", "final_url", "status", "content_type", "source_type", "t
                  "description", "chunk_index", "chunk_total", "chunk_text", "depth")
 
 
+#: Quoting as CSV readers expect it; values keep their outer blanks.
+CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_file_hits(hits: DataFrame, prefix: str) -> None:
     """K2: the same hits as CSV (tags joined by '; ', NULL -> blank) and JSON lines."""
     hits = hits.select(*FILE_HIT_COLUMNS).cache()
     hits.select(*[F.array_join(c, "; ").alias(c) if c == "page_tags" else F.col(c)
                   for c in FILE_HIT_COLUMNS]) \
-        .write.mode("overwrite").option("header", "true").option("escape", '"') \
-        .option("nullValue", "").csv(prefix + "_csv")
+        .write.mode("overwrite").options(**CSV_OPTIONS).option("nullValue", "").csv(prefix + "_csv")
     hits.write.mode("overwrite").option("ignoreNullFields", "false").json(prefix + "_jsonl")
     hits.unpersist()
 
 
 def write_chunks_csv(chunks: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K3: chunk CSV with the fixed column order; NULLs render blank."""
-    chunks.select(*CHUNK_COLUMNS).write.mode(mode).option("header", "true") \
-        .option("escape", '"').option("nullValue", "").csv(path)
+    chunks.select(*CHUNK_COLUMNS).write.mode(mode).options(**CSV_OPTIONS).option("nullValue", "").csv(path)

@@ -36,7 +36,9 @@ def test_unwrap_shapes_and_normalise(spark, tmp_dir):
     assert rows["R1"]["title"] == "one"             # first file (path order) wins
     assert "X1" not in rows                          # names as a list: flow skipped
     noid = [r for k, r in rows.items() if k not in expect]
-    assert len(noid) == 1 and len(noid[0]["id"]) == 40 and noid[0]["api_url"] == ""
+    # the empty list's wrapper counts as one flow of its own, without an id
+    assert len(noid) == 2 and all(len(r["id"]) == 40 and r["api_url"] == "" for r in noid)
+    assert sorted(r["title"] for r in noid) == ["", "no id"]
     assert rows["A1"]["api_url"].endswith("/A1") and rows["A1"]["agency"] == "AG"
     reasons = {r["reason"] for r in bad.collect()}
     assert reasons == {"not valid JSON", "flow skipped"}

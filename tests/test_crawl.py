@@ -101,3 +101,41 @@ def test_chunk_crawl_depth_and_cap(spark):
     html_rows = rows.where(F.col("source_type") == "html").select("url").distinct().count()
     assert html_rows <= 5
     assert rows.where(F.col("chunk_text") == "text of page 0").count() == 1
+
+
+def test_walk_is_uncapped_by_default(spark):
+    """A chain longer than any former cap: every page is reached."""
+    n = 30
+    pages = [f"http://s0.gov.au/p{i}" for i in range(n)]
+    fan = [(pages[0], i, f"http://s0.gov.au/q{i}") for i in range(900)]
+    docs = spark.createDataFrame([(u, "text/html", u, "", [], []) for u in pages + [d for _, _, d in fan]],
+                                 "url string, content_type string, title string, description string, tags array<string>, date_texts array<string>")
+    edges = spark.createDataFrame([(a, 1000, b, "x") for a, b in zip(pages, pages[1:])] + [(s, p, d, "y") for s, p, d in fan],
+                                  "src string, pos long, dst string, anchor string")
+    none = spark.createDataFrame([], "link string, content_type string, content_length string")
+    got, _ = cr.crawl_files(cr.seeds_frame(spark, [pages[0]]), docs, edges, none, None)
+    rows = {r.url: r.depth for r in got.select("url", "depth").collect()}
+    assert len(rows) == n + 900 and rows[pages[-1]] == n - 1
+
+
+def test_robots_rules_equal_the_standard_parser(spark):
+    from urllib.robotparser import RobotFileParser
+
+    bodies = ["User-agent: *\nDisallow: /es/\nAllow: /", "User-agent: *\nAllow: /a/b\nDisallow: /a\nDisallow: /q?x=1",
+              "User-agent: quarry-files\nDisallow: /only\n\nUser-agent: *\nDisallow: /", "User-agent: other\nDisallow: /", "",
+              "User-agent: *\nDisallow:", "User-agent: *\nDisallow: /caf%C3%A9\nDisallow: /a b\nDisallow: /~u"]
+    paths = ["", "/", "/es/x", "/a", "/a/b/c", "/q?x=1&y", "/q?x=2", "/only/1", "/caf\u00e9/1", "/caf%c3%a9", "/a%20b", "/%7Eu/x", "/50%", "/a+b;p#f"]
+    robots = spark.createDataFrame([(f"http://h{i}.gov.au", 200, b) for i, b in enumerate(bodies)]
+                                   + [("http://e1.gov.au", 403, ""), ("http://e2.gov.au", 404, ""), ("http://e3.gov.au", 500, "")],
+                                   "origin string, status int, body string")
+    urls = [f"http://h{i}.gov.au{p}" for i in range(len(bodies)) for p in paths]
+    more = ["http://e1.gov.au/x", "http://e2.gov.au/x", "http://e3.gov.au/x", "http://none.gov.au/x"]
+    df = spark.createDataFrame([(u,) for u in urls + more], "url string")
+    got = {r.url: r.robots_ok for r in cr.robots_allowed(df, robots, "url", "quarry-files/1.0").collect()}
+    for i, b in enumerate(bodies):
+        rp = RobotFileParser()
+        rp.parse(b.splitlines())
+        for p in paths:
+            u = f"http://h{i}.gov.au{p}"
+            assert got[u] == rp.can_fetch("quarry-files/1.0", u), (b, u)
+    assert [got[u] for u in more] == [False, True, False, False]

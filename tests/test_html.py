@@ -1,17 +1,22 @@
-from quarry.functions.html import page_fields
-from quarry.functions.html_tree import parse
+from quarry.functions.html import page_nodes
 
 BASE = "http://site.gov.au/dir/page"
 
 
+def _text(rows, row):
+    return "|".join(r["text"] for r in rows[row["i"] + 1:row["end"]] if r["text"] is not None and not r["hidden"])
+
+
 def test_tree_rules():
-    root = parse("<p>a<p>b</p>c</p><br></br><b>x</i>y</b>")
-    ps = list(root.find_all("p"))
-    assert len(ps) == 2 and ps[1].parent is ps[0]          # no implied end tag: nested
-    assert ps[0].get_text("|") == "a|b|c"
-    assert root.find("b").get_text() == "xy"                 # stray </i> ignored
-    root = parse("<div><script>var t='</p>';</script><p>keep</p>")
-    assert root.get_text(" ", strip=True) == "keep"         # script text is not text
+    rows = page_nodes("<p>a<p>b</p>c</p><br></br><b>x</i>y</b>", BASE)
+    ps = [r for r in rows if r["tag"] == "p"]
+    assert len(ps) == 2 and ps[1]["up"] == ps[0]["i"]          # no implied end tag: nested
+    assert _text(rows, ps[0]) == "a|b|c"
+    b = next(r for r in rows if r["tag"] == "b")
+    assert _text(rows, b).replace("|", "") == "xy"               # stray </i> ignored
+    rows = page_nodes("<div><script>var t='</p>';</script><p>keep</p>", BASE)
+    assert [r["text"] for r in rows if r["text"] and not r["hidden"]] == ["keep"]  # script text is not text
+    assert page_nodes(None, None) == []
 
 
 def _fields(spark, html):
@@ -59,12 +64,12 @@ def test_tags_priority_caps_and_case(spark):
         ["a1", "b2", "t0", "t1", "t2", "t3", "t4", "t5"]          # article tags fill up to 8
 
 
-def test_links_and_visible_text():
+def test_links_and_visible_text(spark):
     html = ('<html><head><title>T &amp; t</title></head><body><nav><a href="/n">Nav</a></nav>'
             '<ul><li><p>item <a href="../rel#f">Rel</a></p></li></ul>'
             '<a href="mailto:x@y">m</a><a href="">blank</a><a href="javascript:void(0)">j</a>'
             '<h1>Head</h1><footer>foot</footer></body></html>')
-    f = page_fields(html, BASE)
+    f = _fields(spark, html)
     assert f["title"] == "T & t"
     assert [l["url"] for l in f["links"]] == ["http://site.gov.au/n", "http://site.gov.au/rel"]
     assert [l["anchor"] for l in f["links"]] == ["Nav", "Rel"]
@@ -72,9 +77,9 @@ def test_links_and_visible_text():
     assert f["visible_text"] == "Head\nitem Rel\nitem Rel"     # h1 first, then p, then li (repeat)
 
 
-def test_date_texts():
+def test_date_texts(spark):
     html = ('<title>Report 2021</title><meta name="dcterms.modified" content="2022-03-04">'
             '<time datetime="2019-01-02">2 January 2019</time><div>Last updated 5/6/2020</div>')
-    f = page_fields(html, BASE)
+    f = _fields(spark, html)
     assert "2022-03-04" in f["date_texts"] and "2019-01-02" in f["date_texts"]
     assert "Last updated 5/6/2020" in f["date_texts"]

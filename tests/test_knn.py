@@ -43,12 +43,12 @@ def test_topk_equals_brute_force(spark, k, n, seed):
     assert _run(spark, q, c, k) == _brute(q, c, k)
 
 
-def test_block_path_equals_broadcast(spark):
+def test_many_blocks_equal_one(spark):
     rng = np.random.default_rng(1)
     c = [(i, rng.normal(size=8).tolist()) for i in range(300)]
     q = [(i, rng.normal(size=8).tolist()) for i in range(0, 300, 7)]
     a = _run(spark, q, c, 5, exclude_self=True)
-    b = _run(spark, q, c, 5, exclude_self=True, broadcast_bytes=256, corpus_blocks=7)
+    b = _run(spark, q, c, 5, exclude_self=True, block_bytes=512)
     assert a == b == _brute(q, c, 5, exclude_self=True)
 
 
@@ -70,19 +70,31 @@ def test_plan_prunes_before_shuffle(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0])], "qid long, qvec array<double>")
     plan = knn(q, c, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "Window" in plan
-    assert "MapInArrow" in plan or "PythonMapInArrow" in plan
+    assert "FlatMapCoGroupsInArrow" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-def test_payload_rides_with_winners(spark):
+def test_search_sees_ids_and_vectors_only(spark):
+    from quarry.operators.answers import store_search
+
     rng = np.random.default_rng(3)
-    c = [(i, rng.normal(size=6).tolist(), f"title {i}", float(i) / 2) for i in range(120)]
-    cdf = spark.createDataFrame(c, "id long, embedding array<double>, title string, w double")
-    q = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(9)], "qid long, qvec array<double>")
-    a = knn(q, cdf, 4, payload=["title", "w"]).collect()
-    b = knn(q, cdf, 4, payload=["title", "w"], broadcast_bytes=64, corpus_blocks=5).collect()
-    norm = lambda rows: sorted((r["qid"], r["rank"], r["id"], r["title"], r["w"]) for r in rows)
-    assert norm(a) == norm(b)
-    assert all(r["title"] == f"title {r['id']}" and r["w"] == r["id"] / 2 for r in a)
+    c = [(f"d{i}", rng.normal(size=6).tolist(), f"title {i}", "long text " * 50, "a", "u", "v") for i in range(120)]
+    cdf = spark.createDataFrame(c, "id string, embedding array<double>, title string, description string, agency string, api_url string, url string")
+    q = spark.createDataFrame([(f"d{i}", rng.normal(size=6).tolist()) for i in range(9)], "qid string, qvec array<double>")
+    found = store_search(q, cdf, 4)
+    assert all(r.title == f"title {r.id[1:]}" and r.description for r in found.collect())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("FlatMapCoGroupsInArrow"):]
+    assert "description" not in below.split("LogicalRDD")[0]
+
+
+def test_pairs_have_one_score_and_blocks_are_bounded(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=5).tolist()
+    c = [(i, v) for i in range(900)] + [(1000 + i, rng.normal(size=5).tolist()) for i in range(300)]  # many ties
+    q = [(-1, v), (-2, rng.normal(size=5).tolist())]
+    for metric in ("l2sq", "cosine"):
+        one, many = (_run(spark, q, c, 7, metric=metric, block_bytes=b) for b in (1 << 25, 2000))
+        assert one == many and [g[2] for g in one if g[0] == -1] == list(range(7))
 
 
 def test_string_ids_block_path(spark):
@@ -92,7 +104,7 @@ def test_string_ids_block_path(spark):
     qdf = spark.createDataFrame(q, "qid string, qvec array<double>")
     cdf = spark.createDataFrame(c, "id string, embedding array<double>")
     a = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True).collect()))
-    b = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True, broadcast_bytes=32, corpus_blocks=9).collect()))
+    b = sorted(map(tuple, knn(qdf, cdf, 3, exclude_self=True, block_bytes=200).collect()))
     assert [x[:3] for x in a] == [x[:3] for x in b]
 
 
