@@ -728,6 +728,79 @@ def l2_page_chunks(spark, sf):
     return pg.page_chunks(_page_fields(spark, sf))
 
 
+# Pages written from the columns of ``part``: SQL knows every field (see ``V.made_pages``).
+
+def _made_fields(spark, sf):
+    return pg.extract_pages(V.made_pages(spark, sf))
+
+
+@query("e3_description_rules", f"SELECT page_id, title, description, description_chunk FROM {V.MADE_SQL}")
+def e3_description_rules(spark, sf):
+    """Meta priority, blank metas, entities, fallback to the first paragraph."""
+    return _made_fields(spark, sf).select("page_id", "title", "description", "description_chunk")
+
+
+@query("e4_tag_rules", f"SELECT page_id, array_to_string(tags, '; ') AS tags FROM {V.MADE_SQL}")
+def e4_tag_rules(spark, sf):
+    """Keywords, subjects and JSON-LD, short and repeated values dropped."""
+    return _made_fields(spark, sf).select("page_id", F.array_join("tags", "; ").alias("tags"))
+
+
+@query("e6_link_rules", f"""
+SELECT page_id, body_link AS link, 'body' AS part FROM {V.MADE_SQL} UNION ALL
+SELECT page_id, u.link, 'all' FROM {V.MADE_SQL} m, unnest([body_link, 'http://made.example.org/nav']) u(link)""")
+def e6_link_rules(spark, sf):
+    """Canonical links with and without page chrome; mailto links are skipped."""
+    f = _made_fields(spark, sf)
+    one = lambda chrome, name: pg.page_links(f, strip_chrome=chrome).select(
+        "page_id", F.explode("page_links").alias("link"), F.lit(name).alias("part"))
+    return one(True, "body").unionByName(one(False, "all"))
+
+
+@query("e7_text_rules", f"SELECT page_id, visible_text FROM {V.MADE_SQL}")
+def e7_text_rules(spark, sf):
+    """Headings, paragraphs and items in selector order, chrome left out, blanks collapsed."""
+    return _made_fields(spark, sf).select("page_id", "visible_text")
+
+
+@query("f1_date_rules", f"SELECT page_id, n_date_texts::BIGINT AS n_date_texts, data_collected_date FROM {V.MADE_SQL}")
+def f1_date_rules(spark, sf):
+    """Date texts of metas, <time> and hint words, and the date chosen."""
+    f = pg.page_date(_made_fields(spark, sf), F3_CURRENT_YEAR)
+    return f.select("page_id", F.size("date_texts").cast("bigint").alias("n_date_texts"), "data_collected_date")
+
+
+_MADE_CHUNKS = f"""
+WITH c AS {_chunk_sql(V.MADE_SQL + ' m', 'page_id', 'visible_text')}
+SELECT 'http://made.example.org/d/' || k AS url, (row_number() OVER (PARTITION BY k ORDER BY step) - 1)::INT AS chunk_index,
+       (count(*) OVER (PARTITION BY k))::INT AS chunk_total, chunk AS chunk_text FROM c"""
+
+
+@query("l2_chunk_rules", _MADE_CHUNKS)
+def l2_chunk_rules(spark, sf):
+    """L2: chunk rows of pages, some longer than one chunk."""
+    return pg.page_chunks(_made_fields(spark, sf)).select("url", "chunk_index", "chunk_total", "chunk_text")
+
+
+@query("k3_chunk_file_rules", _MADE_CHUNKS)
+def k3_chunk_file_rules(spark, sf):
+    """K3: the chunk rows written as CSV and read back."""
+    path = _scratch(spark, "made-chunks")
+    sinks.write_chunks_csv(pg.page_chunks(_made_fields(spark, sf)), path)
+    back = spark.read.options(**sinks.CSV_OPTIONS).option("multiLine", "true").csv(path)
+    return back.select("url", F.col("chunk_index").cast("int"), F.col("chunk_total").cast("int"), "chunk_text")
+
+
+@query("z1_chunk_stream_rules", _MADE_CHUNKS)
+def z1_chunk_stream_rules(spark, sf):
+    """Pages arriving as several files, one per micro-batch, chunked as a stream."""
+    path = _scratch(spark, "made-pages")
+    V.made_pages(spark, sf).repartition(3).write.parquet(path)
+    pages = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = zs.run_available_now(zs.chunk_stream(pages))
+    return spark.read.parquet(out).select("url", "chunk_index", "chunk_total", "chunk_text")
+
+
 # ---------------------------------------------------------------- crawl
 
 CRAWL_SCOPE = ("example.org", "example.com", "example.net")

@@ -236,3 +236,44 @@ def robots_rules(spark: SparkSession, sf: str) -> DataFrame:
     body = F.when(F.pmod(F.length(host), F.lit(2)) == 0, F.lit("User-agent: *\nDisallow: /es/")) \
         .otherwise(F.lit("User-agent: *\nAllow: /"))
     return p.select(origin.alias("origin"), F.lit(200).alias("status"), body.alias("body")).distinct()
+
+
+def made_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """One html page per part, written from its columns, so that SQL over the columns
+    knows every extracted field: metas in all variants, keywords, JSON-LD, dates, links
+    in and outside page chrome, and a paragraph longer than a chunk."""
+    p = read_table(spark, sf, "part")
+    key, k = F.col("p_partkey"), F.pmod("p_partkey", F.lit(4))
+    every = lambda n, html: F.when(F.pmod(key, F.lit(n)) == 0, html).otherwise(F.lit(""))
+    c = lambda *xs: F.concat(*[F.lit(x[1:]) if isinstance(x, str) and x.startswith("=") else F.col(x) if isinstance(x, str) else x for x in xs])
+    meta = F.when(k == 0, c("=<meta name=\"description\" content=\" ", "p_type", "= &amp;amp; more \">")) \
+        .when(k == 1, c("=<meta property=\"og:description\" content=\"", "p_type", "=\">")) \
+        .when(k == 2, F.lit("<meta name=\"description\" content=\"  \"><meta property=\"og:description\" content=\"unused\">")).otherwise(F.lit(""))
+    html = c(
+        "=<html><head><title> ", "p_name", "= &amp; co</title>", meta,
+        every(3, c("=<meta name=\"keywords\" content=\"", "p_brand", "=, x ,", F.lower("p_brand"), "=,size ", F.col("p_size").cast("string"), "=\">")),
+        every(2, c("=<meta name=\"dcterms.subject\" content=\"subject ", "p_name", "=\">")),
+        every(5, c("=<script type=\"application/ld+json\">{\"keywords\": \"ld ", "p_type", "=, LD\"}</script>")),
+        every(2, c("=<meta name=\"dcterms.modified\" content=\"20", F.lpad(F.pmod(key, F.lit(20)).cast("string"), 2, "0"), "=-0",
+                   (F.pmod(key, F.lit(9)) + 1).cast("string"), "=-15\">")),
+        "=</head><body><nav><a href=\"/nav\">Nav</a><p>menu</p></nav><h1>", "p_name", "=</h1><p>First  ", "p_type", "= para</p>",
+        every(7, c("=<p>", F.repeat(c("p_name", "= and "), 150), "=end</p>")),
+        "=<ul><li>", "p_brand", "=</li></ul><a href=\"/p/", key.cast("string"), "=#f\">Go <b>", "p_brand", "=</b></a>",
+        every(3, c("=<a href=\"mailto:a@b.example\">mail</a><time datetime=\"1995-02-03\">old</time><div>Last updated 4/5/1996</div>")),
+        "=<footer><p>foot</p></footer></body></html>")
+    return p.select(key.alias("page_id"), F.concat(F.lit("http://made.example.org/d/"), key.cast("string")).alias("url"), html.alias("html"))
+
+
+_LONG = "CASE WHEN p_partkey % 7 = 0 THEN chr(10) || repeat(p_name || ' and ', 150) || 'end' ELSE '' END"
+MADE_SQL = f"""(SELECT p_partkey AS page_id, p_name || ' & co' AS title,
+    CASE WHEN p_partkey % 4 = 0 THEN p_type || ' & more' WHEN p_partkey % 4 = 1 THEN p_type ELSE 'menu' END AS description,
+    CASE WHEN p_partkey % 4 = 0 THEN p_type || ' &amp; more' ELSE 'menu' END AS description_chunk,
+    list_concat(CASE WHEN p_partkey % 3 = 0 THEN [p_brand, 'size ' || p_size] ELSE [] END,
+                CASE WHEN p_partkey % 2 = 0 THEN ['subject ' || p_name] ELSE [] END,
+                CASE WHEN p_partkey % 5 = 0 THEN ['ld ' || p_type, 'LD'] ELSE [] END) AS tags,
+    p_name || chr(10) || 'First ' || p_type || ' para' || {_LONG} || chr(10) || p_brand AS visible_text,
+    CASE WHEN p_partkey % 2 = 0 THEN '20' || lpad((p_partkey % 20)::VARCHAR, 2, '0') || '-0' || (p_partkey % 9 + 1) || '-15'
+         WHEN p_partkey % 3 = 0 THEN '1996-05-04' END AS data_collected_date,
+    2 + (p_partkey % 2 = 0)::INT + 3 * (p_partkey % 3 = 0)::INT AS n_date_texts,
+    'http://made.example.org/p/' || p_partkey AS body_link, p_brand
+  FROM part)"""
