@@ -120,9 +120,9 @@ def keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
         .select(key, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def build_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def build_catalog(spark: SparkSession, path: str, glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """A1 -> K1 chain. Returns (catalog, quarantine)."""
-    files = read_json_files(spark, path)
+    files = read_json_files(spark, path, glob)
     bad_files = files.where(F.col("json").isNull()) \
         .select("path", F.lit(None).cast("long").alias("pos"), F.lit("not valid JSON").alias("reason"))
     typed = typed_flows(unwrap_flows(files))

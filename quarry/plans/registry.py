@@ -24,8 +24,8 @@ from quarry.operators import catalog as cat_ops
 from quarry.operators import collection as col
 from quarry.operators import crawl as cr
 from quarry.operators import pages as pg
-from quarry.operators.answers import (answer_queries, audit_lookup, audit_records, similar_by_id,
-                                      store_search)
+from quarry.operators.answers import (answer_queries, append_audit, audit_lookup, audit_records, read_audit,
+                                      similar_by_id, store_search)
 from quarry.operators.embed import embed, hash_embed_sql
 from quarry.operators.knn import knn
 from quarry.plans import sqltext as S
@@ -998,7 +998,13 @@ ids AS (SELECT substr(sha1(CAST(conv_id * 1000 + turn AS VARCHAR)), 1, 8) AS aud
 SELECT ids.audit_id, f.qid IS NOT NULL AS found, f.query, f.answer, CAST(f.cnt AS BIGINT) AS n_hits
 FROM ids LEFT JOIN f ON ids.audit_id = substr(sha1(CAST(f.qid AS VARCHAR)), 1, 8)""")
 def k6_audit_lookup(spark, sf):
+    """The records appended to the log in two writes, read back and looked up."""
     records = audit_records(_t8_answers(spark, sf))
+    path = _scratch(spark, "audit")
+    half = F.pmod(F.xxhash64("audit_id"), F.lit(2))
+    for part in (0, 1):
+        append_audit(records.where(half == part), path)
+    records = read_audit(spark, path, records.schema)
     c = read_table(spark, sf, "conversations")
     ids = c.select(F.substring(F.sha1((F.col("conv_id") * 1000 + F.col("turn")).cast("string")), 1, 8).alias("audit_id"))
     hit = audit_lookup(records, ids)
@@ -1136,6 +1142,51 @@ def a2_json_flows(spark, sf):
     return cat_ops.keep_first(rows, "id", ["path", "pos"]).select("id", "title", "agency", "freq", "tags")
 
 
+_JSON_FLOWS = """f AS (SELECT *, 'DF_' || p_partkey AS id, p_partkey % 11 <> 0 AS ok,
+             CASE p_brand WHEN 'Brand#7' THEN 'broken' WHEN 'Brand#9' THEN 'empty' ELSE 'list' END AS kind FROM part),
+files AS (SELECT DISTINCT p_brand, p_partkey // 500 AS part, kind FROM f)"""
+
+
+@query("a1_json_folder", f"""
+WITH {_JSON_FLOWS}
+SELECT id, p_name AS title, p_brand AS agency, '' AS reason FROM f WHERE kind = 'list' AND ok
+UNION ALL SELECT 'ROOT_' || p_brand || '_' || part, 'root', 'AG', '' FROM files WHERE kind = 'empty'
+UNION ALL SELECT '', '', '', 'not valid JSON' FROM files WHERE kind = 'broken'
+UNION ALL SELECT '', '', '', 'flow skipped' FROM f WHERE kind = 'list' AND NOT ok""")
+def a1_json_folder(spark, sf):
+    """A folder of JSON files scanned, with broken files, empty lists and invalid flows."""
+    p = read_table(spark, sf, "part")
+    text = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    names = F.when(F.col("p_partkey") % 11 == 0, F.lit(', "names": ["en"]')).otherwise(F.lit(""))
+    flow = text('{"id": "DF_', F.col("p_partkey").cast("string"), '", "name": "', F.col("p_name"), '", "agencyID": "', F.col("p_brand"), '"', names, "}")
+    part = F.floor(F.col("p_partkey") / 500)
+    lists = p.groupBy("p_brand", part.alias("part")).agg(F.array_join(F.collect_list(flow), ",").alias("flows"))
+    body = F.when(F.col("p_brand") == "Brand#7", F.lit("{broken")) \
+        .when(F.col("p_brand") == "Brand#9", text('{"data": {"dataflows": []}, "agencyID": "AG", "name": "root", "id": "ROOT_', F.col("p_brand"), "_",
+                                                  F.col("part").cast("string"), '"}')) \
+        .otherwise(text('{"data": {"dataflows": [', F.col("flows"), "]}}"))
+    path = _scratch(spark, "json")
+    lists.select(F.regexp_replace("p_brand", "#", "").alias("b"), "part", body.alias("value")).write.partitionBy("b", "part") \
+        .option("lineSep", "\n").text(path)
+    catalog, bad = cat_ops.build_catalog(spark, path, "*.txt")
+    rows = catalog.select("id", "title", "agency", F.lit("").alias("reason"))
+    return rows.unionByName(bad.select(F.lit("").alias("id"), F.lit("").alias("title"), F.lit("").alias("agency"), "reason"))
+
+
+@query("g10_blank_queries", """
+SELECT conv_id * 1000 + turn AS qid, conv_id % 3 = 0 AS blank,
+       CASE WHEN conv_id % 3 = 0 THEN 'Please provide a specific query to search for datasets.' END AS answer,
+       CASE WHEN conv_id % 3 = 0 THEN 0.0 END AS score, CASE WHEN conv_id % 3 = 0 THEN '' END AS audit_id
+FROM conversations WHERE role = 'user'""")
+def g10_blank_queries(spark, sf):
+    """Every third conversation asks nothing but blanks (no-break space among them)."""
+    q = V.user_queries(spark, sf).withColumn("query", F.when(F.floor(F.col("qid") / 1000) % 3 == 0, F.lit(" \u00a0\t\n")).otherwise(F.col("query")))
+    a = answer_queries(q, collection_df(spark, sf), k=4, deterministic_audit=True)
+    blank = F.col("status") == "blank"
+    return a.select("qid", blank.alias("blank"), F.when(blank, F.col("answer")).alias("answer"),
+                    F.when(blank, F.col("trust.score")).alias("score"), F.when(blank, F.col("audit_id")).alias("audit_id"))
+
+
 @query("c10_sources", _T8_CTE.split("\nh AS (")[0].replace(
     "p AS (SELECT qv.k AS qid, c.id, c.title,", "p AS (SELECT qv.k AS qid, c.id, c.title, c.agency, c.api_url,")
     .rstrip().rstrip(",") + f"""

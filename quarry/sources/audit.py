@@ -10,5 +10,8 @@ def append_audit(records: DataFrame, path: str) -> None:
     records.write.mode("append").partitionBy("dt").json(path)
 
 
-def read_audit(spark, path: str) -> DataFrame:
-    return spark.read.json(path)
+def read_audit(spark, path: str, schema, day: str | None = None) -> DataFrame:
+    """A6 scan: the log with a given schema (nothing is inferred); ``day`` reads one
+    day's folder only."""
+    log = spark.read.schema(schema).json(path)
+    return log if day is None else log.where(log["dt"] == day)

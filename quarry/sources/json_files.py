@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-@F.pandas_udf(T.StringType())
-def _decode_ignore(b: pd.Series) -> pd.Series:
-    return b.map(lambda x: None if x is None else bytes(x).decode("utf-8", errors="ignore"))
-
-
 @F.pandas_udf(T.StringType())
 def _json_last_key_wins(s: pd.Series) -> pd.Series:
     """Re-serialise JSON that Spark rejects only for duplicate keys (Python keeps the last)."""
@@ -34,9 +29,12 @@ def read_json_files(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
     Bytes that are not UTF-8 are dropped; text that is not JSON gives a NULL
     ``json`` (the caller routes those rows to a quarantine output).
     """
+    # replacement characters stand for bytes that are no UTF-8; they are dropped
+    text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\ufffd", "")
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", glob).load(path).select("path", _decode_ignore("content").alias("text"))
+        .option("pathGlobFilter", glob).load(path).select("path", text.alias("text"))
     parsed = raw.withColumn("json", F.try_parse_json("text"))
-    # Spark rejects duplicate keys; Python keeps the last one -- re-parse those rows.
-    retry = F.when(F.col("json").isNull(), F.try_parse_json(_json_last_key_wins("text")))
-    return parsed.withColumn("json", F.coalesce("json", retry)).select("path", "json")
+    # Spark rejects duplicate keys; Python keeps the last one.  Only the texts that Spark
+    # rejects are passed to the function, all others as NULL.
+    again = _json_last_key_wins(F.when(F.col("json").isNull(), F.col("text")))
+    return parsed.withColumn("json", F.coalesce("json", F.try_parse_json(again))).select("path", "json")

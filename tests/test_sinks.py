@@ -58,7 +58,7 @@ def test_audit_append_and_lookup(spark, tmp_dir):
     path = os.path.join(tmp_dir, "audit")
     an.append_audit(an.audit_records(ans), path)
     an.append_audit(an.audit_records(ans), path)
-    audit = an.read_audit(spark, path)
+    audit = an.read_audit(spark, path, an.audit_records(ans).schema)
     assert audit.count() == 2  # the blank query is never logged
     ids = spark.createDataFrame([(by[1]["audit_id"],), ("nope",)], "audit_id string")
     found = {r["audit_id"]: r["found"] for r in an.audit_lookup(audit, ids).collect()}
