@@ -35,6 +35,8 @@ ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
 }
+#: Mark of a word's last token in tokenizer files, and words encoded in one call.
+WORD_END, TOGETHER = "</w>", 200
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, part int, part_start long"
 
 
@@ -50,13 +52,28 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a word
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.memo: dict[str, bytes] = {}
-        self.marks = {m: self._ids([m])[0] for m in MARKS}
+        self.marks = {m: self._each([m])[0] for m in MARKS}
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(parts, add_special_tokens=False)
+    def _each(self, parts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _ids(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of each part.  Words of letters only are encoded many at a time,
+        with blanks between, and told apart by the ids that end a word."""
+        words, out = [p for p in parts if p.isalpha()], {}
+        groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, raw in zip(groups, self._each([" ".join(g) for g in groups]), strict=True):
+            cuts = [0, *(4 * np.flatnonzero(self.ends[np.frombuffer(raw, dtype="<u4")]) + 4).tolist()]
+            if len(cuts) == len(group) + 1 and cuts[-1] == len(raw):
+                out |= {w: raw[a:b] for w, a, b in zip(group, cuts, cuts[1:], strict=False)}
+        others = [p for p in parts if p not in out]
+        return out | dict(zip(others, self._each(others), strict=True))
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         memo = self.memo
@@ -68,7 +85,7 @@ class Encoder:
         new.difference_update(joined)
         new.update(w for p in joined if (w := p[:-1]) not in memo)
         fresh = [*new]
-        found = dict(zip(fresh, self._ids(fresh), strict=True))
+        found = self._ids(fresh)
         once = {p: (found.get(p[:-1]) or memo[p[:-1]]) + self.marks[p[-1]] for p in joined}
         once |= {p: found.pop(p) for p in fresh if len(p) > MEMO_CHARS}
         memo |= found
