@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -127,6 +128,12 @@ class Items:
         both = int(np.minimum(held, n).sum())
         return both, len(window) + int(n.sum()) - both
 
+    def found_in(self, h: np.ndarray, percent: int) -> list[tuple[int, int, int, float]]:
+        """The matches of a text's word hashes."""
+        g = texthash.shingles(h, self.width)
+        hits = self.shared(g)
+        return [*self.matches(h, g, hits, percent)] if len(hits) else []
+
     def matches(self, h: np.ndarray, g: np.ndarray, hits: np.ndarray, percent: int) -> Iterator[tuple[int, int, int, float]]:
         """(item row, first word, words, similarity) of the best window per matching item."""
         best: dict[int, tuple[float, int, int]] = {}
@@ -154,22 +161,25 @@ def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
 
 
-def _items(rows: list, width: int) -> Items | None:
+def _items(rows: list, width: int) -> tuple[list[int], np.ndarray, list[np.ndarray]] | None:
+    """(ids, words per item, shingles per item) of the items that have a shingle."""
     texts = pa.array([r.text for r in rows], pa.string())
     kept = [(r.item_id, h) for r, h in zip(rows, hashed_words(texts), strict=True) if len(h) >= width]
     if not kept:
         return None
-    return Items([i for i, _ in kept], np.array([len(h) for _, h in kept]),
-                 [texthash.shingles(h, width) for _, h in kept], width)
+    return [i for i, _ in kept], np.array([len(h) for _, h in kept]), [texthash.shingles(h, width) for _, h in kept]
 
 
+#: Passes whose items a worker holds at once.
+READY_PASSES = 4
 _READY: dict[str, Items] = {}
 
 
 def _ready(name: str, shared, width: int) -> Items:
     """The pass's items with their index, built once per worker."""
     if name not in _READY:
-        _READY.clear()
+        if len(_READY) >= READY_PASSES:
+            _READY.clear()
         _READY[name] = Items(*shared.value, width)
     return _READY[name]
 
@@ -187,6 +197,16 @@ def _passes(benchmark: DataFrame) -> tuple[DataFrame, int]:
         n *= 2
 
 
+def _prepared(benchmark: DataFrame, width: int) -> Iterator[tuple[object, str]]:
+    """(broadcast items, name) of every pass over the benchmark."""
+    items = tables.columns(benchmark, "item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    numbered, n = _passes(items)
+    for k in range(n):
+        rows = numbered.where(F.col("pass") == k).orderBy("item_id", "text").collect()  # at most PASS_ITEMS
+        if (found := _items(rows, width)) is not None:
+            yield benchmark.sparkSession.sparkContext.broadcast(found), uuid.uuid4().hex
+
+
 def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, item_id, start_word, n_words, similarity: each item found in each document.
 
@@ -199,27 +219,15 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = 5, percent
     item_id match nothing.  Repeated rows of either table count once per distinct
     row of ``benchmark`` and once per row of ``docs``.  Empty tables give no rows.
     """
-    items = tables.columns(benchmark, "item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
-    numbered, n = _passes(items)
     documents = tables.columns(docs, "doc_id", "text")
     out = None
-    for k in range(n):
-        rows = numbered.where(F.col("pass") == k).orderBy("item_id", "text").collect()  # at most PASS_ITEMS
-        prepared = _items(rows, width)
-        if prepared is None:
-            continue
-        shared, name = docs.sparkSession.sparkContext.broadcast(
-            (prepared.ids, prepared.words, prepared.shingles)), uuid.uuid4().hex
-
+    for shared, name in _prepared(benchmark, width):
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             found = _ready(name, shared, width)
             for batch in batches:
                 rows = []
                 for doc, h in zip(batch.column(0).to_pylist(), hashed_words(batch.column(1)), strict=True):
-                    g = texthash.shingles(h, width)
-                    hits = found.shared(g)
-                    if len(hits):
-                        rows += [(doc, found.ids[i], s, n, x) for i, s, n, x in found.matches(h, g, hits, percent)]
+                    rows += [(doc, found.ids[i], s, n, x) for i, s, n, x in found.found_in(h, percent)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5,
                                                     [pa.int64()] * 4 + [pa.float64()], strict=True)],
@@ -230,6 +238,18 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = 5, percent
     return out if out is not None else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
-def without_passages(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item (rows with a null doc_id stay)."""
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def without_passages(docs: DataFrame, benchmark: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose texts hold no benchmark item; nothing is shuffled."""
+    for shared, name in _prepared(benchmark, width):
+        docs = docs.where(~_holds(shared, name, width, percent)(F.col("`text`")))
+    return docs
+
+
+def _holds(shared, name: str, width: int, percent: int):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        found = _ready(name, shared, width)
+        column = pa.Array.from_pandas(texts, type=pa.large_string())
+        return pd.Series([bool(found.found_in(h, percent)) for h in hashed_words(column)], dtype=bool)
+
+    return holds

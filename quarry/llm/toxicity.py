@@ -19,10 +19,11 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,22 +76,26 @@ def fit(features: list[np.ndarray], grades: np.ndarray) -> OrdinalModel:
     levels = int(grades.max(initial=0)) + 1
     if levels < 2 or not (grades == 0).any():
         return OrdinalModel()
-    row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    ids, column = np.unique(np.concatenate(features), return_inverse=True)
-    seen = np.unique(row * len(ids) + column)  # a feature counts once per text for the selection
-    bad = (grades > 0)[seen // len(ids)]
-    n1 = np.bincount((seen % len(ids))[bad], minlength=len(ids))
-    n0 = np.bincount((seen % len(ids))[~bad], minlength=len(ids))
+    n0, n1 = document_counts(features, grades > 0)
     t1, t0 = (grades > 0).sum(), (grades == 0).sum()
     rate = (n0 + n1) / (t0 + t1)
     z = (n1 / t1 - n0 / t0) / np.sqrt(np.maximum(rate * (1 - rate) * (1 / t0 + 1 / t1), 1e-12))
-    chosen = (n0 + n1 >= MIN_DOCS) & (np.abs(z) >= MIN_Z)
-    if not chosen.any():
+    ids = np.flatnonzero((n0 + n1 >= MIN_DOCS) & (np.abs(z) >= MIN_Z))
+    if not len(ids):
         return OrdinalModel()
-    renumber = np.cumsum(chosen) - 1
-    use = chosen[column]
-    row, column = row[use], renumber[column[use]]
-    return _proximal(row, column, ids[chosen], grades, levels)
+    number = np.full(FEATURES, -1, dtype=np.int32)
+    number[ids] = np.arange(len(ids))
+    used = [number[f][number[f] >= 0] for f in features]
+    row, column = np.repeat(np.arange(len(used)), [len(u) for u in used]), np.concatenate(used)
+    return _proximal(row, column, ids, grades, levels)
+
+
+def document_counts(features: list[np.ndarray], second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts that hold each feature, among those not in ``second`` and those in it."""
+    counts = np.zeros((2, FEATURES), dtype=np.int32)
+    for f, k in zip(features, second.astype(int), strict=True):
+        counts[k, np.unique(f)] += 1
+    return counts[0], counts[1]
 
 
 def _thresholds(gaps: np.ndarray) -> np.ndarray:
@@ -157,12 +162,9 @@ def severity_grades(toxic: np.ndarray, features: list[np.ndarray], levels: int =
     toxic = toxic.astype(np.int64)
     if not toxic.any() or toxic.all():
         return toxic
-    ids, column = np.unique(np.concatenate(features), return_inverse=True)
-    row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    hot = toxic[row] > 0
-    n1, n0 = (np.bincount(column[x], minlength=len(ids)) for x in (hot, ~hot))
+    n0, n1 = document_counts(features, toxic > 0)
     telling = (n1 >= MIN_DOCS) & (n1 / toxic.sum() >= 20 * (n0 + 1) / (len(toxic) - toxic.sum()))
-    count = np.bincount(row[telling[column]], minlength=len(toxic))
+    count = np.array([telling[f].sum() for f in features])
     edges = np.quantile(count[toxic > 0], np.arange(1, levels) / levels)
     return np.where(toxic > 0, 1 + np.searchsorted(edges, count, side="left"), 0)
 
@@ -176,6 +178,33 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Ordin
     return fit(features, severity_grades(np.array([r.toxic > 0 for r in rows]), features))
 
 
+class Scorer:
+    """Scores texts by a model, remembering the weight of every word met."""
+
+    def __init__(self, model: OrdinalModel) -> None:
+        self.model, self.memo = model, {}
+
+    def _weight(self, word: str) -> float:
+        get = self.model.weights.get
+        if len(self.memo) >= MEMO_WORDS:
+            self.memo.clear()
+        total = self.memo[word] = sum([get(i, 0.0) for i in word_features(word)])
+        return total
+
+    def above(self, texts: Iterable[str | None]) -> np.ndarray:
+        """P(grade > j) for every text and threshold."""
+        memo, scores = self.memo, []
+        for text in texts:
+            words = words_of(text or "")
+            # summed in a fixed order, so that equal texts have equal scores
+            found = [x for w in words if (x := memo[w] if w in memo else self._weight(w))]
+            scores.append(float(np.sum(np.sort(found))) if found else 0.0)
+        return self.model.above(np.array(scores))
+
+    def toxic(self, above: np.ndarray) -> np.ndarray:
+        return above[:, 0] >= TOXIC_FROM if above.shape[1] else np.zeros(len(above), dtype=bool)
+
+
 def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """doc_id, expected_severity, grade (most likely), toxic for every document.
 
@@ -185,35 +214,27 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     usable labels (``train`` found fewer than two grades) every document has
     severity 0; an empty table gives an empty result.
     """
-    weights, thresholds = model.weights, model.thresholds
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, float] = {}
-        get = weights.get
-
-        def weight(word: str) -> float:
-            total = sum([get(i, 0.0) for i in word_features(word)])
-            if len(memo) >= MEMO_WORDS:
-                memo.clear()
-            memo[word] = total
-            return total
-
-        m = OrdinalModel(weights, thresholds)
+        scorer = Scorer(model)
         for batch in batches:
-            scores = []
-            for text in batch.column(1).to_pylist():
-                words = words_of(text or "")
-                # summed in a fixed order, so that equal texts have equal scores
-                found = [x for w in words if (x := memo[w] if w in memo else weight(w))]
-                scores.append(float(np.sum(np.sort(found))) if found else 0.0)
-            above = m.above(np.array(scores))
-            severity = above.sum(axis=1)
-            edges = np.concatenate([np.ones((len(scores), 1)), above, np.zeros((len(scores), 1))], axis=1)
+            above = scorer.above(batch.column(1).to_pylist())
+            ends = np.ones((len(above), 1))
+            edges = np.concatenate([ends, above, 0 * ends], axis=1)
             grade = (edges[:, :-1] - edges[:, 1:]).argmax(axis=1)
-            toxic = above[:, 0] >= TOXIC_FROM if len(thresholds) else np.zeros(len(scores), dtype=bool)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.round(severity, 6)), pa.array(grade.astype(np.int32)), pa.array(toxic)],
-                ["doc_id", "expected_severity", "grade", "toxic"])
+                [batch.column(0), pa.array(np.round(above.sum(axis=1), 6)), pa.array(grade.astype(np.int32)),
+                 pa.array(scorer.toxic(above))], ["doc_id", "expected_severity", "grade", "toxic"])
 
     return small_batches(tables.columns(docs, "doc_id", "text"), run,
                          "doc_id long, expected_severity double, grade int, toxic boolean")
+
+
+def without_toxic(docs: DataFrame, model: OrdinalModel) -> DataFrame:
+    """The rows of ``docs`` whose texts are not toxic; nothing is shuffled."""
+    scorer = Scorer(model)
+
+    @F.pandas_udf("boolean")
+    def toxic(texts: pd.Series) -> pd.Series:
+        return pd.Series(scorer.toxic(scorer.above(texts)), dtype=bool)
+
+    return docs.where(~toxic(F.col("`text`")))
