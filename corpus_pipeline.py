@@ -14,11 +14,9 @@ from quarry.llm import byte_bpe, decontaminate, line_dedup, minhash_dedup, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal toxicity model rejects go (rows with a null doc_id stay)."""
+    """Documents that the ordinal toxicity model rejects go."""
     tables.prepare(spark)
-    scored = toxicity.score(docs, toxicity.train(docs, tables.table(spark, sf_dir, "labels")))
-    rejected = scored.where(F.col("toxic")).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    return toxicity.without_toxic(docs, toxicity.train(docs, tables.table(spark, sf_dir, "labels")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     tables.prepare(spark)
-    found = decontaminate.find_passages(docs, tables.table(spark, sf_dir, "benchmark"))
-    return decontaminate.without_passages(docs, found)
+    return decontaminate.without_passages(docs, tables.table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
