@@ -178,12 +178,13 @@ def materialize(df: DataFrame, bucket_of: str | None = None, buckets: int = 0,
         obs = Observation()
         df = df.observe(obs, F.count(F.lit(1)).alias("n"))
     if bucket_of is not None:
-        df.withColumn("_b", bucket(bucket_of, buckets)).repartition("_b").write.partitionBy("_b").parquet(path)
+        df = df.withColumn("_b", bucket(bucket_of, buckets))
+        df.repartition("_b").write.partitionBy("_b").parquet(path)
     else:
         df.write.parquet(path)
     if obs is not None:
         counter.append(int(obs.get["n"]))
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # an empty bucketed table has no files to infer from
 
 
 def bucket(col: str, buckets: int) -> F.Column:

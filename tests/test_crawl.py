@@ -105,7 +105,7 @@ def test_chunk_crawl_depth_and_cap(spark):
 
 def test_walk_is_uncapped_by_default(spark):
     """A chain longer than any former cap: every page is reached."""
-    n = 30
+    n = 12
     pages = [f"http://s0.gov.au/p{i}" for i in range(n)]
     fan = [(pages[0], i, f"http://s0.gov.au/q{i}") for i in range(900)]
     docs = spark.createDataFrame([(u, "text/html", u, "", [], []) for u in pages + [d for _, _, d in fan]],
