@@ -7,11 +7,11 @@ twice as many values as hash evaluations.  Signatures are cut into bands of
 
 Documents with equal sets are one class from the start (a digest groups them),
 so a copy never makes a pair.  Within a band bucket pairs are not enumerated:
-pivots of the bucket are compared with the members that are not yet in their
-component, links are confirmed on the full sets, components are merged and the
-pivots leave the bucket.  A bucket is done when its remaining members are in one
-component; as long as it is not, the number of its pivots grows fourfold per
-round, so every candidate pair is either compared or already connected.
+one pivot per bucket is compared with the other members on the full sets, and the
+confirmed links give components.  What the pivots leave open is settled exactly:
+the members outside the largest component of their group of buckets are compared
+with the group's members, block by block, and a block emits only the links that
+connect components.  So every candidate pair is compared or already connected.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ PERMUTATIONS = 80
 #: 160 values in 32 bands of 5: a pair of similarity 0.8 shares no band once in 300 000 times.
 BAND_ROWS = 5
 COLUMNS = 512
+#: Sets, and shingles of all sets together, in one block of the open members' comparison.
+BLOCK_ROWS, BLOCK_VALUES = 512, 2_000_000
 _RNG = np.random.default_rng(77)
 _A = _RNG.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
@@ -98,27 +100,106 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.lit(100) * F.col("both") >= F.lit(percent) * union).select("a", "b"))
 
 
-def _candidates(members: DataFrame, labels: DataFrame | None, percent: int, round_no: int):
-    """(pairs to compare, members without this round's pivots) or None when all buckets are done."""
-    at = members.withColumn("c", F.col("node")) if labels is None else (
-        members.join(labels.select("node", "root"), "node", "left")
-        .select("bucket", "node", "n", F.coalesce("root", "node").alias("c")))
-    order = F.xxhash64("node", F.lit(round_no))
-    stats = at.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("size"),
-                                     F.min(order).alias("first")).where("c0 <> c1")
-    # the first in a random order that is the same for all buckets, and more by a growing share
-    share = (order.cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    pivot = (F.col("order") == F.col("first")) | (F.col("share") * F.col("size") < F.lit(4.0**round_no if round_no else 0.0))
-    live = tables.keep(at.withColumn("order", order).withColumn("share", share).join(stats, "bucket")
-                       .select("bucket", "node", "n", "c", pivot.alias("pivot")), "live")
-    if not live.head(1):
-        return None
-    p = live.where("pivot").select("bucket", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"))
-    near = (F.col("c") != F.col("pc")) & (F.lit(100) * F.least("n", "pn") >= F.lit(percent) * F.greatest("n", "pn"))
-    # of two pivots the smaller is compared with the larger; the pivot stays on side a
-    pairs = live.join(p, "bucket").where(near & (~F.col("pivot") | (F.col("p") < F.col("node"))))
-    return (pairs.select(F.col("p").alias("a"), F.col("node").alias("b")).distinct(),
-            live.where("NOT pivot").select("bucket", "node", "n"))
+def _similar_sizes(x: str, y: str, percent: int):
+    """Sets that are similar enough have sizes that are."""
+    return F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
+
+
+def _star_pairs(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pivot a, member b) pairs, one pivot per bucket, and the members that are no
+    pivots.  The pivot is the first in a random order that is the same in all buckets."""
+    ordered = members.withColumn("order", F.xxhash64("node"))
+    firsts = ordered.groupBy("bucket").agg(F.min("order").alias("first"))
+    live = tables.keep(ordered.join(firsts, "bucket").withColumn("pivot", F.col("order") == F.col("first")), "live")
+    p = live.where("pivot").select("bucket", F.col("node").alias("a"), F.col("n").alias("an"))
+    pairs = live.where("NOT pivot").join(p, "bucket").where(_similar_sizes("n", "an", percent))
+    return pairs.select("a", F.col("node").alias("b")).distinct(), live.where("NOT pivot").select("bucket", "node", "n")
+
+
+class _Forest:
+    """Union-find over the rows of one block pair."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while self.up.get(x, x) != x:
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.top(x), self.top(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection size of every left with every right set."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    lv, rv = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(lv, rv)
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)]
+    at = [np.minimum(np.searchsorted(shared, v), max(len(shared) - 1, 0)) for v in (lv, rv)]
+    for lo in range(0, len(shared), COLUMNS * 8):
+        part = shared[lo:lo + COLUMNS * 8]
+        dense = []
+        for x, v, r, i in zip((left, right), (lv, rv), rows, at, strict=True):
+            hit = (i >= lo) & (i < lo + len(part)) & (shared[i] == v)
+            m = np.zeros((len(x), len(part)), dtype=np.float32)
+            m[r[hit], i[hit] - lo] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _block_links(percent: int):
+    """Links between the components of one (open block, member block) pair: as many as
+    connect what is connected, so that a block emits no more rows than it reads."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple[int, int]] = []
+        if left.num_rows and right.num_rows:
+            (ln, lc, ls), (rn, rc, rs) = (
+                (t.column("node").to_numpy(), t.column("c").to_numpy(), [np.array(x.values) for x in t.column("set")])
+                for t in (left, right))
+            sizes = [np.array([len(s) for s in x], dtype=np.float32) for x in (ls, rs)]
+            both = _overlaps(ls, rs)
+            linked = 100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)
+            forest = _Forest()
+            for i, j in zip(*np.nonzero(linked & (lc[:, None] != rc[None, :])), strict=True):
+                if forest.join(int(lc[i]), int(rc[j])):
+                    out.append((int(ln[i]), int(rn[j])))
+        return pa.table([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return solve
+
+
+def _open_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among members of a bucket that ``roots`` does not connect yet.
+
+    Buckets that share members form one group.  In a group the members outside its
+    largest component are compared with all members, in blocks of bounded size.
+    """
+    first = members.groupBy("bucket").agg(F.min("node").alias("b"))
+    groups = components(members.join(first, "bucket").select(F.col("node").alias("a"), "b"))
+    grouped = members.select("node", "n").distinct().join(groups.withColumnRenamed("root", "g"), "node", "left").join(
+        roots, "node", "left").select("node", "n", F.coalesce("g", "node").alias("g"), F.coalesce("root", "node").alias("c"))
+    grouped = tables.keep(grouped, "groups")
+    parts = grouped.groupBy("g", "c").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("values"))
+    blocks = lambda rows, values: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(values / BLOCK_VALUES), F.lit(1)).cast("int")
+    total = parts.groupBy("g").agg(F.max(F.struct("rows", "c", "values")).alias("m"), F.sum("rows").alias("rows"),
+                                   F.sum("values").alias("values"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    plan = total.select("g", F.col("m.c").alias("main"), blocks(F.col("rows"), F.col("values")).alias("rn"),
+                        blocks(F.col("rows") - F.col("m.rows"), F.col("values") - F.col("m.values")).alias("ln"))
+    rows = tables.keep(grouped.join(plan, "g").join(sets, "node"), "open")
+    at = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    key, carried = ["g", "lb", "rb"], ["node", "c", "set"]
+    left = rows.where("c <> main").withColumn("lb", at("ln")).withColumn("rb", every("rn")).select(*key, *carried)
+    right = rows.withColumn("rb", at("rn")).withColumn("lb", every("ln")).select(*key, *carried)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_block_links(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -159,9 +240,7 @@ def _roots(documents: DataFrame, signed: DataFrame, classes: DataFrame, placed:
     # a repeated doc_id belongs to several classes: one document, hence one component
     ids = placed.groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
     links = placed.join(ids, "doc_id").where("node <> x").select(F.col("node").alias("a"), F.col("x").alias("b"))
-    roots, round_no = components(links), 0
-    while (step := _candidates(members, roots, percent, round_no)) is not None:
-        pairs, members = step
-        found = _confirm(pairs, sets, percent).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots, round_no = components(found), round_no + 1
-    return roots
+    pairs, rest = _star_pairs(members, percent)
+    links = tables.keep(_confirm(pairs, sets, percent).unionByName(links), "links")
+    open_links = _open_links(rest, components(links), sets, percent)
+    return components(links.unionByName(open_links))
