@@ -54,19 +54,19 @@ def scan(docs: DataFrame) -> DataFrame:
     empty result.
     """
     known = F.broadcast(known_digests(docs.sparkSession))  # a fixed list
-    rows = tables.columns(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    some = rows.where(F.col("text").rlike(ANCHOR))
-    lines = some.select("row", F.explode(F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("unit"))),
-                        F.transform(F.split("text", "\n"), lambda s: F.struct(F.lit(False).alias("whole"), s.alias("unit"))))).alias("u"))
-    units = lines.select("row", "u.whole", "u.unit").where(F.col("unit").rlike(ANCHOR))
-    found = units.withColumn("digest", F.sha2(canonical(F.col("unit")), 256)).join(known, "digest")
-    per_row = found.groupBy("row").agg(
-        F.min(F.when(F.col("whole"), F.col("license"))).alias("text_license"),
-        F.sum((~F.col("whole")).cast("long")).alias("n_notices"),
-        F.array_join(F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license")))), ",").alias("notices"))
-    return rows.select("doc_id", "row").join(per_row, "row", "left").select(
-        "doc_id", "text_license", F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"),
-        F.coalesce("notices", F.lit("")).alias("notices"))
+    unit = lambda whole, text: F.struct(F.lit(whole).alias("whole"), text.alias("unit"))
+    # a unit without text keeps documents without any licence in the result
+    none = F.array(unit(False, F.lit(None).cast("string")))
+    lines = F.transform(F.split("text", "\n"), lambda s: unit(False, s))
+    units = F.when(F.col("text").rlike(ANCHOR), F.concat(none, F.array(unit(True, F.col("text"))), lines)).otherwise(none)
+    numbered = tables.columns(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    rows = numbered.select("doc_id", "row", F.explode(units).alias("u")).select("doc_id", "row", "u.*")
+    digests = rows.where(F.col("unit").isNull() | F.col("unit").rlike(ANCHOR)).withColumn(
+        "digest", F.sha2(canonical(F.col("unit")), 256))
+    line = F.when(~F.col("whole"), F.col("license"))
+    return digests.join(known, "digest", "left").groupBy("row", "doc_id").agg(
+        F.min(F.when(F.col("whole"), F.col("license"))).alias("text_license"), F.count(line).alias("n_notices"),
+        F.array_join(F.array_sort(F.collect_set(line)), ",").alias("notices")).drop("row")
 
 
 def _quoted(text: str) -> str:

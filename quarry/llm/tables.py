@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry import session
 from quarry.session import ensure_checkpoint_dir, read_table, ship_package
 
 
@@ -18,7 +18,8 @@ def prepare(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A new path in the shared checkpoint folder, deleted when Python exits."""
+    return session.scratch_path(spark, f"llm-{name}")
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -50,11 +51,6 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def columns(df: DataFrame, *names: str) -> DataFrame:
     """The named columns under their names, whatever else the frame holds.
 

@@ -53,7 +53,7 @@ def test_random_runs_are_told_from_words(spark):
         rows.append((i, f"key {s} end"))
         secret[i] = (4, 4 + len(s))
     words = ["internationalization-of-documents", "this_is_a_long_identifier_name", "pneumonoultramicroscopicsilicovolcanoconiosis",
-             "path/to/some/directory/of/the/project", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "====================================="]
+             "path/to/some/directory/of/the/project", "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzz", "====================================="]
     rows += [(100 + i, f"see {w} there") for i, w in enumerate(words * 5)]
     got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in
            secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
