@@ -76,37 +76,62 @@ def _p_low(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(1.5976) * z + F.lit(0.070566) * z * z * z)))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _battery(match: Column) -> Column:
-    """(encoding, length class, bin of the p-value for "ordinary text") of one candidate."""
-    n = F.length(match).cast("double")
-    encoding = F.coalesce(*[F.when(match.rlike(p), F.lit(i)) for i, (_, p, _) in enumerate(ENCODINGS)], F.lit(len(ENCODINGS) - 1))
-    by = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), encoding + 1)
-    alphabet, size = by([a for _, _, a in ENCODINGS]), by([float(len(a)) for _, _, a in ENCODINGS])
-    chars = F.filter(F.split(match, ""), lambda c: c != "")
-    places = F.transform(chars, lambda c: F.instr(alphabet, c).cast("double"))
-    squares = F.aggregate(F.array_distinct(chars), F.lit(0.0),
-                          lambda a, c: a + F.pow(F.size(F.filter(chars, lambda x: x == c)).cast("double"), F.lit(2.0)))
-    chi = squares * size / n - n
-    growth = F.greatest(size * TEXT_REPEAT - 1, F.lit(TEXT_REPEAT_LEAST))
-    chi_mean = size - 1 + n * growth
-    chi_sd = F.sqrt(2 * (size - 1) + 4 * n * growth + F.pow(F.sqrt(n) * TEXT_CHI_SD, F.lit(2.0)))
-    kind = lambda c: F.when(c.rlike("[0-9]"), 0).when(c.rlike("[a-z]"), 1).when(c.rlike("[A-Z]"), 2).otherwise(3)
-    kinds = F.transform(chars, kind)
-    pairs = F.arrays_zip(F.slice(kinds, 1, F.size(kinds) - 1).alias("x"), F.slice(kinds, 2, F.size(kinds) - 1).alias("y"))
-    changes = F.size(F.filter(pairs, lambda p: p["x"] != p["y"])).cast("double")
-    runs_z = (changes - (n - 1) * TEXT_CHANGE) / F.sqrt((n - 1) * TEXT_CHANGE * (1 - TEXT_CHANGE))
-    mean = F.aggregate(places, F.lit(0.0), lambda a, x: a + x) / n
-    spread = F.aggregate(places, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    near = F.arrays_zip(F.slice(places, 1, F.size(places) - 1).alias("x"), F.slice(places, 2, F.size(places) - 1).alias("y"))
-    serial = F.aggregate(near, F.lit(0.0), lambda a, p: a + (p["x"] - mean) * (p["y"] - mean))
-    r = F.when(spread > 0, serial / spread).otherwise(F.lit(1.0))
-    # uniform strings have r near -1/n with deviation 1/sqrt(n); a dependence beyond 4 deviations is no random string
-    dependent = F.abs(r + 1 / n) * F.sqrt(n) > 4
-    p = F.greatest(_p_low((chi - chi_mean) / chi_sd), _p_low(-runs_z), F.when(dependent, F.lit(1.0)).otherwise(F.lit(0.0)))
-    place = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS), F.lit(LAST_BIN)).cast("int")
-    # the bins of very short p-values meet in the last one
-    classes = F.floor(F.log2(n) * 2).cast("int")
-    return F.struct(encoding.alias("encoding"), classes.alias("size_class"), place.alias("bin"))
+    """(encoding, length class, bin of the p-value for "ordinary text") of one candidate,
+    in time proportional to its length."""
+    def encoded(m: Column) -> Column:
+        code = F.coalesce(*[F.when(m.rlike(p), F.lit(i)) for i, (_, p, _) in enumerate(ENCODINGS)], F.lit(len(ENCODINGS) - 1))
+        return _let(F.struct(code.alias("code"), F.filter(F.split(m, ""), lambda c: c != "").alias("chars")), lambda e: _let(
+            F.struct(e["code"].alias("code"), e["chars"].alias("chars"), pick([a for _, _, a in ENCODINGS], e["code"]).alias("alphabet")), placed))
+
+    def pick(values: list, code: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), code + 1)
+
+    def placed(e: Column) -> Column:
+        kind = lambda c: F.when(c.rlike("[0-9]"), 0).when(c.rlike("[a-z]"), 1).when(c.rlike("[A-Z]"), 2).otherwise(3)
+        count = lambda c: F.size(F.filter(e["chars"], lambda x: x == c)).cast("double")
+        return _let(F.struct(
+            e["code"].alias("code"), F.size(e["chars"]).cast("double").alias("n"), F.length(e["alphabet"]).cast("double").alias("size"),
+            F.transform(e["chars"], lambda c: F.instr(e["alphabet"], c).cast("double")).alias("at"),
+            F.transform(e["chars"], kind).alias("kinds"),
+            F.aggregate(F.array_distinct(e["chars"]), F.lit(0.0), lambda a, c: a + count(c) * count(c)).alias("squares")), summed)
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+    def neighbours(values: Column) -> Column:
+        return F.arrays_zip(F.slice(values, 1, F.size(values) - 1).alias("x"), F.slice(values, 2, F.size(values) - 1).alias("y"))
+
+    def summed(e: Column) -> Column:
+        return _let(F.struct(
+            e["code"].alias("code"), e["n"].alias("n"), e["size"].alias("size"), (e["squares"] * e["size"] / e["n"] - e["n"]).alias("chi"),
+            F.size(F.filter(neighbours(e["kinds"]), lambda p: p["x"] != p["y"])).cast("double").alias("changes"),
+            total(e["at"]).alias("sum"), total(F.transform(e["at"], lambda x: x * x)).alias("sum2"),
+            total(F.transform(neighbours(e["at"]), lambda p: p["x"] * p["y"])).alias("cross"),
+            (e["at"][0] + F.element_at(e["at"], -1)).alias("ends")), tested)
+
+    def tested(e: Column) -> Column:
+        n, mean = e["n"], e["sum"] / e["n"]
+        growth = F.greatest(e["size"] * TEXT_REPEAT - 1, F.lit(TEXT_REPEAT_LEAST))
+        chi_mean = e["size"] - 1 + n * growth
+        chi_sd = F.sqrt(2 * (e["size"] - 1) + 4 * n * growth + n * F.lit(TEXT_CHI_SD**2))
+        runs_z = (e["changes"] - (n - 1) * TEXT_CHANGE) / F.sqrt((n - 1) * TEXT_CHANGE * (1 - TEXT_CHANGE))
+        spread = e["sum2"] - e["sum"] * mean
+        serial = e["cross"] - mean * (2 * e["sum"] - e["ends"]) + (n - 1) * mean * mean
+        r = F.when(spread > 1e-9, serial / spread).otherwise(F.lit(1.0))
+        # uniform strings have r near -1/n with deviation 1/sqrt(n); a dependence beyond 4 deviations is no random string
+        dependent = F.abs(r + 1 / n) * F.sqrt(n) > 4
+        p = F.greatest(_p_low((e["chi"] - chi_mean) / chi_sd), _p_low(-runs_z), F.when(dependent, F.lit(1.0)).otherwise(F.lit(0.0)))
+        # the bins of very short p-values meet in the last one
+        place = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS), F.lit(LAST_BIN)).cast("int")
+        return F.struct(e["code"].alias("encoding"), F.floor(F.log2(n) * 2).cast("int").alias("size_class"), place.alias("bin"))
+
+    return _let(match, encoded)
 
 
 def _accepted(candidates: DataFrame) -> DataFrame:
