@@ -17,7 +17,7 @@ Two things keep the number of variants small without losing a pair:
 A key's members are not paired with each other: lines that give the same text by
 deleting the character at the *same* place are all within one edit of each
 other, and so are a line and all lines that give it by one deletion; so the
-earliest member of a key, a pre-aggregated minimum, decides for all of them.
+earliest member of a key decides for all of them.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import tables, texthash
@@ -174,6 +174,10 @@ def _variants(wanted: DataFrame) -> DataFrame:
                                       "shorter array<long>, placed array<long>")
 
 
+def _keyed(kind: int):
+    return lambda v: F.struct(v.alias("v"), F.lit(kind).cast("tinyint").alias("kind"))
+
+
 def _near(documents: DataFrame, hashed: DataFrame, firsts: DataFrame) -> DataFrame:
     """(h1, h2, doc_id, pos) of first occurrences that have an earlier line within one edit."""
     keyed = hashed.select("h1", F.explode("keys").alias("key"))
@@ -185,17 +189,15 @@ def _near(documents: DataFrame, hashed: DataFrame, firsts: DataFrame) -> DataFra
     candidates = tables.keep(_variants(documents.join(per_doc, "doc_id").select("doc_id", "text", "at")), "variants")
 
     here = F.struct("doc_id", "pos", "id").alias("here")
-    kinds = {"whole": F.array("id"), "shorter": F.col("shorter"), "placed": F.col("placed")}
-    emitted = None
-    for kind, values in kinds.items():
-        rows = candidates.select(here, F.explode(values).alias("v"), F.lit(kind).alias("kind"))
-        emitted = rows if emitted is None else emitted.unionByName(rows)
-    # earliest member by kind; the partners of a shorter text are the line that is it, and the reverse
-    first = emitted.groupBy("v").agg(*(F.min(F.when(F.col("kind") == k, F.col("here"))).alias(f"f_{k}") for k in kinds),
-                                     F.count(F.lit(1)).alias("n")).where("n > 1")
-    partner = (F.when(F.col("kind") == "whole", F.col("f_shorter")).when(F.col("kind") == "shorter", F.col("f_whole"))
-               .otherwise(F.col("f_placed")))
-    met = emitted.join(first, "v").withColumn("by", partner).where("by < here").groupBy("here").agg(F.min("by").alias("by"))
+    emitted = candidates.select(here, F.explode(F.concat(*(
+        F.transform(values, _keyed(k))
+        for k, values in enumerate((F.array("id"), F.col("shorter"), F.col("placed")))))).alias("e")).select("e.v", "e.kind", "here")
+    # A key's rows are distinct lines one character away from one text, so its window is short.
+    # The partners of a shorter text are the line that is it, and the reverse.
+    key = Window.partitionBy("v")
+    first = [F.min(F.when(F.col("kind") == k, F.col("here"))).over(key) for k in (1, 0, 2)]
+    by = F.when(F.col("kind") == 0, first[0]).when(F.col("kind") == 1, first[1]).otherwise(first[2])
+    met = emitted.withColumn("by", by).where("by < here").groupBy("here").agg(F.min("by").alias("by"))
     text = candidates.select("doc_id", "pos", "id", "line")
     pairs = met.select("here.*", F.col("by.doc_id").alias("d"), F.col("by.pos").alias("p"), F.col("by.id").alias("i"))
     mine = pairs.join(text, ["doc_id", "pos", "id"])
