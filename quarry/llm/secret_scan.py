@@ -3,23 +3,29 @@
 Everything is DataFrame expressions.  Patterns find the base spans.  Beyond
 them, every run of at least ``MIN_LENGTH`` code characters is a candidate.  Its
 encoding is inferred (digits, hex, upper case and digits, letters and digits, base64)
-and three tests compare it with a uniformly random string of that alphabet:
+and four tests ask whether it can be a uniformly random string of that alphabet:
 
 * chi-squared of the character counts,
 * runs: how often neighbouring characters change between digits, lower case and
   upper case, whose chance under uniformity the alphabet gives,
-* serial correlation of neighbouring characters' places in the alphabet.
-
-Words and identifiers fail them, and the longer the clearer: each test's value
-is compared with what ordinary text of that length gives (``TEXT``), which gives
-a p-value for "this is ordinary text".  The largest of the three p-values, so
-that all tests have to agree, goes into a Benjamini-Hochberg procedure per
-encoding and length class, run on counts per p-value bin: short candidates need
-more evidence where there are many of them.
+* serial correlation of neighbouring characters' places in the alphabet,
+* equal neighbours: how often a character is repeated at once.
+
+A string that one of them rules out (beyond ``OUTSIDE`` deviations) is no secret.
+For the others the evidence against "this is ordinary text" is added up character
+by character: the likelihood of the string as ordinary text (letter frequencies,
+changes between kinds of characters; the best of several writing styles) over its
+likelihood as a uniform string of its own alphabet.  Text rarely keeps to a small
+alphabet, so the ratio is right for hex and base36 as for base64.  By Markov's
+inequality the ratio bounds the p-value of ordinary text.  It goes into a
+Benjamini-Hochberg procedure per encoding and length class, run on counts per
+p-value bin: short candidates need more evidence where there are many of them.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,12 +53,20 @@ ENCODINGS = [
     ("base62", "^[0-9A-Za-z]+$", DIGITS + UPPER + LOWER),
     ("base64", "^[0-9A-Za-z+/_=-]+$", UPPER + LOWER + DIGITS + "+/_-="),
 ]
-#: Ordinary text (words, identifiers): chance that two characters are equal, which gives the
-#: growth of chi-squared per character (alphabet size * chance - 1, with a least value) and
-#: its deviation; chance that neighbours are of different kinds.  Rounded values of European text.
-TEXT_REPEAT, TEXT_REPEAT_LEAST, TEXT_CHI_SD = 0.065, 0.6, 0.45
-TEXT_CHANGE = 0.12
-
+#: Deviations from uniformity beyond which a string is not random (chi-squared, runs, serial correlation,
+#: equal neighbours).
+OUTSIDE = (4.5, 4.0, 4.0, 4.0)
+#: Ordinary text.  Frequencies of the letters a-z in per mille (rounded values of European text);
+#: digits and signs are taken as equally frequent among themselves.
+LETTERS = [81, 14, 28, 42, 132, 19, 20, 43, 72, 3, 8, 42, 25, 74, 66, 23, 4, 63, 66, 78, 32, 12, 15, 3, 14, 6]
+SIGNS = "+/_-="
+#: Chance of the next character's kind (digit, lower case, upper case, sign) by the kind before it: running
+#: words, identifiers (capitals inside words, separators), constants (capitals, digits, separators).
+STYLES = [
+    [[.88, .04, .04, .04], [.04, .88, .04, .04], [.04, .04, .88, .04], [.04, .04, .04, .88]],
+    [[.60, .10, .10, .20], [.04, .82, .06, .08], [.05, .55, .34, .06], [.20, .45, .25, .10]],
+    [[.60, .05, .20, .15], [.05, .80, .05, .10], [.07, .03, .80, .10], [.25, .05, .60, .10]],
+]
 
 def spans(text: Column, pattern: str, kind: int) -> Column:
     """Leftmost non-overlapping matches: array of (start, kind, end, match), in code points."""
@@ -71,11 +85,6 @@ def spans(text: Column, pattern: str, kind: int) -> Column:
     return F.when(text.rlike(pattern), F.aggregate(steps, empty, add, lambda s: s["out"])).otherwise(none)
 
 
-def _p_low(z: Column) -> Column:
-    """P(N <= z) for the normal distribution (a smooth approximation, monotone in z)."""
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(1.5976) * z + F.lit(0.070566) * z * z * z)))
-
-
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -92,6 +101,14 @@ def _battery(match: Column) -> Column:
     def pick(values: list, code: Column) -> Column:
         return F.element_at(F.array(*[F.lit(v) for v in values]), code + 1)
 
+    def constants(values: list[float]) -> Column:
+        return F.array(*[F.lit(v) for v in values])
+
+    known = UPPER + LOWER + DIGITS + SIGNS
+    as_text = constants([math.log10(x / sum(LETTERS)) for x in LETTERS] * 2 + [-1.0] * 10 + [-math.log10(len(SIGNS))] * len(SIGNS))
+    kinds_of = lambda a: [sum(c in k for c in a) / len(a) for k in (DIGITS, LOWER, UPPER, SIGNS)]
+    change = [1 - sum(x * x for x in kinds_of(a)) for _, _, a in ENCODINGS]
+
     def placed(e: Column) -> Column:
         kind = lambda c: F.when(c.rlike("[0-9]"), 0).when(c.rlike("[a-z]"), 1).when(c.rlike("[A-Z]"), 2).otherwise(3)
         count = lambda c: F.size(F.filter(e["chars"], lambda x: x == c)).cast("double")
@@ -99,6 +116,7 @@ def _battery(match: Column) -> Column:
             e["code"].alias("code"), F.size(e["chars"]).cast("double").alias("n"), F.length(e["alphabet"]).cast("double").alias("size"),
             F.transform(e["chars"], lambda c: F.instr(e["alphabet"], c).cast("double")).alias("at"),
             F.transform(e["chars"], kind).alias("kinds"),
+            total(F.transform(e["chars"], lambda c: F.element_at(as_text, F.instr(F.lit(known), c)))).alias("text"),
             F.aggregate(F.array_distinct(e["chars"]), F.lit(0.0), lambda a, c: a + count(c) * count(c)).alias("squares")), summed)
 
     def total(values: Column) -> Column:
@@ -108,27 +126,31 @@ def _battery(match: Column) -> Column:
         return F.arrays_zip(F.slice(values, 1, F.size(values) - 1).alias("x"), F.slice(values, 2, F.size(values) - 1).alias("y"))
 
     def summed(e: Column) -> Column:
+        steps = F.transform(neighbours(e["kinds"]), lambda p: p["x"] * 4 + p["y"] + 1)
+        style = lambda m: total(F.transform(steps, lambda k: F.element_at(constants([math.log10(x) for r in m for x in r]), k)))
         return _let(F.struct(
             e["code"].alias("code"), e["n"].alias("n"), e["size"].alias("size"), (e["squares"] * e["size"] / e["n"] - e["n"]).alias("chi"),
+            (e["text"] + F.greatest(*map(style, STYLES))).alias("text"), pick(change, e["code"]).alias("change"),
             F.size(F.filter(neighbours(e["kinds"]), lambda p: p["x"] != p["y"])).cast("double").alias("changes"),
+            F.size(F.filter(neighbours(e["at"]), lambda p: p["x"] == p["y"])).cast("double").alias("repeats"),
             total(e["at"]).alias("sum"), total(F.transform(e["at"], lambda x: x * x)).alias("sum2"),
             total(F.transform(neighbours(e["at"]), lambda p: p["x"] * p["y"])).alias("cross"),
             (e["at"][0] + F.element_at(e["at"], -1)).alias("ends")), tested)
 
     def tested(e: Column) -> Column:
         n, mean = e["n"], e["sum"] / e["n"]
-        growth = F.greatest(e["size"] * TEXT_REPEAT - 1, F.lit(TEXT_REPEAT_LEAST))
-        chi_mean = e["size"] - 1 + n * growth
-        chi_sd = F.sqrt(2 * (e["size"] - 1) + 4 * n * growth + n * F.lit(TEXT_CHI_SD**2))
-        runs_z = (e["changes"] - (n - 1) * TEXT_CHANGE) / F.sqrt((n - 1) * TEXT_CHANGE * (1 - TEXT_CHANGE))
+        chi_z = (e["chi"] - (e["size"] - 1)) / F.sqrt(2 * (e["size"] - 1))
+        runs_z = (e["changes"] - (n - 1) * e["change"]) / F.sqrt((n - 1) * e["change"] * (1 - e["change"]))
+        repeats_z = (e["repeats"] - (n - 1) / e["size"]) / F.sqrt((n - 1) / e["size"] * (1 - 1 / e["size"]))
         spread = e["sum2"] - e["sum"] * mean
         serial = e["cross"] - mean * (2 * e["sum"] - e["ends"]) + (n - 1) * mean * mean
         r = F.when(spread > 1e-9, serial / spread).otherwise(F.lit(1.0))
-        # uniform strings have r near -1/n with deviation 1/sqrt(n); a dependence beyond 4 deviations is no random string
-        dependent = F.abs(r + 1 / n) * F.sqrt(n) > 4
-        p = F.greatest(_p_low((e["chi"] - chi_mean) / chi_sd), _p_low(-runs_z), F.when(dependent, F.lit(1.0)).otherwise(F.lit(0.0)))
+        # uniform strings have r near -1/n with deviation 1/sqrt(n)
+        uniform = (chi_z <= OUTSIDE[0]) & (F.abs(runs_z) <= OUTSIDE[1]) & (F.abs(r + 1 / n) * F.sqrt(n) <= OUTSIDE[2]) & (
+            repeats_z <= OUTSIDE[3])
+        evidence = F.when(uniform, F.greatest(-n * F.log10(e["size"]) - e["text"], F.lit(0.0))).otherwise(F.lit(0.0))
         # the bins of very short p-values meet in the last one
-        place = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS), F.lit(LAST_BIN)).cast("int")
+        place = F.least(F.floor(evidence * BINS), F.lit(LAST_BIN)).cast("int")
         return F.struct(e["code"].alias("encoding"), F.floor(F.log2(n) * 2).cast("int").alias("size_class"), place.alias("bin"))
 
     return _let(match, encoded)

@@ -192,3 +192,44 @@ def test_oracles(spark, name):
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert sorted(map(tuple, df.select(*cols).collect()), key=str) == sorted(res.fetchall(), key=str)
+
+
+def test_secrets_of_every_encoding_and_length_are_found(spark):
+    """One candidate in a hundred is a random string, the others are words and identifiers of its encoding."""
+    rnd = random.Random(12)
+    vocabulary = sorted({w for t in documents().text for w in re.findall("[a-z]{3,9}", t or "")})
+    digits, low, up = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    word = lambda: rnd.choice(vocabulary)
+
+    def ordinary(code, n):
+        if code == "HEX":  # what text keeps to these characters repeats them
+            return "".join(rnd.choice(["00", "FFFF", "AA", "0000", "BEEF", "CAFE", "DEAD"]) for _ in range(n))[:n]
+        join = {"base36": lambda: word() + rnd.choice(["", "", "", str(rnd.randint(0, 99))]),
+                "BASE36": lambda: word().upper() + rnd.choice(["", "", "", str(rnd.randint(0, 99))]),
+                "base62": lambda: word().capitalize(), "base64": lambda: word() + rnd.choice("/_-")}[code]
+        out = ""
+        while len(out) < n:
+            out += join()
+        return out[:n]
+
+    alphabets = {"HEX": digits + "ABCDEF", "base36": digits + low, "BASE36": digits + up, "base62": digits + low + up,
+                 "base64": digits + low + up + "+/"}
+    rows, kind = [], {}
+    for code, alphabet in alphabets.items():
+        for n in (20, 32, 48, 64):
+            for i in range(4040):
+                secret = i < 40
+                s = "".join(rnd.choice(alphabet) for _ in range(n)) if secret else ordinary(code, n)
+                kind[len(rows)] = (code, n, secret)
+                rows.append((len(rows), f"see {s} there"))
+    got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    hits, wrong = {}, {}
+    for i, (code, n, secret) in kind.items():
+        if secret:
+            hits[code, n] = hits.get((code, n), 0) + bool(got[i])
+        else:
+            wrong[code] = wrong.get(code, 0) + any(s.kind == 3 for s in got[i])
+    # 20 characters hold little evidence beside a hundred times as many ordinary strings
+    assert all(h >= (24 if n == 20 else 37) for (_, n), h in hits.items())
+    assert max(n for code, n in wrong.items() if code != "HEX") <= 0.002 * 16000
+    assert wrong["HEX"] <= 0.01 * 16000  # a few blocks in random order come close to a random string
