@@ -164,8 +164,8 @@ def _block_links(percent: int):
             (ln, lc, ls), (rn, rc, rs) = (
                 (t.column("node").to_numpy(), t.column("c").to_numpy(), [np.array(x.values) for x in t.column("set")])
                 for t in (left, right))
-            sizes = [np.array([len(s) for s in x], dtype=np.float32) for x in (ls, rs)]
-            both = _overlaps(ls, rs)
+            sizes = [np.array([len(s) for s in x], dtype=np.int64) for x in (ls, rs)]
+            both = _overlaps(ls, rs).astype(np.int64)  # the counts are exact, a hundred times them would not be
             linked = 100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)
             forest = _Forest()
             for i, j in zip(*np.nonzero(linked & (lc[:, None] != rc[None, :])), strict=True):

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 from llm_cases import SF, classes, documents, edge_docs, empty_docs, lines_without_repeats
 
 from quarry.llm import line_dedup, minhash_dedup, queries
@@ -118,3 +120,15 @@ def test_cleaned_rows_keep_the_columns(spark):
     rows = {r.doc_id: r for r in out.collect()}
     assert 5 not in rows and 6 not in rows and 2 in rows and 3 in rows
     assert rows[8].text == "a\nb" and rows[8].n_chars == 3 and rows[8].h1 == "z"
+
+
+def test_long_documents_one_shingle_under_the_bound_are_not_linked():
+    """100 * 207539 = 83 * 250047 - 1: as 32-bit floats the two sides are equal."""
+    both, union = 207_539, 250_047
+    one, other = np.arange(both), np.arange(union)
+
+    def table(node, values):
+        return pa.table({"node": [node], "c": [node], "set": pa.array([values], pa.list_(pa.int64()))})
+
+    assert minhash_dedup._block_links(83)(table(1, one), table(2, other)).num_rows == 0
+    assert minhash_dedup._block_links(82)(table(1, one), table(2, other)).num_rows == 1
