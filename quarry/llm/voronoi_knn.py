@@ -84,8 +84,18 @@ def _summary(placed: DataFrame) -> dict[tuple[int, int], tuple[int, float]]:
     return {(r.dim, r.cell): (r.n, r.r) for r in rows}
 
 
+def _ids(placed: DataFrame) -> dict[tuple[int, int], int]:
+    """(dim, cell) -> ids, each counted in one of its cells, so that several cells together
+    hold at least the sum of their counts."""
+    once = placed.groupBy("dim", "vec_id").agg(F.min("cell").alias("cell"))
+    return {(r.dim, r.cell): r.n for r in once.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def _needed(queries: dict, data: dict, pivots: dict[int, np.ndarray], k: int) -> list[tuple[int, int, int]]:
-    """(dim, query cell, data cell) pairs whose scores can be among the k best."""
+    """(dim, query cell, data cell) pairs whose scores can be among the k best.
+
+    ``data`` gives the distinct ids and the radius of every cell.
+    """
     out = []
     for (dim, qc), (_, rq) in queries.items():
         centre = pivots.get(dim, np.zeros((1, dim)))
@@ -149,10 +159,11 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
     queries, data = (tables.keep(x.select("vec_id", "v"), "vectors") for x in (queries, data))
     pivots = _pivots(data, data.count())
     q, d = (tables.keep(_placed(x, pivots), "placed") for x in (queries, data))
-    q_sum, d_sum = _summary(q), _summary(d)
+    q_sum, d_sum, ids = _summary(q), _summary(d), _ids(d)
+    bounds = {cell: (ids.get(cell, 0), radius) for cell, (_, radius) in d_sum.items()}
     # one row per pair of cells at most
     plan = [(dim, qc, math.ceil(q_sum[dim, qc][0] / QUERY_BLOCK), dc, math.ceil(d_sum[dim, dc][0] / DATA_BLOCK))
-            for dim, qc, dc in _needed(q_sum, d_sum, pivots, k)]
+            for dim, qc, dc in _needed(q_sum, bounds, pivots, k)]
     # made anew for each side: a cogroup tells its sides' columns apart by where they come from
     cells = lambda side: F.broadcast(spark.createDataFrame(
         plan, "dim int, qc int, qn int, dc int, dn int")).withColumn("cell", F.col(side))

@@ -54,3 +54,13 @@ def test_few_and_no_rows(spark):
     assert run(spark, rows) == {(0, 1, 1, 96 * 64), (0, 2, 2, 96 * 64)} == brute(rows)
     assert run(spark, [(20, [1.0])]) == set()
     assert run(spark, [(1, None)]) == set()
+
+
+def test_a_repeated_id_does_not_hide_far_cells(spark, monkeypatch):
+    """The nearest cell holds many rows of few ids, so the k best come from the far one too."""
+    monkeypatch.setattr(voronoi_knn, "_pivots", lambda vectors, rows: {2: np.array([[640.0, 0], [-640.0, 0]])})
+    rows = [(20, [10.0, 0.5])] + [(5, [10.0, 0.0])] * 100 + [(100 * i + 1, [-10.0, i / 100]) for i in range(1, 101)]
+    got = run(spark, rows, 5)
+    assert got == brute(rows, 5) and len(got) == 5
+    spread = rows + [(5, [-10.0, -i / 8]) for i in range(40)]  # an id in both cells counts once
+    assert run(spark, spread, 5) == brute(spread, 5)
