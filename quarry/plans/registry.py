@@ -962,19 +962,31 @@ SELECT url, CAST(depth AS INTEGER) AS depth,
        CASE WHEN is_file THEN 'binary' ELSE content_type END AS content_type
 FROM seen WHERE is_file OR content_type <> ''""")
 def m3_crawl_chunks(spark, sf):
-    """The uncapped chunk crawl over page and file links: every visited url with its depth
-    and kind (``l2_page_chunks`` checks the chunks of a page)."""
-    fields, docs, _, robots = crawl_inputs(spark, sf, "title_text", "description_chunk", "visible_text")
+    """The uncapped chunk crawl over page, body and file links: every visited url with its
+    depth and kind (``m3_chunk_rows`` gives the chunks of those pages)."""
+    return _crawl_chunk_rows(spark, sf).select("url", "depth", "source_type", "content_type").distinct()
+
+
+@query("m3_chunk_rows")
+def m3_chunk_rows(spark, sf):
+    """Rows only: all chunk rows of that crawl (SQL does not extract a page's text)."""
+    return _crawl_chunk_rows(spark, sf)
+
+
+def _crawl_chunk_rows(spark, sf):
+    fields, docs, _, robots = crawl_inputs(spark, sf, "title_text", "description_chunk", "visible_text", "body_hrefs")
     docs = docs.select(ux.canonical("url").alias("url"), F.lit(200).alias("status"), "content_type",
                        ux.canonical("url").alias("final_url"), "title_text", "description_chunk", "visible_text")
+    e6 = pg.page_links(fields, strip_chrome=True).select(
+        ux.canonical(ux.defrag("url")).alias("src"), F.explode("page_links").alias("dst")).where("dst IS NOT NULL")
     pe = V.page_edges(spark, sf).select(ux.canonical(ux.defrag("src_url")).alias("src"), ux.canonical(ux.defrag("dst_url")).alias("dst"))
     fl = V.file_links(spark, sf).select(ux.canonical(ux.defrag("page_url")).alias("src"), F.col("link").alias("dst"))
     pages = read_table(spark, sf, "pages")
     allowed = pages.where(ux.in_domain("url", CRAWL_SCOPE)).select(F.lower(ux.netloc("url")).alias("host"))
     seed = _crawl_seeds(spark, sf).select(ux.canonical("url").alias("url"), "seq")
     host_robots = robots.select(ux.netloc("origin").alias("origin"), "status", "body").distinct()
-    _, rows = cr.crawl_chunks(seed, docs, pe.unionByName(fl).distinct(), host_robots, allowed_domains=allowed)
-    return rows.select("url", "depth", "source_type", "content_type").distinct()
+    _, rows = cr.crawl_chunks(seed, docs, e6.unionByName(pe).unionByName(fl).distinct(), host_robots, allowed_domains=allowed)
+    return rows
 
 
 # ------------------------------------------------- audit, prompts, summaries

@@ -139,3 +139,25 @@ def test_robots_rules_equal_the_standard_parser(spark):
             u = f"http://h{i}.gov.au{p}"
             assert got[u] == rp.can_fetch("quarry-files/1.0", u), (b, u)
     assert [got[u] for u in more] == [False, True, False, False]
+
+
+def test_chunk_crawl_follows_body_links_and_keeps_every_chunk(spark, tmp_dir):
+    """Pages that only links in a page's body lead to; ids beyond the page count have no derived links to them."""
+    from quarry.operators import pages as pg
+    from quarry.plans import registry
+
+    at = "http://ab.example.org"
+    body = lambda links, text="short": f"<html><title>t</title><body><nav><a href='/nav'>n</a></nav><p>{text}</p>" + "".join(
+        f"<a href='{x}'>x</a>" for x in links) + "</body></html>"
+    long = " ".join(f"word{i}." for i in range(600))
+    rows = [(0, at + "/start", body(["/deep#part", "/es/closed", "/absent", "http://other.test/x"])),
+            (700, at + "/deep", body([at + "/deeper"], long)), (707, at + "/deeper", body([], long[:2000])),
+            (714, at + "/nav", body([])), (721, at + "/es/closed", body([]))]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_dir}/pages.parquet")
+    seen = {(r.url, r.depth) for r in registry.m3_crawl_chunks(spark, tmp_dir).where("source_type = 'html'").collect()}
+    assert seen == {(at + "/start", 0), (at + "/deep", 1), (at + "/deeper", 2)}
+    columns = ("url", "title", "chunk_index", "chunk_total", "chunk_text")
+    fields = pg.extract_pages(spark.read.parquet(f"{tmp_dir}/pages.parquet"))
+    expected = {tuple(r) for r in pg.page_chunks(fields).select(*columns).collect() if (r.url in {u for u, _ in seen})}
+    got = [tuple(r) for r in registry.m3_chunk_rows(spark, tmp_dir).where("source_type = 'html'").select(*columns).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected and len(got) >= 5
