@@ -87,3 +87,24 @@ KNOWN: list[tuple[str, str]] = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "This work is licensed under a Creative Commons Zero 1.0 Universal License."),
 ]
+
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it
+and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If
+you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+
+#: Further texts and notices, known to the scan beside those that the SQL form lists.
+MORE: list[tuple[str, str]] = [
+    ("GPL-2.0", _GPL.replace("version 3 of", "version 2 of")),
+    ("LGPL-3.0", _GPL.replace("GNU General", "GNU Lesser General")),
+    ("AGPL-3.0", _GPL.replace("GNU General", "GNU Affero General")),
+    ("Zlib", _ZLIB),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+]

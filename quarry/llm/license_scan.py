@@ -3,8 +3,9 @@
 A text is brought into a canonical form (lower case, no copyright lines,
 equivalent spellings made equal, punctuation and blanks reduced to single
 spaces) and its SHA-256 digest is hash-joined with the digests of the known
-licences, canonicalised the same way.  Units are whole documents and whole lines
-(a notice of its own line).  Everything is DataFrame expressions; the known
+licences, canonicalised the same way.  Units are whole documents, whole lines
+(a notice of its own line) and runs of lines: a run starts at a line that opens as a
+known text does and has as many words as a known text.  Everything is DataFrame expressions; the known
 digests, a fixed list, are broadcast.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import tables
-from quarry.llm.licences import KNOWN
+from quarry.llm.licences import KNOWN, MORE
 
 #: Lines that state a copyright (fixed value): only holder and year, or "all rights reserved".
 COPYRIGHT = r"(?m)^[ \t]*((copyright|\(c\)|©)[^\n]*(\(c\)|©|[0-9][0-9][0-9][0-9])[^\n]*|all rights reserved[. \t]*)$"
@@ -28,6 +29,10 @@ SPELLINGS = [
 #: Every known text holds one of these in any spelling, so no other text is canonicalised.
 ANCHOR = r"(?i)licen[cs]e|permission|redistribution"
 
+#: Comment signs before a line's text, and the mark of a line's last word.
+LEADER = r"^[ \t]*(//+|/?\*+|#+|;+|--+|<!--|%+)[ \t]*"
+END = "|"
+
 
 def canonical(text: Column) -> Column:
     """The form that is digested; "" if nothing is left."""
@@ -37,36 +42,72 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
 
 
-def known_digests(spark) -> DataFrame:
-    """license, digest of the known texts."""
-    rows = spark.createDataFrame(KNOWN, "license string, text string")
-    return rows.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
+def known_texts(spark) -> DataFrame:
+    """license, text of the known texts."""
+    return spark.createDataFrame(KNOWN + MORE, "license string, text string")
+
+
+def _runs(text: Column, shapes: list[tuple[str, int]]) -> Column:
+    """Runs of two lines and more, not all of the text: array of (from, to, unit), in words of
+    the canonical form.  ``shapes`` are the known texts' first words and numbers of words."""
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda s: canonical(F.regexp_replace(s, LEADER, ""))), lambda s: s != "")
+    words = F.split(F.array_join(F.transform(lines, lambda s: F.concat(s, F.lit(END))), " "), " ")
+    plain = lambda w: F.replace(w, F.lit(END), F.lit(""))
+
+    def of(w: Column) -> Column:
+        opens = lambda i: (i == 1) | F.get(w, i - 2).endswith(END)
+        starts = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: opens(i) & plain(F.get(w, i - 1)).isin(sorted({f for f, _ in shapes})))
+        sizes = {f: sorted({n for g, n in shapes if g == f}) for f, _ in shapes}
+        asked = lambda i: F.coalesce(*[F.when(plain(F.get(w, i - 1)) == f, F.array(*map(F.lit, n))) for f, n in sizes.items()])
+        spans = F.flatten(F.transform(starts, lambda i: F.transform(asked(i), lambda n: F.struct(i.alias("from"), (i + n).alias("to")))))
+        # a run ends with a line, and the document as a whole is a unit of its own
+        ended = F.filter(spans, lambda x: F.coalesce(F.get(w, x["to"] - 2).endswith(END), F.lit(False))
+                         & ~((x["from"] == 1) & (x["to"] == F.size(w) + 1)))
+        runs = F.transform(ended, lambda x: F.struct(x["from"].alias("from"), x["to"].alias("to"), F.array_join(
+            F.slice(w, x["from"], x["to"] - x["from"]), " ").alias("unit")))
+        return F.transform(F.filter(runs, lambda x: x["unit"].contains(END + " ")), lambda x: F.struct(
+            x["from"].alias("from"), x["to"].alias("to"), plain(x["unit"]).alias("unit")))
+
+    return F.element_at(F.transform(F.array(words), of), 1)
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """doc_id, text_license, n_notices, notices for every document.
 
-    ``docs`` has doc_id and text, other columns are ignored.  ``text_license`` is the
-    licence whose text the whole document is, or null; ``n_notices`` counts its lines
-    that are a known licence text or notice, ``notices`` lists their licences (sorted,
-    distinct, comma-joined, "" if none).  Lines end at line feeds.  A null or empty
-    text holds no licence; repeated rows give repeated rows; an empty table gives an
-    empty result.
+    ``docs`` has doc_id and text, other columns are ignored.  ``texts`` has license and
+    text of the known licences (a short list; None: those of ``licences``), each with an
+    anchor word.  ``text_license`` is the licence whose text the whole document is, or
+    null; ``n_notices`` counts its lines and runs of lines that are a known licence text
+    or notice (a run inside a longer one, or inside a document that is a licence text, is not counted), ``notices`` lists their licences
+    (sorted, distinct, comma-joined, "" if none).  Lines end at line feeds.  A null or
+    empty text holds no licence; repeated rows give repeated rows; an empty table gives
+    an empty result.
     """
-    known = F.broadcast(known_digests(docs.sparkSession))  # a fixed list
-    unit = lambda whole, text: F.struct(F.lit(whole).alias("whole"), text.alias("unit"))
+    forms = (known_texts(docs.sparkSession) if texts is None else texts).select("license", canonical(F.col("text")).alias("form")).distinct()
+    words = F.split("form", " ")
+    shapes = [(r.f, r.n) for r in forms.select(words[0].alias("f"), F.size(words).alias("n")).distinct().collect()]
+    known = F.broadcast(forms.select("license", F.sha2("form", 256).alias("digest")))
+    unit = lambda kind, text, a=F.lit(None), b=F.lit(None): F.struct(
+        F.lit(kind).alias("kind"), a.cast("int").alias("from"), b.cast("int").alias("to"), text.alias("unit"))
     # a unit without text keeps documents without any licence in the result
-    none = F.array(unit(False, F.lit(None).cast("string")))
-    lines = F.transform(F.split("text", "\n"), lambda s: unit(False, s))
-    units = F.when(F.col("text").rlike(ANCHOR), F.concat(none, F.array(unit(True, F.col("text"))), lines)).otherwise(none)
+    none = F.array(unit("line", F.lit(None).cast("string")))
+    lines = F.transform(F.split("text", "\n"), lambda s: unit("line", s))
+    runs = F.transform(_runs(F.col("text"), shapes), lambda r: unit("run", r["unit"], r["from"], r["to"]))
+    units = F.when(F.col("text").rlike(ANCHOR), F.concat(none, F.array(unit("whole", F.col("text"))), lines, runs)).otherwise(none)
     numbered = tables.columns(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     rows = numbered.select("doc_id", "row", F.explode(units).alias("u")).select("doc_id", "row", "u.*")
     digests = rows.where(F.col("unit").isNull() | F.col("unit").rlike(ANCHOR)).withColumn(
-        "digest", F.sha2(canonical(F.col("unit")), 256))
-    line = F.when(~F.col("whole"), F.col("license"))
-    return digests.join(known, "digest", "left").groupBy("row", "doc_id").agg(
-        F.min(F.when(F.col("whole"), F.col("license"))).alias("text_license"), F.count(line).alias("n_notices"),
-        F.array_join(F.array_sort(F.collect_set(line)), ",").alias("notices")).drop("row")
+        "digest", F.sha2(F.when(F.col("kind") == "run", F.col("unit")).otherwise(canonical(F.col("unit"))), 256))
+    line = F.when(F.col("kind") == "line", F.col("license"))
+    hit = F.when((F.col("kind") == "run") & F.col("license").isNotNull(), F.struct("from", "to", "license"))
+    found = digests.join(known, "digest", "left").groupBy("row", "doc_id").agg(
+        F.min(F.when(F.col("kind") == "whole", F.col("license"))).alias("text_license"), F.count(line).alias("n"),
+        F.collect_set(line).alias("names"), F.collect_set(hit).alias("hits"))
+    longest = F.filter("hits", lambda h: F.col("text_license").isNull() & ~F.exists("hits", lambda g: (g["from"] <= h["from"]) & (g["to"] >= h["to"]) & (
+        g["to"] - g["from"] > h["to"] - h["from"])))
+    return found.withColumn("longest", longest).select(
+        "doc_id", "text_license", (F.col("n") + F.size("longest")).alias("n_notices"),
+        F.array_join(F.array_sort(F.array_union("names", F.transform("longest", lambda h: h["license"]))), ",").alias("notices"))
 
 
 def _quoted(text: str) -> str:

@@ -233,3 +233,24 @@ def test_secrets_of_every_encoding_and_length_are_found(spark):
     assert all(h >= (24 if n == 20 else 37) for (_, n), h in hits.items())
     assert max(n for code, n in wrong.items() if code != "HEX") <= 0.002 * 16000
     assert wrong["HEX"] <= 0.01 * 16000  # a few blocks in random order come close to a random string
+
+
+def test_wrapped_notices_inside_documents(spark):
+    """Notices over several lines, wrapped anew or in comments, in the middle of other text."""
+    import textwrap
+    from quarry.llm.licences import MORE
+    text = {i: t for i, t in MORE + [(i, t) for i, t in KNOWN if "\n" in t and t.split()[0].lower() in ("permission", "redistribution")]}
+    apache = next(t for i, t in KNOWN if i == "Apache-2.0")
+    wrap = lambda t, lead="": "\n".join(lead + x for x in textwrap.wrap(" ".join(t.split()), 60))
+    around = lambda t: "some words before\n" + t + "\nand words after"
+    rows = [(1, around(wrap(text["MIT"]))), (2, around("/*\n * MIT License\n *\n * Copyright (c) 2020 A B\n *\n" + wrap(text["MIT"], " * ") + "\n */")),
+            (3, around(wrap(apache, "# ")) + "\n" + around(wrap(text["BSD-3-Clause"]))), (4, around(wrap(text["Zlib"], "// "))),
+            (5, around(wrap(text["AGPL-3.0"]))), (6, around(wrap(text["MIT"]).replace("free of charge", "at a charge"))),
+            (7, around(wrap(text["MIT"]) + " with more")), (8, "Licensed under CC BY-ND 4.0.\nx"), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text_license, r.n_notices, r.notices) for r in license_scan.scan(df).collect()}
+    assert got == {1: (None, 1, "MIT"), 2: (None, 1, "MIT"), 3: (None, 2, "Apache-2.0,BSD-3-Clause"), 4: (None, 1, "Zlib"),
+                   5: (None, 1, "AGPL-3.0"), 6: (None, 0, ""), 7: (None, 0, ""), 8: (None, 1, "CC-BY-ND-4.0"), 9: (None, 0, "")}
+    own = spark.createDataFrame([("Own", "This licence\nis ours")], "license string, text string")
+    mine = spark.createDataFrame([(1, "a\n-- This license\n-- is ours.\nb")], "doc_id long, text string")
+    assert [r.notices for r in license_scan.scan(mine, own).collect()] == ["Own"]
