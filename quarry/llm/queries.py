@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (byte_bpe, decontaminate, license_scan, line_dedup, minhash_dedup, secret_scan, tables,
+from quarry.llm import (byte_bpe, conversation_trie, decontaminate, license_scan, line_dedup, minhash_dedup, secret_scan, tables,
                         token_count, token_store, toxicity, voronoi_knn)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +146,45 @@ def op10_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_knn.knn_join(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20)
 
 
+def crc32_sql(value: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a value's decimal text, bit by bit."""
+    return f"""xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({value}::VARCHAR, ''),
+        lambda s: [ord(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, v: CASE WHEN v >= 0 THEN xor(a, v)
+        WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"""
+
+
+TRIE_SQL = f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, sha256(coalesce(text, '')) AS x,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS w,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                     sha256(coalesce(text, ''))) AS p FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+k AS (SELECT n.c, h, b, least(h, coalesce(m.n, 0)) AS taken FROM (SELECT c, {crc32_sql('c')} % 4 AS h, c - c % 20 AS b FROM n) n
+      LEFT JOIN n m ON m.c = n.b),
+turns AS (SELECT c, p - h + taken AS d, r, x, w FROM t JOIN k USING (c) WHERE p > h
+          UNION ALL SELECT k.c, p, r, x, w FROM k JOIN t ON t.c = k.b AND p <= taken),
+seq AS (SELECT k.c, coalesce(list({{'r': r, 'x': x, 'w': w}} ORDER BY d) FILTER (d IS NOT NULL), []) AS s
+        FROM k LEFT JOIN turns USING (c) GROUP BY k.c),
+pre AS (SELECT c, d, s[1:d] AS q FROM seq, unnest(range(0, len(s) + 1)) u(d)),
+node AS (SELECT q, d, min(c) AS conv_id, count(*) AS n_convs FROM pre GROUP BY q, d),
+child AS (SELECT q[1:d - 1] AS q, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+val AS (SELECT node.q, node.d, (n_convs - 1) * coalesce(node.q[node.d].w, 0) AS saved, (n_children IS NULL)::BIGINT AS leaf
+        FROM node LEFT JOIN child USING (q, d)),
+sums AS (SELECT q[1:e] AS q, e AS d, sum(saved)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves
+         FROM val, unnest(range(0, d + 1)) u(e) GROUP BY ALL),
+ends AS (SELECT s AS q, len(s) AS d, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256 FROM seq GROUP BY s)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+       n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM node JOIN sums USING (q, d) LEFT JOIN child USING (q, d) LEFT JOIN ends USING (q, d)
+     LEFT JOIN node up ON up.d = node.d - 1 AND up.q = node.q[1:node.d - 1]"""
+
+
+@query("op13_conversation_trie", TRIE_SQL)
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations, one row per node."""
+    return conversation_trie.trie(tables.table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
