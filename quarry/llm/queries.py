@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (byte_bpe, conversation_trie, decontaminate, license_scan, line_dedup, minhash_dedup,
-                        period_runs, secret_scan, tables, token_count, token_store, toxicity, voronoi_knn)
+from quarry.llm import (byte_bpe, conversation_trie, decontaminate, license_scan, line_dedup, lm_score,
+                        minhash_dedup, period_runs, secret_scan, tables, token_count, token_store, toxicity, voronoi_knn)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -146,6 +146,13 @@ def op10_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_knn.knn_join(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20)
 
 
+@query("op11_lm_score")
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and context-mixing log-probabilities of every document."""
+    docs = documents(spark, sf_dir)
+    return lm_score.score(docs, lm_score.train(docs))
+
+
 @query("op12_period_runs")
 def op12_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document, the strongest one, and digests of all runs and of the collapsed text."""
