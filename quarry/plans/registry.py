@@ -470,10 +470,11 @@ FROM c"""
 @query("l1_chunk_documents", _L1_SQL)
 def l1_chunk_documents(spark, sf):
     d = spread(read_table(spark, sf, "documents")).select("doc_id", ch.chunks("text").alias("_c"))
+    # the size is taken before the rows are made, so a row does not carry the whole array;
     # posexplode_outer + filter: a plain posexplode makes the optimizer add a
-    # size(_c) > 0 filter below the repartition, which runs the UDF twice.
-    return d.select("doc_id", F.size("_c").cast("bigint").alias("chunk_total"),
-                    F.posexplode_outer("_c").alias("chunk_index", "chunk_text")) \
+    # size(_c) > 0 filter below the repartition, which cuts the text twice.
+    d = d.select("doc_id", F.size("_c").cast("bigint").alias("chunk_total"), "_c")
+    return d.select("doc_id", "chunk_total", F.posexplode_outer("_c").alias("chunk_index", "chunk_text")) \
         .where(F.col("chunk_text").isNotNull()) \
         .select("doc_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), "chunk_total",
                 "chunk_text", F.length("chunk_text").cast("bigint").alias("chunk_chars"))
