@@ -1,5 +1,11 @@
 """Approximate top-k with an inverted-file index (k-means lists).
 
+``write_index`` / ``append`` keep the lists on storage, one folder per segment
+and list; ``calibrate`` measures on a bounded sample of stored vectors how many
+lists a query has to probe for a wanted recall, and ``search_index`` reads only
+the probed lists' folders.  ``build_index`` / ``search`` do the same in one
+session without storage.
+
 The exact blocked search (``quarry.operators.knn``) is the default; this is the
 opt-in approximate form for corpora where ``n_queries x n_vectors`` is too much.
 
@@ -26,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import vectors as vx
-from quarry.operators.knn import arrow_type, block_solver, prepared, ranked
+from quarry.operators.knn import arrow_type, block_solver, knn, prepared, ranked
 
 
 def _unit(col):
@@ -47,11 +53,8 @@ def build_index(corpus: DataFrame, n_lists: int, *, id_col: str = "id", vec_col:
     return cents, assigned
 
 
-def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: int, *, nprobe: int = 4,
-           query_id: str = "qid", query_vec: str = "qvec", exclude_self: bool = False,
-           block_rows: int = 50_000) -> DataFrame:
-    """Approximate cosine top-k: ``(qid, rank, id, score)``."""
-    spark = queries.sparkSession
+def _nearest(spark, centroids: np.ndarray, nprobe: int):
+    """Column function: the ``nprobe`` nearest lists of a vector, nearest first."""
     bc = spark.sparkContext.broadcast(centroids)
     probe = min(nprobe, centroids.shape[0])
 
@@ -63,6 +66,16 @@ def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: in
         idx = np.argsort(-s, axis=1, kind="stable")[:, :probe]
         return pd.Series([row.tolist() for row in idx])
 
+    return nearest_lists
+
+
+def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: int, *, nprobe: int = 4,
+           query_id: str = "qid", query_vec: str = "qvec", exclude_self: bool = False,
+           block_rows: int = 50_000) -> DataFrame:
+    """Approximate cosine top-k: ``(qid, rank, id, score)``."""
+    spark = queries.sparkSession
+    nearest_lists = _nearest(spark, centroids, nprobe)
+
     # Sub-blocks per list from the list sizes (one small aggregate: n_lists rows).
     sizes = assigned.groupBy("list_id").agg(F.count("*").alias("n"))
     blocks = sizes.select("list_id", F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).cast("int").alias("nb"))
@@ -84,6 +97,80 @@ def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: in
     return ranked(cand, k).withColumnRenamed("rv", "score")
 
 
+# ---------------------------------------------------------------- stored index
+
+FIT_ROWS = 100_000  # rows (smallest id hashes) that the centroids are fitted on; every row is indexed
+SAMPLE_QUERIES = 400  # stored vectors whose exact neighbours calibrate the number of probes
+
+
+def write_index(corpus: DataFrame, path: str, n_lists: int | None = None, *, id_col: str = "id",
+                vec_col: str = "embedding", segment: str = "first", seed: int = 42) -> None:
+    """Fit the centroids and store all rows of ``corpus`` as the first segment.
+
+    Null and empty vectors are left out.  Layout: ``path/centroids`` (one row per
+    list), ``path/vectors/segment=.../list_id=...`` (id, vec)."""
+    spark = corpus.sparkSession
+    rows = corpus.where(F.size(vec_col) > 0)
+    n = n_lists or default_lists(rows.count())
+    cents, _ = build_index(rows.orderBy(F.xxhash64(id_col)).limit(FIT_ROWS), n, id_col=id_col, vec_col=vec_col, seed=seed)
+    spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(cents)], "list_id int, centroid array<double>") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    append(corpus, path, segment, id_col=id_col, vec_col=vec_col)
+
+
+def append(rows: DataFrame, path: str, segment: str, *, id_col: str = "id", vec_col: str = "embedding") -> None:
+    """Add rows as a segment of their own; the same segment written again replaces itself.
+
+    Rows are rebalanced by list, so a list with a third of all rows is written by many tasks."""
+    cents = read_centroids(rows.sparkSession, path)
+    unit = rows.where(F.size(vec_col) > 0).select(F.col(id_col).alias("id"), _unit(vec_col).alias("vec"))
+    unit.withColumn("list_id", F.element_at(_nearest(rows.sparkSession, cents, 1)("vec"), 1)).hint("rebalance", "list_id") \
+        .write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/vectors/segment={segment}")
+
+
+def read_centroids(spark, path: str) -> np.ndarray:
+    """The centroids in list order (``n_lists`` rows, whatever the corpus size)."""
+    return np.array([r.centroid for r in spark.read.parquet(f"{path}/centroids").orderBy("list_id").collect()])
+
+
+def read_lists(spark, path: str, lists: list[int] | None = None) -> DataFrame:
+    """(id, vec, list_id) of all segments; with ``lists`` only their folders are read."""
+    rows = spark.read.parquet(f"{path}/vectors")
+    return (rows if lists is None else rows.where(F.col("list_id").isin(lists))).select("id", "vec", "list_id")
+
+
+def calibrate(spark, path: str, k: int, wanted: float = 0.95, sample: int = SAMPLE_QUERIES) -> int:
+    """Fewest probes with which the sample's exact top-k neighbours are found at the ``wanted`` rate.
+
+    The exact search compares ``sample`` stored vectors with all of them; a
+    neighbour counts as found if its list is among the query's first ones."""
+    cents = read_centroids(spark, path)
+    rows = read_lists(spark, path)
+    queries = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select(F.col("id").alias("qid"), F.col("vec").alias("qvec"))
+    exact = knn(queries, rows, k, vec_col="vec", exclude_self=True)
+    order = _nearest(spark, cents, len(cents))
+    place = exact.join(rows.select("id", "list_id"), "id").join(queries.select("qid", order("qvec").alias("lists")), "qid") \
+        .select(F.array_position("lists", F.col("list_id")).alias("place"))
+    counts = sorted(tuple(r) for r in place.groupBy("place").count().collect())  # at most n_lists rows
+    total, found = sum(n for _, n in counts), 0
+    for at, n in counts:
+        found += n
+        if found >= wanted * total:
+            return int(at)
+    return len(cents)
+
+
+def search_index(queries: DataFrame, path: str, k: int, nprobe: int, *, query_id: str = "qid", query_vec: str = "qvec",
+                 exclude_self: bool = False, block_rows: int = 50_000) -> DataFrame:
+    """Approximate cosine top-k over the stored lists that some query probes."""
+    spark = queries.sparkSession
+    cents = read_centroids(spark, path)
+    probes = queries.select(F.explode(_nearest(spark, cents, nprobe)(query_vec)).alias("list_id")).distinct()
+    lists = sorted(r.list_id for r in probes.collect())  # at most n_lists rows
+    return search(queries, cents, read_lists(spark, path, lists), k, nprobe=nprobe, query_id=query_id,
+                  query_vec=query_vec, exclude_self=exclude_self, block_rows=block_rows)
+
+
 def recall(approx: DataFrame, exact: DataFrame) -> DataFrame:
     """Per query: share of the exact top-k ids the approximate search found."""
     hit = exact.select("qid", "id").join(approx.select("qid", "id", F.lit(1).alias("h")), ["qid", "id"], "left")
