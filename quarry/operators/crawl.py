@@ -37,15 +37,17 @@ CHUNKS_USER_AGENT = "quarry-chunks/1.0"
 
 # ------------------------------------------------------------------ seeds
 
-KEY_WIDTH = 10
-# Below every character a url holds, so "parent + SEP + url" keys sort as (parent, url).
-KEY_SEP = "\x01"
+SMALL_LEVEL = 100_000  # rows that one task sorts
 
 
-def order_key(parent_key, pos) -> F.Column:
-    """FIFO order key: parent key + zero-padded position.  Keys of one level have
-    equal length, so their string order is (parent order, pos) -- the queue order."""
-    return F.concat(parent_key, F.lpad(pos.cast("string"), KEY_WIDTH, "0"))
+def numbered(level: DataFrame, *order: str, small: bool = False) -> DataFrame:
+    """``level`` with ``seq``: a number whose order is that of ``order``, 8 bytes at any depth.
+
+    The rows are range-partitioned and sorted; (partition, row in it) is the number,
+    so no task sees the whole level unless its size was checked (``small``).  Only
+    numbers of one level are compared."""
+    ranged = level.coalesce(1) if small else level.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order).withColumn("seq", F.monotonically_increasing_id())
 
 
 def seeds_frame(spark: SparkSession, seeds: str | Iterable[str], normalise: str = "defrag") -> DataFrame:
@@ -55,7 +57,16 @@ def seeds_frame(spark: SparkSession, seeds: str | Iterable[str], normalise: str
     df = spark.createDataFrame(rows, "raw string, i long")
     norm = ux.defrag("raw") if normalise == "defrag" else ux.canonical("raw")
     first = df.select(norm.alias("url"), "i").groupBy("url").agg(F.min("i").alias("i"))
-    return first.select("url", order_key(F.lit(""), F.col("i")).alias("seq"))
+    return first.select("url", F.col("i").alias("seq"))
+
+
+def seeds_table(texts: DataFrame, text_col: str, order_col: str, normalise: str = "defrag") -> DataFrame:
+    """M4 over a column of comma-separated texts: as ``seeds_frame``, by (``order_col``, place in the text)."""
+    norm = ux.defrag("raw") if normalise == "defrag" else ux.canonical("raw")
+    items = texts.select(F.col(order_col).alias("_t"), F.posexplode(F.split(text_col, ",")).alias("_p", "raw")) \
+        .withColumn("raw", F.trim("raw")).where("raw <> ''")
+    first = items.select(norm.alias("url"), "_t", "_p").groupBy("url").agg(F.min(F.struct("_t", "_p")).alias("_o"))
+    return numbered(first.select("url", "_o._t", "_o._p"), "_t", "_p").select("url", "seq")
 
 
 # ----------------------------------------------------------------- robots
@@ -153,24 +164,36 @@ def _prune(table: DataFrame, present: list[int] | None) -> DataFrame:
 class Frontier:
     """The levels of a breadth-first walk, each a written table (url, depth, seq).
 
-    ``seen`` reads all levels' files as one scan, so the plan of a level does not
-    grow with the depth.
+    A level is laid out in the hash buckets of its urls under one folder, so
+    ``seen`` reads one scan whatever the depth, and of it only the buckets that
+    the candidates of a small level fall into.
     """
 
-    def __init__(self, first: DataFrame, schema: str) -> None:
-        self.spark, self.schema = first.sparkSession, schema
-        self.paths: list[str] = []
+    def __init__(self, first: DataFrame, schema: str, buckets: int) -> None:
+        self.spark, self.schema, self.buckets = first.sparkSession, schema, buckets
+        self.root, self.depth = scratch_path(self.spark), 0
         self.levels: list[DataFrame] = []
         self.advance(first)
 
-    def advance(self, level: DataFrame) -> None:
+    def advance(self, level: DataFrame, *order: str) -> None:
+        """Write the next level; ``order``: columns that give its queue order (``seq``, if it has none)."""
         sizes: list[int] = []
-        self.paths.append(scratch_path(self.spark))
-        self.frame = materialize(level, counter=sizes, path=self.paths[-1])
-        self.size = sizes[-1]
-
-    def seen(self) -> DataFrame:
-        return self.spark.read.schema("url string").parquet(*self.paths)
+        frame = materialize(level, "url", self.buckets, counter=sizes, path=f"{self.root}/level={self.depth}")
+        self.size, self.depth = sizes[-1], self.depth + 1
+        if order and self.size <= SMALL_LEVEL:
+            frame = numbered(frame, *order, small=True).drop(*order[:-1])
+        elif order:
+            frame = materialize(numbered(frame.drop("_b"), *order).drop(*order[:-1]), "url", self.buckets)
+        self.frame = frame
+
+    def unseen(self, links: DataFrame) -> DataFrame:
+        """``links`` (with ``dst``) to urls that no level holds."""
+        links = links.withColumn("_b", bucket("dst", self.buckets))
+        present = None
+        if self.size * 2 < self.buckets:  # few pages: their links' buckets are worth a look
+            present = sorted(r[0] for r in links.select("_b").distinct().collect())
+        seen = self.spark.read.schema("url string, level int, _b int").parquet(self.root)
+        return links.join(_prune(seen, present).select("_b", F.col("url").alias("dst")), ["_b", "dst"], "left_anti")
 
     def found(self) -> DataFrame:
         """Every visited page (the kept part of each level)."""
@@ -190,7 +213,7 @@ class Quota:
     def __init__(self, limit: int | None) -> None:
         self.limit, self.used, self.exact = limit, 0, False
 
-    def take(self, pages: DataFrame, at_most: int, count_before) -> str | None:
+    def take(self, pages: DataFrame, at_most: int, count_before) -> int | None:
         """Order key of the last page allowed in this level, or None if all are."""
         if self.limit is None:
             return None
@@ -208,7 +231,7 @@ class Quota:
         return self.limit is not None and self.exact and self.used >= self.limit
 
 
-def _cap_seq(df: DataFrame, n_rows: int, remaining: int) -> str | None:
+def _cap_seq(df: DataFrame, n_rows: int, remaining: int) -> int | None:
     """Key of the ``remaining``-th row in key order (distributed top-N), or None
     when the level has no more rows than that."""
     if n_rows <= remaining:
@@ -267,10 +290,10 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
 
     # One write per level (the next frontier), counted by the write.  A small
     # frontier's bucket ids prune the bucketed snapshot and edge tables.
-    walk = Frontier(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url string, depth int, seq string")
+    walk = Frontier(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url string, depth int, seq long", nb)
     quota = Quota(max_pages)
     while walk.size > 0:
-        keyed = walk.frame.withColumn("_b", bucket("url", nb))
+        keyed = walk.frame
         present = _present_buckets(keyed, walk.size, nb)
         pages = keyed.join(_prune(ok_keys, present), ["_b", "url"])
         last = quota.take(pages, walk.size, lambda: walk.found().count())
@@ -281,11 +304,10 @@ def crawl_files(seeds: DataFrame, docs: DataFrame, edges: DataFrame, fetches: Da
             break
         # Followable links never enqueued before, first by (page seq, pos).
         src = pages.select("_b", F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth")
-        nxt = _prune(follow, present).join(src, ["_b", "src"]) \
-            .join(walk.seen().select(F.col("url").alias("dst")), "dst", "left_anti")
-        walk.advance(nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "pos", "depth")).alias("_o"))
-                     .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
-                             order_key(F.col("_o.page_seq"), F.col("_o.pos")).alias("seq")))
+        nxt = walk.unseen(_prune(follow, present).join(src, ["_b", "src"]).drop("_b"))
+        first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "pos", "depth")).alias("_o")) \
+            .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"), "_o.page_seq", "_o.pos")
+        walk.advance(first, "page_seq", "pos", "url")
 
     order = walk.found()
     # File hits of all crawled pages in FIFO order; the file cap (checked before each
@@ -352,10 +374,10 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
     kinds = classified.select("_b", "url", F.col("source_type").alias("kind"))
 
     walk = Frontier(admissible(seeds.select("url", F.lit(0).alias("depth"), "seq"), "url"),
-                    "url string, depth int, seq string, kind string")
+                    "url string, depth int, seq long, kind string", nb)
     quota = Quota(max_pages)
     while walk.size > 0:
-        keyed = walk.frame.withColumn("_b", bucket("url", nb))
+        keyed = walk.frame
         present = _present_buckets(keyed, walk.size, nb)
         flagged = keyed.join(_prune(kinds, present), ["_b", "url"], "left") \
             .withColumn("kind", F.when(ux.is_binary_link("url"), F.lit("binary")).otherwise(F.col("kind")))
@@ -369,12 +391,11 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
         if max_depth is not None:
             pages = pages.where(F.col("depth") < max_depth)
         src = pages.select("_b", F.col("url").alias("src"), F.col("seq").alias("page_seq"), "depth")
-        nxt = _prune(follow, present).join(src, ["_b", "src"]) \
-            .join(walk.seen().select(F.col("url").alias("dst")), "dst", "left_anti")
-        # A page's links are followed in sorted order: the key is parent key + SEP + url.
-        walk.advance(nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "depth")).alias("_o"))
-                     .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"),
-                             F.concat(F.col("_o.page_seq"), F.lit(KEY_SEP), F.col("dst")).alias("seq")))
+        nxt = walk.unseen(_prune(follow, present).join(src, ["_b", "src"]).drop("_b"))
+        # A page's links are followed in sorted order.
+        first = nxt.groupBy("dst").agg(F.min(F.struct("page_seq", "depth")).alias("_o")) \
+            .select(F.col("dst").alias("url"), (F.col("_o.depth") + 1).alias("depth"), "_o.page_seq")
+        walk.advance(first, "page_seq", "url")
     visited = walk.found()
     classified = classified.drop("_b")
     html_pages = visited.where(F.col("kind") == "html").select("url", "depth", "seq").join(classified, "url")
@@ -393,6 +414,13 @@ def crawl_chunks(seeds: DataFrame, docs: DataFrame, links: DataFrame, robots: Da
     return visited.select("url", "depth", "seq"), rows
 
 
+def crawl_counts(pages: DataFrame, hits: DataFrame) -> DataFrame:
+    """Pages done and file hits found per depth of a file crawl."""
+    found = hits.groupBy(F.col("page_depth").alias("depth")).agg(F.count("*").alias("files"))
+    return pages.groupBy("depth").agg(F.count("*").alias("pages")).join(found, "depth", "left") \
+        .withColumn("files", F.coalesce("files", F.lit(0)))
+
+
 def crawl_summary(rows: DataFrame) -> DataFrame:
     """Pages and chunks per depth (true counts)."""
     return rows.groupBy("depth").agg(F.countDistinct("url").alias("pages"), F.count("*").alias("rows"))

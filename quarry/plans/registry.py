@@ -847,7 +847,7 @@ def _crawl_seeds(spark, sf):
     """The lowest page of every in-scope host, in page order (as ``seeds_frame`` gives them)."""
     p = read_table(spark, sf, "pages").where(ux.in_domain("url", CRAWL_SCOPE))
     first = p.groupBy(ux.netloc("url").alias("host")).agg(F.min(F.struct("page_id", "url")).alias("f"))
-    return first.select(ux.defrag(F.col("f.url")).alias("url"), cr.order_key(F.lit(""), F.col("f.page_id")).alias("seq"))
+    return first.select(ux.defrag(F.col("f.url")).alias("url"), F.col("f.page_id").cast("bigint").alias("seq"))
 
 
 _HOST_SQL = "regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
@@ -884,18 +884,19 @@ def _crawl_sql() -> str:
               SELECT {defrag.format(u='src_url')}, 1000 + k, {defrag.format(u='dst_url')}, 'related' FROM {V.page_edges_sql()} pe
               UNION ALL
               SELECT {defrag.format(u='page_url')}, 2000, link, 'data' FROM {V.FILE_LINKS_SQL} fl),
-    seed AS (SELECT arg_min({defrag.format(u='url')}, page_id) AS url FROM pages WHERE {scope('url')}
+    seed AS (SELECT arg_min({defrag.format(u='url')}, page_id) AS url, min(page_id) AS page_id FROM pages WHERE {scope('url')}
              GROUP BY {_HOST_SQL.format(u='url')}),
     ok AS (SELECT url FROM docs WHERE {scope('url')} AND {robots('url')}
            AND split_part(page_type, ';', 1) IN ('text/html', 'application/xhtml+xml', '')),
-    steps AS (SELECT DISTINCT e.src, e.dst FROM edges e JOIN ok ON ok.url = e.src
-              WHERE NOT {data_file('e.dst')} AND {scope('e.dst')}),
-    bfs(url, depth) USING KEY (url) AS (
-        SELECT url, 0 FROM seed
+    steps AS (SELECT e.src, e.dst, min(e.pos) AS pos FROM edges e JOIN ok ON ok.url = e.src
+              WHERE NOT {data_file('e.dst')} AND {scope('e.dst')} GROUP BY e.src, e.dst),
+    bfs(url, depth, seq) USING KEY (url) AS (
+        SELECT url, 0, lpad(CAST(page_id AS VARCHAR), 10, '0') FROM seed
         UNION
-        SELECT e.dst, min(b.depth) + 1 FROM bfs b JOIN steps e ON e.src = b.url
+        SELECT e.dst, min(b.depth) + 1, min(b.seq || lpad(CAST(e.pos AS VARCHAR), 10, '0') || e.dst || chr(1))
+        FROM bfs b JOIN steps e ON e.src = b.url
         WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.url = e.dst) GROUP BY e.dst),
-    crawled AS (SELECT b.url, min(b.depth) AS depth FROM bfs b JOIN ok ON ok.url = b.url GROUP BY b.url)"""
+    crawled AS (SELECT b.url, min(b.depth) AS depth, min(b.seq) AS seq FROM bfs b JOIN ok ON ok.url = b.url GROUP BY b.url)"""
 
 
 @query("m1_crawl_pages", f"""
@@ -925,6 +926,33 @@ def m2_file_hits(spark, sf):
                        "page_title")
 
 
+CRAWL_PAGE_CAP = 40  # pages of the capped crawl
+
+
+@query("w7_capped_crawl", f"""
+WITH RECURSIVE {_crawl_sql()}
+SELECT url, CAST(depth AS INTEGER) AS depth FROM crawled ORDER BY depth, seq LIMIT {CRAWL_PAGE_CAP}""")
+def w7_capped_crawl(spark, sf):
+    """The crawl stopped after a number of pages in queue order (the cap is the feature)."""
+    fields, docs, fetches, robots = crawl_inputs(spark, sf, *CRAWL_FIELDS)
+    pages, _ = cr.crawl_files(_crawl_seeds(spark, sf), docs, crawl_edges(spark, sf, fields), fetches, robots,
+                              scope_suffix=CRAWL_SCOPE, max_pages=CRAWL_PAGE_CAP)
+    return pages.select("url", "depth")
+
+
+@query("m4_seed_texts", """
+WITH t AS (SELECT page_id, string_split(' ' || url || ' ,, ' || upper(url) || '#top,' || url || '#end ', ',') AS parts FROM pages),
+u AS (SELECT page_id, p, regexp_replace(trim(parts[p]), '#.*$', '') AS url FROM t, unnest(range(1, len(parts) + 1)) x(p)),
+f AS (SELECT url, min((page_id, p)) AS o FROM u WHERE url <> '' GROUP BY url)
+SELECT url, row_number() OVER (ORDER BY o) AS place FROM f""")
+def m4_seed_texts(spark, sf):
+    """M4: comma-separated seed texts (blanks, empty items, fragments, repeats) to distinct seeds in order."""
+    p = read_table(spark, sf, "pages")
+    texts = p.select("page_id", F.concat(F.lit(" "), "url", F.lit(" ,, "), F.upper("url"), F.lit("#top,"), "url", F.lit("#end ")).alias("seeds"))
+    return col.with_row_index(cr.seeds_table(texts, "seeds", "page_id"), ["seq"], "place") \
+        .select("url", (F.col("place") + 1).alias("place"))
+
+
 _BINARY_SQL = r"regexp_matches(lower({p}), '\.(pdf|csv|xls|xlsx)$')"
 
 
@@ -968,13 +996,22 @@ def m3_crawl_chunks(spark, sf):
     return _crawl_chunk_rows(spark, sf).select("url", "depth", "source_type", "content_type").distinct()
 
 
+@query("g7_depth_limit", f"""
+WITH RECURSIVE {_chunk_crawl_sql()}
+SELECT DISTINCT b.url, CAST(b.depth AS INTEGER) AS depth FROM bfs b LEFT JOIN docs d ON d.url = b.url
+WHERE b.depth <= 2 AND (d.content_type <> '' OR {_BINARY_SQL.format(p=_PATH_SQL.format(u='b.url'))})""")
+def g7_depth_limit(spark, sf):
+    """The chunk crawl to a depth of 2; pages at that depth are read, their links are not followed."""
+    return _crawl_chunk_rows(spark, sf, max_depth=2).select("url", "depth").distinct()
+
+
 @query("m3_chunk_rows")
 def m3_chunk_rows(spark, sf):
     """Rows only: all chunk rows of that crawl (SQL does not extract a page's text)."""
     return _crawl_chunk_rows(spark, sf)
 
 
-def _crawl_chunk_rows(spark, sf):
+def _crawl_chunk_rows(spark, sf, max_depth=None):
     fields, docs, _, robots = crawl_inputs(spark, sf, "title_text", "description_chunk", "visible_text", "body_hrefs")
     docs = docs.select(ux.canonical("url").alias("url"), F.lit(200).alias("status"), "content_type",
                        ux.canonical("url").alias("final_url"), "title_text", "description_chunk", "visible_text")
@@ -986,7 +1023,8 @@ def _crawl_chunk_rows(spark, sf):
     allowed = pages.where(ux.in_domain("url", CRAWL_SCOPE)).select(F.lower(ux.netloc("url")).alias("host"))
     seed = _crawl_seeds(spark, sf).select(ux.canonical("url").alias("url"), "seq")
     host_robots = robots.select(ux.netloc("origin").alias("origin"), "status", "body").distinct()
-    _, rows = cr.crawl_chunks(seed, docs, e6.unionByName(pe).unionByName(fl).distinct(), host_robots, allowed_domains=allowed)
+    _, rows = cr.crawl_chunks(seed, docs, e6.unionByName(pe).unionByName(fl).distinct(), host_robots, allowed_domains=allowed,
+                              max_depth=max_depth)
     return rows
 
 
@@ -1066,10 +1104,12 @@ def r7_matrix_blocks(spark, sf):
 
 @query("i11_crawl_summary", f"""
 WITH RECURSIVE {_crawl_sql()}
-SELECT CAST(depth AS INTEGER) AS depth, count(*) AS pages FROM crawled GROUP BY depth""")
+SELECT CAST(c.depth AS INTEGER) AS depth, count(DISTINCT c.url) AS pages, count(f.link) AS files
+FROM crawled c LEFT JOIN edges e ON e.src = c.url AND {_data_file_sql('e.dst')} AND {_robots_sql('e.dst')}
+LEFT JOIN {V.FETCHES_SQL} f ON f.link = e.dst AND f.status <> 0 GROUP BY c.depth""")
 def i11_crawl_summary(spark, sf):
-    pages, _ = _crawl_files(spark, sf)
-    return pages.groupBy("depth").agg(F.count("*").alias("pages"))
+    """Pages done and file hits found per depth."""
+    return cr.crawl_counts(*_crawl_files(spark, sf))
 
 
 # ---------------------------------------------------------------- streams

@@ -161,3 +161,36 @@ def test_chunk_crawl_follows_body_links_and_keeps_every_chunk(spark, tmp_dir):
     expected = {tuple(r) for r in pg.page_chunks(fields).select(*columns).collect() if (r.url in {u for u, _ in seen})}
     got = [tuple(r) for r in registry.m3_chunk_rows(spark, tmp_dir).where("source_type = 'html'").select(*columns).collect()]
     assert len(got) == len(set(got)) and set(got) == expected and len(got) >= 5
+
+
+def test_long_chain_keeps_short_numbers_and_reads_its_own_buckets(spark, monkeypatch):
+    """A chain of pages, each with a link back: order numbers stay 8 bytes, small levels look at their own buckets."""
+    from quarry.operators import crawl as cr
+
+    n = 12
+    url = lambda i: f"http://a.gov.au/p{i}"
+    docs = spark.createDataFrame([(url(i), "text/html", "t", "d", [], []) for i in range(n)],
+                                 "url string, content_type string, title string, description string, tags array<string>, date_texts array<string>")
+    edges = spark.createDataFrame([(url(i), p, url(j), "x") for i in range(n) for p, j in ((0, max(i - 1, 0)), (1, i + 1))],
+                                  "src string, pos long, dst string, anchor string")
+    fetches = spark.createDataFrame([], "link string, content_type string, content_length string")
+    asked = []
+    real = cr._prune
+    monkeypatch.setattr(cr, "_prune", lambda t, present: asked.append(present) or real(t, present))
+    seeds = cr.seeds_frame(spark, [url(0)])
+    pages, _ = cr.crawl_files(seeds, docs, edges, fetches)
+    assert [(r.url, r.depth) for r in pages.orderBy("depth").collect()] == [(url(i), i) for i in range(n)]
+    assert pages.schema["seq"].dataType.typeName() == "long"
+    assert all(a is not None and len(a) <= 2 for a in asked)
+    capped, _ = cr.crawl_files(seeds, docs, edges, fetches, max_pages=5)
+    assert sorted(r.depth for r in capped.collect()) == list(range(5))
+
+
+def test_seed_texts_of_a_table_equal_the_list_form(spark):
+    from quarry.operators import crawl as cr
+
+    text = " http://b/x#f, ,http://a/y,http://b/x ,,http://c "
+    table = spark.createDataFrame([(1, text), (2, "http://a/y,http://d")], "id long, t string")
+    got = [r.url for r in cr.seeds_table(table, "t", "id").orderBy("seq").collect()]
+    assert got == [r.url for r in cr.seeds_frame(spark, text + ",http://a/y,http://d").orderBy("seq").collect()]
+    assert got == ["http://b/x", "http://a/y", "http://c", "http://d"]
