@@ -1054,7 +1054,7 @@ def k6_audit_lookup(spark, sf):
     path = _scratch(spark, "audit")
     half = F.pmod(F.xxhash64("audit_id"), F.lit(2))
     for part in (0, 1):
-        append_audit(records.where(half == part), path)
+        append_audit(records.where(half == part), path, part)
     records = read_audit(spark, path, records.schema)
     c = read_table(spark, sf, "conversations")
     ids = c.select(F.substring(F.sha1((F.col("conv_id") * 1000 + F.col("turn")).cast("string")), 1, 8).alias("audit_id"))
@@ -1063,6 +1063,19 @@ def k6_audit_lookup(spark, sf):
                       F.size("record.raw_hits").cast("bigint").alias("n_hits"))
 
 
+@query("k6_replayed_batches", _T8_CTE + """
+SELECT substr(sha1(CAST(f.qid AS VARCHAR)), 1, 8) AS audit_id, 1::BIGINT AS times FROM f""")
+def k6_replayed_batches(spark, sf):
+    """K6: every batch is appended twice, the log holds each record once; a batch without its marker is not read."""
+    records = audit_records(_t8_answers(spark, sf))
+    path = _scratch(spark, "audit")
+    half = F.pmod(F.xxhash64("audit_id"), F.lit(2))
+    for part in (0, 1, 1, 0):
+        append_audit(records.where(half == part), path, part)
+    records.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("dt").json(f"{path}/batch=unfinished")
+    return read_audit(spark, path, records.schema).groupBy("audit_id").agg(F.count("*").alias("times"))
+
+
 def _sql_lit(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 

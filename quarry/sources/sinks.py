@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import materialize
+
 FILE_HIT_COLUMNS = ("file_url", "file_ext", "page_url", "page_title", "page_description", "page_tags",
                     "anchor_text", "content_type", "content_length", "discovered_at", "data_collected_date")
 CHUNK_COLUMNS = ("url", "final_url", "status", "content_type", "source_type", "title",
@@ -16,13 +18,15 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "fals
 
 
 def write_file_hits(hits: DataFrame, prefix: str) -> None:
-    """K2: the same hits as CSV (tags joined by '; ', NULL -> blank) and JSON lines."""
-    hits = hits.select(*FILE_HIT_COLUMNS).cache()
+    """K2: the same hits as CSV (tags joined by '; ', NULL -> blank) and JSON lines.
+
+    The hits are computed once, into a table in the checkpoint folder that both
+    writes read: nothing is held in executor memory."""
+    hits = materialize(hits.select(*FILE_HIT_COLUMNS))
     hits.select(*[F.array_join(c, "; ").alias(c) if c == "page_tags" else F.col(c)
                   for c in FILE_HIT_COLUMNS]) \
         .write.mode("overwrite").options(**CSV_OPTIONS).option("nullValue", "").csv(prefix + "_csv")
     hits.write.mode("overwrite").option("ignoreNullFields", "false").json(prefix + "_jsonl")
-    hits.unpersist()
 
 
 def write_chunks_csv(chunks: DataFrame, path: str, mode: str = "overwrite") -> None:
