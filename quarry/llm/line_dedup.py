@@ -33,7 +33,7 @@ from quarry.llm import tables, texthash
 from quarry.llm.byte_bpe import small_batches
 from quarry.llm.texthash import mix, prefix_sums, shift_left, span_hash, to_origin
 
-#: Shorter lines (headings, list marks, brackets) are left alone.
+#: Shorter lines (headings, list marks, brackets) only go as exact repeats: an edit changes what they say.
 MIN_CHARS = 24
 BLOCKS = 4
 #: Block borders depend on length // CLASS only, so lines of neighbouring lengths mostly share them.
@@ -49,7 +49,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 class Lines:
-    """The long-enough lines of one slice of texts, hashed.
+    """The lines of one slice of texts that are not blank, hashed.
 
     ``doc`` (row in the slice), ``pos`` (line number), ``start`` and ``end``
     (without surrounding blanks) are arrays; h1 and h2 identify the line's text, and
@@ -69,9 +69,8 @@ class Lines:
         a, b = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
         full = np.flatnonzero(b > a)
         start, end = solid[a[full]], solid[b[full] - 1] + 1
-        long = end - start >= MIN_CHARS
-        self.chars, self.start, self.end = chars, start[long], end[long]
-        self.doc, self.pos = doc[full][long], pos[full][long]
+        self.chars, self.start, self.end = chars, start, end
+        self.doc, self.pos = doc[full], pos[full]
         low, high = chars & 0xFFFF, (chars >> 16).astype(_U)
         self.sums = prefix_sums(_CODES[0][low] + high * _U(0x2545F4914F6CDD1D))
         second = prefix_sums(_CODES[1][low] + high * _U(0x9E6C63D0876A9A47))
@@ -84,11 +83,12 @@ class Lines:
         return _signed(mix(self.h1.view(_U) + mix(self.pos.astype(_U) + _U(1))))
 
     def classes(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(lines, length class): a line's own class, and the class below if a
-        partner that is one character shorter has that."""
+        """(lines, length class) of the lines that are compared by edits: a line's own
+        class, and the class below if a partner that is one character shorter has that."""
         n = self.end - self.start
-        edge = np.flatnonzero(n % CLASS == 0)
-        return [(np.arange(len(n)), n // CLASS), (edge, n[edge] // CLASS - 1)]
+        long = np.flatnonzero(n >= MIN_CHARS)
+        edge = long[n[long] % CLASS == 0]
+        return [(long, n[long] // CLASS), (edge, n[edge] // CLASS - 1)]
 
     def block_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(line, key, from, to): per line and block the key of the rest, and where the block may lie."""
@@ -121,7 +121,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
 
 
 def _hashed(documents: DataFrame) -> DataFrame:
-    """doc_id, pos, h1, h2, keys of every long-enough line."""
+    """doc_id, pos, h1, h2 of every line that is not blank, with the keys of long-enough ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -211,9 +211,9 @@ def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
     ``docs`` has doc_id and text; of other columns only those in ``carry`` are kept,
     in a struct ``carried``.  Lines end at line feeds; they are compared without surrounding blanks, character by character.
-    A line of at least ``MIN_CHARS`` characters is dropped if an equal line, or the
-    first occurrence of a line within one edit, comes earlier in the order of
-    (doc_id, line number); shorter lines always stay.  A null text has no lines and
+    A line that is not blank is dropped if an equal line comes earlier in the order of
+    (doc_id, line number), a line of at least ``MIN_CHARS`` characters also if the
+    first occurrence of a line of that length within one edit does.  A null text has no lines and
     stays null; rows with a null doc_id take no part and stay as they are.
     Rows that repeat a doc_id count as one document.  An empty table gives no rows.
     """

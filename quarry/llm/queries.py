@@ -48,10 +48,10 @@ LINE_SQL = """
 WITH lines AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 split AS (SELECT doc_id, pos, parts[pos] AS line, trim(parts[pos], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t
           FROM lines, unnest(range(1, len(parts) + 1)) u(pos)),
-long AS (SELECT doc_id, pos, t, length(t)::BIGINT AS n FROM split WHERE length(t) >= 24),
-firsts AS (SELECT t, n, min((doc_id, pos)) AS place FROM long GROUP BY t, n),
+solid AS (SELECT doc_id, pos, t, length(t)::BIGINT AS n FROM split WHERE t <> ''),
+firsts AS (SELECT t, n, min((doc_id, pos)) AS place FROM solid GROUP BY t, n),
 halves AS (SELECT place, t, n, m, left(t, (m // 2)::BIGINT) AS head, right(t, (m - m // 2)::BIGINT) AS tail
-           FROM firsts, unnest([n, n - 1]) u(m)),
+           FROM firsts, unnest([n, n - 1]) u(m) WHERE n >= 24),
 pairs AS (SELECT x.place AS xa, y.place AS ya, x.t AS xt, y.t AS yt, x.n AS xn, y.n AS yn
           FROM halves x JOIN halves y ON x.m = y.m AND x.head = y.head AND x.n = x.m AND x.t <> y.t
           UNION SELECT x.place, y.place, x.t, y.t, x.n, y.n
@@ -59,7 +59,7 @@ pairs AS (SELECT x.place AS xa, y.place AS ya, x.t AS xt, y.t AS yt, x.n AS xn,
 differ AS (SELECT *, coalesce(list_min(list_filter(range(1, xn + 1), lambda i: xt[i] <> yt[i])), xn + 1) AS p FROM pairs),
 close AS (SELECT xa, ya FROM differ WHERE substr(xt, p + (CASE WHEN xn = yn THEN 1 ELSE 0 END)) = substr(yt, p + 1)),
 near AS (SELECT greatest(xa, ya) AS place FROM close),
-gone AS (SELECT doc_id, pos FROM long l JOIN firsts f USING (t)
+gone AS (SELECT doc_id, pos FROM solid l JOIN firsts f USING (t)
          WHERE (l.doc_id, l.pos) <> f.place OR f.place IN (SELECT place FROM near)),
 kept AS (SELECT s.doc_id, s.pos, s.line, g.pos IS NOT NULL AS dropped
          FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.pos = g.pos)

@@ -71,13 +71,12 @@ def lines_without_repeats(rows, least=24):
     order = [(d, i, s.strip(" \t\r\x0b\x0c")) for d, parts in split for i, s in enumerate(parts)]
     gone = set()
     for d, i, s in order:
-        if len(s) >= least:
-            if s in firsts:
+        if s in firsts:
+            gone.add((d, i))
+        elif s:
+            if len(s) >= least and any(one_edit(s, t) for t in firsts if len(t) >= least and abs(len(t) - len(s)) <= 1):
                 gone.add((d, i))
-            else:
-                if any(one_edit(s, t) for t in firsts if abs(len(t) - len(s)) <= 1):
-                    gone.add((d, i))
-                firsts[s] = (d, i)
+            firsts[s] = (d, i)
     for d, parts in split:
         out[d] = (len(parts), sum((d, i) in gone for i in range(len(parts))),
                   "\n".join(s for i, s in enumerate(parts) if (d, i) not in gone))
