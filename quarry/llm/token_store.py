@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -40,6 +41,11 @@ WORD_END, TOGETHER = "</w>", 200
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, part int, part_start long"
 
 
+def _letters(word: str) -> bool:
+    """Letters only, also as the tokenizer sees them: composed and in lower case (``İ`` becomes i and a dot)."""
+    return word.isascii() and word.isalpha() or unicodedata.normalize("NFC", word).lower().isalpha() and word.lower().isalpha()
+
+
 class Encoder:
     """Ids (little-endian unsigned 32-bit) of a text by a tokenizer file whose
     splitter drops blanks, so that parts between blanks are encoded apart.
@@ -65,7 +71,7 @@ class Encoder:
     def _ids(self, parts: list[str]) -> dict[str, bytes]:
         """Ids of each part.  Words of letters only are encoded many at a time,
         with blanks between, and told apart by the ids that end a word."""
-        words, out = [p for p in parts if p.isalpha()], {}
+        words, out = [p for p in parts if _letters(p)], {}
         groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         for group, raw in zip(groups, self._each([" ".join(g) for g in groups]), strict=True):
             cuts = [0, *(4 * np.flatnonzero(self.ends[np.frombuffer(raw, dtype="<u4")]) + 4).tolist()]
@@ -81,12 +87,12 @@ class Encoder:
             memo.clear()
         memo[""] = b""
         new = {p for t in parts for p in t if p not in memo}
-        joined = [p for p in new if p[-1] in MARKS and p[:-1].isalpha()]  # a word, then a mark of its own
+        joined = [p for p in new if p[-1] in MARKS and _letters(p[:-1])]  # a word, then a mark of its own
         new.difference_update(joined)
         new.update(w for p in joined if (w := p[:-1]) not in memo)
         fresh = [*new]
         found = self._ids(fresh)
-        once = {p: (found.get(p[:-1]) or memo[p[:-1]]) + self.marks[p[-1]] for p in joined}
+        once = {p: (found[p[:-1]] if p[:-1] in found else memo[p[:-1]]) + self.marks[p[-1]] for p in joined}
         once |= {p: found.pop(p) for p in fresh if len(p) > MEMO_CHARS}
         memo |= found
         if once:

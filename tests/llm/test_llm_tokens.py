@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 from itertools import pairwise
 
@@ -149,3 +150,23 @@ def test_token_operators_edge_rows(spark):
     assert enc.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
     assert byte_bpe.encode(empty_docs(spark), RANKS, public_tokenizers.PATTERN).count() == 0
     assert token_count.count_tokens(empty_docs(spark), COUNTS).count() == 0
+
+
+def test_store_ids_of_every_letter_beside_a_mark():
+    """All alphabetic characters, alone and in words, before and after marks: as the library gives them."""
+    import sys
+
+    from tokenizers import Tokenizer
+
+    from quarry.llm import token_store
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), token_store.Encoder(path)
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalpha() and not 0x3400 <= c <= 0xD7A3 and c < 0x1F000]
+    odd = [c for c in letters if len(c.lower()) > 1 or unicodedata.normalize("NFC", c) != c]
+    assert "\u0130" in odd
+    texts = [" ".join(f"{c}, a{c}. {c}b {c}\u0301," for c in letters[i:i + 50]) for i in range(0, len(letters), 50)]
+    texts += [f"{c}," for c in odd] + [f"x{c}y. {c}" for c in odd]
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in own.encode(texts)]
+    want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [t for t, g, w in zip(texts, got, want) if g != w] == []
