@@ -186,7 +186,9 @@ def _near(documents: DataFrame, hashed: DataFrame, firsts: DataFrame) -> DataFra
     asked = open_keys.groupBy("h1").agg(F.collect_list("key").alias("keys"))  # a few keys per line
     lines = firsts.join(asked, "h1").select("doc_id", F.struct("h1", "pos", "keys").alias("at"))
     per_doc = tables.keep(lines.groupBy("doc_id").agg(F.collect_list("at").alias("at")), "asked")
-    candidates = tables.keep(_variants(documents.join(per_doc, "doc_id").select("doc_id", "text", "at")), "variants")
+    # both grow with the corpus: never a broadcast, the plan is the same at every size
+    asking = documents.join(per_doc.hint("merge"), "doc_id").select("doc_id", "text", "at")
+    candidates = tables.keep(_variants(asking), "variants")
 
     here = F.struct("doc_id", "pos", "id").alias("here")
     emitted = candidates.select(here, F.explode(F.concat(*(
@@ -259,7 +261,7 @@ def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     none = F.array().cast("array<struct<pos:int,h1:bigint>>")
     extra = F.struct(F.lit(0).alias("_none"), *(F.col(f"`{c}`") for c in carry)).alias("carried")
     rows = docs.select("doc_id", "text", extra)
-    joined = rows.join(per_doc, "doc_id", "left").select("doc_id", "text", F.coalesce("stays", none).alias("stays"), "carried")
+    joined = rows.join(per_doc.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("stays", none).alias("stays"), "carried")
     schema = f"doc_id long, text string, n_lines long, n_dropped long, carried {rows.schema['carried'].dataType.simpleString()}"
     return small_batches(joined, run, schema)
 
