@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from quarry.llm import period_runs
-from tests.llm.llm_cases import edge_docs, empty_docs
+from llm_cases import edge_docs, empty_docs
 
 
 def brute(words, least=24):
