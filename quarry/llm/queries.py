@@ -130,13 +130,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 KNN_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding,
                  lambda x: coalesce(isfinite(x), false)))),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
       FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
 
 
 @query("op10_voronoi_knn", KNN_SQL)

@@ -60,22 +60,23 @@ def _pivots(vectors: DataFrame, rows: int) -> dict[int, np.ndarray]:
 
 
 def _placed(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """vec_id, dim, cell, dist, v; dimensions without a pivot have the one cell around the origin."""
+    """vec_id, row, dim, cell, dist, v; dimensions without a pivot have the one cell around the origin."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = np.diff(batch.column(1).offsets.to_numpy())
+            dims = np.diff(batch.column(2).offsets.to_numpy())
             for dim in np.unique(dims):
                 rows = batch.filter(pa.array(dims == dim))
-                x = _matrix(rows.column(1), int(dim)).astype(np.float64)
+                x = _matrix(rows.column(2), int(dim)).astype(np.float64)
                 p = pivots.get(int(dim), np.zeros((1, int(dim))))
                 d2 = np.stack([((x - c) ** 2).sum(axis=1) for c in p], axis=1)
                 cell = d2.argmin(axis=1)
                 dist = np.sqrt(d2[np.arange(len(x)), cell])
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(np.full(len(x), dim, np.int32)), pa.array(cell.astype(np.int32)),
-                     pa.array(dist), rows.column(1)], ["vec_id", "dim", "cell", "dist", "v"])
+                    [rows.column(0), rows.column(1), pa.array(np.full(len(x), dim, np.int32)), pa.array(cell.astype(np.int32)),
+                     pa.array(dist), rows.column(2)], ["vec_id", "row", "dim", "cell", "dist", "v"])
 
-    return vectors.select("vec_id", "v").mapInArrow(run, "vec_id long, dim int, cell int, dist double, v array<long>")
+    return vectors.select("vec_id", "row", "v").mapInArrow(
+        run, "vec_id long, row long, dim int, cell int, dist double, v array<long>")
 
 
 def _summary(placed: DataFrame) -> dict[tuple[int, int], tuple[int, float]]:
@@ -94,7 +95,8 @@ def _ids(placed: DataFrame) -> dict[tuple[int, int], int]:
 def _needed(queries: dict, data: dict, pivots: dict[int, np.ndarray], k: int) -> list[tuple[int, int, int]]:
     """(dim, query cell, data cell) pairs whose scores can be among the k best.
 
-    ``data`` gives the distinct ids and the radius of every cell.
+    ``data`` gives the distinct ids and the radius of every cell: k + 1 ids are at least
+    k rows that are not the query's own.
     """
     out = []
     for (dim, qc), (_, rq) in queries.items():
@@ -115,12 +117,13 @@ def _needed(queries: dict, data: dict, pivots: dict[int, np.ndarray], k: int) ->
 
 def _best(k: int):
     """Solves one (query block, data block) pair."""
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         qid, did = (t.column("vec_id").to_numpy() for t in (left, right))
+        rows = left.column("row").to_numpy()
         q, d = (_matrix(t.column("v").combine_chunks(), t.column("dim")[0].as_py()) for t in (left, right))
         order = np.argsort(did, kind="stable")  # equal scores then come by id
         did, d = did[order], d[order]
@@ -129,19 +132,24 @@ def _best(k: int):
         exact = dim * top(q) * top(d) < 2**53  # products and sums are whole numbers a double holds
         kind = np.float64 if exact else np.int64
         q, d = q.astype(kind), d.astype(kind).T
-        most = int(np.unique(did, return_counts=True)[1].max())  # a repeated id must not crowd out others
-        keep = min((k + 1) * most, len(did))
-        out = [[], [], []]
+        least = -np.inf if exact else np.iinfo(np.int64).min
+        own = np.stack([np.searchsorted(did, qid, side) for side in ("left", "right")], axis=1)  # the rows of a query's own id
+        keep = min(k, len(did))
+        out = [[], [], [], []]
         for at in range(0, len(qid), STEP):
             scores = q[at:at + STEP] @ d
+            for row, (a, b) in zip(scores, own[at:at + STEP], strict=True):
+                row[a:b] = least
             floor = np.partition(scores, len(did) - keep, axis=1)[:, len(did) - keep]
             for i, row in enumerate(scores):
                 hit = np.flatnonzero(row >= floor[i])
-                hit = hit[np.argsort(-row[hit], kind="stable")]
-                hit = hit[did[hit] != qid[at + i]][:k * most]
-                out[0].append(np.full(len(hit), qid[at + i]))
-                out[1].append(did[hit])
-                out[2].append(row[hit].astype(np.int64))
+                a, b = own[at + i]
+                hit = hit[(hit < a) | (hit >= b)]
+                hit = hit[np.argsort(-row[hit], kind="stable")][:k]
+                out[0].append(np.full(len(hit), rows[at + i]))
+                out[1].append(np.full(len(hit), qid[at + i]))
+                out[2].append(did[hit])
+                out[3].append(row[hit].astype(np.int64))
         return pa.table([pa.array(np.concatenate(c)) for c in out], schema=schema)
 
     return solve
@@ -152,11 +160,13 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
 
     Both frames have vec_id and v (whole-number components).  Candidates are all
     data rows of the query's dimension but those of the query's own id; ties go to
-    the smaller vec_id; a repeated id counts once, with its best score.  A query
+    the smaller vec_id.  Rows count, not ids: a repeated data row is as many
+    candidates, and every query row is answered, a repeated one repeatedly.  A query
     with fewer candidates has all of them, one with none has no row.
     """
     spark: SparkSession = data.sparkSession
-    queries, data = (tables.keep(x.select("vec_id", "v"), "vectors") for x in (queries, data))
+    queries, data = (tables.keep(x.select("vec_id", "v", F.monotonically_increasing_id().alias("row")), "vectors")
+                     for x in (queries, data))
     pivots = _pivots(data, data.count())
     q, d = (tables.keep(_placed(x, pivots), "placed") for x in (queries, data))
     q_sum, d_sum, ids = _summary(q), _summary(d), _ids(d)
@@ -167,16 +177,15 @@ def knn_join(queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
     # made anew for each side: a cogroup tells its sides' columns apart by where they come from
     cells = lambda side: F.broadcast(spark.createDataFrame(
         plan, "dim int, qc int, qn int, dc int, dn int")).withColumn("cell", F.col(side))
-    hashed = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    hashed = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")  # noqa: E731  (an id may hold any share of the rows)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     key = ["dim", "qc", "qb", "dc", "db"]
     left = q.join(cells("qc"), ["dim", "cell"]).withColumn(
-        "qb", hashed("qn")).withColumn("db", every("dn")).select(*key, "vec_id", "v")
+        "qb", hashed("qn")).withColumn("db", every("dn")).select(*key, "vec_id", "row", "v")
     right = d.join(cells("dc"), ["dim", "cell"]).withColumn(
-        "db", hashed("dn")).withColumn("qb", every("qn")).select(*key, "vec_id", "v")
+        "db", hashed("dn")).withColumn("qb", every("qn")).select(*key, "vec_id", "row", "v")
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        _best(k), "query_id long, vec_id long, score long")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select(
+        _best(k), "query_row long, query_id long, vec_id long, score long")
+    by = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
