@@ -231,12 +231,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def _roots(documents: DataFrame, signed: DataFrame, classes: DataFrame, placed: DataFrame,
            width: int, percent: int) -> DataFrame:
     """(node, root) of the classes that are linked to a smaller one."""
-    heads = signed.where("n > 0").join(classes.withColumnRenamed("node", "doc_id"), ["d1", "d2", "n", "doc_id"])
+    # merge joins at every size: what is shuffled then grows as the input
+    heads = signed.where("n > 0").join(classes.withColumnRenamed("node", "doc_id").hint("merge"), ["d1", "d2", "n", "doc_id"])
     banded = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("node"), "n")
     shared = banded.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
-    members = tables.keep(banded.join(shared.select("bucket"), "bucket", "left_semi"), "members")
+    members = tables.keep(banded.join(shared.select("bucket").hint("merge"), "bucket", "left_semi"), "members")
     nodes = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = tables.keep(_sets(documents.join(nodes, "doc_id", "left_semi"), width), "sets")
+    sets = tables.keep(_sets(documents.join(nodes.hint("merge"), "doc_id", "left_semi"), width), "sets")
     # a repeated doc_id belongs to several classes: one document, hence one component
     ids = placed.groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
     links = placed.join(ids, "doc_id").where("node <> x").select(F.col("node").alias("a"), F.col("x").alias("b"))
