@@ -11,6 +11,9 @@ digests, a fixed list, are broadcast.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +29,6 @@ SPELLINGS = [
     ("authorisation", "authorization"), ("merchantibility", "merchantability"), ("favour", "favor"),
     ("behaviour", "behavior"), ("copyright owner", "copyright holder"), ("©", "(c)"), ("&", "and"),
 ]
-#: Every known text holds one of these in any spelling, so no other text is canonicalised.
-ANCHOR = r"(?i)licen[cs]e|permission|redistribution"
-
 #: Comment signs before a line's text, and the mark of a line's last word.
 LEADER = r"^[ \t]*(//+|/?\*+|#+|;+|--+|<!--|%+)[ \t]*"
 END = "|"
@@ -42,6 +42,30 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
 
 
+#: Words of so many letters are rare enough to choose the most shared among them.
+LONG = 10
+
+
+def anchors(forms: list[str]) -> str | None:
+    """A pattern that every lower-cased text with one of these canonical forms matches, so that
+    others need no canonical form; None if a form has no word to tell.
+
+    A word of a canonical form stands in the text as it is, unless a spelling was replaced in
+    it; of those only "license" is taken, in both spellings.  Words that many forms share come
+    first, long ones before short ones.
+    """
+    made = {w for _, b in SPELLINGS for w in re.findall("[a-z0-9]{2,}", b)} - {"license"}
+    usable = [{w for w in form.split() if len(w) > 1 and not any(m in w for m in made)} for form in forms]
+    if not all(usable):
+        return None
+    shared = Counter(w for words in usable for w in words)
+    chosen: set[str] = set()
+    for words in sorted(usable, key=lambda x: (len(x), sorted(x))):
+        if not words & chosen:
+            chosen.add(max(words, key=lambda w: (min(len(w), LONG), shared[w], w)))
+    return "|".join(sorted(w.replace("license", "licen[cs]e") for w in chosen))
+
+
 def known_texts(spark) -> DataFrame:
     """license, text of the known texts."""
     return spark.createDataFrame(KNOWN + MORE, "license string, text string")
@@ -75,28 +99,32 @@ def scan(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """doc_id, text_license, n_notices, notices for every document.
 
     ``docs`` has doc_id and text, other columns are ignored.  ``texts`` has license and
-    text of the known licences (a short list; None: those of ``licences``), each with an
-    anchor word.  ``text_license`` is the licence whose text the whole document is, or
+    text of the known licences (a list the driver can hold; None: those of ``licences``);
+    texts without a canonical form are left out of it.  ``text_license`` is the licence whose text the whole document is, or
     null; ``n_notices`` counts its lines and runs of lines that are a known licence text
     or notice (a run inside a longer one, or inside a document that is a licence text, is not counted), ``notices`` lists their licences
     (sorted, distinct, comma-joined, "" if none).  Lines end at line feeds.  A null or
     empty text holds no licence; repeated rows give repeated rows; an empty table gives
     an empty result.
     """
-    forms = (known_texts(docs.sparkSession) if texts is None else texts).select("license", canonical(F.col("text")).alias("form")).distinct()
-    words = F.split("form", " ")
-    shapes = [(r.f, r.n) for r in forms.select(words[0].alias("f"), F.size(words).alias("n")).distinct().collect()]
-    known = F.broadcast(forms.select("license", F.sha2("form", 256).alias("digest")))
+    forms = (known_texts(docs.sparkSession) if texts is None else texts).select("license", canonical(F.col("text")).alias("form")).where("form <> ''").distinct()
+    listed = sorted({r.form for r in forms.select("form").collect()})
+    shapes = sorted({(f.split()[0], len(f.split())) for f in listed})
+    anchor = anchors(listed)
+    may_hold = lambda text: F.lit(True) if anchor is None else F.lower(text).rlike(anchor)
+    known = forms.select("license", F.sha2("form", 256).alias("digest"))
+    if texts is None:
+        known = F.broadcast(known)  # a fixed list
     unit = lambda kind, text, a=F.lit(None), b=F.lit(None): F.struct(
         F.lit(kind).alias("kind"), a.cast("int").alias("from"), b.cast("int").alias("to"), text.alias("unit"))
     # a unit without text keeps documents without any licence in the result
     none = F.array(unit("line", F.lit(None).cast("string")))
     lines = F.transform(F.split("text", "\n"), lambda s: unit("line", s))
     runs = F.transform(_runs(F.col("text"), shapes), lambda r: unit("run", r["unit"], r["from"], r["to"]))
-    units = F.when(F.col("text").rlike(ANCHOR), F.concat(none, F.array(unit("whole", F.col("text"))), lines, runs)).otherwise(none)
+    units = F.when(may_hold(F.col("text")), F.concat(none, F.array(unit("whole", F.col("text"))), lines, runs)).otherwise(none)
     numbered = tables.columns(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     rows = numbered.select("doc_id", "row", F.explode(units).alias("u")).select("doc_id", "row", "u.*")
-    digests = rows.where(F.col("unit").isNull() | F.col("unit").rlike(ANCHOR)).withColumn(
+    digests = rows.where(F.col("unit").isNull() | may_hold(F.col("unit"))).withColumn(
         "digest", F.sha2(F.when(F.col("kind") == "run", F.col("unit")).otherwise(canonical(F.col("unit"))), 256))
     line = F.when(F.col("kind") == "line", F.col("license"))
     hit = F.when((F.col("kind") == "run") & F.col("license").isNotNull(), F.struct("from", "to", "license"))
@@ -125,7 +153,7 @@ def oracle() -> str:
 WITH known AS (SELECT DISTINCT license, {form.format('t')} AS digest FROM (VALUES {known}) k(license, t)),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS unit FROM documents),
 notices AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names
-            FROM (SELECT doc_id, {form.format('unit')} AS digest FROM lines WHERE regexp_matches(unit, {_quoted(ANCHOR)})) u
+            FROM (SELECT doc_id, {form.format('unit')} AS digest FROM lines) u
             JOIN known USING (digest) GROUP BY doc_id),
 wholes AS (SELECT doc_id, min(license) AS license FROM (SELECT doc_id, {form.format('text')} AS digest FROM documents) d
            JOIN known USING (digest) GROUP BY doc_id)

@@ -87,8 +87,23 @@ def test_licences_in_other_layout_and_spelling(spark):
            license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: ("MIT", 0, ""), 2: ("MIT", 0, ""), 3: (None, 0, ""), 4: (None, 1, "MIT"),
                    5: (None, 3, "Apache-2.0,CC-BY-NC-4.0"), 6: (None, 0, "")}
-    anchor = re.compile(license_scan.ANCHOR)
-    assert all(anchor.search(t) for _, t in KNOWN)
+
+
+def test_known_texts_of_any_words_are_found(spark):
+    """The filter before the canonical form is made of the known texts themselves."""
+    known = spark.createDataFrame([("X", "do what you want with this program"), ("Y", "Sublicense & copyright owner"),
+                                   ("Z", "Favour the Licence"), ("E", "!!!")], "license string, text string")
+    rows = [(1, "Do what you want with this PROGRAM."), (2, "# do what you want\n# with this program\nend"), (3, "sub-licence and Copyright holder"),
+            (4, "x\nfavor the license\n"), (5, "program"), (6, "???"), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lambda texts: {r.doc_id: (r.text_license, r.notices) for r in license_scan.scan(docs, texts).collect()}
+    nothing = {i: (None, "") for i in range(1, 8)}
+    x = {1: ("X", "X"), 2: (None, "X")}  # the one line of 1 is a notice too
+    assert found(known) == nothing | x | {3: ("Y", "Y"), 4: (None, "Z")}
+    assert found(known.where("license = 'X'")) == nothing | x
+    assert found(known.limit(0)) == nothing
+    assert license_scan.anchors(["do what you want with this program"]) == "program"
+    assert license_scan.anchors(["sublicense and copyright holder"]) is None
 
 
 def test_passages_against_all_windows(spark):
@@ -182,6 +197,19 @@ def test_toxicity_edge_rows(spark):
     assert toxicity.score(empty_docs(spark), none).count() == 0
 
 
+def test_the_labelled_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, f"word{i} and more") for i in range(3000)] + [(i, f"some words {i}") for i in range(2, 30)] + [(1, None)],
+                                 "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)] + [(1, 1)] * 5, "doc_id long, toxic int")
+    assert len(toxicity.sample(docs, labels)) == 29
+    rows = [toxicity.sample(docs, labels, max_rows=n) for n in (2, 10)]
+    assert [len(r) for r in rows] == [2, 10] and set(rows[0]) <= set(rows[1])
+    sizes = [len(r.features) // 4 for r in rows[1]]
+    fewer = toxicity.sample(docs, labels, max_rows=10, max_features=sum(sizes) - 1)
+    assert len(fewer) == 9 and set(fewer) <= set(rows[1])
+    assert toxicity.sample(docs, labels, max_features=0) == []
+
+
 @pytest.mark.parametrize("name", ["op2_license_scan", "op3_line_dedup", "op7_minhash_dedup", "op10_voronoi_knn"])
 def test_oracles(spark, name):
     con = duckdb.connect()
