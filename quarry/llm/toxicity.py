@@ -10,7 +10,7 @@ so the score moves a text along one ordered scale.  The output is the expected
 severity, the sum of j * P(grade = j).
 
 The model is fitted on a bounded sample of labelled documents (``MAX_ROWS``,
-the smallest hashes of doc_id) by proximal gradient steps with an L1 penalty;
+the smallest hashes of doc_id, and ``MAX_FEATURES``) by proximal gradient steps with an L1 penalty;
 scoring covers every document.
 """
 
@@ -33,6 +33,8 @@ from quarry.llm.byte_bpe import small_batches
 
 #: Bound of the labelled sample the model is fitted on.
 MAX_ROWS = 8000
+#: Features of all sampled documents together (four bytes each on the driver).
+MAX_FEATURES = 20_000_000
 FEATURES = 1 << 20
 STEPS = 300
 #: L1 penalty on the mean loss.
@@ -137,8 +139,12 @@ def _proximal(row: np.ndarray, column: np.ndarray, ids: np.ndarray, grades: np.n
     return OrdinalModel({int(i): float(x) for i, x in zip(ids[kept], w[kept], strict=True)}, _thresholds(gaps))
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> list:
-    """(doc_id, toxic, features) of at most ``max_rows`` labelled documents, by doc_id hash."""
+def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> list:
+    """(doc_id, toxic, features) of at most ``max_rows`` labelled documents, by doc_id hash.
+
+    A repeated doc_id gives one row, of the text whose features are the greatest as bytes.
+    Documents beyond ``max_features`` features in all, in the order of the hash, are not sampled.
+    """
     known = tables.columns(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     chosen = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(max_rows)
@@ -151,8 +157,16 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> list
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())],
                                              ["doc_id", "toxic", "features"])
 
-    rows = small_batches(texts.select("doc_id", "toxic", "text"), run, "doc_id long, toxic int, features binary").collect()
-    return sorted(rows, key=lambda r: (r.doc_id, r.toxic, bytes(r.features)))
+    found = small_batches(texts.select("doc_id", "toxic", "text"), run, "doc_id long, toxic int, features binary")
+    rows = tables.keep(found.groupBy("doc_id", "toxic").agg(F.max("features").alias("features")), "labelled")
+    sizes = rows.select("doc_id", F.xxhash64("doc_id").alias("h"), (F.length("features") / 4).cast("long").alias("n")).collect()
+    sizes.sort(key=lambda r: (r.h, r.doc_id))
+    total = np.cumsum([r.n for r in sizes])
+    if len(sizes) and total[-1] > max_features:
+        last = sizes[int(np.searchsorted(total, max_features, side="right"))]  # the first that is too much
+        h = F.xxhash64("doc_id")
+        rows = rows.where((h < last.h) | ((h == last.h) & (F.col("doc_id") < last.doc_id)))
+    return sorted(rows.collect(), key=lambda r: r.doc_id)
 
 
 def severity_grades(toxic: np.ndarray, features: list[np.ndarray], levels: int = 3) -> np.ndarray:
