@@ -120,7 +120,7 @@ def scan(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     # a unit without text keeps documents without any licence in the result
     none = F.array(unit("line", F.lit(None).cast("string")))
     lines = F.transform(F.split("text", "\n"), lambda s: unit("line", s))
-    runs = F.transform(_runs(F.col("text"), shapes), lambda r: unit("run", r["unit"], r["from"], r["to"]))
+    runs = F.transform(_runs(F.col("text"), shapes), lambda r: unit("run", r["unit"], r["from"], r["to"])) if shapes else F.array()
     units = F.when(may_hold(F.col("text")), F.concat(none, F.array(unit("whole", F.col("text"))), lines, runs)).otherwise(none)
     numbered = tables.columns(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     rows = numbered.select("doc_id", "row", F.explode(units).alias("u")).select("doc_id", "row", "u.*")
