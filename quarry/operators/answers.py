@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from quarry.functions import text as tx
 from quarry.functions import trust as tr
 from quarry.functions import vectors as vx
+from quarry.operators.cells import LEAST_PAIRS, knn_join
 from quarry.operators.embed import embed
-from quarry.operators.knn import knn
 from quarry.sources.audit import append_audit, read_audit  # noqa: F401
 
 HIT_FIELDS = ("id", "title", "description", "agency", "api_url", "url")
@@ -25,16 +25,18 @@ HIT_FIELDS = ("id", "title", "description", "agency", "api_url", "url")
 
 def store_search(queries: DataFrame, collection: DataFrame, k: int, *,
                  qid: str = "qid", qvec: str = "qvec", exclude_self: bool = False,
-                 fields: tuple[str, ...] | None = None) -> DataFrame:
+                 fields: tuple[str, ...] | None = None, least_pairs: int = LEAST_PAIRS) -> DataFrame:
     """Nearest ``k`` by squared L2 with metadata and store score.
 
+    Beyond ``least_pairs`` pairs the search leaves out cells that cannot matter.
+
     Returns ``(qid, rank, id, distance, similarity_score, title, ...)``.
     The search itself sees ids and vectors only; the winners' metadata is joined
     to them afterwards (``fields`` narrows it; default: every hit field).
     """
     carry = [f for f in (fields if fields is not None else HIT_FIELDS) if f != "id"]
-    top = knn(queries, collection, k, query_id=qid, query_vec=qvec, id_col="id",
-              vec_col="embedding", metric="l2sq", exclude_self=exclude_self)
+    top = knn_join(queries, collection, k, query_id=qid, query_vec=qvec, id_col="id",
+                   vec_col="embedding", metric="l2sq", exclude_self=exclude_self, least_pairs=least_pairs)
     named = top.join(collection.select("id", *carry), "id") if carry else top
     return named.withColumn("similarity_score", vx.store_score("distance"))
 
@@ -94,7 +96,7 @@ def answer_queries(queries: DataFrame, collection: DataFrame, *, k: int = 4,
 def similar_by_id(ids: DataFrame, collection: DataFrame, *, k: int = 3, id_col: str = "id",
                   reembed: bool = False, embedder: Callable | None = None,
                   generator: Callable[[list[str]], list[str]] | None = None,
-                  deterministic_audit: bool = False) -> DataFrame:
+                  deterministic_audit: bool = False, least_pairs: int = LEAST_PAIRS) -> DataFrame:
     """The ``/similar/{id}`` pipeline for every id in ``ids``.
 
     The query vector is the stored one (default) or, with ``reembed``, the
@@ -107,7 +109,7 @@ def similar_by_id(ids: DataFrame, collection: DataFrame, *, k: int = 3, id_col:
         qv = embed(known.select("qid", "document"), "document", "qvec", embedder=embedder)
     else:
         qv = known.select("qid", F.col("embedding").alias("qvec"))
-    hits = _hits_by_query(store_search(qv, collection, k, exclude_self=True))
+    hits = _hits_by_query(store_search(qv, collection, k, exclude_self=True, least_pairs=least_pairs))
     found = known.select("qid", F.lit(True).alias("_found"))
     joined = want.join(found, "qid", "left").join(hits, "qid", "left") \
         .withColumn("hits", F.coalesce("hits", F.array().cast(hits.schema["hits"].dataType))) \
