@@ -122,6 +122,19 @@ def head_tail(vectors: DataFrame, id_col: str = "id", vec_col: str = "embedding"
                                    F.col("value").cast("double").alias("value"))
 
 
+def show_vectors(vectors: DataFrame, ids: DataFrame, id_col: str = "id", vec_col: str = "embedding", n: int = 10) -> DataFrame:
+    """W8 for wanted ids: dimension, norm, first and last ``n`` values; an unknown id gets
+    the first ``n`` ids of the vectors instead (``found`` false, ``sample_ids``)."""
+    known = vectors.select(F.col(id_col).alias("id"), F.size(vec_col).cast("bigint").alias("dim"), vx.norm(vec_col).alias("norm"),
+                           vx.head(vec_col, n).alias("head"), vx.tail(vec_col, n).alias("tail"), F.lit(True).alias("found"))
+    some = vectors.select(F.col(id_col).alias("id")).distinct().orderBy("id").limit(n) \
+        .agg(F.sort_array(F.collect_list("id")).alias("sample_ids"))
+    shown = ids.select(F.col(id_col).alias("id")).distinct().join(known, "id", "left") \
+        .withColumn("found", F.coalesce("found", F.lit(False)))
+    # one row of at most n ids
+    return shown.join(F.broadcast(some), ~F.col("found"), "left")
+
+
 def with_row_index(df: DataFrame, order_cols: list[str], name: str = "row_index") -> DataFrame:
     """Consecutive 0-based index in ``order_cols`` order without a one-task window.
 

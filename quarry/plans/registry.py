@@ -26,6 +26,7 @@ from quarry.operators import crawl as cr
 from quarry.operators import pages as pg
 from quarry.operators.answers import (answer_queries, append_audit, audit_lookup, audit_records, read_audit,
                                       similar_by_id, store_search)
+from quarry.operators.cells import knn_join
 from quarry.operators.embed import embed, hash_embed_sql
 from quarry.operators.knn import knn
 from quarry.plans import sqltext as S
@@ -204,7 +205,10 @@ SELECT qid, status, CAST(cnt AS BIGINT) AS count, hit_ids, context, answer,
 FROM f""")
 def t9_similar_answers(spark, sf):
     ids = read_table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
-    out = similar_by_id(ids, collection_df(spark, sf), k=3, deterministic_audit=True)
+    return _t9_rows(similar_by_id(ids, collection_df(spark, sf), k=3, deterministic_audit=True))
+
+
+def _t9_rows(out):
     return out.select(
         "qid", "status", "count",
         F.when(F.col("count") > 0, F.array_join(F.transform("hits", lambda h: h["id"]), ",")).alias("hit_ids"),
@@ -212,6 +216,49 @@ def t9_similar_answers(spark, sf):
         "answer", F.col("trust.score").alias("trust_score"), "audit_id")
 
 
+@query("r3_pruned_by_id", ORACLES["r3_similar_by_id"])
+def r3_pruned_by_id(spark, sf):
+    """R3 by the pruned join at every size: cells that cannot hold a neighbour are not met."""
+    e = _emb(spark, sf)
+    top = knn_join(e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec")), e, 5,
+                   id_col="vec_id", exclude_self=True, least_pairs=0)
+    return top.select("qid", F.col("rank").cast("bigint").alias("rank"), "id", F.round("score", 6).alias("score"))
+
+
+@query("r5_pruned_in_store", ORACLES["r5_similar_in_store"])
+def r5_pruned_in_store(spark, sf):
+    """R5 by the pruned join at every size."""
+    c = collection_df(spark, sf)
+    hits = store_search(c.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec")), c, 3,
+                        exclude_self=True, fields=("title",), least_pairs=0)
+    return hits.select("qid", F.col("rank").cast("bigint").alias("rank"), "id", "title",
+                       F.round("similarity_score", 6).alias("similarity_score"))
+
+
+@query("t9_pruned_answers", ORACLES["t9_similar_answers"])
+def t9_pruned_answers(spark, sf):
+    """T9 by the pruned join at every size."""
+    ids = read_table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    return _t9_rows(similar_by_id(ids, collection_df(spark, sf), k=3, deterministic_audit=True, least_pairs=0))
+
+
+@query("r5_reembedded_documents", f"""
+WITH c AS {V.COLLECTION_SQL},
+v AS {hash_embed_sql('document', 'id', V.COLLECTION_SQL + ' _d')},
+p AS (SELECT v.k AS qid, c.id,
+             list_sum(list_transform(list_zip(v.vec, c.embedding), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d
+      FROM v JOIN c ON v.k <> c.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, id) AS rn FROM p)
+SELECT qid, string_agg(id, ',' ORDER BY rn) AS hit_ids, round(max({_STORE_SCORE_SQL}), 6) AS top_similarity
+FROM r WHERE rn <= 3 GROUP BY qid""")
+def r5_reembedded_documents(spark, sf):
+    """Similar by id with the stored document text embedded again as the query vector."""
+    c = collection_df(spark, sf)
+    out = similar_by_id(c.select("id"), c, k=3, reembed=True, deterministic_audit=True)
+    return out.select("qid", F.array_join(F.transform("hits", lambda h: h["id"]), ",").alias("hit_ids"),
+                      F.round(F.array_max(F.transform("hits", lambda h: h["similarity_score"])), 6).alias("top_similarity"))
+
+
 @query("i1_vector_info", """
 SELECT count(*) AS total_embeddings, CAST(arg_min(len(embedding), vec_id) AS BIGINT) AS embedding_dimension,
        (SELECT string_agg(CAST(vec_id AS VARCHAR), ',' ORDER BY vec_id)
@@ -256,6 +303,24 @@ def w8_head_tail(spark, sf):
                     F.round("value", 6).alias("value"))
 
 
+@query("w8_show_vectors", """
+WITH s AS (SELECT list(vec_id ORDER BY vec_id) AS sample_ids FROM (SELECT vec_id FROM embeddings ORDER BY vec_id LIMIT 10)),
+ids AS (SELECT DISTINCT doc_id * 2 AS id FROM documents)
+SELECT ids.id, e.vec_id IS NOT NULL AS found, CAST(len(e.embedding) AS BIGINT) AS dim,
+       round(sqrt(list_sum(list_transform(e.embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm,
+       round(list_sum(list_transform(e.embedding[1:10], lambda x: x::DOUBLE)), 6) AS head_sum,
+       round(list_sum(list_transform(e.embedding[greatest(1, len(e.embedding) - 9):], lambda x: x::DOUBLE)), 6) AS tail_sum,
+       CASE WHEN e.vec_id IS NULL THEN array_to_string(s.sample_ids, ',') END AS sample_ids
+FROM ids CROSS JOIN s LEFT JOIN embeddings e ON e.vec_id = ids.id""")
+def w8_show_vectors(spark, sf):
+    """Wanted ids, of which half are unknown: those get the first ten ids instead."""
+    ids = read_table(spark, sf, "documents").select((F.col("doc_id") * 2).alias("vec_id"))
+    v = col.show_vectors(_emb(spark, sf), ids, id_col="vec_id")
+    total = lambda a: F.round(F.aggregate(a, F.lit(0.0), lambda x, y: x + y.cast("double")), 6)
+    return v.select("id", "found", "dim", F.round("norm", 6).alias("norm"), total("head").alias("head_sum"),
+                    total("tail").alias("tail_sum"), F.array_join(F.col("sample_ids").cast("array<string>"), ",").alias("sample_ids"))
+
+
 @query("w9_batches", """
 WITH n AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS idx FROM embeddings)
 SELECT CAST(floor(idx / 128) AS BIGINT) AS batch_id, count(*) AS n, min(vec_id) AS first_id, max(vec_id) AS last_id
@@ -1098,6 +1163,24 @@ def c13_prompts(spark, sf):
     return t.select("qid", tr.prompt("query", "hits").alias("prompt"))
 
 
+def _made_up_answers(prompts):
+    """A generator that reads its prompts: it answers with the first listed dataset, and not at all if the prompt's length is odd."""
+    return [f" Best match 12% of {p.split(chr(10) + '1. ')[1].split(chr(10))[0]} " if len(p) % 2 == 0 else None for p in prompts]
+
+
+@query("u2_generated_answers", ORACLES["c13_prompts"].split("\nSELECT qid, ")[0] + f"""
+, p2 AS (SELECT qid, status_answer, {_sql_lit(_PRE)} || query || {_sql_lit(_MID)} || context || {_sql_lit(_POST)} AS prompt, context
+         FROM (SELECT *, answer AS status_answer FROM f) WHERE cnt > 0)
+SELECT qid, CASE WHEN len(prompt) % 2 = 0 THEN regexp_replace('Best match 12% of ' || trim(substr(string_split(context, chr(10))[1], 4)),
+                                                              '{S.MASK}', '{S.MASKED}', 'g')
+                 ELSE status_answer END AS answer FROM p2""")
+def u2_generated_answers(spark, sf):
+    """Answers by a generator over the prompts, masked; the fallback text where it gives none."""
+    out = answer_queries(V.user_queries(spark, sf), collection_df(spark, sf), k=4, generator=_made_up_answers,
+                         deterministic_audit=True)
+    return out.where(F.col("status") == "ok").select("qid", "answer")
+
+
 @query("r7_matrix_blocks", """
 SELECT CAST(len(embedding) AS BIGINT) AS dims, count(*) AS n_rows, sum(vec_id)::BIGINT AS id_sum,
        round(sum(list_sum(list_transform(embedding, lambda x: x::DOUBLE))), 4) AS total,
@@ -1142,6 +1225,37 @@ def z2_dedupe_stream(spark, sf):
     return spark.read.parquet(path).select("user_id", "event_type")
 
 
+_DELAY_HOURS = 72
+
+@query("z2_expiring_keys", f"""
+WITH RECURSIVE e AS (SELECT DISTINCT user_id, event_type, ts::TIMESTAMP AS ts FROM events WHERE ts IS NOT NULL),
+kept(user_id, event_type, ts) AS (
+    SELECT user_id, event_type, min(ts) FROM e GROUP BY 1, 2
+    UNION ALL
+    SELECT k.user_id, k.event_type, (SELECT min(e.ts) FROM e WHERE e.user_id = k.user_id AND e.event_type = k.event_type
+                                     AND e.ts > k.ts + INTERVAL {_DELAY_HOURS} HOUR) AS ts
+    FROM kept k WHERE k.ts IS NOT NULL)
+SELECT user_id, event_type, epoch_us(ts) AS at_us FROM kept WHERE ts IS NOT NULL""")
+def z2_expiring_keys(spark, sf):
+    """Events in time order over four micro-batches; a (user, type) passes again once the delay is over."""
+    path = _scratch(spark, "events")
+    e = read_table(spark, sf, "events").select("user_id", "event_type", "ts")
+    for part, rows in enumerate(_time_parts(e, 4)):  # a file group per micro-batch, in time order
+        rows.coalesce(1).write.parquet(f"{path}/part={part}")
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+    out = zs.run_available_now(zs.expiring_dedupe(stream, ["user_id", "event_type"], "ts", f"{_DELAY_HOURS} hours", "0 seconds"))
+    return spark.read.parquet(out).select("user_id", "event_type", F.unix_micros("ts").alias("at_us"))
+
+
+def _time_parts(events, n):
+    """The events cut into ``n`` spans of time of equal length."""
+    at = F.col("ts").cast("timestamp")
+    lo, hi = events.agg(F.min(F.unix_micros(at)), F.max(F.unix_micros(at))).first()
+    step = ((hi or 0) - (lo or 0)) // n + 1
+    span = F.floor((F.unix_micros(at) - (lo or 0)) / step)
+    return [events.where(span == i) for i in range(n)]
+
+
 @query("z3_answer_stream", _T8_CTE + """
 SELECT substr(sha1(CAST(qid AS VARCHAR)), 1, 8) AS audit_id, query, answer, CAST(cnt AS BIGINT) AS n_hits FROM f""")
 def z3_answer_stream(spark, sf):
@@ -1343,6 +1457,41 @@ def k2_file_hits_csv(spark, sf):
                                                  for c in ("anchor_text", "page_tags", "content_length")])
 
 
+_HIT_TIME = "2024-05-06T07:08:09Z"
+
+@query("k2_hit_file_rules", f"""
+WITH h AS (SELECT 'http://made.example.org/f/' || page_id || '.csv' AS file_url, '.csv' AS file_ext,
+    body_link AS page_url, title AS page_title, description AS page_description, tags,
+    'Données, "' || p_brand || '"' AS anchor_text, CASE WHEN page_id % 2 = 0 THEN 'text/csv' END AS content_type,
+    CASE WHEN page_id % 3 = 0 THEN page_id * 100 END AS content_length, '{_HIT_TIME}' AS discovered_at, data_collected_date
+  FROM {V.MADE_SQL})
+SELECT 'csv' AS kind, file_url, file_ext, page_url, page_title, page_description, array_to_string(tags, '; ') AS page_tags, anchor_text,
+       coalesce(content_type, '') AS content_type, coalesce(content_length::VARCHAR, '') AS content_length, discovered_at,
+       coalesce(data_collected_date, '') AS data_collected_date FROM h
+UNION ALL
+SELECT 'jsonl', file_url, file_ext, page_url, page_title, page_description, len(tags) || ':' || array_to_string(tags, '|'), anchor_text,
+       content_type, content_length::VARCHAR, discovered_at, data_collected_date FROM h""")
+def k2_hit_file_rules(spark, sf):
+    """K2: file hits of made pages, all eleven columns, written and read back from the CSV and from the JSON lines."""
+    f = pg.page_date(_made_fields(spark, sf), F3_CURRENT_YEAR)
+    brand = read_table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), "p_brand")
+    k = F.col("page_id")
+    hits = f.join(brand, "page_id").select(
+        F.format_string("http://made.example.org/f/%d.csv", k).alias("file_url"), F.lit(".csv").alias("file_ext"),
+        F.format_string("http://made.example.org/p/%d", k).alias("page_url"), F.col("title").alias("page_title"),
+        F.col("description").alias("page_description"), F.col("tags").alias("page_tags"),
+        F.concat(F.lit('Données, "'), "p_brand", F.lit('"')).alias("anchor_text"), F.when(k % 2 == 0, "text/csv").alias("content_type"),
+        F.when(k % 3 == 0, k * 100).alias("content_length"), F.lit(_HIT_TIME).alias("discovered_at"), "data_collected_date")
+    prefix = _scratch(spark, "hit-files")
+    sinks.write_file_hits(hits, prefix)
+    names = [c for c in sinks.FILE_HIT_COLUMNS if c != "page_tags"]
+    csv = spark.read.options(**sinks.CSV_OPTIONS).option("multiLine", "true").csv(prefix + "_csv")
+    lines = spark.read.schema(hits.schema).json(prefix + "_jsonl")
+    tags = F.concat(F.size("page_tags").cast("string"), F.lit(":"), F.array_join("page_tags", "|"))
+    return csv.select(F.lit("csv").alias("kind"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in [*names, "page_tags"]]) \
+        .unionByName(lines.select(F.lit("jsonl").alias("kind"), *[F.col(c).cast("string").alias(c) for c in names], tags.alias("page_tags")))
+
+
 @query("k3_chunks_csv")
 def k3_chunks_csv(spark, sf):
     """Rows only: page chunk rows written as CSV and read back (equals ``l2_page_chunks``)."""

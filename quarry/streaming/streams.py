@@ -5,6 +5,8 @@
   (``dropDuplicatesWithinWatermark``).  The reference's ``visited`` set never
   expires; with a watermark a repeat arriving later than the delay passes.
   ``dedupe_stream(..., delay=None)`` keeps all keys forever (exact, state grows).
+* ``expiring_dedupe`` -- the same by event time alone, whatever the micro-batches
+  of a stream in time order: one row per key and delay, keys expire.
 * ``answer_stream`` -- a query stream answered against a static collection in
   ``foreachBatch``; each batch's answers and audit records are written to a
   path keyed by batch id, so a replayed batch overwrites itself (idempotent).
@@ -12,10 +14,14 @@
 
 from __future__ import annotations
 
+import bisect
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from quarry.functions import urls as ux
 from quarry.operators.answers import answer_queries, audit_records
@@ -41,6 +47,43 @@ def dedupe_stream(df: DataFrame, key_cols: list[str], ts_col: str, delay: str |
     return df.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(key_cols)
 
 
+def expiring_dedupe(df: DataFrame, key_cols: list[str], ts_col: str, delay: str, lateness: str) -> DataFrame:
+    """A row passes if no row of its key that passed lies within ``delay`` of it.
+
+    Returns ``key_cols`` and ``ts_col`` (timestamp).  A key's state is the times that
+    passed and that a row in time can still meet; it goes when the watermark (the
+    latest time less ``lateness``) is ``delay`` beyond the last of them, so the state
+    holds recent keys only.  Rows later than the watermark and rows without a time are
+    dropped.  Rows of one micro-batch are taken in time order.
+    """
+    df = df.select(*key_cols, F.col(ts_col).cast("timestamp").alias(ts_col)).where(F.col(ts_col).isNotNull())
+    wait = pd.Timedelta(delay).value // 1000
+    out = T.StructType([df.schema[c] for c in key_cols] + [T.StructField(ts_col, T.TimestampType())])
+
+    def passed(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        kept = list(state.get[0]) if state.exists else []
+        mark = state.getCurrentWatermarkMs() * 1000
+        times = sorted(t for pdf in batches for t in pdf[ts_col].astype("datetime64[us]").astype("int64").tolist())
+        new = []
+        for t in times:
+            at = bisect.bisect_left(kept, t - wait)
+            if at == len(kept) or kept[at] > t + wait:
+                bisect.insort(kept, t)
+                new.append(t)
+        kept = [t for t in kept if t + wait >= mark] or kept[-1:]
+        state.update((kept,))
+        state.setTimeoutTimestamp(max((kept[-1] + wait) // 1000, mark // 1000) + 1)
+        if new:
+            yield pd.DataFrame({c: [v] * len(new) for c, v in zip(key_cols, key, strict=True)}
+                               | {ts_col: pd.to_datetime(new, unit="us")})
+
+    return df.withWatermark(ts_col, lateness).groupBy(*key_cols).applyInPandasWithState(
+        passed, out, "kept array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def run_available_now(df: DataFrame, root: str | None = None, fmt: str = "parquet",
                       output_mode: str = "append") -> str:
     """Run a streaming frame to completion over what is available; returns the sink path."""

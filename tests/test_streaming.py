@@ -49,3 +49,30 @@ def test_dedupe_stream_on_canonical_urls(spark, tmp_dir):
     q.awaitTermination()
     got = sorted(r["url"] for r in spark.sql("SELECT url FROM z2_urls").collect())
     assert got == ["http://h.gov.au/a", "http://h.gov.au/b"]
+
+
+def test_expiring_dedupe_forgets_keys_and_drops_late_rows(spark, tmp_dir):
+    import datetime as dt
+
+    day = lambda d, h=0: dt.datetime(2024, 1, 1 + d, h)
+    batches = [
+        [("a", day(0)), ("a", day(0, 5)), ("b", day(0, 1))],
+        [("a", day(0, 23)), ("b", day(2)), ("c", day(2))],  # a: within a day of the kept row; b: after it
+        [("a", day(2, 1)), ("d", day(6)), (None, day(6)), (None, day(6, 1))],
+        [("b", day(1)), ("d", day(6, 23)), ("e", day(6, 23))],  # b: later than the watermark
+        [("d", day(7, 1)), ("f", day(9)), ("f", None)],
+    ]
+    src = os.path.join(tmp_dir, "late")
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "key string, ts timestamp").coalesce(1).write.parquet(f"{src}/part={i}")
+        for name in os.listdir(f"{src}/part={i}"):  # files are taken by age
+            os.utime(f"{src}/part={i}/{name}", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = spark.readStream.schema("key string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    q = zs.expiring_dedupe(stream, ["key"], "ts", "1 day", "0 seconds").writeStream.format("memory").queryName("z2_late") \
+        .outputMode("append").trigger(availableNow=True).option("checkpointLocation", os.path.join(tmp_dir, "z2l")).start()
+    q.awaitTermination()
+    got = sorted(((r["key"] or ""), r["ts"]) for r in spark.sql("SELECT * FROM z2_late").collect())
+    assert got == [("", day(6)), ("a", day(0)), ("a", day(2, 1)), ("b", day(0, 1)), ("b", day(2)), ("c", day(2)),
+                   ("d", day(6)), ("d", day(7, 1)), ("e", day(6, 23)), ("f", day(9))]
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(held) <= 4 and held[-1] == 1  # a, b and c are gone when d comes; f alone is left
