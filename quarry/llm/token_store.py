@@ -17,10 +17,11 @@ import functools
 import os
 import unicodedata
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ ORC_OPTIONS = {
 }
 #: Mark of a word's last token in tokenizer files, and words encoded in one call.
 WORD_END, TOGETHER = "</w>", 200
+#: A mark at the end of a part, after a letter that stays one letter: a token of its own, as if a blank came before.
+LAST_MARK = "([A-Za-z])([" + "".join(MARKS) + "])( |$)"
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, part int, part_start long"
 
 
@@ -80,13 +83,17 @@ class Encoder:
         others = [p for p in parts if p not in out]
         return out | dict(zip(others, self._each(others), strict=True))
 
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
+    def _lookup(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, from those met before or the library."""
         memo = self.memo
         if len(memo) > MEMO_PIECES:
             memo.clear()
         memo[""] = b""
-        new = {p for t in parts for p in t if p not in memo}
+        ids = [*map(memo.get, parts)]
+        missed = [i for i, found in enumerate(ids) if found is None]
+        if not missed:
+            return ids
+        new = {parts[i] for i in missed}
         joined = [p for p in new if p[-1] in MARKS and _letters(p[:-1])]  # a word, then a mark of its own
         new.difference_update(joined)
         new.update(w for p in joined if (w := p[:-1]) not in memo)
@@ -94,10 +101,28 @@ class Encoder:
         found = self._ids(fresh)
         once = {p: (found[p[:-1]] if p[:-1] in found else memo[p[:-1]]) + self.marks[p[-1]] for p in joined}
         once |= {p: found.pop(p) for p in fresh if len(p) > MEMO_CHARS}
+        for i in missed:
+            p = parts[i]
+            ids[i] = once[p] if p in once else found[p]
         memo |= found
-        if once:
-            return [b"".join([memo[p] if p in memo else once[p] for p in t]) for t in parts]
-        return [b"".join([memo[p] for p in t]) for t in parts]
+        return ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids per text); a null text has none.
+
+        Marks after a letter become parts, so that a word is one part with and without
+        them.  The parts of all texts are numbered as they are distinct, so each distinct
+        part is looked up once; the ids are then gathered by these numbers."""
+        spaced = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        lists = pc.split_pattern(pc.replace_substring_regex(spaced, LAST_MARK, r"\1 \2\3"), " ")
+        parts = lists.flatten().dictionary_encode()
+        found = self._lookup(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4
+        each = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends])),
+                                             pa.array(np.frombuffer(b"".join(found), dtype="<u4")))
+        taken = each.take(parts.indices)
+        ends = taken.offsets.to_numpy()[np.cumsum(lists.value_lengths().to_numpy())]  # a text has one part at least
+        return taken.flatten().to_numpy(), np.diff(ends, prepend=0)
 
 
 @functools.lru_cache(maxsize=2)
@@ -114,15 +139,16 @@ def write_ids(docs: DataFrame, tokenizer_path: str, out: str, end_id: int) -> No
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, part, start = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            coded = [b + end for b in e.encode([t or "" for t in batch.column(1).to_pylist()])]
-            sizes = np.array([len(b) // 4 for b in coded], dtype=np.int64)
+            if not batch.num_rows:
+                continue
+            values, sizes = e.encode(batch.column(1))
+            values = np.insert(values, np.cumsum(sizes), end_id).astype("<i4")
+            sizes = sizes + 1
             ends = np.cumsum(sizes)
-            values = np.frombuffer(b"".join(coded), dtype="<i4")
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), ids, pa.array(np.full(len(coded), part, np.int32)),
+                [batch.column(0), pa.array(sizes), ids, pa.array(np.full(len(sizes), part, np.int32)),
                  pa.array(start + ends - sizes)], ["doc_id", "n_tokens", "ids", "part", "part_start"])
             start += int(ends[-1])
 
