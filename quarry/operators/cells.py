@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.knn import DEFAULT_BLOCK_BYTES, arrow_type, block_solver, knn, matrix, prepared, ranked
+from quarry.operators.knn import DEFAULT_BLOCK_BYTES, arrow_type, block_solver, blocked, matrix, prepared, ranked
 from quarry.session import materialize
 
 #: Most bytes of pivots (as doubles); their number grows as the root of the corpus below that.
@@ -148,20 +148,22 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *,
     if metric not in ("cosine", "l2sq"):
         raise ValueError(metric)
     spark = queries.sparkSession
-    q = materialize(queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).where(F.size(query_vec) > 0))
-    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where(F.size(vec_col) > 0)
-    span = [F.count("*").alias("n"), F.min(F.size("v")).alias("lo"), F.max(F.size("v")).alias("hi")]
-    nq, q_lo, q_hi = q.select(F.col("qvec").alias("v")).agg(*span).first()
-    nc, c_lo, c_hi = c.select(F.col("vec").alias("v")).agg(*span).first()
+    counted: list[int] = []
+    q = materialize(queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")).where(F.size("qvec") > 0),
+                    counter=counted)
+    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where(F.size("vec") > 0)
+    nq, (q_lo, q_hi) = counted[0], q.agg(F.min(F.size("qvec")), F.max(F.size("qvec"))).first()
+    nc, c_lo, c_hi = c.agg(F.count("*"), F.min(F.size("vec")), F.max(F.size("vec"))).first()
+    every_block = lambda: blocked(q, c, k, nq, nc, q_hi or 0, metric, exclude_self, block_bytes)
     if nq * nc <= least_pairs or not nq or not nc or len({q_lo, q_hi, c_lo, c_hi}) > 1:
-        return knn(q, c, k, vec_col="vec", metric=metric, exclude_self=exclude_self, block_bytes=block_bytes)
+        return every_block()
     most = max(1, PIVOT_BYTES // (8 * c_lo))
     wanted = min(n_pivots or math.isqrt(nc), most)
     sample = c.select("vec").orderBy(F.xxhash64("id"), F.xxhash64("vec")).limit(wanted).collect()
     pivots = np.unique(prepared(np.array([r.vec for r in sample], dtype=np.float64), metric), axis=0)
     pivots = pivots[np.isfinite(pivots).all(axis=1)]
     if not len(pivots):
-        return knn(q, c, k, vec_col="vec", metric=metric, exclude_self=exclude_self, block_bytes=block_bytes)
+        return every_block()
 
     id_type, qid_type = c.schema["id"].dataType, q.schema["qid"].dataType
     placed = materialize(c.mapInArrow(_assign(pivots, metric), T.StructType(

@@ -129,16 +129,21 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, *,
     """
     if metric not in ("cosine", "dot", "l2sq"):
         raise ValueError(metric)
-    spark = queries.sparkSession
     counted: list[int] = []
     # written once: an expensive producer (an embedder) runs a single time
     q = materialize(queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"))
                     .where(F.size("qvec") > 0), counter=counted)
     c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where(F.size("vec") > 0)
     dim = int(q.agg(F.max(F.size("qvec"))).first()[0] or 0)
-    n_c = c.count() if counted[0] else 0
+    return blocked(q, c, k, counted[0], c.count() if counted[0] else 0, dim, metric, exclude_self, block_bytes)
+
+
+def blocked(q: DataFrame, c: DataFrame, k: int, n_q: int, n_c: int, dim: int, metric: str, exclude_self: bool,
+            block_bytes: int) -> DataFrame:
+    """``knn`` of ``n_q`` written queries (qid, qvec) and ``n_c`` rows (id, vec) of at most ``dim`` dimensions."""
+    spark = q.sparkSession
     row_bytes = 8 * max(dim, 1)
-    q_blocks = max(1, math.ceil(counted[0] * row_bytes / block_bytes))
+    q_blocks = max(1, math.ceil(n_q * row_bytes / block_bytes))
     c_blocks = max(1, math.ceil(n_c * row_bytes / block_bytes),
                    min(spark.sparkContext.defaultParallelism, math.ceil(n_c / _LEAST_ROWS)))
     schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("id", c.schema["id"].dataType),
