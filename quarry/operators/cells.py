@@ -141,7 +141,9 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *,
     """The rows of ``quarry.operators.knn.knn`` with cells that cannot matter left out.
 
     ``metric`` is cosine or l2sq.  Up to ``least_pairs`` pairs, and for vectors of
-    several dimensions, the search is that of ``knn``.  ``report`` receives the number
+    several dimensions, the search is that of ``knn``; also if the first round shows
+    that meeting the open cells moves more vectors than meeting every block (vectors
+    without clusters).  ``least_pairs=0`` meets cells in any case.  ``report`` receives the number
     of ``cells``, the ``pairs`` compared of ``all_pairs``, and ``copies``, the
     cells met per query.
     """
@@ -184,17 +186,24 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *,
     solve = block_solver(k, metric, exclude_self, arrow)
     routed = T.StructType([*q.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
 
+    def route(rows: DataFrame) -> DataFrame:
+        return materialize(rows.mapInArrow(_route(pivots, summary, metric, k), routed))
+
     def met(rows: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-        to = materialize(rows.mapInArrow(_route(pivots, summary, metric, k), routed)
-                         .select("qid", "qvec", F.explode("cells").alias("cell")))
+        to = rows.select("qid", "qvec", F.explode("cells").alias("cell"))
         return _meet(to, placed.select("id", "vec", "cell"), sizes, 8 * c_lo, block_bytes, solve, schema)
 
-    found, asked = met(q.withColumn("bound", F.lit(None).cast("double")))
+    found, asked = met(route(q.withColumn("bound", F.lit(None).cast("double"))))
     first = materialize(ranked(found, k))
     reach = F.sqrt(-F.min("rv")) if metric == "l2sq" else F.sqrt(F.greatest(2 - 2 * F.min("rv"), F.lit(0.0)))
     # with fewer than k rows in the first round a query has met every cell already
     bounds = first.groupBy("qid").agg(F.when(F.count("*") >= k, F.nanvl(reach, F.lit(math.inf))).otherwise(F.lit(math.inf)).alias("bound"))
-    rest, asked_again = met(q.join(bounds, "qid", "left").select("qid", "qvec", F.coalesce("bound", F.lit(math.inf)).alias("bound")))
+    left_open = route(q.join(bounds, "qid", "left").select("qid", "qvec", F.coalesce("bound", F.lit(math.inf)).alias("bound")))
+    per_block = max(1, block_bytes // (8 * c_lo))
+    in_blocks = nq * math.ceil(nc / per_block) + nc * math.ceil(nq / per_block)
+    if least_pairs and left_open.agg(F.sum(F.size("cells"))).first()[0] > in_blocks:
+        return every_block()
+    rest, asked_again = met(left_open)
     if report is not None:
         pairs = sum(n * sizes[cell] for a in (asked, asked_again) for cell, n in a.items())
         report |= {"cells": len(sizes), "pairs": pairs, "all_pairs": nq * nc,

@@ -46,6 +46,16 @@ def test_ties_zero_vectors_repeated_ids_and_a_hot_cell(spark, metric):
             assert _rows(knn_join(qdf, cdf, 7, metric=metric, exclude_self=self_out, n_pivots=15, least_pairs=0, block_bytes=size)) == want
 
 
+def test_vectors_without_clusters_are_searched_block_by_block(spark):
+    rng = np.random.default_rng(5)
+    flat, near = [(i, rng.normal(size=24).tolist()) for i in range(300)], _clusters(300, 8, 6)
+    for rows, size, used in ((flat, 1 << 20, False), (near, 640, True)):
+        q, cdf = _frames(spark, rows, rows)
+        report = {}
+        got = _rows(knn_join(q, cdf, 3, exclude_self=True, least_pairs=1, block_bytes=size, n_pivots=30, report=report))
+        assert got == _rows(knn(q, cdf, 3, exclude_self=True)) and bool(report) == used
+
+
 def test_fewer_rows_than_k_and_odd_inputs(spark):
     c = _clusters(6, 4, 2)
     qdf, cdf = _frames(spark, c, c)
