@@ -126,9 +126,12 @@ def answer_stream(queries: DataFrame, collection: DataFrame, root: str | None =
 
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files: int | None = None) -> DataFrame:
-    """A driver table as a file stream (the table's parquet file is the source)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    """A driver table as a file stream (the table's parquet file, or the files of its folder, are the source)."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)

@@ -76,3 +76,16 @@ def test_expiring_dedupe_forgets_keys_and_drops_late_rows(spark, tmp_dir):
                    ("d", day(6)), ("d", day(7, 1)), ("e", day(6, 23)), ("f", day(9))]
     held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
     assert held == [2, 3, 5, 3, 4, 1]  # seven keys: a, b and c go in the fourth batch; at the end f alone is left
+
+
+def test_table_stream_reads_a_file_and_a_folder_of_files(spark, tmp_dir):
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "id long, text string")
+    folder, single = os.path.join(tmp_dir, "folder"), os.path.join(tmp_dir, "single")
+    rows.repartition(3).write.parquet(os.path.join(folder, "t.parquet"))
+    rows.coalesce(1).write.parquet(os.path.join(tmp_dir, "one"))
+    os.makedirs(single)
+    part = next(f for f in os.listdir(os.path.join(tmp_dir, "one")) if f.endswith(".parquet"))
+    os.link(os.path.join(tmp_dir, "one", part), os.path.join(single, "t.parquet"))
+    for at in (folder, single):
+        out = spark.read.parquet(zs.run_available_now(zs.table_stream(spark, at, "t"), os.path.join(at, "out")))
+        assert sorted(map(tuple, out.collect())) == [(i, f"text {i}") for i in range(20)]
