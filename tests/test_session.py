@@ -39,3 +39,14 @@ def test_bucketed_table_prunes_partitions(spark):
     assert "PartitionFilters: [" in plan and "_b" in plan.split("PartitionFilters: [")[1].split("]")[0]
     got = pruned.join(frontier.withColumnRenamed("url", "src"), ["_b", "src"]).count()
     assert got == 20                                         # every edge of u3 and u7, nothing else read
+
+
+def test_empty_table_is_counted(spark):
+    """A plan that Spark finds to be empty has no node left that could be observed."""
+    from quarry.session import materialize
+
+    counted = []
+    for rows in (spark.range(3).where(F.lit(False)), spark.range(3)):
+        table = materialize(rows, "id", 4, counter=counted)
+        assert table.count() == counted[-1]
+    assert counted == [0, 3]
