@@ -7,7 +7,10 @@ can; from there on the model's scores of held-out texts are the higher ones.
 
 Learning aggregates the whole corpus: word counts (one row per distinct word,
 shuffled), the lexicon of frequent words, context counts as sums of each task's
-tables, and the gated weights from statistics summed per gate.  What reaches
+tables, and the gated weights from statistics summed per gate.  Every learning
+text is counted and fits the weights: the texts of either half meet the context
+counts of the other half, so none is predicted from its own counts; scoring
+uses the counts of both.  What reaches
 the driver is bounded: at most ``LEXICON`` words, 256 byte counts, tables of
 ``CONTEXTS * 2 ** MAX_BITS`` bytes, and GATES rows.  Scoring is one map over
 all documents; words outside the lexicon get their counts by a join.
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,7 @@ from quarry.llm import tables, texthash
 from quarry.llm.period_runs import split_words
 
 FOLDS, HELD_OUT = 7, 2  # crc32(doc_id) % 7 = 2: never learned from
-FITTING = 6  # crc32(doc_id) % 49 = 6: learning texts that fit the weights, the others are counted
+HALVES = 2  # of the learning texts, by crc32(doc_id) % 49 / 7: weights are fitted on each with the counts of the other
 LEXICON = 1 << 16  # most words of the lexicon; all are met at least twice
 MIN_BITS, MAX_BITS = 14, 22  # slots of a context table: twice the learning tokens, within these
 STEPS = 2  # Newton steps of the weights
@@ -137,13 +141,14 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
         (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names)
 
 
-def _context_counts(lexicon: Broadcast, bits: int):
+def _context_counts(lexicon: Broadcast, bits: int, spelling: bool = False):
+    """Tables of a task's texts; with ``spelling`` of the spelled lexicon instead."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((cm.CONTEXTS, 2 << bits), dtype=np.uint32)
-        if TaskContext.get().partitionId() == 0:
+        if spelling:
             cm.count_spelling(total, lexicon.value, bits)
         for b in batches:
-            for _, _, data, offsets in _slices(b["text"]):
+            for _, _, data, offsets in _slices(b["text"]) if not spelling else ():
                 cm.count(total, lexicon.value, bits, cm.symbols(lexicon.value, data, offsets))
         team = TaskContext.get().partitionId() // GROUP
         for c in range(cm.CONTEXTS):
@@ -215,23 +220,34 @@ def train(docs: DataFrame) -> Model:
     bits = min(max(int(2 * tokens).bit_length(), MIN_BITS), MAX_BITS)
     lexicon = spark.sparkContext.broadcast(lex)
 
-    parts = rows.where(F.col("fold") != FITTING).select("text").mapInArrow(_context_counts(lexicon, bits), COUNTS)
-    with tables.cleaned_shuffles(spark):
-        found = _sum_tables(parts).mapInArrow(_block_odds, COUNTS).collect()
-    model = np.zeros((cm.CONTEXTS, 1 << bits), dtype=np.int8)
-    for r in found:
-        model[r.context].reshape(-1, BLOCK_SLOTS)[r.block] = np.frombuffer(r.counts, dtype=np.int8)
-    shared = spark.sparkContext.broadcast((lex, model))
+    def summed(texts: DataFrame, spelling: bool = False) -> DataFrame:
+        return _sum_tables(texts.select("text").mapInArrow(_context_counts(lexicon, bits, spelling), COUNTS))
+
+    def shared(*counts: DataFrame) -> Broadcast:
+        with tables.cleaned_shuffles(spark):
+            found = _sum_tables(reduce(DataFrame.unionByName, counts)).mapInArrow(_block_odds, COUNTS).collect()
+        model = np.zeros((cm.CONTEXTS, 1 << bits), dtype=np.int8)
+        for r in found:
+            model[r.context].reshape(-1, BLOCK_SLOTS)[r.block] = np.frombuffer(r.counts, dtype=np.int8)
+        return spark.sparkContext.broadcast((lex, model))
+
+    halves = [rows.where(F.floor(F.col("fold") / FOLDS) % HALVES == h) for h in range(HALVES)]
+    counts = [tables.keep(summed(half), "counts") for half in halves]
+    spelled = tables.keep(summed(spark.range(1, numPartitions=1).select(F.lit("").alias("text")), spelling=True), "spelled")
+    others = [shared(spelled, *counts[:h], *counts[h + 1:]) for h in range(HALVES)]
 
     weights = np.full((cm.GATES, cm.CONTEXTS), cm.START)
-    fitting = rows.where(F.col("fold") == FITTING).select("text")
     for _ in range(STEPS):
         sums = np.zeros((cm.GATES, cm.CONTEXTS + cm.CONTEXTS ** 2))
-        for gate, place, v in fitting.mapInArrow(_statistics(shared, bits, weights), "gate long, place long, v double") \
-                .groupBy("gate", "place").agg(F.sum("v")).collect():
+        found = reduce(DataFrame.unionByName, [
+            half.select("text").mapInArrow(_statistics(other, bits, weights), "gate long, place long, v double")
+            for half, other in zip(halves, others, strict=True)])
+        for gate, place, v in found.groupBy("gate", "place").agg(F.sum("v")).collect():
             sums[gate, place] = v
         weights = cm.newton(weights, sums)
-    return Model(words, tokens, distinct + (ends > 0), ends, bits, weights, shared)
+    for other in others:
+        other.unpersist()
+    return Model(words, tokens, distinct + (ends > 0), ends, bits, weights, shared(spelled, *counts))
 
 
 SCORED = ("row long, doc_id long, fold long, n_tokens long, n_frequent long, log_counts double, score double, "

@@ -143,3 +143,27 @@ def test_edges(spark):
     assert lm_score.score(none, lm_score.train(none)).count() == 0
     held = spark.createDataFrame([(d, "a b") for d in range(50) if crc(d) % 7 == 2], "doc_id long, text string")
     assert {(r.train_tokens, r.n_known, r.base_score) for r in lm_score.score(held, lm_score.train(held)).collect()} == {(0, 0, 0.0)}
+
+
+def test_every_learning_text_is_counted_and_fits_the_weights(spark, monkeypatch):
+    """The texts of each half of the folds are read by counting once and by every Newton step."""
+    seen = []
+    keep = lm_score.tables.keep
+
+    def kept(df, name):
+        seen.append(name)
+        return keep(df, name)
+
+    monkeypatch.setattr(lm_score.tables, "keep", kept)
+    monkeypatch.setattr(lm_score, "STEPS", 1)
+    gates = []
+    newton = cm.newton
+    monkeypatch.setattr(cm, "newton", lambda w, sums: gates.append(sums.copy()) or newton(w, sums))
+    ids = [d for d in range(400) if crc(d) % 49 == 6]  # the former fitting texts alone
+    df = spark.createDataFrame([(d, "one two one two three") for d in ids], "doc_id long, text string")
+    both = spark.createDataFrame([(d, "one two one two three") for d in range(400) if crc(d) % 7 != 2], "doc_id long, text string")
+    only, all_ = lm_score.train(df), lm_score.train(both)
+    assert seen.count("counts") == 2 * lm_score.HALVES
+    assert np.abs(only.shared.value[1]).max() > 0  # they are counted
+    assert np.abs(gates[1]).sum() > 20 * np.abs(gates[0]).sum()  # and so are all others fitted on
+    assert all_.tokens == 6 * both.count()
