@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from quarry.functions.html import page_nodes
 
 BASE = "http://site.gov.au/dir/page"
@@ -83,3 +85,21 @@ def test_date_texts(spark):
     f = _fields(spark, html)
     assert "2022-03-04" in f["date_texts"] and "2019-01-02" in f["date_texts"]
     assert "Last updated 5/6/2020" in f["date_texts"]
+
+
+def test_pages_are_parsed_in_bounded_pieces(spark, monkeypatch):
+    """Every page keeps its place when a batch is parsed piece by piece; a piece is small or one page."""
+    import pandas as pd
+
+    from quarry.functions import html as hx
+
+    pages = pd.Series(["<p>a</p>" * n if n % 5 else None for n in range(1, 300)])
+    sizes = [0 if p is None else len(p) for p in pages]
+    monkeypatch.setattr(hx, "PARSED", 4000)
+    pieces = list(hx._pieces(pages))
+    assert [lo for lo, _ in pieces] == [0] + [hi for _, hi in pieces[:-1]] and pieces[-1][1] == len(pages)
+    assert all(hi == lo + 1 or sum(sizes[lo:hi]) <= 4000 for lo, hi in pieces) and len(pieces) > 50
+    monkeypatch.undo()
+    df = spark.range(3000).selectExpr("id", "concat('<p>', repeat(concat('t', id, ' '), 40), '</p>') AS html", "'http://h/' AS url")
+    got = df.coalesce(1).select("id", F.element_at(hx.nodes("html", "url"), 2)["text"].alias("t")).collect()
+    assert len(got) == 3000 and all(r.t.startswith(f"t{r.id} ") for r in got)
