@@ -21,6 +21,7 @@ opt-in approximate form for corpora where ``n_queries x n_vectors`` is too much.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,9 @@ from quarry.functions import vectors as vx
 from quarry.operators.knn import arrow_type, block_solver, knn, prepared, ranked
 
 
+AT_ONCE = 1 << 18  # similarities with centroids held at once
+
+
 def _unit(col):
     n = vx.norm(col)
     return F.when(n > 0, F.transform(F.col(col), lambda x: x.cast("double") / n)).otherwise(
@@ -59,12 +63,15 @@ def _nearest(spark, centroids: np.ndarray, nprobe: int):
     probe = min(nprobe, centroids.shape[0])
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def nearest_lists(v: pd.Series) -> pd.Series:
+    def nearest_lists(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = bc.value
-        m = np.vstack([np.asarray(x, dtype=np.float64) for x in v]) if len(v) else np.zeros((0, c.shape[1]))
-        s = prepared(m, "cosine") @ c.T
-        idx = np.argsort(-s, axis=1, kind="stable")[:, :probe]
-        return pd.Series([row.tolist() for row in idx])
+        step = max(1, AT_ONCE // len(c))
+        for v in batches:
+            for lo in range(0, len(v), step):
+                m = np.vstack([np.asarray(x, dtype=np.float64) for x in v[lo:lo + step]])
+                s = prepared(m, "cosine") @ c.T
+                idx = np.argsort(-s, axis=1, kind="stable")[:, :probe]
+                yield pd.Series([row.tolist() for row in idx])
 
     return nearest_lists
 

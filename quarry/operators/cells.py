@@ -34,7 +34,7 @@ PIVOT_BYTES = 32 * 1024 * 1024
 #: Pairs up to which every block meets every block: the rounds' jobs cost more than they save.
 LEAST_PAIRS = 4 * 10**8
 #: Distances held at once while rows are compared with the pivots.
-_AT_ONCE = 1 << 22
+_AT_ONCE = 1 << 19
 
 
 def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -81,8 +81,8 @@ def _route(pivots: np.ndarray, cells: np.ndarray, metric: str, k: int):
         for batch in batches:
             rows = prepared(matrix(batch.column(1), pivots.shape[1])[0], metric)
             bound = batch.column(2).to_numpy(zero_copy_only=False)
-            wanted: list[np.ndarray] = []
             for s in _slices(len(rows), len(pivots)):
+                wanted: list[np.ndarray] = []
                 some = rows[s]
                 d = np.hstack([_distances(some, pivots), np.zeros((len(some), 1))])
                 if metric == "cosine":
@@ -102,12 +102,13 @@ def _route(pivots: np.ndarray, cells: np.ndarray, metric: str, k: int):
                         continue
                     open_ = filled & ~(gap[i] > bound[s][i] + slack[i])
                     open_[near] = False
-                    wanted.append(np.flatnonzero(open_))
-            ends = np.concatenate([[0], np.cumsum([len(w) for w in wanted])]).astype(np.int32)
-            flat = np.concatenate(wanted).astype(np.int32) if wanted else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["qid", "qvec", "cells"])
+                    wanted.append(np.flatnonzero(open_).astype(np.int32))
+                ends = np.concatenate([[0], np.cumsum([len(w) for w in wanted])]).astype(np.int32)
+                flat = np.concatenate(wanted).astype(np.int32)
+                own = batch.slice(s.start, len(some))
+                yield pa.RecordBatch.from_arrays(
+                    [own.column(0), own.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                    ["qid", "qvec", "cells"])
     return run
 
 

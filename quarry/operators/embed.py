@@ -53,13 +53,13 @@ def embed(df: DataFrame, text_col: str, out_col: str = "embedding",
 
     def run(it):
         for pdf in it:
-            vecs: list = []
-            texts = pdf[text_col].tolist()
-            for lo in range(0, len(texts), batch_rows):
-                vecs.extend(list(map(list, fn(texts[lo:lo + batch_rows]))))
-            pdf = pdf.copy()
-            pdf[out_col] = pd.Series(vecs, index=pdf.index, dtype=object)
-            yield pdf
+            for at in range(0, len(pdf), 8 * batch_rows):  # vectors as Python lists are large
+                part, vecs = pdf.iloc[at:at + 8 * batch_rows].copy(), []
+                texts = part[text_col].tolist()
+                for lo in range(0, len(texts), batch_rows):
+                    vecs.extend(list(map(list, fn(texts[lo:lo + batch_rows]))))
+                part[out_col] = pd.Series(vecs, index=part.index, dtype=object)
+                yield part
 
     return spread(df).mapInPandas(run, schema)
 

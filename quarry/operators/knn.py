@@ -29,7 +29,7 @@ from quarry.session import materialize
 #: Bytes of vectors (as doubles) in one block of either side.
 DEFAULT_BLOCK_BYTES = 32 * 1024 * 1024
 #: Rows of the corpus and queries multiplied at once inside a block.
-_ROWS, _QUERIES = 8192, 1024
+_ROWS, _QUERIES = 8192, 128
 #: Corpus rows that are worth a block of their own, so that small inputs use all cores.
 _LEAST_ROWS = 256
 
@@ -41,7 +41,7 @@ def matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = column.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
     fit = np.flatnonzero(sizes == dim)
     flat = column.take(pa.array(fit)).flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(len(fit), dim), fit
+    return flat.astype(np.float64, copy=False).reshape(len(fit), dim), fit
 
 
 def prepared(vectors: np.ndarray, metric: str) -> np.ndarray:
@@ -61,25 +61,36 @@ def _exact(c: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
 
 def best_rows(q_ids, q: np.ndarray, c_ids, c: np.ndarray, k: int, metric: str,
               exclude_self: bool) -> Iterator[tuple[object, object, float]]:
-    """(query id, corpus id, ranking value) of each query's k best rows."""
-    q, c = prepared(q, metric), prepared(c, metric)
+    """(query id, corpus id, ranking value) of each query's k best rows.
+
+    A query that has k rows only looks at rows that may reach the k-th of them."""
     best: list[list[tuple[float, object]]] = [[] for _ in q_ids]
+    kth = np.full(len(q_ids), np.nan)  # ranking value of the k-th best so far
     for lo in range(0, len(c_ids), _ROWS):
-        part, ids = c[lo:lo + _ROWS], c_ids[lo:lo + _ROWS]
+        part, ids = prepared(c[lo:lo + _ROWS], metric), c_ids[lo:lo + _ROWS]
         length = (part * part).sum(axis=1)
         for at in range(0, len(q_ids), _QUERIES):
-            some = q[at:at + _QUERIES]
+            some = prepared(q[at:at + _QUERIES], metric)
             values = some @ part.T
-            scale = length.max(initial=0) + (some * some).sum(axis=1) + 1
+            square = (some * some).sum(axis=1)
+            scale = length.max(initial=0) + square + 1
             if metric == "l2sq":
-                values = 2 * values - length[None, :]
-            spare = min(k + exclude_self, len(ids))
-            floor = np.partition(values, len(ids) - spare, axis=1)[:, len(ids) - spare] - 1e-9 * scale
-            for j, row in enumerate(values):
-                hit = np.flatnonzero(row >= floor[j])
+                values *= 2
+                values -= length
+            floor = kth[at:at + _QUERIES] + (square if metric == "l2sq" else 0.0)
+            new = np.flatnonzero(np.isnan(floor))
+            if len(new):
+                spare = min(k + exclude_self, len(ids))
+                floor[new] = np.partition(values[new], len(ids) - spare, axis=1)[:, len(ids) - spare]
+            floor -= 1e-9 * scale
+            within = values >= floor[:, None]
+            for j in np.flatnonzero(within.any(axis=1)).tolist():
+                hit = np.flatnonzero(within[j])
                 found = [(-v, ids[i]) for v, i in zip(_exact(part[hit], some[j], metric).tolist(), hit.tolist(), strict=True)
                          if not exclude_self or ids[i] != q_ids[at + j]]
                 best[at + j] = sorted(best[at + j] + found)[:k]
+                if len(best[at + j]) == k:
+                    kth[at + j] = -best[at + j][-1][0]
     return ((qid, cid, -v) for qid, rows in zip(q_ids, best, strict=True) for v, cid in rows)
 
 

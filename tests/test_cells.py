@@ -65,3 +65,21 @@ def test_fewer_rows_than_k_and_odd_inputs(spark):
     assert [r.id for r in knn_join(qdf.where("qid = 0"), mixed, 3, least_pairs=0).collect()] == [1]
     with pytest.raises(ValueError):
         knn_join(qdf, cdf, 3, metric="dot")
+
+
+def test_routing_gives_bounded_batches(monkeypatch):
+    """The cells of a query batch leave slice by slice, not all rows' cells at once."""
+    import pyarrow as pa
+
+    from quarry.operators import cells
+
+    monkeypatch.setattr(cells, "_AT_ONCE", 64)
+    rng = np.random.default_rng(2)
+    pivots, rows = rng.normal(size=(8, 4)), rng.normal(size=(50, 4))
+    summary = np.array([[10.0, 0.0, 9.0]] * 8 + [[0.0, 0.0, -1.0]])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(rows.tolist()), pa.array([9.0] * 50)], ["qid", "qvec", "bound"])
+    out = list(cells._route(pivots, summary, "l2sq", 3)(iter([batch])))
+    assert [b.num_rows for b in out] == [8] * 6 + [2]
+    assert [q for b in out for q in b.column(0).to_pylist()] == list(range(50))
+    near = np.argmin(((rows[:, None] - pivots[None]) ** 2).sum(axis=2), axis=1)
+    assert [sorted(c) for b in out for c in b.column(2).to_pylist()] == [sorted(set(range(8)) - {n}) for n in near.tolist()]

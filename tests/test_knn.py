@@ -122,3 +122,26 @@ def test_ann_probing_all_lists_is_exact(spark):
     low = ann.search(q, cents, assigned, 5, nprobe=1)
     rec = ann.recall(low, exact).agg({"recall": "avg"}).first()[0]
     assert 0.0 < rec <= 1.0
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2sq"])
+def test_later_rows_replace_earlier_ones(monkeypatch, metric):
+    """Only rows that may reach the k-th best are looked at again; ties go to the smaller id wherever it stands."""
+    from quarry.operators import knn as module
+
+    monkeypatch.setattr(module, "_ROWS", 7)
+    monkeypatch.setattr(module, "_QUERIES", 3)
+    looked = []
+    exact = module._exact
+    monkeypatch.setattr(module, "_exact", lambda c, q, m: looked.append(len(c)) or exact(c, q, m))
+    rng = np.random.default_rng(4)
+    c = rng.integers(-3, 4, (200, 3)).astype(float)
+    c[100:] = c[:100]  # every vector twice, the smaller id behind
+    ids = list(range(200, 0, -1))
+    got = list(module.best_rows([1, 50, 150, 999], c[[199, 150, 50, 0]], ids, c, 5, metric, True))
+    want = []
+    for qid, q in zip([1, 50, 150, 999], c[[199, 150, 50, 0]]):
+        v = exact(module.prepared(c, metric), module.prepared(q[None], metric)[0], metric)
+        want += [(qid, i, x) for x, i in sorted([(-a, i) for a, i in zip(v, ids) if i != qid])[:5]]
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert len(looked) < 4 * (200 // 7)
