@@ -89,3 +89,12 @@ def test_table_stream_reads_a_file_and_a_folder_of_files(spark, tmp_dir):
     for at in (folder, single):
         out = spark.read.parquet(zs.run_available_now(zs.table_stream(spark, at, "t"), os.path.join(at, "out")))
         assert sorted(map(tuple, out.collect())) == [(i, f"text {i}") for i in range(20)]
+
+
+def test_a_file_of_a_stream_is_parsed_by_many_tasks(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "one_file")
+    spark.range(400).selectExpr("concat('http://h/', id) AS url", "concat('<p>', id, '</p>') AS html").coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema("url string, html string").parquet(src)
+    tasks = zs.chunk_stream(stream).withColumn("task", F.spark_partition_id())
+    out = spark.read.parquet(zs.run_available_now(tasks, os.path.join(tmp_dir, "z1_tasks")))
+    assert out.count() == 400 and out.select("task").distinct().count() > 1
