@@ -103,3 +103,23 @@ def test_pages_are_parsed_in_bounded_pieces(spark, monkeypatch):
     df = spark.range(3000).selectExpr("id", "concat('<p>', repeat(concat('t', id, ' '), 40), '</p>') AS html", "'http://h/' AS url")
     got = df.coalesce(1).select("id", F.element_at(hx.nodes("html", "url"), 2)["text"].alias("t")).collect()
     assert len(got) == 3000 and all(r.t.startswith(f"t{r.id} ") for r in got)
+
+
+def test_a_batch_of_pages_stays_in_arrow(spark):
+    """Parsing a batch makes Python strings of a piece only, whatever the batch holds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from quarry.functions import html as hx
+
+    pages = pa.array([f"<p>{'t' * 20_000}{i}</p>" for i in range(1000)] + [None])  # 20 MB
+    urls = pa.array(["http://h/"] * len(pages))
+    tracemalloc.start()
+    rows = [n for part in hx._nodes.func(iter([(pages, urls)])) for n in part[-1:].to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows[-1] == [] and peak < 4 << 20
+    got = list(hx._nodes.func(iter([(pa.array(['<a href="/x" b>y</a>', None]), pa.array(["http://h/p", None]))])))
+    assert [[dict(n["attrs"]) if n["attrs"] else n["text"] for n in p] for a in got for p in a.to_pylist()] == \
+        [[{"href": "/x", "b": ""}, "y"], []]
