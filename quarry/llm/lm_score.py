@@ -128,13 +128,19 @@ def _pack(counts: np.ndarray) -> bytes:
     return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
 
 
-def _unpack(data: bytes) -> np.ndarray:
+def _unpack(data: pa.Buffer) -> np.ndarray:
     return np.frombuffer(pa.decompress(data, BLOCK_SLOTS * 16, codec="zstd", asbytes=True), dtype=np.uint64)
 
 
 COUNTS = "context int, block int, team int, counts binary"
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, pa.Buffer]]:
+    """Rows of ``COUNTS``; a block stays in the batch's memory."""
+    for i, key in enumerate(zip(*(batch[c].to_pylist() for c in range(3)))):
+        yield *key, batch[3][i].as_buffer()
+
+
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
     names = ["context", "block", "team", "counts"]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
@@ -162,7 +168,7 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum of the sorted rows of each (context, block, team), one in memory at a time."""
     key, total = None, None
     for b in batches:
-        for c, k, team, data in zip(*(b[i].to_pylist() for i in range(4))):
+        for c, k, team, data in _blocks(b):
             if (c, k, team) != key:
                 if key is not None:
                     yield _packed([(*key, _pack(total))])
@@ -183,7 +189,7 @@ def _sum_tables(parts: DataFrame) -> DataFrame:
 
 def _block_odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for c, k, team, data in zip(*(b[i].to_pylist() for i in range(4))):
+        for c, k, team, data in _blocks(b):
             yield _packed([(c, k, team, cm.odds(_unpack(data)).tobytes())])
 
 

@@ -167,3 +167,22 @@ def test_every_learning_text_is_counted_and_fits_the_weights(spark, monkeypatch)
     assert np.abs(only.shared.value[1]).max() > 0  # they are counted
     assert np.abs(gates[1]).sum() > 20 * np.abs(gates[0]).sum()  # and so are all others fitted on
     assert all_.tokens == 6 * both.count()
+
+
+def test_tables_are_added_a_block_at_a_time():
+    """A batch of packed blocks is not copied into Python as a whole; its sums are those of numpy."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    counts = np.random.default_rng(3).integers(0, 1 << 60, (60, 2 * lm_score.BLOCK_SLOTS), dtype=np.uint64)
+    rows = [(0, i // 20, 0, lm_score._pack(c)) for i, c in enumerate(counts)]  # 15 MB that no packing shortens
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+        pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["context", "block", "team", "counts"])
+    del rows
+    tracemalloc.start()
+    got = {b[1][0].as_py(): lm_score._unpack(b[3][0].as_buffer()).copy() for b in lm_score._add_counts(iter([batch]))}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 << 20
+    assert all((got[k] == counts[20 * k:20 * k + 20].sum(axis=0)).all() for k in range(3)) and len(got) == 3
