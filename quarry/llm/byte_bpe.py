@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -310,15 +311,25 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
 
     return small_batches(tables.columns(docs, "doc_id", "text"), run,
-                         "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+                         "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string", codecs=True)
 
 
 BATCH_ROWS = 512
 
 
-def small_batches(df: DataFrame, run, schema: str) -> DataFrame:
-    """mapInArrow whose function sees at most BATCH_ROWS rows at a time."""
+def forget_codecs() -> None:
+    """Gives back the codecs that earlier queries left in this worker, which lives on."""
+    if codec.cache_info().currsize:
+        codec.cache_clear()
+        gc.collect()  # a codec's parts refer to each other
+
+
+def small_batches(df: DataFrame, run, schema: str, codecs: bool = False) -> DataFrame:
+    """mapInArrow whose function sees at most BATCH_ROWS rows at a time; ``codecs`` tells that it needs codecs."""
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return run(b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS))
+        if not codecs:
+            forget_codecs()
+        yield from run(b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS))
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(sliced, schema)

@@ -38,6 +38,7 @@ MIN_CHARS = 24
 BLOCKS = 4
 #: Block borders depend on length // CLASS only, so lines of neighbouring lengths mostly share them.
 CLASS = 16
+SLICE = 1 << 18  # bytes of text worked on at once: a text takes some eighty times its size while its lines are hashed
 BLANK_CHARS = " \t\r\x0b\x0c"
 _RNG = np.random.default_rng(31)
 _CODES = _RNG.integers(1, 1 << 63, (2, 1 << 16), dtype=np.uint64)
@@ -116,7 +117,7 @@ class Lines:
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
     """Rows of a batch in slices of bounded text."""
     _, offsets = texthash.text_buffer(batch.column(1))
-    for a, b in texthash.slices(offsets):
+    for a, b in texthash.slices(offsets, SLICE):
         yield a, [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
 
 
@@ -145,10 +146,10 @@ def _variants(wanted: DataFrame) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            asked = batch.column(2).to_pylist()
-            ids = batch.column(0).to_pylist()
             for a, texts in _slices(batch):
+                rows = []
+                asked = batch.column(2).slice(a, len(texts)).to_pylist()
+                ids = batch.column(0).slice(a, len(texts)).to_pylist()
                 x = Lines(texts)
                 row_of = {(d, p): i for i, (d, p) in enumerate(zip(x.doc.tolist(), x.pos.tolist(), strict=True))}
                 line, key, lo, hi = x.block_keys()
@@ -156,19 +157,19 @@ def _variants(wanted: DataFrame) -> DataFrame:
                 for entry in zip(line.tolist(), key.tolist(), lo.tolist(), hi.tolist(), strict=True):
                     blocks.setdefault(entry[:2], []).append(entry[2:])
                 for d in range(len(texts)):
-                    for w in asked[a + d]:
+                    for w in asked[d]:
                         i = row_of.get((d, w["pos"]))
                         if i is None or int(x.h1[i]) != w["h1"]:  # another row of the same doc_id
                             continue
                         keys = [x.variants(i, *span) for k in w["keys"] for span in blocks.get((i, k), ())]
                         half = [np.split(k, 2) for k in keys]
                         text = x.chars[x.start[i]:x.end[i]].tobytes().decode("utf-32-le", "surrogatepass")
-                        rows.append((w["h1"], ids[a + d], w["pos"], text,
+                        rows.append((w["h1"], ids[d], w["pos"], text,
                                      np.unique(np.concatenate([h[0] for h in half] or [np.zeros(0, np.int64)])),
                                      np.unique(np.concatenate([h[1] for h in half] or [np.zeros(0, np.int64)]))))
-            names = ["id", "doc_id", "pos", "line", "shorter", "placed"]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names)
+                names = ["id", "doc_id", "pos", "line", "shorter", "placed"]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names)
 
     return small_batches(wanted, run, "id long, doc_id long, pos int, line string, "
                                       "shorter array<long>, placed array<long>")
@@ -230,11 +231,11 @@ def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out, lines, dropped = batch.column(0), [], [], []
             kept = batch.column(2)
-            known_doc = np.array(ids.is_valid())
+            known_doc = np.array(batch.column(0).is_valid())
             null = np.array(batch.column(1).is_null())
             for a, texts in _slices(batch):
+                out, lines, dropped = [], [], []
                 x = Lines(texts)
                 mine = kept.slice(a, len(texts))
                 flat = mine.flatten()
@@ -254,9 +255,10 @@ def dedup_lines(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
                     dropped.append(len(cut))
                     out.append(None if null[a + d] else t if not cut else
                                "\n".join([s for i, s in enumerate(parts) if i not in cut]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.string()), pa.array(lines, pa.int64()),
-                                              pa.array(dropped, pa.int64()), batch.column(3)],
-                                             ["doc_id", "text", "n_lines", "n_dropped", "carried"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, len(texts)), pa.array(out, pa.string()), pa.array(lines, pa.int64()),
+                     pa.array(dropped, pa.int64()), batch.column(3).slice(a, len(texts))],
+                    ["doc_id", "text", "n_lines", "n_dropped", "carried"])
 
     none = F.array().cast("array<struct<pos:int,h1:bigint>>")
     extra = F.struct(F.lit(0).alias("_none"), *(F.col(f"`{c}`") for c in carry)).alias("carried")

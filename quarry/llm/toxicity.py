@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import tables
-from quarry.llm.byte_bpe import small_batches
+from quarry.llm.byte_bpe import forget_codecs, small_batches
 
 #: Bound of the labelled sample the model is fitted on.
 MAX_ROWS = 8000
@@ -249,6 +249,7 @@ def without_toxic(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def toxic(texts: pd.Series) -> pd.Series:
+        forget_codecs()
         return pd.Series(scorer.toxic(scorer.above(texts)), dtype=bool)
 
     return docs.where(~toxic(F.col("`text`")))

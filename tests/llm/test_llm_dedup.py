@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -132,3 +133,21 @@ def test_long_documents_one_shingle_under_the_bound_are_not_linked():
 
     assert minhash_dedup._block_links(83)(table(1, one), table(2, other)).num_rows == 0
     assert minhash_dedup._block_links(82)(table(1, one), table(2, other)).num_rows == 1
+
+
+def test_lines_are_hashed_in_small_slices():
+    """Texts are hashed piece by piece: memory stays far below that of a whole batch."""
+    class Taken:
+        def mapInArrow(self, fn, schema):
+            return fn
+
+    line = "some words of a line that is long enough "
+    texts = ["\n".join(f"{line}{d} {i}" for i in range(60)) for d in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    run = line_dedup._hashed(Taken())
+    list(run(iter([batch.slice(0, 9)])))  # tables of powers are made once
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 500 * 60 and peak < 50 << 20

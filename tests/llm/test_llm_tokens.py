@@ -177,3 +177,16 @@ def test_store_ids_of_every_letter_beside_a_mark():
     got = word_ids(own, texts)
     want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
     assert [t for t, g, w in zip(texts, got, want) if g != w] == []
+
+
+def test_other_operators_give_codecs_back():
+    """A worker that goes on with another operator's task holds no codec of an earlier one."""
+    class Taken:
+        def mapInArrow(self, fn, schema):
+            return list(fn(iter([])))
+
+    byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    byte_bpe.small_batches(Taken(), lambda batches: iter(batches), "x long", codecs=True)
+    assert byte_bpe.codec.cache_info().currsize == 1
+    byte_bpe.small_batches(Taken(), lambda batches: iter(batches), "x long")
+    assert byte_bpe.codec.cache_info().currsize == 0
