@@ -259,17 +259,23 @@ def inputs(model: np.ndarray, lex: Lexicon, bits: int, base: np.ndarray, at: np.
 def statistics(weights: np.ndarray, model: np.ndarray, lex: Lexicon, bits: int, s: Symbols) -> np.ndarray:
     """Per gate the gradient and the Hessian of the log-likelihood, flattened."""
     out = np.zeros((GATES, CONTEXTS + CONTEXTS * CONTEXTS))
-    for _, _, lo, hi in blocks(s):
+    scaled = (weights / SCALE).astype(np.float32)
+    for lo, hi in parts(len(s.sym)):
         at, place = decisions(lex, s.sym[lo:hi])
         x, gate = inputs(model, lex, bits, s.base[:, lo:hi], at, place)
-        order = np.argsort(gate, kind="stable")
-        ends = np.searchsorted(gate[order], np.arange(GATES + 1))
-        x, bit = x[:, order], lex.bit[place[order]]
-        for g in np.flatnonzero(np.diff(ends)):
-            v = x[:, ends[g]:ends[g + 1]].astype(np.float32) / np.float32(SCALE)
-            p = 1 / (1 + np.exp(-np.clip(weights[g].astype(np.float32) @ v, -15, 15)))
-            out[g, :CONTEXTS] += v @ (bit[ends[g]:ends[g + 1]] - p)
-            out[g, CONTEXTS:] += ((v * (p * (1 - p))) @ v.T).ravel()
+        z = scaled[:, 0].take(gate) * x[0]
+        for i in range(1, CONTEXTS):
+            z += scaled[:, i].take(gate) * x[i]
+        p = 1 / (1 + np.exp(np.clip(-z, -15, 15)))
+        miss, spread = lex.bit.take(place) - p, p * (1 - p)
+        for i in range(CONTEXTS):
+            out[:, i] += np.bincount(gate, miss * x[i], GATES) / SCALE
+            v = spread * x[i]
+            for j in range(i, CONTEXTS):
+                total = np.bincount(gate, v * x[j], GATES) / SCALE ** 2
+                out[:, CONTEXTS * (1 + i) + j] += total
+                if j > i:
+                    out[:, CONTEXTS * (1 + j) + i] += total
     return out
 
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import context_mixing as cm
 from quarry.llm import tables, texthash
+from quarry.llm.byte_bpe import forget_codecs
 from quarry.llm.period_runs import split_words
 
 FOLDS, HELD_OUT = 7, 2  # crc32(doc_id) % 7 = 2: never learned from
@@ -71,6 +72,16 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield lo, hi, data, offsets[lo:hi + 1]
 
 
+def _mapped(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow whose worker, which lives on for other stages, gives back what Arrow does not use."""
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_codecs()
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word counts, summed over slices while their rows stay below COUNTED."""
     held, rows = [], 0
@@ -96,8 +107,6 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from held
                 held, rows = [], 0
     yield from summed()
-    held.clear()
-    pa.default_memory_pool().release_unused()  # the worker lives on for other stages
 
 
 def _count_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,20 +188,21 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _packed([(*key, _pack(total))])
 
 
-def _sum_tables(parts: DataFrame) -> DataFrame:
-    """Tables of all tasks added up: within teams of tasks first, then over the teams."""
-    for team in (F.col("team"), F.lit(0)):
-        by = ["context", "block", "team"]
-        parts = parts.withColumn("team", team).repartition(*by).sortWithinPartitions(*by).mapInArrow(_add_counts, COUNTS)
-    return parts
-
-
 def _block_odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    """Log-odds of the sum of each (context, block, team), in one Python process with the adding."""
+    for b in _add_counts(batches):
         for c, k, team, data in _blocks(b):
             yield _packed([(c, k, team, cm.odds(_unpack(data)).tobytes())])
 
 
+def _sum_tables(parts: DataFrame, last=_add_counts) -> DataFrame:
+    """Tables of all tasks added up: within teams of tasks first, then over the teams, there by ``last``."""
+    for team, add in ((F.col("team"), _add_counts), (F.lit(0), last)):
+        by = ["context", "block", "team"]
+        parts = _mapped(parts.withColumn("team", team).repartition(*by).sortWithinPartitions(*by), add, COUNTS)
+    return parts
+
+
 def _statistics(shared: Broadcast, bits: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((cm.GATES, cm.CONTEXTS + cm.CONTEXTS ** 2))
@@ -212,7 +222,7 @@ def train(docs: DataFrame) -> Model:
     texts every count is 0 and the weights stay at their start."""
     spark = docs.sparkSession
     rows = _rows(docs).where(F.col("fold") % FOLDS != HELD_OUT)
-    words = tables.keep(rows.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word")
+    words = tables.keep(_mapped(rows.select("text"), _count_words, "word string, n long").groupBy("word")
                         .agg(F.sum("n").alias("n")), "words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = rows.select("fold").count()
@@ -220,18 +230,18 @@ def train(docs: DataFrame) -> Model:
     often = F.col("n") >= _threshold(words)
     frequent = words.where(often).collect()  # at most LEXICON rows
     letters = np.zeros(256, dtype=np.int64)
-    for byte, n in words.where(~often).mapInArrow(_count_letters, "byte long, n long").groupBy("byte").agg(F.sum("n")).collect():
+    for byte, n in _mapped(words.where(~often), _count_letters, "byte long, n long").groupBy("byte").agg(F.sum("n")).collect():
         letters[byte] = n
     lex = cm.Lexicon([r.word for r in frequent], [r.n for r in frequent], total - sum(r.n for r in frequent), ends, letters)
     bits = min(max(int(2 * tokens).bit_length(), MIN_BITS), MAX_BITS)
     lexicon = spark.sparkContext.broadcast(lex)
 
     def summed(texts: DataFrame, spelling: bool = False) -> DataFrame:
-        return _sum_tables(texts.select("text").mapInArrow(_context_counts(lexicon, bits, spelling), COUNTS))
+        return _sum_tables(_mapped(texts.select("text"), _context_counts(lexicon, bits, spelling), COUNTS))
 
     def shared(*counts: DataFrame) -> Broadcast:
         with tables.cleaned_shuffles(spark):
-            found = _sum_tables(reduce(DataFrame.unionByName, counts)).mapInArrow(_block_odds, COUNTS).collect()
+            found = _sum_tables(reduce(DataFrame.unionByName, counts), _block_odds).collect()
         model = np.zeros((cm.CONTEXTS, 1 << bits), dtype=np.int8)
         for r in found:
             model[r.context].reshape(-1, BLOCK_SLOTS)[r.block] = np.frombuffer(r.counts, dtype=np.int8)
@@ -246,7 +256,7 @@ def train(docs: DataFrame) -> Model:
     for _ in range(STEPS):
         sums = np.zeros((cm.GATES, cm.CONTEXTS + cm.CONTEXTS ** 2))
         found = reduce(DataFrame.unionByName, [
-            half.select("text").mapInArrow(_statistics(other, bits, weights), "gate long, place long, v double")
+            _mapped(half.select("text"), _statistics(other, bits, weights), "gate long, place long, v double")
             for half, other in zip(halves, others, strict=True)])
         for gate, place, v in found.groupBy("gate", "place").agg(F.sum("v")).collect():
             sums[gate, place] = v
@@ -297,7 +307,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     other columns are not read.
     """
     rows = _rows(docs).withColumn("row", F.monotonically_increasing_id())
-    scored = tables.keep(rows.mapInArrow(_score(model.shared, model.bits, model.weights), SCORED), "scored")
+    scored = tables.keep(_mapped(rows, _score(model.shared, model.bits, model.weights), SCORED), "scored")
     # lexicon words are done; more than LEXICON words are as frequent as any other, so no key of this join is hot
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.tf")
     rest = tail.join(model.words, "word").groupBy("row").agg(
