@@ -38,7 +38,7 @@ LANE = 2048  # symbols coded in a row; the corrections start anew after them
 TURN = 64  # decisions of a lane between two updates of its corrections
 BLOCK = 1 << 20  # symbols whose lanes go in step
 LANES = 256  # lanes that take a turn together
-PART = 1 << 15  # symbols whose inputs are made at once
+PART = 1 << 13  # symbols whose inputs are made at once
 CLASSES = 64  # lexicon words that are a class of their own; others go by their last byte
 SCALE = 12.0  # log-odds are stored as int8 at this scale
 RATE = 0.001  # of the corrections
@@ -89,11 +89,13 @@ class Lexicon:
         self.first = np.append(0, np.cumsum(self.length)[:-1]).astype(np.int32)
         self.bit = np.append(bit, low_bit)
         node = np.append(node, low_node + len(top)).astype(np.uint64)
-        self.mixed = (texthash.mix(node + np.uint64(1)) >> np.uint64(34)).astype(np.int32)
+        self.mixed = (texthash.mix(node + np.uint64(1)) >> np.uint64(34)).astype(np.int32)  # below 2^30
         depth = np.arange(len(node)) - np.repeat(self.first, self.length)
         letter = np.repeat(np.arange(len(self.length)) >= self.bytes, self.length)
         #: part of the gate that depends on the place in the code: tree and depth
         self.gate = ((letter * 3 + np.minimum(depth // 3, 2)) * 9).astype(np.int16)
+        #: gate, bit and ``mixed`` of a place side by side: one read gives all three
+        self.place = self.gate.astype(np.int64) << 32 | self.bit.astype(np.int64) << 31 | self.mixed
 
 
 @dataclass
@@ -127,7 +129,9 @@ def symbols(lex: Lexicon, data: np.ndarray, offsets: np.ndarray, spell: bool = F
     words, token_first = split_words(_FOLD[data[lo:hi]], offsets - lo)
     n, n_texts = len(words), len(offsets) - 1
     own = words.dictionary
-    lexical = pc.index_in(own, value_set=lex.words).fill_null(-1).to_numpy().astype(np.int64)
+    at = pc.index_in(lex.words, value_set=own).fill_null(-1).to_numpy()
+    lexical = np.full(len(own), -1)
+    lexical[at[at >= 0]] = np.flatnonzero(at >= 0)
     chars, ends = texthash.text_buffer(own)
     code = texthash._CODE[chars[:ends[-1]]]
     whole = texthash.mix(texthash.span_hash(texthash.prefix_sums(code), ends[:-1], ends[1:]))
@@ -213,22 +217,31 @@ def parts(n: int) -> list[tuple[int, int]]:
 
 
 def decisions(lex: Lexicon, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(symbol position, place in the code's lists) of every decision."""
+    """(decisions of each symbol, ``lex.place`` of every decision)."""
     size = lex.length.take(sym)
-    ends = np.cumsum(size, dtype=np.int32)
-    at = np.repeat(np.arange(len(sym), dtype=np.int32), size)
-    return at, np.arange(len(at), dtype=np.int32) + np.repeat(lex.first.take(sym) - (ends - size), size)
+    ends = np.cumsum(size, dtype=np.int64)
+    at = np.repeat(lex.first.take(sym) - (ends - size), size)
+    at += np.arange(len(at))
+    return size, lex.place.take(at)
 
 
 def count(tables_: np.ndarray, lex: Lexicon, bits: int, s: Symbols) -> None:
-    """Add all decisions to ``tables_`` (contexts, slots * 2)."""
-    mask = np.int32((1 << bits) - 1)
-    for lo, hi in parts(len(s.sym)):
-        at, place = decisions(lex, s.sym[lo:hi])
-        mixed, bit = lex.mixed.take(place), lex.bit.take(place)
-        for table, base in zip(tables_, s.base[:, lo:hi]):
-            slot = (base.take(at) + mixed) & mask
-            np.add.at(table, (slot << 1) + bit, np.uint32(1))
+    """Add all decisions to ``tables_`` (contexts, slots * 2); equal symbols of a context are counted together."""
+    mask, width = (1 << bits) - 1, len(lex.length).bit_length()
+    for table, base in zip(tables_, s.base):
+        key, n = counted((base & np.int32(mask)).astype(np.int64) << width | s.sym)
+        sym, base, n = key & ((1 << width) - 1), key >> width, n.astype(np.uint32)
+        for lo, hi in parts(len(key)):
+            size, place = decisions(lex, sym[lo:hi])
+            slot = (np.repeat(base[lo:hi], size) + place) & mask  # what stands above ``mixed`` is masked
+            np.add.at(table, (slot << 1) + (place >> 31 & 1), np.repeat(n[lo:hi], size))
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in ascending order, how often each occurs); sorts ``keys`` in place."""
+    keys.sort()
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys))
 
 
 def count_spelling(tables_: np.ndarray, lex: Lexicon, bits: int) -> None:
@@ -246,30 +259,57 @@ def odds(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(np.log((pair[:, 1] + 0.4) / (pair[:, 0] + 0.4)) * SCALE), -127, 127).astype(np.int8)
 
 
-def inputs(model: np.ndarray, lex: Lexicon, bits: int, base: np.ndarray, at: np.ndarray, place: np.ndarray):
-    """(log-odds by context as int8, gates) of decisions."""
-    mask, mixed = np.int32((1 << bits) - 1), lex.mixed.take(place)
-    x = np.empty((CONTEXTS, len(at)), dtype=np.int8)
+def inputs(model: np.ndarray, lex: Lexicon, bits: int, base: np.ndarray, size: np.ndarray, place: np.ndarray, x: np.ndarray):
+    """Gates of decisions; their log-odds by context go to ``x`` (int8)."""
+    mask = (1 << bits) - 1
     for i in range(CONTEXTS):
-        model[i].take((base[i].take(at) + mixed) & mask, out=x[i], mode="wrap")
-    sure = [(v != 0).astype(np.int16) + (v > 25) + (v < -25) for v in (x[1], x[2])]
-    return x, lex.gate.take(place) + sure[0] * np.int16(3) + sure[1]
-
-
-def statistics(weights: np.ndarray, model: np.ndarray, lex: Lexicon, bits: int, s: Symbols) -> np.ndarray:
-    """Per gate the gradient and the Hessian of the log-likelihood, flattened."""
+        slot = np.repeat(base[i], size) + place
+        slot &= mask
+        model[i].take(slot, out=x[i], mode="wrap")
+    gate = (place >> 32).astype(np.int16)
+    for v, step in ((x[1], 3), (x[2], 1)):
+        gate += ((v != 0).view(np.int8) + (v > 25).view(np.int8) + (v < -25).view(np.int8)) * np.int8(step)
+    return gate
+
+
+def outcomes(model: np.ndarray, lex: Lexicon, bits: int, s: Symbols) -> np.ndarray:
+    """All decisions of a slice, equal ones once: key (gate, log-odds, bit) and number side by side, ascending."""
+    found = []
+    for lo, hi in parts(len(s.sym)):
+        size, place = decisions(lex, s.sym[lo:hi])
+        x = np.empty((CONTEXTS, len(place)), dtype=np.int8)
+        key = inputs(model, lex, bits, s.base[:, lo:hi], size, place, x).astype(np.uint32)
+        for v in x.view(np.uint8):
+            key <<= np.uint32(8)
+            key |= v
+        key <<= np.uint32(1)
+        key |= (place >> 31 & 1).astype(np.uint32)
+        found.append(key)
+    key, n = counted(np.concatenate(found))
+    return key.astype(np.uint64) << np.uint64(32) | n.astype(np.uint64)
+
+
+def merged(found: list[np.ndarray]) -> np.ndarray:
+    """Several ``outcomes``, of less than 2^32 decisions, as one."""
+    both = np.concatenate(found)
+    both.sort()
+    key = (both >> np.uint64(32)).astype(np.uint32)
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    both &= np.uint64(0xFFFFFFFF)
+    return key[first].astype(np.uint64) << np.uint64(32) | np.add.reduceat(both, first)
+
+
+def statistics(weights: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Per gate the gradient and the Hessian of the log-likelihood of ``outcomes``, flattened."""
     out = np.zeros((GATES, CONTEXTS + CONTEXTS * CONTEXTS))
-    for _, _, lo, hi in blocks(s):
-        at, place = decisions(lex, s.sym[lo:hi])
-        x, gate = inputs(model, lex, bits, s.base[:, lo:hi], at, place)
-        order = np.argsort(gate, kind="stable")
-        ends = np.searchsorted(gate[order], np.arange(GATES + 1))
-        x, bit = x[:, order], lex.bit[place[order]]
-        for g in np.flatnonzero(np.diff(ends)):
-            v = x[:, ends[g]:ends[g + 1]].astype(np.float32) / np.float32(SCALE)
-            p = 1 / (1 + np.exp(-np.clip(weights[g].astype(np.float32) @ v, -15, 15)))
-            out[g, :CONTEXTS] += v @ (bit[ends[g]:ends[g + 1]] - p)
-            out[g, CONTEXTS:] += ((v * (p * (1 - p))) @ v.T).ravel()
+    keys, n = (found >> np.uint64(32)).astype(np.uint32), (found & np.uint64(0xFFFFFFFF)).astype(float)
+    ends = np.searchsorted(keys, np.arange(GATES + 1, dtype=np.uint32) << np.uint32(8 * CONTEXTS + 1))
+    for g in np.flatnonzero(np.diff(ends)):
+        key, m = keys[ends[g]:ends[g + 1]], n[ends[g]:ends[g + 1]]
+        v = np.stack([(key >> np.uint32(8 * i + 1)).astype(np.int8) for i in reversed(range(CONTEXTS))]) / SCALE
+        p = 1 / (1 + np.exp(-np.clip(weights[g] @ v, -15, 15)))
+        out[g, :CONTEXTS] = v @ (m * ((key & np.uint32(1)) - p))
+        out[g, CONTEXTS:] = ((v * (m * p * (1 - p))) @ v.T).ravel()
     return out
 
 
@@ -286,48 +326,41 @@ def newton(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
 def _block_loss(weights, model, lex: Lexicon, bits: int, s: Symbols, start: np.ndarray, lo: int, hi: int) -> np.ndarray:
     """Log-probability of each lane of a block."""
     size = np.add.reduceat(lex.length.take(s.sym[lo:hi]), start - lo).astype(np.int64)  # decisions of each lane
-    turns = -(-size // TURN)
-    row = np.cumsum(turns) - turns  # a lane's decisions fill rows of TURN; what the last row lacks stays 0
-    x = np.zeros((CONTEXTS, int(turns.sum()), TURN), dtype=np.int8)
-    sign, logit = np.zeros(x.shape[1:], dtype=np.int8), np.zeros(x.shape[1:], dtype=np.float32)
-    scaled = (weights / SCALE).astype(np.float32)
-    lane_end = np.cumsum(size)
-    shift, done = row * TURN - (lane_end - size), 0
+    first, total, done = np.cumsum(size) - size, int(size.sum()), 0
+    # log-odds of the bit that was not coded: alone and mixed; the last turn of a lane reads on behind it
+    x, logit = np.zeros((CONTEXTS, total + TURN), dtype=np.int8), np.zeros(total + TURN, dtype=np.float32)
+    scaled = (weights / SCALE).astype(np.float32).T.copy()
     for a, b in parts(hi - lo):
-        at, place = decisions(lex, s.sym[lo + a:lo + b])
-        v, gate = inputs(model, lex, bits, s.base[:, lo + a:lo + b], at, place)
-        known = scaled[:, 0].take(gate) * v[0]
+        n, place = decisions(lex, s.sym[lo + a:lo + b])
+        own = slice(done, done + len(place))
+        gate = inputs(model, lex, bits, s.base[:, lo + a:lo + b], n, place, x[:, own]).astype(np.intp)
+        x[:, own] *= np.int8(1) - (place >> 30 & 2).astype(np.int8)
+        np.multiply(scaled[0].take(gate), x[0, own], out=logit[own])
         for i in range(1, CONTEXTS):
-            known += scaled[:, i].take(gate) * v[i]
-        own = np.arange(int(np.searchsorted(lane_end, done, side="right")), int(np.searchsorted(lane_end, done + len(at))) + 1)
-        n = np.minimum(lane_end[own], done + len(at)) - np.maximum(lane_end[own] - size[own], done)
-        to = np.arange(done, done + len(at)) + np.repeat(shift[own], n)
-        for i in range(CONTEXTS):
-            x[i].reshape(-1)[to] = v[i]
-        logit.reshape(-1)[to] = known
-        sign.reshape(-1)[to] = (lex.bit.take(place) << 1) - 1
-        done += len(at)
+            logit[own] += scaled[i].take(gate) * x[i, own]
+        done += len(place)
+    x, logit = (np.lib.stride_tricks.sliding_window_view(v, TURN, axis=-1) for v in (x, logit))
+    turns = -(-size // TURN)
     by_turns = np.argsort(-turns, kind="stable")
-    row = row[by_turns]
-    active = len(size) - np.searchsorted(np.sort(turns), np.arange(turns.max()), side="right")
+    row, left = first[by_turns], size[by_turns]
+    active = len(size) - np.searchsorted(np.sort(turns), np.arange(turns.max() + 1), side="right")
     change = np.zeros((CONTEXTS, len(size), 1), dtype=np.float32)
-    rate, one, loss = np.float32(RATE / SCALE), np.float32(1), np.zeros(len(size))
-    for j, n in enumerate(active.tolist()):
+    rate, one, loss, within = np.float32(RATE / SCALE), np.float32(1), np.zeros(len(size)), np.arange(TURN)
+    for j, n in enumerate(active[:-1].tolist()):
         for c in range(0, n, LANES):  # lanes in portions that stay in the cache
-            these = row[c:min(c + LANES, n)] + j
-            own = slice(c, c + len(these))
-            v, y, z = x[:, these].astype(np.float32), sign[these].astype(np.float32), logit[these]
+            own = slice(c, min(c + LANES, n))
+            these = row[own] + j * TURN
+            v, z = x[:, these].astype(np.float32), logit[these]
             for i in range(CONTEXTS):
                 z += change[i, own] * v[i]
-            z *= y
             np.clip(z, -11, 11, out=z)
-            np.exp(np.negative(z, out=z), out=z)
-            loss[own] -= np.log1p(z).sum(axis=1, where=y != 0)
-            z *= y
-            z /= one + np.abs(z)
-            z *= rate
-            for i in range(CONTEXTS):
-                change[i, own, 0] += np.einsum("ij,ij->i", z, v[i])
+            np.exp(z, out=z)
+            ending = max(int(active[j + 1]) - c, 0)  # the lanes from here on end in this turn
+            z[ending:] *= within < (left[own][ending:] - j * TURN)[:, None]
+            # one logarithm for a turn: TURN factors of at most 1 + exp(11) stay below the largest double
+            loss[own] -= np.log(np.multiply.reduce(np.add(z, 1, dtype=np.float64), axis=1))
+            z /= one + z
+            change[:, own, 0] -= rate * np.einsum("ij,kij->ki", z, v)
     out = np.empty(len(size))
     out[by_turns] = loss
     return out

@@ -7,7 +7,9 @@ can; from there on the model's scores of held-out texts are the higher ones.
 
 Learning aggregates the whole corpus: word counts (one row per distinct word,
 shuffled), the lexicon of frequent words, context counts as sums of each task's
-tables, and the gated weights from statistics summed per gate.  Every learning
+tables, and the gated weights from statistics summed per gate.  The decisions that
+the weights are fitted on are made once: a task keeps the distinct ones (gate,
+log-odds, bit) with their numbers, and every Newton step reads those.  Every learning
 text is counted and fits the weights: the texts of either half meet the context
 counts of the other half, so none is predicted from its own counts; scoring
 uses the counts of both.  What reaches
@@ -41,8 +43,10 @@ MIN_BITS, MAX_BITS = 14, 22  # slots of a context table: twice the learning toke
 STEPS = 2  # Newton steps of the weights
 BLOCK_SLOTS = 1 << 14  # slots of a table that travel in one row
 GROUP = 64  # tasks whose tables are summed first
-COUNTED = 1 << 20  # rows of word counts that a task sums before it passes them on
-SLICE = 1 << 18  # bytes of text worked on at once
+COUNTED = 1 << 20  # rows of word counts, or of outcomes, that a task sums before it passes them on
+KEPT = 1 << 17  # outcomes that are kept in one row
+MERGED = 1 << 27  # bytes of text whose outcomes are summed, so that their numbers stay below 2^32
+SLICE = 1 << 19  # bytes of text worked on at once
 TAIL = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))
 
 
@@ -134,11 +138,18 @@ def _threshold(words: DataFrame) -> int:
 
 
 def _pack(counts: np.ndarray) -> bytes:
-    return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
+    """Whole numbers in as few bytes as do, lowest bytes of all first, behind that number of bytes."""
+    small = counts if counts.dtype == np.uint32 or counts.max() >> np.uint64(32) else counts.astype(np.uint32)
+    width = small.itemsize
+    planes = np.ascontiguousarray(small.view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _unpack(data: pa.Buffer) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, BLOCK_SLOTS * 16, codec="zstd", asbytes=True), dtype=np.uint64)
+def _unpack(data: pa.Buffer, size: int = 2 * BLOCK_SLOTS) -> np.ndarray:
+    width = data[0]
+    planes = pa.decompress(data.slice(1), size * width, codec="zstd", asbytes=True)
+    numbers = np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(width, size).T)
+    return numbers.view(f"u{width}").reshape(-1).astype(np.uint64, copy=False)
 
 
 COUNTS = "context int, block int, team int, counts binary"
@@ -169,7 +180,7 @@ def _context_counts(lexicon: Broadcast, bits: int, spelling: bool = False):
         for c in range(cm.CONTEXTS):
             blocks = total[c].reshape(-1, 2 * BLOCK_SLOTS)
             for k in np.flatnonzero(blocks.any(axis=1)).tolist():
-                yield _packed([(c, k, team, _pack(blocks[k].astype(np.uint64)))])
+                yield _packed([(c, k, team, _pack(blocks[k]))])
     return run
 
 
@@ -203,13 +214,41 @@ def _sum_tables(parts: DataFrame, last=_add_counts) -> DataFrame:
     return parts
 
 
-def _statistics(shared: Broadcast, bits: int, weights: np.ndarray):
+OUTCOMES = "size int, outcomes binary"
+
+
+def _outcomes(shared: Broadcast, bits: int):
+    """Distinct outcomes of a task's texts, summed over slices while their rows stay below COUNTED."""
+    def rows(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(found), KEPT):
+            part = found[at:at + KEPT]
+            yield pa.RecordBatch.from_arrays([pa.array([len(part)], pa.int32()), pa.array([_pack(part)], pa.binary())], ["size", "outcomes"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((cm.GATES, cm.CONTEXTS + cm.CONTEXTS ** 2))
+        held, size, texts = [], 0, 0
         for b in batches:
             lex, model = shared.value
             for _, _, data, offsets in _slices(b["text"]):
-                total += cm.statistics(weights, model, lex, bits, cm.symbols(lex, data, offsets))
+                held.append(cm.outcomes(model, lex, bits, cm.symbols(lex, data, offsets)))
+                size += len(held[-1])
+                texts += int(offsets[-1] - offsets[0])
+                if size > 2 * COUNTED or texts > MERGED:
+                    held = [cm.merged(held)]
+                    size = len(held[0])
+                    if size > COUNTED or texts > MERGED:
+                        yield from rows(held[0])
+                        held, size, texts = [], 0, 0
+        if held:
+            yield from rows(cm.merged(held))
+    return run
+
+
+def _statistics(weights: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((cm.GATES, cm.CONTEXTS + cm.CONTEXTS ** 2))
+        for b in batches:
+            for size, data in zip(b["size"].to_pylist(), b["outcomes"]):
+                total += cm.statistics(weights, _unpack(data.as_buffer(), size))
         gate, place = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(gate), pa.array(place), pa.array(total[gate, place])], ["gate", "place", "v"])
     return run
@@ -252,17 +291,19 @@ def train(docs: DataFrame) -> Model:
     spelled = tables.keep(summed(spark.range(1, numPartitions=1).select(F.lit("").alias("text")), spelling=True), "spelled")
     others = [shared(spelled, *counts[:h], *counts[h + 1:]) for h in range(HALVES)]
 
+    met = tables.keep(reduce(DataFrame.unionByName, [
+        _mapped(half.select("text"), _outcomes(other, bits), OUTCOMES)
+        for half, other in zip(halves, others, strict=True)]), "outcomes")
+    for other in others:
+        other.unpersist()
+
     weights = np.full((cm.GATES, cm.CONTEXTS), cm.START)
     for _ in range(STEPS):
         sums = np.zeros((cm.GATES, cm.CONTEXTS + cm.CONTEXTS ** 2))
-        found = reduce(DataFrame.unionByName, [
-            _mapped(half.select("text"), _statistics(other, bits, weights), "gate long, place long, v double")
-            for half, other in zip(halves, others, strict=True)])
+        found = _mapped(met, _statistics(weights), "gate long, place long, v double")
         for gate, place, v in found.groupBy("gate", "place").agg(F.sum("v")).collect():
             sums[gate, place] = v
         weights = cm.newton(weights, sums)
-    for other in others:
-        other.unpersist()
     return Model(words, tokens, distinct + (ends > 0), ends, bits, weights, shared(spelled, *counts))
 
 

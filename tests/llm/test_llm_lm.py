@@ -195,3 +195,49 @@ def test_tables_are_added_and_turned_into_odds_in_one_process(spark):
     assert added._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
     want = cm.odds(3 * np.arange(2 * lm_score.BLOCK_SLOTS, dtype=np.uint64)).tobytes()
     assert [(r.context, r.block, r.counts) for r in added.collect()] == [(0, 0, want)]
+
+
+def test_outcomes_count_and_fit_like_one_decision_after_the_other(monkeypatch):
+    """Distinct outcomes with their numbers give the statistics of all decisions, however slices are merged; so do counts."""
+    import pyarrow as pa
+    monkeypatch.setattr(cm, "PART", 33)
+    lex, model, weights = small_model()
+    texts = ["the of ab the xyz", "", "the of the of " * 40, None, "ä" * 40 + " the xyz"]
+    data, offsets = texthash.text_buffer(pa.array(texts))
+    s = cm.symbols(lex, data, offsets)
+    table, want = np.zeros((cm.CONTEXTS, 2 << 14), np.uint32), np.zeros((cm.CONTEXTS, 2 << 14), np.uint32)
+    sums, decisions = np.zeros((cm.GATES, cm.CONTEXTS + cm.CONTEXTS ** 2)), 0
+    for j, y in enumerate(s.sym):
+        for k in range(lex.length[y]):
+            p = lex.first[y] + k
+            slot = [(int(b) + int(lex.mixed[p])) & ((1 << 14) - 1) for b in s.base[:, j]]
+            x = np.array([model[i][slot[i]] for i in range(cm.CONTEXTS)], dtype=float) / cm.SCALE
+            sure = [int(v != 0) + int(v * cm.SCALE > 25.5) + int(v * cm.SCALE < -25.5) for v in x[1:]]
+            g = lex.gate[p] + sure[0] * 3 + sure[1]
+            q = 1 / (1 + math.exp(-min(max(weights[g] @ x, -15), 15)))
+            sums[g] += np.append(x * (lex.bit[p] - q), np.outer(x, x).ravel() * q * (1 - q))
+            for i in range(cm.CONTEXTS):
+                want[i, 2 * slot[i] + int(lex.bit[p])] += 1
+            decisions += 1
+    cm.count(table, lex, 14, s)
+    assert (table == want).all()
+    found = [cm.outcomes(model, lex, 14, cm.symbols(lex, data, offsets[a:b + 1])) for a, b in ((0, 2), (2, 3), (3, 5))]
+    once = cm.merged(found)
+    assert (once & np.uint64(0xFFFFFFFF)).sum() == decisions
+    assert len(np.unique(once >> np.uint64(32))) == len(once) < decisions
+    for these in (found, [once], [cm.outcomes(model, lex, 14, s)]):
+        assert np.allclose(sum(cm.statistics(weights, o) for o in these), sums, rtol=1e-9, atol=1e-9)
+
+
+def test_texts_are_read_for_the_weights_once(spark, monkeypatch):
+    """Newton steps read kept outcomes: more steps keep no more tables and read the texts no more often."""
+    df = spark.createDataFrame([(d, "one two one two three") for d in range(60)], "doc_id long, text string")
+    read, kept, mapped, keep = {}, [], lm_score._mapped, lm_score.tables.keep
+    monkeypatch.setattr(lm_score.tables, "keep", lambda d, name: kept.append(name) or keep(d, name))
+    for steps in (1, 3):
+        columns = []
+        monkeypatch.setattr(lm_score, "STEPS", steps)
+        monkeypatch.setattr(lm_score, "_mapped", lambda d, run, schema: columns.append(d.columns) or mapped(d, run, schema))
+        lm_score.train(df)
+        read[steps] = columns.count(["text"])
+    assert read[1] == read[3] and kept.count("outcomes") == 2
