@@ -35,6 +35,22 @@ def test_chunks_csv(spark, tmp_dir):
     assert back.first()["chunk_text"] == "hello world"
 
 
+def test_chunk_files_store_a_repeated_description_once(spark, tmp_dir, monkeypatch):
+    """A page without an end of its first paragraph has all its text in each chunk row's description."""
+    from quarry.plans import registry
+
+    text = lambda k: " ".join(f"word{(i * 7919 + k) % 10007}" for i in range(2000))
+    spark.createDataFrame([(k, f"http://h/{k}", f"<title>a, \"b\"</title><p>{text(k)}\n<br>") for k in range(4)],
+                          "page_id long, url string, html string").coalesce(1).write.parquet(os.path.join(tmp_dir, "pages.parquet"))
+    monkeypatch.setattr(registry, "_scratch", lambda spark, name: os.path.join(tmp_dir, name))
+    cols = list(pg.CHUNK_COLUMNS)
+    got = registry.k3_chunks_csv(spark, tmp_dir).select(cols)
+    want = registry.l2_page_chunks(spark, tmp_dir).select(*[F.col(c).cast("string") for c in cols])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 40
+    written = sum(os.path.getsize(os.path.join(tmp_dir, "chunks", f)) for f in os.listdir(os.path.join(tmp_dir, "chunks")))
+    assert written < 0.4 * got.select(F.sum(F.length("description"))).first()[0]
+
+
 def test_vectors_roundtrip_and_subset(spark, tmp_dir):
     v = spark.createDataFrame([(str(i), [float(i), 1.0]) for i in range(10)], "id string, embedding array<float>")
     path = os.path.join(tmp_dir, "vectors")
