@@ -118,3 +118,18 @@ def test_similar_by_id_reembed_and_unknown(spark):
     assert all(h["id"] != "1" for h in out["1"]["hits"])           # self removed
     assert out["1"]["answer"].startswith("I found 3 datasets similar to '1'.")
     assert len(out["1"]["audit_id"]) == 8
+
+
+def test_replayed_batches_search_their_answers_once(spark, monkeypatch):
+    from quarry.plans import registry
+
+    answered, real = spark.sparkContext.accumulator(0), registry._t8_answers
+
+    def seen(text):
+        answered.add(1)
+        return text
+
+    monkeypatch.setattr(registry, "_t8_answers", lambda spark, sf: (
+        lambda a: a.withColumn("answer", F.udf(seen, "string").asNondeterministic()("answer")))(real(spark, sf)))
+    got = registry.k6_replayed_batches(spark, "/root/testdata/sf0.001").collect()
+    assert got and all(r["times"] == 1 for r in got) and answered.value == len(got)
