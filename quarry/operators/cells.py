@@ -9,10 +9,12 @@ of their distances to the pivot.  Two rounds of cogroups follow:
 2. a query then meets only the cells that the triangle inequality cannot rule
    out: those whose ring of distances around the pivot comes within that bound.
 
-Both rounds use the block solver of ``quarry.operators.knn``, so a pair has the
-score it has there.  Cells are cut into blocks of bounded bytes on both sides: a
-cell with a third of all rows is many tasks.  Reaching the driver: the pivots and
-one summary row and one count per cell.
+Both rounds use ``best_rows`` of ``quarry.operators.knn``, so a pair has the score it
+has there.  What travels is not a query per cell but a query per group of cells, with
+the bits of those it meets, so it is never more than where every block meets every
+block.  Groups are cut into blocks of bounded bytes on both sides: a cell with a third
+of all rows is many tasks.  Reaching the driver: the pivots, one summary row per cell
+and one count per group.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.knn import DEFAULT_BLOCK_BYTES, arrow_type, block_solver, blocked, matrix, prepared, ranked
+from quarry.operators.knn import _LEAST_ROWS, DEFAULT_BLOCK_BYTES, arrow_type, best_rows, blocked, matrix, prepared, ranked
 from quarry.session import materialize
 
 #: Most bytes of pivots (as doubles); their number grows as the root of the corpus below that.
@@ -112,26 +114,98 @@ def _route(pivots: np.ndarray, cells: np.ndarray, metric: str, k: int):
     return run
 
 
-def _meet(queries: DataFrame, corpus: DataFrame, sizes: dict[int, int], row_bytes: int, block_bytes: int,
-          solve, schema: T.StructType) -> tuple[DataFrame, dict[int, int]]:
-    """Solve (queries with a ``cell``) against the rows of that cell, block by block."""
-    asked = {r.cell: r["count"] for r in queries.groupBy("cell").count().collect()}  # at most one row per cell
+def _groups(pivots: np.ndarray, sizes: dict[int, int], most: int) -> list[list[int]]:
+    """The cells in groups of neighbours, of about ``most`` rows; a larger cell is a group of its own."""
+    out, left = [], [sorted(sizes)]
+    places = np.vstack([pivots, np.zeros((1, pivots.shape[1]))])
+    while left:
+        cells = left.pop()
+        wanted = math.ceil(sum(sizes[c] for c in cells) / most)
+        if wanted < 2 or len(cells) == 1:
+            out.append(cells)
+            continue
+        at = places[cells]
+        cells = [cells[i] for i in np.argsort(at[:, np.ptp(at, axis=0).argmax()], kind="stable")]
+        share = np.cumsum([sizes[c] for c in cells])
+        cut = int(np.searchsorted(share, share[-1] * (wanted // 2) / wanted)) + 1
+        cut = min(cut, len(cells) - 1)
+        left += [cells[cut:], cells[:cut]]
+    return out
+
+
+def _grouped(route, groups: list[list[int]], sizes: dict[int, int], n_cells: int):
+    """``route`` with the cells as their groups and, of each group, the bits of its cells; with the number of
+    cells, of rows in them, and the distance that a neighbour may have (null: any)."""
+    rows_in = np.array([sizes.get(c, 0) for c in range(n_cells)], dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for some in route(iter([batch])):
+                open_ = np.zeros((some.num_rows, n_cells), bool)
+                ends = some.column(2).offsets.to_numpy()
+                open_[np.repeat(np.arange(some.num_rows), np.diff(ends)), some.column(2).flatten().to_numpy()] = True
+                to: list[list[dict]] = [[] for _ in range(some.num_rows)]
+                for g, cells in enumerate(groups):
+                    bits = open_[:, cells]
+                    packed = np.packbits(bits, axis=1, bitorder="little")
+                    for i in np.flatnonzero(bits.any(axis=1)).tolist():
+                        to[i].append({"g": g, "bits": packed[i].tobytes()})
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), some.column(1), batch.column(2).slice(at, some.num_rows),
+                     pa.array(to, pa.list_(pa.struct([("g", pa.int32()), ("bits", pa.binary())]))),
+                     pa.array(open_.sum(axis=1), pa.int64()), pa.array(open_ @ rows_in, pa.int64())],
+                    ["qid", "qvec", "bound", "to", "cells", "rows"])
+                at += some.num_rows
+    return run
+
+
+def _cell_solver(k: int, metric: str, exclude_self: bool, schema: pa.Schema):
+    """``block_solver`` for rows with their place among the group's cells (``at``) and queries with the bits of
+    the cells they meet; a query's rows must come within its ``bound``."""
+    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple[object, object, float]] = []
+        if left.num_rows and right.num_rows:
+            left = left.take(pa.array(np.argsort(left.column("at").to_numpy(), kind="stable")))
+            dim = right.column("qvec").combine_chunks().value_lengths()[0].as_py()
+            q, c = matrix(right.column("qvec"), dim)[0], matrix(left.column("vec"), dim)[0]
+            cells, starts = np.unique(left.column("at").to_numpy(), return_index=True)
+            bits = np.frombuffer(b"".join(right.column("bits").to_pylist()), np.uint8).reshape(len(q), -1)
+            parts = [(lo, hi, np.flatnonzero(bits[:, x >> 3] >> (x & 7) & 1)) for x, lo, hi in
+                     zip(cells.tolist(), starts.tolist(), [*starts.tolist()[1:], len(c)], strict=True)]
+            bound = right.column("bound").to_numpy()
+            bound = np.where(np.isfinite(bound), bound, np.nan)
+            reach = -bound * bound if metric == "l2sq" else 1 - bound * bound / 2
+            out += best_rows(right.column("qid").to_pylist(), q, left.column("id").to_pylist(), c, k, metric, exclude_self, reach, parts)
+        return pa.table([pa.array(col, f.type) for col, f in zip(zip(*out, strict=True) if out else ([],) * 3, schema, strict=True)],
+                        schema=schema)
+    return solve
+
+
+def _meet(queries: DataFrame, corpus: DataFrame, groups: list[list[int]], sizes: dict[int, int], per_block: int,
+          solve, schema: T.StructType) -> DataFrame:
+    """Solve (queries of ``_grouped``) against the rows of their cells, block by block.
+
+    A query goes to each group of cells it meets, not to each cell; a group's rows go to each block of its queries."""
+    to = queries.select("qid", "qvec", "bound", F.explode("to").alias("t")).select("qid", "qvec", "bound", "t.g", "t.bits")
+    asked = {r.g: r["count"] for r in to.groupBy("g").count().collect()}  # at most one row per group
     if not asked:
-        return queries.sparkSession.createDataFrame([], schema), asked
-    per_block = max(1, block_bytes // row_bytes)
-    blocks = queries.sparkSession.createDataFrame(
-        [(c, math.ceil(sizes[c] / per_block), math.ceil(n / per_block)) for c, n in asked.items()],
-        "cell int, cbs int, qbs int")
+        return queries.sparkSession.createDataFrame([], schema)
+    spark = queries.sparkSession
+    blocks = lambda n: max(1, round(n / per_block))
+    cut = {g: (blocks(sum(sizes[c] for c in groups[g])), blocks(n)) for g, n in asked.items()}
+    by_cell = spark.createDataFrame([(c, g, at, *cut[g]) for g in asked for at, c in enumerate(groups[g])],
+                                    "cell int, g int, at int, cbs int, qbs int")
+    by_group = spark.createDataFrame([(g, *n) for g, n in cut.items()], "g int, cbs int, qbs int")
     # by row, so that a repeated id is spread as well; the rows come from written tables, so a row keeps its number
     part = lambda key, n: F.pmod(F.xxhash64(key, F.monotonically_increasing_id()), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    small = F.broadcast(blocks)  # at most one row per cell
-    left = corpus.join(small, "cell").withColumn("cb", part("id", "cbs")).withColumn("qb", every("qbs")) \
-        .select("cell", "cb", "qb", "id", "vec")
-    right = queries.join(small, "cell").withColumn("qb", part("qid", "qbs")).withColumn("cb", every("cbs")) \
-        .select("cell", "cb", "qb", "qid", "qvec")
-    keys = ["cell", "cb", "qb"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(solve, schema), asked
+    left = corpus.join(F.broadcast(by_cell), "cell").withColumn("cb", part("id", "cbs")).withColumn("qb", every("qbs")) \
+        .select("g", "cb", "qb", "at", "id", "vec")  # at most one row per cell
+    right = to.join(F.broadcast(by_group), "g").withColumn("qb", part("qid", "qbs")).withColumn("cb", every("cbs")) \
+        .select("g", "cb", "qb", "qid", "qvec", "bound", "bits")
+    keys = ["g", "cb", "qb"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(solve, schema)
 
 
 def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *,
@@ -184,31 +258,33 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *,
 
     schema = T.StructType([T.StructField("qid", qid_type), T.StructField("id", id_type), T.StructField("rv", T.DoubleType())])
     arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in schema.fields])
-    solve = block_solver(k, metric, exclude_self, arrow)
-    routed = T.StructType([*q.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    solve = _cell_solver(k, metric, exclude_self, arrow)
+    per_block = max(1, block_bytes // (8 * c_lo))
+    share = math.ceil(nc / spark.sparkContext.defaultParallelism)  # so that small inputs use all cores
+    groups = _groups(pivots, sizes, min(per_block, max(_LEAST_ROWS, share)))
+    goes = T.ArrayType(T.StructType([T.StructField("g", T.IntegerType()), T.StructField("bits", T.BinaryType())]))
+    routed = T.StructType([*q.schema.fields, T.StructField("bound", T.DoubleType()), T.StructField("to", goes),
+                           T.StructField("cells", T.LongType()), T.StructField("rows", T.LongType())])
 
     def route(rows: DataFrame) -> DataFrame:
-        return materialize(rows.mapInArrow(_route(pivots, summary, metric, k), routed))
+        return materialize(rows.mapInArrow(_grouped(_route(pivots, summary, metric, k), groups, sizes, len(pivots) + 1), routed))
 
-    def met(rows: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-        to = rows.select("qid", "qvec", F.explode("cells").alias("cell"))
-        return _meet(to, placed.select("id", "vec", "cell"), sizes, 8 * c_lo, block_bytes, solve, schema)
+    def met(rows: DataFrame) -> DataFrame:
+        return _meet(rows, placed.select("id", "vec", "cell"), groups, sizes, per_block, solve, schema)
 
-    found, asked = met(route(q.withColumn("bound", F.lit(None).cast("double"))))
-    first = materialize(ranked(found, k))
+    near = route(q.withColumn("bound", F.lit(None).cast("double")))
+    first = materialize(ranked(met(near), k))
     reach = F.sqrt(-F.min("rv")) if metric == "l2sq" else F.sqrt(F.greatest(2 - 2 * F.min("rv"), F.lit(0.0)))
     # with fewer than k rows in the first round a query has met every cell already
     bounds = first.groupBy("qid").agg(F.when(F.count("*") >= k, F.nanvl(reach, F.lit(math.inf))).otherwise(F.lit(math.inf)).alias("bound"))
     left_open = route(q.join(bounds, "qid", "left").select("qid", "qvec", F.coalesce("bound", F.lit(math.inf)).alias("bound")))
-    per_block = max(1, block_bytes // (8 * c_lo))
     in_blocks = nq * math.ceil(nc / per_block) + nc * math.ceil(nq / per_block)
-    if least_pairs and left_open.agg(F.sum(F.size("cells"))).first()[0] > in_blocks:
+    if least_pairs and left_open.agg(F.sum("cells")).first()[0] > in_blocks:
         return every_block()
-    rest, asked_again = met(left_open)
+    rest = met(left_open)
     if report is not None:
-        pairs = sum(n * sizes[cell] for a in (asked, asked_again) for cell, n in a.items())
-        report |= {"cells": len(sizes), "pairs": pairs, "all_pairs": nq * nc,
-                   "copies": (sum(asked.values()) + sum(asked_again.values())) / nq}
+        copies, pairs = near.unionByName(left_open).agg(F.sum("cells"), F.sum("rows")).first()
+        report |= {"cells": len(sizes), "pairs": pairs, "all_pairs": nq * nc, "copies": copies / nq}
     value = -F.col("rv") if metric == "l2sq" else F.col("rv")
     return ranked(first.select("qid", "id", "rv").unionByName(rest), k) \
         .select("qid", "rank", "id", value.alias("distance" if metric == "l2sq" else "score"))

@@ -29,7 +29,9 @@ from quarry.session import materialize
 #: Bytes of vectors (as doubles) in one block of either side.
 DEFAULT_BLOCK_BYTES = 32 * 1024 * 1024
 #: Rows of the corpus and queries multiplied at once inside a block.
-_ROWS, _QUERIES = 8192, 128
+_ROWS, _QUERIES = 4096, 128
+#: Sizes of squared lengths within which the preselection is made in single precision.
+_SINGLE = (1e-20, 1e30)
 #: Corpus rows that are worth a block of their own, so that small inputs use all cores.
 _LEAST_ROWS = 256
 
@@ -59,39 +61,121 @@ def _exact(c: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
     return (c * q).sum(axis=1)
 
 
-def best_rows(q_ids, q: np.ndarray, c_ids, c: np.ndarray, k: int, metric: str,
-              exclude_self: bool) -> Iterator[tuple[object, object, float]]:
+def _own_rows(q_ids, c_ids) -> tuple[np.ndarray, np.ndarray]:
+    """(corpus rows, queries) of equal ids, by corpus row."""
+    at: dict[object, list[int]] = {}
+    for j, x in enumerate(q_ids):
+        at.setdefault(x, []).append(j)
+    pairs = [(i, j) for i, x in enumerate(c_ids) for j in at.get(x, ())]
+    rows = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+    return rows[:, 0], rows[:, 1]
+
+
+class _Product:
+    """Preselection values of query and corpus rows, and what rounding can change one by.
+
+    In single precision, about twice as fast, unless a vector's length does not allow it."""
+
+    def __init__(self, metric: str, single: bool) -> None:
+        self.kind, self.doubled = (np.float32 if single else np.float64), metric == "l2sq"
+        self.buffer = np.empty(0, self.kind)
+
+    def factor(self, rows: np.ndarray, square: np.ndarray, corpus: bool) -> np.ndarray:
+        if not self.doubled:
+            return rows.astype(self.kind)
+        out = np.empty((len(rows), rows.shape[1] + 1), self.kind)  # 2 q.c - c.c as one product
+        out[:, :-1], out[:, -1] = (rows, square) if corpus else (2 * rows, -1)
+        return out
+
+    def values(self, some: np.ndarray, part: np.ndarray) -> np.ndarray:
+        n = len(some) * len(part)
+        if len(self.buffer) < n:
+            self.buffer = np.empty(n, self.kind)
+        return np.matmul(some, part.T, out=self.buffer[:n].reshape(len(some), len(part)))
+
+    def slack(self, dim: int, scale: np.ndarray) -> np.ndarray:
+        return 2.5e-7 * (dim + 8) * scale + 1e-30 if self.kind is np.float32 else 1e-9 * (scale + 1)
+
+
+def best_rows(q_ids, q: np.ndarray, c_ids, c: np.ndarray, k: int, metric: str, exclude_self: bool,
+              reach: np.ndarray | None = None,
+              parts: list[tuple[int, int, np.ndarray | None]] | None = None) -> Iterator[tuple[object, object, float]]:
     """(query id, corpus id, ranking value) of each query's k best rows.
 
-    A query that has k rows only looks at rows that may reach the k-th of them."""
-    best: list[list[tuple[float, object]]] = [[] for _ in q_ids]
-    kth = np.full(len(q_ids), np.nan)  # ranking value of the k-th best so far
-    for lo in range(0, len(c_ids), _ROWS):
-        part, ids = prepared(c[lo:lo + _ROWS], metric), c_ids[lo:lo + _ROWS]
+    A query that has k rows only looks at rows that may reach the k-th of them.  ``reach``:
+    per query a ranking value that its rows must reach, or nan.  ``parts``: ranges of corpus
+    rows and the queries that meet them (None: all); by default every query meets every row."""
+    n, dim = len(q_ids), q.shape[1]
+    by_id = sorted(range(len(c_ids)), key=lambda i: (c_ids[i] is not None, c_ids[i]))
+    place = np.empty(len(c_ids), np.int64)
+    place[by_id] = np.arange(len(c_ids))
+    own_c, own_q = _own_rows(q_ids, c_ids) if exclude_self else (np.empty(0, np.int64),) * 2
+    # of every query the best so far: ranking values, best first, and corpus rows
+    best, rows_of = np.full((n, k), -np.inf), np.full((n, k), -1, np.int64)
+    floor_of = np.full(n, np.nan) if reach is None else reach.astype(np.float64)
+    q = prepared(q, metric)
+    q_square = (q * q).sum(axis=1)
+    longest = q_square.max(initial=0)
+    product, local = None, np.full(n, -1, np.int64)
+    for lo, hi, who in [(lo, min(lo + _ROWS, end), who) for start, end, who in parts or [(0, len(c_ids), None)]
+                        for lo in range(start, end, _ROWS)]:
+        part = prepared(c[lo:hi], metric)
         length = (part * part).sum(axis=1)
-        for at in range(0, len(q_ids), _QUERIES):
-            some = prepared(q[at:at + _QUERIES], metric)
-            values = some @ part.T
-            square = (some * some).sum(axis=1)
-            scale = length.max(initial=0) + square + 1
-            if metric == "l2sq":
-                values *= 2
-                values -= length
-            floor = kth[at:at + _QUERIES] + (square if metric == "l2sq" else 0.0)
+        most = length.max(initial=0)
+        low, high = _SINGLE
+        single = bool(low < max(longest, most) < high) and (product is None or product.kind is np.float32)
+        if product is None or single != (product.kind is np.float32):
+            product = _Product(metric, single)
+            factors = product.factor(q, q_square, False)
+        right = product.factor(part, length, True)
+        a, b = np.searchsorted(own_c, [lo, hi])
+        step = max(_QUERIES, _ROWS * _QUERIES // len(part))
+        for at in range(0, n if who is None else len(who), step):
+            some = np.arange(at, min(at + step, n)) if who is None else who[at:at + step]
+            values = product.values(factors[at:at + step] if who is None else factors[some], right)
+            local[some] = np.arange(len(some))
+            mine = local[own_q[a:b]], own_c[a:b] - lo
+            mine = mine[0][mine[0] >= 0], mine[1][mine[0] >= 0]
+            local[some] = -1
+            values[mine] = -np.inf
+            square = q_square[some]
+            floor = floor_of[some] + (square if metric == "l2sq" else 0.0)
             new = np.flatnonzero(np.isnan(floor))
             if len(new):
-                spare = min(k + exclude_self, len(ids))
-                floor[new] = np.partition(values[new], len(ids) - spare, axis=1)[:, len(ids) - spare]
-            floor -= 1e-9 * scale
-            within = values >= floor[:, None]
-            for j in np.flatnonzero(within.any(axis=1)).tolist():
-                hit = np.flatnonzero(within[j])
-                found = [(-v, ids[i]) for v, i in zip(_exact(part[hit], some[j], metric).tolist(), hit.tolist(), strict=True)
-                         if not exclude_self or ids[i] != q_ids[at + j]]
-                best[at + j] = sorted(best[at + j] + found)[:k]
-                if len(best[at + j]) == k:
-                    kth[at + j] = -best[at + j][-1][0]
-    return ((qid, cid, -v) for qid, rows in zip(q_ids, best, strict=True) for v, cid in rows)
+                spare = min(k, len(part))
+                floor[new] = np.partition(values[new], len(part) - spare, axis=1)[:, len(part) - spare]
+            floor -= product.slack(dim, most + square)
+            # rounded towards less, or a value at the floor would be cut off
+            within = values >= np.nextafter(floor.astype(product.kind), product.kind(-np.inf))[:, None]
+            within[mine] = False
+            j, i = np.divmod(np.flatnonzero(within), len(part))
+            if product.kind is np.float32 and len(j) > (16 * k + 64) * len(some):  # too coarse for these rows
+                product = _Product(metric, False)
+                factors, right = product.factor(q, q_square, False), product.factor(part, length, True)
+            for few in range(0, len(j), _ROWS):
+                query, row = some[j[few:few + _ROWS]], i[few:few + _ROWS]
+                _keep(best, rows_of, query, lo + row, _exact(part[row], q[query], metric), place)
+            full = some[rows_of[some, -1] >= 0]
+            floor_of[full] = np.fmax(best[full, -1], floor_of[full])
+    found, column = np.nonzero(rows_of >= 0)
+    return ((q_ids[j], c_ids[i], v) for j, i, v in zip(found.tolist(), rows_of[found, column].tolist(),
+                                                       best[found, column].tolist(), strict=True))
+
+
+def _keep(best: np.ndarray, rows_of: np.ndarray, query: np.ndarray, row: np.ndarray, value: np.ndarray, place: np.ndarray) -> None:
+    """Put the rows found into their queries' k best, by value, then by the place of their id."""
+    k = best.shape[1]
+    changed = np.unique(query)
+    have, column = np.nonzero(rows_of[changed] >= 0)
+    have = changed[have]
+    query = np.concatenate([have, query])
+    row, value = np.concatenate([rows_of[have, column], row]), np.concatenate([best[have, column], value])
+    order = np.lexsort((place[row], -value, query))
+    query, row, value = query[order], row[order], value[order]
+    starts = np.searchsorted(query, query)
+    rank = np.arange(len(query)) - starts
+    first = rank < k
+    best[query[first], rank[first]], rows_of[query[first], rank[first]] = value[first], row[first]
 
 
 def ranked(candidates: DataFrame, k: int) -> DataFrame:

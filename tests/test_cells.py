@@ -83,3 +83,35 @@ def test_routing_gives_bounded_batches(monkeypatch):
     assert [q for b in out for q in b.column(0).to_pylist()] == list(range(50))
     near = np.argmin(((rows[:, None] - pivots[None]) ** 2).sum(axis=2), axis=1)
     assert [sorted(c) for b in out for c in b.column(2).to_pylist()] == [sorted(set(range(8)) - {n}) for n in near.tolist()]
+
+
+@pytest.mark.parametrize("metric", ["l2sq", "cosine"])
+def test_a_query_travels_once_per_group_of_cells(spark, monkeypatch, metric):
+    """Vectors without clusters leave nearly all of 80 cells open; a query goes to a few groups of them."""
+    from pyspark.sql import functions as F
+
+    from quarry.operators import cells
+
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(600)]
+    q, cdf = _frames(spark, rows, rows)
+    travelled, meet = [], cells._meet
+
+    def counted(queries, corpus, groups, *rest):
+        travelled.append((queries.select(F.explode("to")).count(), len(groups)))
+        return meet(queries, corpus, groups, *rest)
+
+    monkeypatch.setattr(cells, "_meet", counted)
+    report = {}
+    got = _rows(knn_join(q, cdf, 4, metric=metric, exclude_self=True, n_pivots=80, least_pairs=0, block_bytes=150 * 8 * 16, report=report))
+    assert got == _rows(knn(q, cdf, 4, metric=metric, exclude_self=True))
+    assert report["copies"] > 40 and all(n <= 600 * g and g <= 8 for n, g in travelled)
+
+
+def test_groups_hold_neighbours_and_large_cells_stand_alone():
+    from quarry.operators.cells import _groups
+
+    pivots = np.array([[0.0, 0.0], [9.0, 0.0], [0.1, 0.0], [9.1, 0.0], [5.0, 0.0]])
+    groups = _groups(pivots, {0: 10, 1: 10, 2: 10, 3: 10, 4: 500}, 20)
+    assert sorted(map(sorted, groups)) == [[0, 2], [1, 3], [4]]
+    assert _groups(pivots, {1: 3, 5: 2}, 100) == [[1, 5]]

@@ -145,3 +145,30 @@ def test_later_rows_replace_earlier_ones(monkeypatch, metric):
         want += [(qid, i, x) for x, i in sorted([(-a, i) for a, i in zip(v, ids) if i != qid])[:5]]
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert len(looked) < 4 * (200 // 7)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2sq", "dot"])
+def test_preselection_in_single_precision_keeps_close_calls(metric):
+    """Far from the origin single precision does not tell neighbours apart; tiny and huge vectors are beyond it."""
+    from quarry.operators.knn import best_rows
+
+    rng = np.random.default_rng(4)
+    for shift, scale in ((0, 1), (1000, 1e-3), (0, 1e-25), (0, 1e25)):
+        c, q = (shift + rng.normal(size=(n, 8)) * scale for n in (6000, 300))
+        a, b = (c, q) if metric != "cosine" else (x / np.sqrt((x * x).sum(axis=1, keepdims=True)) for x in (c, q))
+        got = {}
+        for j, i, v in best_rows(list(range(300)), q, list(range(6000)), c, 3, metric, True):
+            got.setdefault(j, []).append((i, v))
+        for j in range(0, 300, 29):
+            v = -((a - b[j]) ** 2).sum(axis=1) if metric == "l2sq" else (a * b[j]).sum(axis=1)
+            v[j] = -np.inf
+            want = sorted(range(6000), key=lambda i: (-v[i], i))[:3]
+            assert got[j] == [(i, v[i]) for i in want]
+
+
+def test_rows_of_a_queries_own_id_leave_k_others():
+    from quarry.operators.knn import best_rows
+
+    c = np.array([[1.0, 0.0]] * 5 + [[0.9, 0.1], [0.5, 0.5]])
+    got = list(best_rows([7], np.array([[1.0, 0.0]]), [7] * 5 + [1, 2], c, 2, "cosine", True))
+    assert [i for _, i, _ in got] == [1, 2]
