@@ -11,11 +11,11 @@ opt-in approximate form for corpora where ``n_queries x n_vectors`` is too much.
 
 * ``build_index``: spherical k-means (MLlib) on unit vectors; every vector is
   assigned to its nearest list.  Centroids (``n_lists x d``) are small.
-* ``search``: each query probes its ``nprobe`` nearest lists.  Lists are cut
-  into sub-blocks of at most ``block_rows`` vectors (a list holding a third of
-  the corpus becomes many blocks), queries are replicated to the sub-blocks of
-  the lists they probe, and each (list, sub-block) cogroup runs the same block
-  solver as the exact search, emitting ``k`` rows per query.
+* ``search``: each query probes its ``nprobe`` nearest lists.  Lists are packed
+  in groups of neighbours of about ``block_rows`` vectors (a list holding a third
+  of the corpus becomes many blocks), a query goes once to each group with lists
+  it probes, and each block's cogroup compares the pairs of queries and probed
+  lists with the solver of the exact search, emitting ``k`` rows per query.
 """
 
 from __future__ import annotations
@@ -33,16 +33,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions import vectors as vx
-from quarry.operators.knn import arrow_type, block_solver, knn, prepared, ranked
+from quarry.operators.cells import _cell_solver, _grouped, _groups, _meet, routed_type
+from quarry.operators.knn import _LEAST_ROWS, arrow_type, knn, matrix, prepared, ranked
+from quarry.session import materialize
 
 
 AT_ONCE = 1 << 18  # similarities with centroids held at once
 
 
 def _unit(col):
-    n = vx.norm(col)
-    return F.when(n > 0, F.transform(F.col(col), lambda x: x.cast("double") / n)).otherwise(
-        F.transform(F.col(col), lambda x: x.cast("double")))
+    """The vector as doubles of length 1 (a zero vector stays); the norm is bound, so it is taken once a row."""
+    def scaled(n):
+        return F.when(n > 0, F.transform(F.col(col), lambda x: x.cast("double") / n)).otherwise(
+            F.transform(F.col(col), lambda x: x.cast("double")))
+    return F.transform(F.array(vx.norm(col)), scaled)[0]
 
 
 def build_index(corpus: DataFrame, n_lists: int, *, id_col: str = "id", vec_col: str = "embedding",
@@ -70,38 +74,53 @@ def _nearest(spark, centroids: np.ndarray, nprobe: int):
             for lo in range(0, len(v), step):
                 m = np.vstack([np.asarray(x, dtype=np.float64) for x in v[lo:lo + step]])
                 s = prepared(m, "cosine") @ c.T
-                idx = np.argsort(-s, axis=1, kind="stable")[:, :probe]
+                if probe == 1:
+                    idx = np.where(np.isnan(s), -np.inf, s).argmax(axis=1)[:, None]
+                else:
+                    idx = np.argsort(-s, axis=1, kind="stable")[:, :probe]
                 yield pd.Series([row.tolist() for row in idx])
 
     return nearest_lists
 
 
+def _probed(centroids: np.ndarray, nprobe: int):
+    """Arrow map (qid, qvec, ...) -> (qid, qvec, the ``nprobe`` nearest lists, nearest first)."""
+    probe, step = min(nprobe, len(centroids)), max(1, AT_ONCE // len(centroids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, step):
+                some = batch.slice(lo, step)
+                s = prepared(matrix(some.column(1), centroids.shape[1])[0], "cosine") @ centroids.T
+                lists = np.argsort(-s, axis=1, kind="stable")[:, :probe].astype(np.int32)
+                ends = np.arange(0, lists.size + 1, probe, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), some.column(1), pa.ListArray.from_arrays(ends, pa.array(lists.ravel()))], ["qid", "qvec", "cells"])
+
+    return run
+
+
+def _queries(queries: DataFrame, query_id: str, query_vec: str, centroids: np.ndarray) -> DataFrame:
+    """The queries that the lists can answer, without a bound on a neighbour's distance."""
+    return queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"), F.lit(None).cast("double").alias("bound")) \
+        .where(F.size("qvec") == centroids.shape[1])
+
+
 def search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: int, *, nprobe: int = 4,
            query_id: str = "qid", query_vec: str = "qvec", exclude_self: bool = False,
            block_rows: int = 50_000) -> DataFrame:
-    """Approximate cosine top-k: ``(qid, rank, id, score)``."""
-    spark = queries.sparkSession
-    nearest_lists = _nearest(spark, centroids, nprobe)
-
-    # Sub-blocks per list from the list sizes (one small aggregate: n_lists rows).
-    sizes = assigned.groupBy("list_id").agg(F.count("*").alias("n"))
-    blocks = sizes.select("list_id", F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).cast("int").alias("nb"))
-    a = assigned.join(F.broadcast(blocks), "list_id") \
-        .withColumn("sub", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).drop("nb")
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec")) \
-        .withColumn("list_id", F.explode_outer(nearest_lists("qvec"))).where(F.col("list_id").isNotNull()) \
-        .join(F.broadcast(blocks), "list_id") \
-        .withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).drop("nb")
-    qid_t = q.schema["qid"].dataType
-    id_t = a.schema["id"].dataType
-    out_schema = T.StructType([T.StructField("qid", qid_t), T.StructField("id", id_t),
+    """Approximate cosine top-k: ``(qid, rank, id, score)``.  A vector sits in one list, so a pair is scored once."""
+    sizes = {r.list_id: r["count"] for r in assigned.groupBy("list_id").count().collect()}  # at most n_lists rows
+    share = math.ceil(sum(sizes.values()) / queries.sparkSession.sparkContext.defaultParallelism)
+    groups = _groups(centroids, sizes, min(block_rows, max(_LEAST_ROWS, share))) if sizes else []
+    q = _queries(queries, query_id, query_vec, centroids)
+    routed = materialize(q.mapInArrow(_grouped(_probed(centroids, nprobe), groups, sizes, len(centroids)), routed_type(q.schema)))
+    out_schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("id", assigned.schema["id"].dataType),
                                T.StructField("rv", T.DoubleType())])
-
     arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in out_schema.fields])
-    cand = a.groupBy("list_id", "sub").cogroup(q.groupBy("list_id", "sub")).applyInArrow(
-        block_solver(k, "cosine", exclude_self, arrow), out_schema)
-    # A vector sits in one list, so a (query, id) pair is scored once.
-    return ranked(cand, k).withColumnRenamed("rv", "score")
+    found = _meet(routed, assigned.select("id", "vec", F.col("list_id").alias("cell")), groups, sizes, block_rows,
+                  _cell_solver(k, "cosine", exclude_self, arrow), out_schema)
+    return ranked(found, k).withColumnRenamed("rv", "score")
 
 
 # ---------------------------------------------------------------- stored index
@@ -172,7 +191,13 @@ def search_index(queries: DataFrame, path: str, k: int, nprobe: int, *, query_id
     """Approximate cosine top-k over the stored lists that some query probes."""
     spark = queries.sparkSession
     cents = read_centroids(spark, path)
-    probes = queries.select(F.explode(_nearest(spark, cents, nprobe)(query_vec)).alias("list_id")).distinct()
+    probed = _probed(cents, nprobe)
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in probed(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(some.column(2).flatten().to_numpy()))], ["list_id"])
+
+    probes = _queries(queries, query_id, query_vec, cents).mapInArrow(distinct, "list_id int").distinct()
     lists = sorted(r.list_id for r in probes.collect())  # at most n_lists rows
     return search(queries, cents, read_lists(spark, path, lists), k, nprobe=nprobe, query_id=query_id,
                   query_vec=query_vec, exclude_self=exclude_self, block_rows=block_rows)

@@ -117,7 +117,7 @@ def _route(pivots: np.ndarray, cells: np.ndarray, metric: str, k: int):
 def _groups(pivots: np.ndarray, sizes: dict[int, int], most: int) -> list[list[int]]:
     """The cells in groups of neighbours, of about ``most`` rows; a larger cell is a group of its own."""
     out, left = [], [sorted(sizes)]
-    places = np.vstack([pivots, np.zeros((1, pivots.shape[1]))])
+    places = np.vstack([pivots, np.zeros((1, pivots.shape[1]))])  # the cell of zero vectors
     while left:
         cells = left.pop()
         wanted = math.ceil(sum(sizes[c] for c in cells) / most)
@@ -160,6 +160,13 @@ def _grouped(route, groups: list[list[int]], sizes: dict[int, int], n_cells: int
     return run
 
 
+def routed_type(queries: T.StructType) -> T.StructType:
+    """What ``_grouped`` makes of queries (qid, qvec)."""
+    goes = T.ArrayType(T.StructType([T.StructField("g", T.IntegerType()), T.StructField("bits", T.BinaryType())]))
+    return T.StructType([queries["qid"], queries["qvec"], T.StructField("bound", T.DoubleType()), T.StructField("to", goes),
+                         T.StructField("cells", T.LongType()), T.StructField("rows", T.LongType())])
+
+
 def _cell_solver(k: int, metric: str, exclude_self: bool, schema: pa.Schema):
     """``block_solver`` for rows with their place among the group's cells (``at``) and queries with the bits of
     the cells they meet; a query's rows must come within its ``bound``."""
@@ -262,9 +269,7 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *,
     per_block = max(1, block_bytes // (8 * c_lo))
     share = math.ceil(nc / spark.sparkContext.defaultParallelism)  # so that small inputs use all cores
     groups = _groups(pivots, sizes, min(per_block, max(_LEAST_ROWS, share)))
-    goes = T.ArrayType(T.StructType([T.StructField("g", T.IntegerType()), T.StructField("bits", T.BinaryType())]))
-    routed = T.StructType([*q.schema.fields, T.StructField("bound", T.DoubleType()), T.StructField("to", goes),
-                           T.StructField("cells", T.LongType()), T.StructField("rows", T.LongType())])
+    routed = routed_type(q.schema)
 
     def route(rows: DataFrame) -> DataFrame:
         return materialize(rows.mapInArrow(_grouped(_route(pivots, summary, metric, k), groups, sizes, len(pivots) + 1), routed))

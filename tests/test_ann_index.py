@@ -55,3 +55,23 @@ def test_segment_written_again_replaces_itself(spark):
     nulls = spark.createDataFrame([(99, None), (98, [])], "id long, embedding array<double>")
     ann.append(nulls, path, "nothing")
     assert ann.read_lists(spark, path).count() == 60
+
+
+def test_a_query_travels_once_per_group_of_lists(spark, monkeypatch):
+    """Probing every list finds every neighbour; a query goes to a few groups of lists, not to each."""
+    e = _vectors(spark, np.random.default_rng(6).normal(size=(700, 8)))
+    q = e.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+    cents, assigned = ann.build_index(e, 60)
+    travelled, meet = [], ann._meet
+
+    def counted(queries, corpus, groups, *rest):
+        travelled.append((queries.select(F.explode("to")).count(), len(groups)))
+        return meet(queries, corpus, groups, *rest)
+
+    monkeypatch.setattr(ann, "_meet", counted)
+    rows = lambda df: sorted((r[0], r[1], r[2], round(r[3], 9)) for r in df.collect())
+    found = ann.search(q, cents, assigned, 3, nprobe=60, exclude_self=True, block_rows=250)
+    assert rows(found) == rows(knn(q, e, 3, exclude_self=True))
+    assert travelled == [(700 * travelled[0][1], travelled[0][1])] and travelled[0][1] <= 5
+    some = ann.search(q.unionByName(spark.createDataFrame([(-1, None)], q.schema)), cents, assigned, 3, nprobe=5, exclude_self=True)
+    assert 0.5 < ann.recall(some, knn(q, e, 3, exclude_self=True)).agg({"recall": "avg"}).first()[0] < 1
