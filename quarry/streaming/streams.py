@@ -47,41 +47,56 @@ def dedupe_stream(df: DataFrame, key_cols: list[str], ts_col: str, delay: str |
     return df.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(key_cols)
 
 
-def expiring_dedupe(df: DataFrame, key_cols: list[str], ts_col: str, delay: str, lateness: str) -> DataFrame:
+#: How a key is written as text and read again without loss.
+_KEY_TEXT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def expiring_dedupe(df: DataFrame, key_cols: list[str], ts_col: str, delay: str, lateness: str,
+                    buckets: int = 1 << 10) -> DataFrame:
     """A row passes if no row of its key that passed lies within ``delay`` of it.
 
     Returns ``key_cols`` and ``ts_col`` (timestamp).  A key's state is the times that
     passed and that a row in time can still meet; it goes when the watermark (the
     latest time less ``lateness``) is ``delay`` beyond the last of them, so the state
     holds recent keys only.  Rows later than the watermark and rows without a time are
-    dropped.  Rows of one micro-batch are taken in time order.
+    dropped.  Rows of one micro-batch are taken in time order.  Keys share ``buckets``
+    states by their hash: what a call of Python costs is paid per bucket, not per key.
     """
     df = df.select(*key_cols, F.col(ts_col).cast("timestamp").alias(ts_col)).where(F.col(ts_col).isNotNull())
     wait = pd.Timedelta(delay).value // 1000
-    out = T.StructType([df.schema[c] for c in key_cols] + [T.StructField(ts_col, T.TimestampType())])
+    key_type = T.StructType([df.schema[c] for c in key_cols])
 
-    def passed(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        kept = list(state.get[0]) if state.exists else []
+    def passed(_, batches, state):
+        held = dict(zip(*state.get, strict=True)) if state.exists else {}
         mark = state.getCurrentWatermarkMs() * 1000
-        times = sorted(t for pdf in batches for t in pdf[ts_col].astype("datetime64[us]").astype("int64").tolist())
+        rows = [] if state.hasTimedOut else sorted(
+            row for pdf in batches
+            for row in zip(pdf["_key"].tolist(), pdf[ts_col].astype("datetime64[us]").astype("int64").tolist(), strict=True))
         new = []
-        for t in times:
+        for key, t in rows:
+            kept = held.setdefault(key, [])
             at = bisect.bisect_left(kept, t - wait)
             if at == len(kept) or kept[at] > t + wait:
                 bisect.insort(kept, t)
-                new.append(t)
-        kept = [t for t in kept if t + wait >= mark] or kept[-1:]
-        state.update((kept,))
-        state.setTimeoutTimestamp(max((kept[-1] + wait) // 1000, mark // 1000) + 1)
+                new.append((key, t))
+        met = {key for key, _ in rows}
+        held = {key: [t for t in kept if t + wait >= mark] or kept[-1:] for key, kept in held.items()
+                if key in met or kept[-1] + wait >= mark}
+        if held:
+            state.update((list(held), list(held.values())))
+            state.setTimeoutTimestamp(max((min(kept[-1] for kept in held.values()) + wait) // 1000, mark // 1000) + 1)
+        elif state.exists:
+            state.remove()
         if new:
-            yield pd.DataFrame({c: [v] * len(new) for c, v in zip(key_cols, key, strict=True)}
-                               | {ts_col: pd.to_datetime(new, unit="us")})
-
-    return df.withWatermark(ts_col, lateness).groupBy(*key_cols).applyInPandasWithState(
-        passed, out, "kept array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+            yield pd.DataFrame({"_key": [key for key, _ in new], ts_col: pd.to_datetime([t for _, t in new], unit="us")})
+
+    found = df.withWatermark(ts_col, lateness).select(
+        F.pmod(F.xxhash64(*key_cols), F.lit(buckets)).cast("int").alias("_bucket"),
+        F.to_json(F.struct(*key_cols), _KEY_TEXT).alias("_key"), ts_col).groupBy("_bucket").applyInPandasWithState(
+        passed, T.StructType([T.StructField("_key", T.StringType()), T.StructField(ts_col, T.TimestampType())]),
+        "keys array<string>, kept array<array<long>>", "append", GroupStateTimeout.EventTimeTimeout)
+    return found.select(F.from_json("_key", key_type, _KEY_TEXT).alias("_key"), ts_col) \
+        .select(*[F.col("_key")[c].alias(c) for c in key_cols], ts_col)
 
 
 def run_available_now(df: DataFrame, root: str | None = None, fmt: str = "parquet",

@@ -78,6 +78,37 @@ def test_expiring_dedupe_forgets_keys_and_drops_late_rows(spark, tmp_dir):
     assert held == [2, 3, 5, 3, 4, 1]  # seven keys: a, b and c go in the fourth batch; at the end f alone is left
 
 
+def test_keys_that_share_a_state_pass_as_if_alone(spark, tmp_dir):
+    """Many keys, some null, far fewer calls of Python than keys; the rows that pass are those of each key alone."""
+    import random
+
+    rnd, hour = random.Random(5), 3_600_000_000
+    big = 2**53 + 1  # not a number that pandas holds beside nulls
+    keys = [(u, e) for u in (None, 0, 7, big, big + 1, *range(100, 140)) for e in (None, "a", 'q"u', "é")]
+    rows = [(*k, 1_700_000_000_000_000 + rnd.randrange(200 * hour)) for k in keys for _ in range(12)]
+    src = os.path.join(tmp_dir, "shared")
+    for i in range(4):
+        some = [r for r in rows if i <= (r[2] - 1_700_000_000_000_000) // (50 * hour) < i + 1]
+        spark.createDataFrame(some, "u long, e string, us long").selectExpr("u", "e", "timestamp_micros(us) AS ts") \
+            .coalesce(1).write.parquet(f"{src}/part={i}")
+        for name in os.listdir(f"{src}/part={i}"):  # files are taken by age
+            os.utime(f"{src}/part={i}/{name}", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = spark.readStream.schema("u long, e string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    q = zs.expiring_dedupe(stream, ["u", "e"], "ts", "72 hours", "0 seconds", buckets=8).writeStream.format("memory") \
+        .queryName("z2_shared").outputMode("append").trigger(availableNow=True).option("checkpointLocation", os.path.join(tmp_dir, "z2s")).start()
+    q.awaitTermination()
+    want = []
+    for k in keys:
+        last = None
+        for t in sorted(t for *key, t in rows if tuple(key) == k):
+            if last is None or t > last + 72 * hour:
+                want.append((str(k), t))
+                last = t
+    got = spark.sql("SELECT u, e, unix_micros(ts) AS us FROM z2_shared").collect()
+    assert sorted((str((r["u"], r["e"])), r["us"]) for r in got) == sorted(want)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) <= 8
+
+
 def test_table_stream_reads_a_file_and_a_folder_of_files(spark, tmp_dir):
     rows = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "id long, text string")
     folder, single = os.path.join(tmp_dir, "folder"), os.path.join(tmp_dir, "single")
