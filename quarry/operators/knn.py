@@ -137,12 +137,11 @@ def best_rows(q_ids, q: np.ndarray, c_ids, c: np.ndarray, k: int, metric: str, e
             mine = local[own_q[a:b]], own_c[a:b] - lo
             mine = mine[0][mine[0] >= 0], mine[1][mine[0] >= 0]
             local[some] = -1
-            values[mine] = -np.inf
             square = q_square[some]
             floor = floor_of[some] + (square if metric == "l2sq" else 0.0)
             new = np.flatnonzero(np.isnan(floor))
             if len(new):
-                spare = min(k, len(part))
+                spare = min(k + exclude_self, len(part))
                 floor[new] = np.partition(values[new], len(part) - spare, axis=1)[:, len(part) - spare]
             floor -= product.slack(dim, most + square)
             # rounded towards less, or a value at the floor would be cut off
